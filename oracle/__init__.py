@@ -68,5 +68,6 @@ def compose(sql: str) -> str:
 
 
 def oracle_queries() -> dict[str, str]:
+    from .quality_queries import QUALITY_QUERIES
     from .queries import QUERIES
-    return {k: compose(v) for k, v in QUERIES.items()}
+    return {k: compose(v) for k, v in {**QUERIES, **QUALITY_QUERIES}.items()}

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates as D
 from ..functions.agg import davg, dsum
-from ..params import as_date, fiscal_year_time_keys
+from ..params import fiscal_year_time_keys
 from .dims import calendar
 
 
@@ -171,5 +171,3 @@ def register_views(T: Mapping[str, DataFrame], as_of) -> list[str]:
         df.createOrReplaceTempView(name)
     return list(T) + list(views)
 
-
-_ = as_date

@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..params import AS_OF, FISCAL_YEAR, time_key_of
-from ..operators import dims, facts, reports, views
+from ..operators import dims, facts, monitor, quality, reports, risk, scd2, views
+from ..sources import io
 
 Tables = Mapping[str, DataFrame]
 
@@ -42,9 +43,25 @@ def _enriched(T: Tables) -> DataFrame:
                               T["purchase_orders"], dbu)
 
 
+def _closed(T: Tables) -> DataFrame:
+    return scd2.scd2_closed_rows(T["dim_vendors"], T["vendors"], T["supplier_profiles"], AS_OF)
+
+
+def _alerts(T: Tables) -> DataFrame:
+    return monitor.dq_alerts({
+        "recon_vendor_count": quality.recon_vendors(T),
+        "recon_spend_status": quality.recon_spend_status(T),
+        "orphan_facts": quality.orphan_facts(T),
+        "consistency_check": quality.check_consistency(T),
+        "dq_check_violations": quality.dq_check_violations(T),
+    })
+
+
 PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     # sources
     "scan_spend_transactions": lambda T: T["spend_transactions"],
+    "copy_star_counts": io.copy_star_counts,
+    "table_info": io.table_info,
     # dimensions
     "dim_vendors_new": lambda T: dims.new_dim_vendors(T["vendors"], T["supplier_profiles"], T["dim_vendors"], AS_OF),
     "dim_vendors_new_simple": lambda T: dims.new_dim_vendors_simple(T["vendors"], T["dim_vendors"], AS_OF),
@@ -54,6 +71,10 @@ PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     "dim_vendors_as_of": lambda T: dims.dim_as_of(T["dim_vendors"], AS_OF_HISTORY),
     "dim_contracts": lambda T: dims.dim_contracts(T["contracts"], T["risk_assessments"], AS_OF),
     "dim_business_units": lambda T: dims.dim_business_units(T["business_units"], AS_OF),
+    # SCD2
+    "scd2_vendor_changes": lambda T: scd2.scd2_changes(T["vendors"], T["supplier_profiles"], T["dim_vendors"], AS_OF),
+    "scd2_closed": _closed,
+    "scd2_apply": lambda T: scd2.scd2_apply(T["dim_vendors"], T["vendors"], T["supplier_profiles"], AS_OF),
     # facts
     "fact_spend_backlog": _new_facts,
     "fact_spend_incremental": lambda T: facts.fact_spend_incremental(
@@ -70,6 +91,22 @@ PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     "spend_fiscal_filled": lambda T: facts.fill_fiscal(T["spend_transactions"]).select(
         "transaction_id", "transaction_date", "fiscal_year", "fiscal_quarter"),
     "fact_archive_split": _archive_summary,
+    # quality, reconciliation, monitoring
+    "recon_vendor_count": quality.recon_vendors,
+    "recon_spend_amount": quality.recon_spend,
+    "recon_spend_status": lambda T: quality.recon_spend_status(T, 1000.0),
+    "recon_txn_by_fy": quality.recon_fy,
+    "orphan_facts": quality.orphan_facts,
+    "consistency_check": quality.check_consistency,
+    "health_check": quality.health_check,
+    "dq_check_violations": quality.dq_check_violations,
+    "dq_duplicate_keys": quality.dq_duplicate_keys,
+    "dq_fk_violations": quality.dq_fk_violations,
+    "dq_po_line_amount": lambda T: quality.po_line_amount_violations(T["po_line_items"], 0.01),
+    "etl_summary": lambda T: monitor.etl_summary(T["fact_spend_analytics"]),
+    "etl_daily_volume": lambda T: monitor.etl_daily_volume(T["fact_spend_analytics"], AS_OF, 30),
+    "data_freshness": lambda T: monitor.data_freshness(T["fact_spend_analytics"], T["dim_time"], AS_OF),
+    "dq_alerts": _alerts,
     # views
     "vw_current_vendors": lambda T: views.current_vendors(T["dim_vendors"]),
     "vw_monthly_spend_summary": views.monthly_spend_summary,
@@ -102,4 +139,7 @@ PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     "category_plan": reports.category_plan,
     "vendor_certifications": lambda T: reports.vendors_per_certification(T["supplier_profiles"]),
     "market_data_kv": lambda T: reports.market_data_kv(T["market_intelligence"]),
+    # roadmap analytics
+    "spend_anomalies": lambda T: risk.spend_anomalies(T, 5, 3.0),
+    "supplier_risk_score": lambda T: risk.supplier_risk_score(T, AS_OF),
 }
