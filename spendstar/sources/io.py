@@ -32,8 +32,13 @@ def _read_text(spark: SparkSession, path: str) -> str | None:
     fs, p = _jfs(spark, path)
     if not fs.exists(p):
         return None
-    rows = spark.read.text(path).collect()   # a one-line pointer file
-    return rows[0][0].strip() if rows else None
+    jvm = spark.sparkContext._jvm
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(p), "UTF-8"))
+    try:
+        line = reader.readLine()     # a one-line pointer file
+    finally:
+        reader.close()
+    return line.strip() if line else None
 
 
 def table_path(spark: SparkSession, root: str, name: str) -> str:

@@ -19,6 +19,7 @@ from pyspark.sql.types import StructType
 from ..operators.facts import fact_spend_new
 from ..operators.scd2 import scd2_apply
 from ..sources import schemas
+from ..sources.schemas import _st
 
 
 def _read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -57,9 +58,9 @@ def stream_fact_load(spark: SparkSession, source_dir: str, dims: Mapping[str, Da
     return q
 
 
-CDC_SCHEMA = StructType.fromDDL(
+CDC_SCHEMA = _st(
     "op string, vendor_id string, vendor_name string, vendor_tier string, diversity_classification string, "
-    "country string, region string, is_active boolean, change_seq long")
+    "country string, region string, is_active boolean, change_seq bigint")
 
 
 def latest_changes(changes: DataFrame) -> DataFrame:
