@@ -222,18 +222,19 @@ def dq_check_violations(T: Mapping[str, DataFrame]) -> DataFrame:
 
 def check_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """Q10: one row: rows, rows with a NULL key column, key values occurring
-    more than once, and rows in such groups. ``groupBy(key).count()`` is
-    combined map-side, so a key repeated very often costs one row per task."""
+    more than once, and rows in such groups. One scan and one shuffle: the
+    per-key counts are combined map-side (a key repeated very often costs one
+    row per task), then summed."""
     key = list(key)
-    any_null = None
-    for k in key:
-        any_null = F.col(k).isNull() if any_null is None else (any_null | F.col(k).isNull())
     groups = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
-    dup = groups.agg(F.count(F.when(F.col("_n") > 1, 1)).alias("duplicate_groups"),
-                     F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0)).cast("long")
-                     .alias("duplicate_rows"))
-    base = df.agg(F.count(F.lit(1)).alias("row_count"), F.count(F.when(any_null, 1)).alias("null_key_rows"))
-    return base.crossJoin(dup)
+    null_group = None
+    for k in key:
+        null_group = F.col(k).isNull() if null_group is None else (null_group | F.col(k).isNull())
+    return groups.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("row_count"),
+        F.coalesce(F.sum(F.when(null_group, F.col("_n"))), F.lit(0)).cast("long").alias("null_key_rows"),
+        F.count(F.when(F.col("_n") > 1, 1)).alias("duplicate_groups"),
+        F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0)).cast("long").alias("duplicate_rows"))
 
 
 def dq_duplicate_keys(T: Mapping[str, DataFrame]) -> DataFrame:

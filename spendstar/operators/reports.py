@@ -27,7 +27,8 @@ from ..functions.agg import dec, davg, dsum, pct, ratio
 from ..params import FISCAL_YEAR, as_date, time_key_of
 from ..plans.prefix import ordered_running
 from .dims import calendar
-from .views import (contract_expiry_alerts, current_vendors, facts_in_fiscal_year, facts_with_calendar)
+from .views import (contract_expiry_alerts, current_vendors, facts_in_fiscal_year, facts_with_calendar, mean_of,
+                    vendor_measures)
 
 
 # --------------------------------------------------------------- patterns
@@ -43,22 +44,22 @@ def top_vendor_performance(T: Mapping[str, DataFrame]) -> DataFrame:
     """Spend and mean delivery/quality by vendor *name* (current
     versions), largest spend first."""
     dv = current_vendors(T["dim_vendors"]).select("vendor_key", "vendor_name")
-    return (T["fact_spend_analytics"].join(dv, "vendor_key")
+    return (vendor_measures(T["fact_spend_analytics"]).join(dv, "vendor_key")
             .groupBy("vendor_name")
-            .agg(dsum("spend_amount").alias("total_spend"),
-                 davg("delivery_performance_score").alias("avg_delivery"),
-                 davg("quality_score").alias("avg_quality"))
+            .agg(F.sum("_spend").cast("double").alias("total_spend"),
+                 mean_of("_deliv_s", "_deliv_n", rollup=True).alias("avg_delivery"),
+                 mean_of("_qual_s", "_qual_n", rollup=True).alias("avg_quality"))
             .orderBy(F.desc("total_spend")))
 
 
 def risk_weighted_spend(T: Mapping[str, DataFrame]) -> DataFrame:
     """Vendors, spend and risk-weighted spend by risk rating."""
     dv = current_vendors(T["dim_vendors"]).select("vendor_key", "risk_rating")
-    return (T["fact_spend_analytics"].join(dv, "vendor_key")
+    return (vendor_measures(T["fact_spend_analytics"]).join(dv, "vendor_key")
             .groupBy("risk_rating")
-            .agg(F.countDistinct("vendor_key").alias("vendor_count"),
-                 dsum("spend_amount").alias("total_spend"),
-                 dsum("risk_weighted_spend", 3).alias("risk_weighted_spend")))
+            .agg(F.count(F.lit(1)).alias("vendor_count"),          # one row per vendor with facts
+                 F.sum("_spend").cast("double").alias("total_spend"),
+                 F.sum("_rws").cast("double").alias("risk_weighted_spend")))
 
 
 # --------------------------------------------------------------- reports
@@ -68,17 +69,16 @@ def supplier_performance(T: Mapping[str, DataFrame], fiscal_year: int = FISCAL_Y
     largest spend first. Facts booked on superseded vendor versions are not
     counted (the report filters the vendor dimension to current rows)."""
     dv = current_vendors(T["dim_vendors"]).select("vendor_key", "vendor_name", "vendor_tier", "risk_rating")
-    f = facts_in_fiscal_year(T, fiscal_year).join(dv, "vendor_key")
-    return (f.groupBy("vendor_key", "vendor_name", "vendor_tier", "risk_rating")
-             .agg(F.countDistinct("commodity_key").alias("categories_served"),
-                  dsum("spend_amount").alias("total_spend"),
-                  davg("delivery_performance_score").alias("avg_otif"),
-                  davg("quality_score").alias("avg_quality"),
-                  davg("compliance_score").alias("avg_compliance"),
-                  dsum("savings_amount", 4).alias("total_savings"))
-             .select("vendor_name", "vendor_tier", "risk_rating", "categories_served", "total_spend",
-                     "avg_otif", "avg_quality", "avg_compliance", "total_savings")
-             .orderBy(F.desc("total_spend")))
+    per = vendor_measures(facts_in_fiscal_year(T, fiscal_year))
+    return (per.join(dv, "vendor_key")
+               .select("vendor_name", "vendor_tier", "risk_rating",
+                       F.col("_commodities").alias("categories_served"),
+                       F.col("_spend").cast("double").alias("total_spend"),
+                       mean_of("_deliv_s", "_deliv_n").alias("avg_otif"),
+                       mean_of("_qual_s", "_qual_n").alias("avg_quality"),
+                       mean_of("_comp_s", "_comp_n").alias("avg_compliance"),
+                       F.col("_savings").cast("double").alias("total_savings"))
+               .orderBy(F.desc("total_spend")))
 
 
 def savings_realization(T: Mapping[str, DataFrame], years=(2023, 2024)) -> DataFrame:
@@ -145,13 +145,13 @@ def risk_exposure(T: Mapping[str, DataFrame], as_of) -> DataFrame:
     lo = _months_back_key(as_of, 12)
     dv = current_vendors(T["dim_vendors"]).select("vendor_key", "risk_rating", "country", "region", "vendor_tier")
     days = calendar(T["dim_time"].filter(F.col("date_actual") >= since), "time_key")
-    f = (T["fact_spend_analytics"].filter(F.col("time_key") >= lo)
-         .join(dv, "vendor_key").join(days, "time_key"))
-    out = f.groupBy("risk_rating", "country", "region").agg(
-        F.countDistinct("vendor_key").alias("vendor_count"),
-        dsum("spend_amount").alias("total_spend"),
-        dsum("risk_weighted_spend", 3).alias("risk_weighted_spend"),
-        F.count(F.when(F.col("vendor_tier") == "Strategic", 1)).alias("strategic_vendors"))
+    per = vendor_measures(T["fact_spend_analytics"].filter(F.col("time_key") >= lo).join(days, "time_key"))
+    out = per.join(dv, "vendor_key").groupBy("risk_rating", "country", "region").agg(
+        F.count(F.lit(1)).alias("vendor_count"),
+        F.sum("_spend").cast("double").alias("total_spend"),
+        F.sum("_rws").cast("double").alias("risk_weighted_spend"),
+        F.coalesce(F.sum(F.when(F.col("vendor_tier") == "Strategic", F.col("_rows"))), F.lit(0)).cast("long")
+        .alias("strategic_vendors"))
     return (out.withColumn("avg_risk_factor", ratio("risk_weighted_spend", "total_spend"))
                .orderBy(F.desc("risk_weighted_spend")))
 
@@ -469,3 +469,28 @@ def market_data_kv(mi: DataFrame) -> DataFrame:
     """Market-data JSON object to one row per key."""
     return mi.select("commodity_id", "report_date",
                      F.explode(F.from_json("market_data", "map<string,string>")).alias("data_key", "data_value"))
+
+
+# --------------------------------------------------------------- catalogue
+def run_reports(T: Mapping[str, DataFrame], as_of, fiscal_year: int = FISCAL_YEAR) -> dict[str, DataFrame]:
+    """The 17 executive reports (README numbering R1-R17) as lazy
+    DataFrames; ``sources.io.write_reports`` stores them."""
+    return {
+        "supplier_performance": supplier_performance(T, fiscal_year),
+        "savings_realization": savings_realization(T, (fiscal_year - 1, fiscal_year)),
+        "pipeline_plan": pipeline_plan(T, as_of),
+        "contract_renewals": contract_renewals(T, as_of),
+        "risk_exposure": risk_exposure(T, as_of),
+        "esg_diversity": esg_diversity(T),
+        "maverick_spend": maverick_spend(T, fiscal_year),
+        "forecast_alignment": forecast_alignment(T, as_of),
+        "procurement_roi": procurement_roi(T),
+        "tail_spend": tail_spend(T),
+        "strategic_roadmap": strategic_roadmap(T),
+        "compliance_scorecard": compliance_scorecard(T),
+        "working_capital": working_capital(T),
+        "digital_maturity": digital_maturity(T),
+        "global_sourcing": global_sourcing(T, fiscal_year),
+        "talent_coverage": talent_coverage(T),
+        "category_plan": category_plan(T),
+    }

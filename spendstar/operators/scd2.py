@@ -53,10 +53,11 @@ def scd2_changes(vendors: DataFrame, profiles: DataFrame, dim: DataFrame, as_of,
     ).select(*VENDOR_DIM_COLS)
 
 
-def scd2_close(dim: DataFrame, as_of) -> DataFrame:
+def scd2_close(dim: DataFrame, as_of, run_ts=None) -> DataFrame:
     """Close the older current rows of every vendor that has a current
     row starting on ``as_of``: ``is_current_record = false``,
-    ``effective_end_date = as_of - 1``.
+    ``effective_end_date = as_of - 1``; when the dimension carries
+    ``updated_date``, closed rows get ``run_ts`` (the update trigger).
 
     The set of vendors changed today is joined as a flag (semi-join shape);
     Spark broadcasts it when it is measured small.
@@ -70,6 +71,9 @@ def scd2_close(dim: DataFrame, as_of) -> DataFrame:
     out = (j.withColumn("effective_end_date",
                         F.when(closing, F.lit(day - _dt.timedelta(days=1))).otherwise(F.col("effective_end_date")))
             .withColumn("is_current_record", F.when(closing, F.lit(False)).otherwise(F.col("is_current_record"))))
+    if "updated_date" in dim.columns and run_ts is not None:
+        out = out.withColumn("updated_date", F.when(closing, F.lit(run_ts).cast("timestamp"))
+                             .otherwise(F.col("updated_date")))
     return out.select(*dim.columns)
 
 

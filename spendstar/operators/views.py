@@ -38,6 +38,38 @@ def facts_with_calendar(T: Mapping[str, DataFrame], *cal_cols: str) -> DataFrame
     return T["fact_spend_analytics"].join(calendar(T["dim_time"], "time_key", *cal_cols), "time_key")
 
 
+def vendor_measures(facts: DataFrame, *group: str) -> DataFrame:
+    """Additive fact measures per ``vendor_key`` (and ``group``), computed
+    before any vendor-dimension join (eager aggregation).
+
+    Reports that group by vendor attributes join these per-vendor rows to the
+    dimension instead of joining every fact: the facts are combined map-side
+    first, so when the vendor dimension is too large to broadcast only one
+    row per vendor (not one per fact) is shuffled, and a vendor holding a
+    large share of the facts costs one row per task. Results are unchanged
+    because ``vendor_key`` is the dimension's primary key. Unused measures
+    are pruned by Catalyst.
+    """
+    def s(c, scale=2):
+        return F.sum(F.col(c).cast(f"decimal(18,{scale})"))
+    return facts.groupBy("vendor_key", *group).agg(
+        F.count(F.lit(1)).alias("_rows"),
+        F.countDistinct("commodity_key").alias("_commodities"),
+        s("spend_amount").alias("_spend"),
+        s("savings_amount", 4).alias("_savings"),
+        s("risk_weighted_spend", 3).alias("_rws"),
+        s("delivery_performance_score").alias("_deliv_s"), F.count("delivery_performance_score").alias("_deliv_n"),
+        s("quality_score").alias("_qual_s"), F.count("quality_score").alias("_qual_n"),
+        s("compliance_score").alias("_comp_s"), F.count("compliance_score").alias("_comp_n"))
+
+
+def mean_of(sum_col: str, n_col: str, rollup: bool = False):
+    """Mean from additive (sum, count) measures; ``rollup`` re-sums them."""
+    if rollup:
+        return F.try_divide(F.sum(sum_col).cast("double"), F.sum(n_col))
+    return F.try_divide(F.col(sum_col).cast("double"), F.col(n_col))
+
+
 def monthly_spend_summary(T: Mapping[str, DataFrame]) -> DataFrame:
     """V2: spend, fact count and mean delivery score by fiscal month, vendor
     tier and parent category; current vendors only (commodities: any
@@ -55,13 +87,11 @@ def top_vendor_spend(T: Mapping[str, DataFrame], n: int | None = None) -> DataFr
     """V3: spend, distinct commodities and mean compliance per current
     vendor version, largest spend first; ``n`` keeps the top n."""
     dv = current_vendors(T["dim_vendors"]).select("vendor_key", "vendor_name", "vendor_tier", "risk_rating")
-    out = (T["fact_spend_analytics"].join(dv, "vendor_key")
-           .groupBy("vendor_key", "vendor_name", "vendor_tier", "risk_rating")
-           .agg(dsum("spend_amount").alias("total_spend"),
-                F.countDistinct("commodity_key").alias("commodity_count"),
-                davg("compliance_score").alias("avg_compliance_score"))
-           .select("vendor_name", "vendor_tier", "risk_rating", "total_spend", "commodity_count",
-                   "avg_compliance_score")
+    out = (vendor_measures(T["fact_spend_analytics"]).join(dv, "vendor_key")
+           .select("vendor_name", "vendor_tier", "risk_rating",
+                   F.col("_spend").cast("double").alias("total_spend"),
+                   F.col("_commodities").alias("commodity_count"),
+                   mean_of("_comp_s", "_comp_n").alias("avg_compliance_score"))
            .orderBy(F.desc("total_spend")))
     return out.limit(n) if n else out
 
@@ -119,25 +149,25 @@ def current_fy_performance(T: Mapping[str, DataFrame], literal: bool = False) ->
     else:
         latest = f.agg(F.max("fiscal_year").alias("_fy"))
     dv = current_vendors(T["dim_vendors"]).select("vendor_key", "vendor_name")
-    return (f.join(F.broadcast(latest), f.fiscal_year == F.col("_fy"))
-             .join(dv, "vendor_key")
-             .groupBy("vendor_key", "vendor_name")
-             .agg(dsum("spend_amount").alias("total_spend"),
-                  davg("delivery_performance_score").alias("avg_delivery")))
+    per = vendor_measures(f.join(F.broadcast(latest), f.fiscal_year == F.col("_fy")))
+    return per.join(dv, "vendor_key").select(
+        "vendor_key", "vendor_name", F.col("_spend").cast("double").alias("total_spend"),
+        mean_of("_deliv_s", "_deliv_n").alias("avg_delivery"))
 
 
 def supplier_performance_by_year(T: Mapping[str, DataFrame]) -> DataFrame:
     """The supplier-performance view by fiscal year (R1 without the fixed
     year), which the source's parameterised report reads."""
     dv = current_vendors(T["dim_vendors"]).select("vendor_key", "vendor_name", "vendor_tier", "risk_rating")
-    f = facts_with_calendar(T, "fiscal_year").join(dv, "vendor_key")
-    return f.groupBy("fiscal_year", "vendor_key", "vendor_name", "vendor_tier", "risk_rating").agg(
-        F.countDistinct("commodity_key").alias("categories_served"),
-        dsum("spend_amount").alias("total_spend"),
-        davg("delivery_performance_score").alias("avg_otif"),
-        davg("quality_score").alias("avg_quality"),
-        davg("compliance_score").alias("avg_compliance"),
-        dsum("savings_amount", 4).alias("total_savings"))
+    per = vendor_measures(facts_with_calendar(T, "fiscal_year"), "fiscal_year")
+    return per.join(dv, "vendor_key").select(
+        "fiscal_year", "vendor_key", "vendor_name", "vendor_tier", "risk_rating",
+        F.col("_commodities").alias("categories_served"),
+        F.col("_spend").cast("double").alias("total_spend"),
+        mean_of("_deliv_s", "_deliv_n").alias("avg_otif"),
+        mean_of("_qual_s", "_qual_n").alias("avg_quality"),
+        mean_of("_comp_s", "_comp_n").alias("avg_compliance"),
+        F.col("_savings").cast("double").alias("total_savings"))
 
 
 def get_supplier_performance(T: Mapping[str, DataFrame], fiscal_year: int | None = None,

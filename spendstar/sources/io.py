@@ -108,6 +108,14 @@ def conform(df: DataFrame, schema: StructType, defaults: Mapping | None = None)
     return df.select(*cols)
 
 
+def append(df: DataFrame, root: str, name: str, schema: StructType | None = None) -> None:
+    """``INSERT INTO name SELECT ...``: rows are shaped like the table
+    (defaults for missing columns) and appended to its current version."""
+    spark = df.sparkSession
+    schema = schema or schemas.ALL[name]
+    conform(df, schema, schemas.DEFAULTS.get(name)).write.mode("append").parquet(table_path(spark, root, name))
+
+
 def create_star(spark: SparkSession, root: str, names: Iterable[str] | None = None) -> list[str]:
     """Empty star tables with their fixed schemas."""
     names = list(names) if names is not None else list(schemas.STAR)
