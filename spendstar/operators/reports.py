@@ -33,11 +33,14 @@ from .views import (contract_expiry_alerts, current_vendors, facts_in_fiscal_yea
 
 # --------------------------------------------------------------- patterns
 def monthly_spend_by_category(T: Mapping[str, DataFrame]) -> DataFrame:
-    """Spend by fiscal year, month name and parent category."""
+    """Spend by fiscal year, month name and parent category. Facts are
+    summed per commodity and month before the commodity join."""
     dc = T["dim_commodities"].select("commodity_key", "parent_category")
-    return (facts_with_calendar(T, "fiscal_year", "month_name").join(dc, "commodity_key")
+    per = (facts_with_calendar(T, "fiscal_year", "month_name")
+           .groupBy("fiscal_year", "month_name", "commodity_key").agg(F.sum(dec("spend_amount")).alias("_spend")))
+    return (per.join(dc, "commodity_key")
             .groupBy("fiscal_year", "month_name", "parent_category")
-            .agg(dsum("spend_amount").alias("total_spend")))
+            .agg(F.sum("_spend").cast("double").alias("total_spend")))
 
 
 def top_vendor_performance(T: Mapping[str, DataFrame]) -> DataFrame:
@@ -89,13 +92,15 @@ def savings_realization(T: Mapping[str, DataFrame], years=(2023, 2024)) -> DataF
     days = calendar(T["dim_time"].filter(F.col("fiscal_year").isin(years)), "time_key", "fiscal_year",
                     "fiscal_quarter")
     dc = T["dim_commodities"].select("commodity_key", "parent_category")
-    f = (T["fact_spend_analytics"].filter(F.col("savings_amount") > 0)
-         .join(days, "time_key").join(dc, "commodity_key"))
     baseline = dec("baseline_price", 4) * F.col("quantity").cast("decimal(18,4)")
-    out = f.groupBy("fiscal_year", "fiscal_quarter", "parent_category").agg(
-        dsum("spend_amount").alias("actual_spend"),
-        dsum("savings_amount", 4).alias("realized_savings"),
-        F.sum(baseline).cast("double").alias("baseline_spend"))
+    per = (T["fact_spend_analytics"].filter(F.col("savings_amount") > 0).join(days, "time_key")
+           .groupBy("fiscal_year", "fiscal_quarter", "commodity_key")
+           .agg(F.sum(dec("spend_amount")).alias("_spend"), F.sum(dec("savings_amount", 4)).alias("_savings"),
+                F.sum(baseline).alias("_baseline")))
+    out = per.join(dc, "commodity_key").groupBy("fiscal_year", "fiscal_quarter", "parent_category").agg(
+        F.sum("_spend").cast("double").alias("actual_spend"),
+        F.sum("_savings").cast("double").alias("realized_savings"),
+        F.sum("_baseline").cast("double").alias("baseline_spend"))
     return (out.withColumn("savings_rate", pct("realized_savings", "actual_spend"))
                .orderBy("fiscal_year", "fiscal_quarter", F.desc("realized_savings")))
 
@@ -313,15 +318,21 @@ def compliance_scorecard(T: Mapping[str, DataFrame], floor: float = 80.0) -> Dat
     scored facts under ``floor``, % of spend with a contract, facts,
     unscored facts."""
     dc = T["dim_commodities"].select("commodity_key", "parent_category")
-    f = facts_with_calendar(T, "fiscal_year").join(dc, "commodity_key")
     score = F.col("compliance_score")
-    out = f.groupBy("fiscal_year", "parent_category").agg(
-        davg("compliance_score").alias("avg_compliance"),
-        F.count(F.when(score < F.lit(float(floor)), 1)).alias("_under"),
-        F.count(score).alias("_scored"),
-        F.sum(F.when(F.col("contract_key").isNotNull(), dec("spend_amount"))).alias("_on"),
-        F.sum(dec("spend_amount")).alias("_all"),
-        F.count(F.lit(1)).alias("facts"))
+    per = facts_with_calendar(T, "fiscal_year").groupBy("fiscal_year", "commodity_key").agg(
+        F.sum(dec("compliance_score")).alias("_cs"),
+        F.count(F.when(score < F.lit(float(floor)), 1)).alias("_u"),
+        F.count(score).alias("_n"),
+        F.sum(F.when(F.col("contract_key").isNotNull(), dec("spend_amount"))).alias("_o"),
+        F.sum(dec("spend_amount")).alias("_a"),
+        F.count(F.lit(1)).alias("_f"))
+    out = per.join(dc, "commodity_key").groupBy("fiscal_year", "parent_category").agg(
+        F.try_divide(F.sum("_cs").cast("double"), F.sum("_n")).alias("avg_compliance"),
+        F.sum("_u").alias("_under"),
+        F.sum("_n").alias("_scored"),
+        F.sum("_o").alias("_on"),
+        F.sum("_a").alias("_all"),
+        F.sum("_f").alias("facts"))
     return out.select("fiscal_year", "parent_category", "avg_compliance",
                       pct("_under", "_scored").alias("pct_under_floor"),
                       pct(F.coalesce(F.col("_on"), F.lit(0).cast("decimal(28,2)")), "_all").alias("on_contract_pct"),
