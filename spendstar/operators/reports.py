@@ -218,7 +218,9 @@ def forecast_alignment(T: Mapping[str, DataFrame], as_of) -> DataFrame:
     """
     day = D.lit_date(as_of)
     fc = T["demand_forecasts"].filter(F.col("forecast_period_end") < day)
-    daily = (T["spend_transactions"]
+    # every period ends before as_of, so later transactions can never match:
+    # the bound is pushed into the scan
+    daily = (T["spend_transactions"].filter(F.col("transaction_date") < day)
              .groupBy("commodity_id", "transaction_date")
              .agg(F.sum(dec("total_amount")).alias("_amt"), F.sum(dec("quantity", 4)).alias("_qty")))
     cond = ((fc.commodity_id == daily.commodity_id)
