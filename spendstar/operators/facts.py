@@ -42,13 +42,15 @@ def fact_spend_new(spend: DataFrame, dim_vendors: DataFrame, dim_commodities: Da
     st = spend.filter(F.col("transaction_id").isNotNull())
     if since is not None:
         st = st.filter(F.col("transaction_date") >= D.lit_date(since))
+    # The "not loaded yet" test depends on the transaction alone, so it runs
+    # first: a daily run joins only its new transactions to the dimensions.
+    st = (st.withColumn("source_transaction_id", F.col("transaction_id").cast("string"))
+            .join(_loaded_ids(existing), "source_transaction_id", "left_anti"))
     dv = dim_vendors.filter(F.col("is_current_record")).select("vendor_id", "vendor_key")
     dc = dim_commodities.filter(F.col("is_current_record")).select("commodity_id", "commodity_key")
     days = calendar(dim_time, "date_actual", "time_key")
     rows = (st.join(dv, "vendor_id").join(dc, "commodity_id")
-              .join(days, st.transaction_date == days.date_actual)
-              .withColumn("source_transaction_id", F.col("transaction_id").cast("string")))
-    rows = rows.join(_loaded_ids(existing), "source_transaction_id", "left_anti")
+              .join(days, st.transaction_date == days.date_actual))
     return rows.select(
         F.col("transaction_id").alias("fact_key"), "vendor_key", "commodity_key", "time_key",
         F.col("total_amount").alias("spend_amount"), F.lit(1).alias("transaction_count"),
@@ -66,14 +68,14 @@ def fact_spend_award(spend: DataFrame, dim_vendors: DataFrame, dim_commodities:
     """the variant dated by ``award_date`` that joins every dimension
     version (one fact per vendor version and commodity version) and carries
     no quantity or unit price. A NULL award date drops the transaction."""
-    st = spend.filter(F.col("transaction_id").isNotNull())
+    st = (spend.filter(F.col("transaction_id").isNotNull())
+               .withColumn("source_transaction_id", F.col("transaction_id").cast("string"))
+               .join(_loaded_ids(existing), "source_transaction_id", "left_anti"))
     dv = dim_vendors.select("vendor_id", "vendor_key")
     dc = dim_commodities.select("commodity_id", "commodity_key")
     days = calendar(dim_time, "date_actual", "time_key")
     rows = (st.join(dv, "vendor_id").join(dc, "commodity_id")
-              .join(days, st.award_date == days.date_actual)
-              .withColumn("source_transaction_id", F.col("transaction_id").cast("string")))
-    rows = rows.join(_loaded_ids(existing), "source_transaction_id", "left_anti")
+              .join(days, st.award_date == days.date_actual))
     return rows.select("vendor_key", "commodity_key", "time_key", F.col("total_amount").alias("spend_amount"),
                        F.lit(1).alias("transaction_count"), "source_transaction_id",
                        D.lit_date(as_of).alias("load_date"))
