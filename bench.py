@@ -6,7 +6,8 @@ rows), then the median of 3 timed runs, each executed in full through the
 
 Prints one JSON line. Environment: BENCH_SF_DIR (default
 /root/testdata/sf0.1), BENCH_CPUS (default 8), BENCH_QUERIES (comma list,
-default all), BENCH_SCRATCH (folder for the stored tables).
+default all), BENCH_SCRATCH (folder for the stored tables), BENCH_REUSE=1 (keep
+tables already stored in BENCH_SCRATCH; for local iteration).
 """
 
 from __future__ import annotations
@@ -33,7 +34,8 @@ def main() -> None:
     from spendstar.sources import io
     from spendstar.sources.fixtures import OPERATIONAL_TABLES, STAR_TABLES, FixtureTables
 
-    spark = build_session(master, shuffle_partitions=cpus * 2,
+    shuffle = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(cpus * 2)))
+    spark = build_session(master, shuffle_partitions=shuffle,
                           extra={"spark.driver.memory": "16g",
                                  "spark.checkpoint.dir": os.path.join(scratch, "checkpoints"),
                                  "spark.sql.warehouse.dir": os.path.join(scratch, "warehouse")})
@@ -42,7 +44,8 @@ def main() -> None:
     db = os.path.join(scratch, "db")
     src = FixtureTables(spark, sf_dir)
     t0 = time.perf_counter()
-    for name in list(OPERATIONAL_TABLES) + list(STAR_TABLES):
+    reuse = os.environ.get("BENCH_REUSE") == "1" and os.path.exists(os.path.join(db, "fact_spend_analytics"))
+    for name in ([] if reuse else list(OPERATIONAL_TABLES) + list(STAR_TABLES)):
         df = src[name]
         if name == "fact_spend_analytics":
             # clustered by day: fiscal-year and date-window predicates skip row groups

@@ -238,16 +238,35 @@ def check_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
 
 
 def dq_duplicate_keys(T: Mapping[str, DataFrame]) -> DataFrame:
-    """Q10 over every declared key whose columns exist in ``T``."""
-    parts = []
+    """Q10 over every declared key whose columns exist in ``T``, as one plan:
+    each table contributes (check id, key value as JSON, NULL flag) rows, all
+    checks are counted per key value in one aggregation (combined map-side)
+    and then per check."""
+    parts, labels = [], []
     for table, key in KEYS:
         if table in T and set(key) <= set(T[table].columns):
-            parts.append(check_keys(T[table], key).select(
-                F.lit(table).alias("table_name"), F.lit(",".join(key)).alias("key_columns"), "*"))
-    out = parts[0]
+            i = len(labels)
+            labels.append((i, table, ",".join(key)))
+            null = None
+            for k in key:
+                null = F.col(k).isNull() if null is None else (null | F.col(k).isNull())
+            parts.append(T[table].select(F.lit(i).alias("_check"), F.to_json(F.struct(*key)).alias("_key"),
+                                         null.alias("_null")))
+    tagged = parts[0]
     for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        tagged = tagged.unionByName(p)
+    per_key = tagged.groupBy("_check", "_key").agg(F.count(F.lit(1)).alias("_n"), F.max("_null").alias("_null"))
+    per_check = per_key.groupBy("_check").agg(
+        F.sum("_n").cast("long").alias("row_count"),
+        F.coalesce(F.sum(F.when(F.col("_null"), F.col("_n"))), F.lit(0)).cast("long").alias("null_key_rows"),
+        F.count(F.when(F.col("_n") > 1, 1)).alias("duplicate_groups"),
+        F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0)).cast("long").alias("duplicate_rows"))
+    names = T[next(iter(T))].sparkSession.createDataFrame(labels, "_check int, table_name string, key_columns string")
+    # ``names`` has one row per declared key (a fixed list)
+    return (F.broadcast(names).join(per_check, "_check", "left")
+            .select("table_name", "key_columns",
+                    *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c)
+                      for c in ("row_count", "null_key_rows", "duplicate_groups", "duplicate_rows")]))
 
 
 def check_fk(child: DataFrame, col: str, parent: DataFrame, parent_col: str) -> DataFrame:
@@ -256,23 +275,19 @@ def check_fk(child: DataFrame, col: str, parent: DataFrame, parent_col: str) ->
     return child.filter(F.col(col).isNotNull()).join(keys, col, "left_anti")
 
 
-def fk_violation_count(child: DataFrame, col: str, parent: DataFrame, parent_col: str) -> DataFrame:
-    """Q11 as a count: child rows are first counted per key value (combined
-    map-side), so only distinct key values are shuffled into the anti join
-    with the parent keys, however large the child table is."""
-    per_key = child.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
-    keys = parent.select(F.col(parent_col).alias(col)).filter(F.col(col).isNotNull())
-    return (per_key.join(keys, col, "left_anti")
-                   .agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("violations")))
-
-
 def dq_fk_violations(T: Mapping[str, DataFrame]) -> DataFrame:
     """Q11 for every declared foreign key present in ``T``:
-    (child_table, child_column, parent_table, parent_column, violations)."""
+    (child_table, child_column, parent_table, parent_column, violations).
+
+    Each check is an anti join of the non-NULL child keys with the parent
+    keys: Spark broadcasts the parent side when it is measured small (no
+    shuffle of the child at all) and falls back to a sort-merge anti join
+    with AQE skew splitting when it is not."""
     parts = []
     for child, col, parent, pcol in FOREIGN_KEYS:
         if child in T and parent in T and col in T[child].columns and pcol in T[parent].columns:
-            parts.append(fk_violation_count(T[child], col, T[parent], pcol).select(
+            bad = check_fk(T[child].select(col), col, T[parent], pcol)
+            parts.append(bad.agg(F.count(F.lit(1)).alias("violations")).select(
                 F.lit(child).alias("child_table"), F.lit(col).alias("child_column"),
                 F.lit(parent).alias("parent_table"), F.lit(pcol).alias("parent_column"), "violations"))
     out = parts[0]

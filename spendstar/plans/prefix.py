@@ -9,9 +9,11 @@ per-slice totals (one row per slice and group, so at most
 the offset back. The work per task is bounded by the slice size, whatever the
 size of the largest group.
 
-The slice ids come from the physical range partitioning; the sliced data is
-checkpointed to the shared checkpoint folder so that a recomputed task after an
-executor loss sees the same slices as the totals computed from them.
+Recomputation safety: slice ids come from the physical range partitioning.
+Rows are sorted by the (total) order inside each input partition before the
+range exchange, so the sampled range bounds, and therefore the slices, are the
+same when a lost task or stage is recomputed. ``stable="checkpoint"`` instead
+materializes the slices in the shared checkpoint folder.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ def _col(c) -> Column:
 
 def ordered_running(df: DataFrame, order: Sequence, group: Sequence[str] = (), value: str | None = None,
                     index_col: str = "row_index", sum_col: str = "running_sum",
-                    num_partitions: int | None = None) -> DataFrame:
+                    num_partitions: int | None = None, stable: str = "sort") -> DataFrame:
     """Add ``index_col`` (1-based position in ``order`` within ``group``) and,
     when ``value`` is given, ``sum_col`` (inclusive running sum of ``value``).
 
@@ -41,11 +43,13 @@ def ordered_running(df: DataFrame, order: Sequence, group: Sequence[str] = (), v
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     group = list(group)
     order_cols = [_col(c) for c in order]
-    ensure_checkpoint_dir(spark)
-
-    sliced = (df.repartitionByRange(n, *[F.col(g) for g in group], *order_cols)
-                .withColumn("_slice", F.spark_partition_id()))
-    sliced = sliced.checkpoint(eager=True)
+    keys = [F.col(g) for g in group] + order_cols
+    if stable == "checkpoint":
+        ensure_checkpoint_dir(spark)
+        sliced = df.repartitionByRange(n, *keys).withColumn("_slice", F.spark_partition_id()).checkpoint(eager=True)
+    else:
+        sliced = (df.sortWithinPartitions(*keys).repartitionByRange(n, *keys)
+                    .withColumn("_slice", F.spark_partition_id()))
 
     w_local = Window.partitionBy("_slice", *group).orderBy(*order_cols)
     local = sliced.withColumn("_lidx", F.row_number().over(w_local))
