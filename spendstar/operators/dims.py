@@ -152,22 +152,23 @@ def dim_contracts(contracts: DataFrame, risk: DataFrame, as_of, existing: DataFr
 def dim_business_units(bu: DataFrame, as_of, max_depth: int = 10, existing: DataFrame | None = None) -> DataFrame:
     """Business units with ``level_in_hierarchy`` (roots are 1).
 
-    Levels come from a bounded loop of joins of the unit table with the
-    previous level (``max_depth`` joins at most); units deeper than that, or
-    on a parent cycle, keep a NULL level.
+    Levels come from a recursive CTE (Spark 4.1 runs it as an iterative
+    union loop that stops when a level adds no rows), bounded by
+    ``max_depth``; units deeper than that, or on a parent cycle, keep a NULL
+    level.
     """
     units = bu.select("business_unit_id", "parent_unit_id")
-    frontier = units.filter(F.col("parent_unit_id").isNull()).select("business_unit_id", F.lit(1).alias("level"))
-    levels = frontier
-    for depth in range(2, max_depth + 1):
-        frontier = (units.join(frontier.select(F.col("business_unit_id").alias("parent_unit_id")), "parent_unit_id")
-                         .select("business_unit_id", F.lit(depth).alias("level")))
-        levels = levels.unionByName(frontier)
-    levels = levels.groupBy("business_unit_id").agg(F.min("level").alias("level_in_hierarchy"))
+    levels = bu.sparkSession.sql(f"""
+        with recursive lv(business_unit_id, lvl) as (
+          select business_unit_id, 1 from {{units}} where parent_unit_id is null
+          union all
+          select u.business_unit_id, lv.lvl + 1
+          from {{units}} u join lv on u.parent_unit_id = lv.business_unit_id
+          where lv.lvl < {int(max_depth)})
+        select business_unit_id, min(lvl) as level_in_hierarchy from lv group by business_unit_id""", units=units)
     rows = (bu.join(levels, "business_unit_id", "left")
               .select("business_unit_id", "business_unit_name", "parent_unit_id",
                       F.col("level_in_hierarchy").cast("int").alias("level_in_hierarchy"),
                       D.lit_date(as_of).alias("effective_start_date"),
                       F.lit(True).alias("is_current_record")))
     return assign_keys(rows, existing, "business_unit_key", ["business_unit_id"])
-
