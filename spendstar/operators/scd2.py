@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from ..functions import dates as D
 from ..params import as_date
 from ..plans.prefix import assign_keys
+from ..session import ensure_checkpoint_dir
 from .dims import VENDOR_DIM_COLS, new_dim_vendors
 
 # Vendor attributes compared for a type-2 change.
@@ -83,14 +84,25 @@ def _as_dim_rows(rows: DataFrame, dim: DataFrame) -> DataFrame:
     return rows.select(*[F.col(c) if c in rows.columns else F.lit(None).cast(types[c]).alias(c) for c in dim.columns])
 
 
-def scd2_apply(dim: DataFrame, vendors: DataFrame, profiles: DataFrame, as_of, null_safe: bool = False) -> DataFrame:
+def scd2_apply(dim: DataFrame, vendors: DataFrame, profiles: DataFrame, as_of, null_safe: bool = False,
+               materialize: bool = False) -> DataFrame:
     """Next snapshot = dim + new vendors (D1) + changed vendors (D4),
     surrogate keys continuing after the current maximum in (new vendors
-    first, then changes; each by vendor_id) order, then the close step (D5)."""
+    first, then changes; each by vendor_id) order, then the close step (D5).
+
+    The snapshot's plan references ``dim`` several times, so applying many
+    days in a row without storing the snapshots (a backfill loop) grows the
+    plan exponentially. ``materialize=True`` cuts the lineage: the snapshot is
+    checkpointed to the shared checkpoint folder (``spark.checkpoint.dir``).
+    A daily job that reads the last published snapshot does not need it."""
     new = new_dim_vendors(vendors, profiles, dim, as_of).withColumn("_batch", F.lit(1))
     chg = scd2_changes(vendors, profiles, dim, as_of, null_safe).withColumn("_batch", F.lit(2))
     keyed = assign_keys(new.unionByName(chg), dim, "vendor_key", ["_batch", "vendor_id"]).drop("_batch")
-    return scd2_close(dim.unionByName(_as_dim_rows(keyed, dim)), as_of)
+    out = scd2_close(dim.unionByName(_as_dim_rows(keyed, dim)), as_of)
+    if materialize:
+        ensure_checkpoint_dir(out.sparkSession)
+        out = out.checkpoint(eager=True)
+    return out
 
 
 def scd2_closed_rows(dim: DataFrame, vendors: DataFrame, profiles: DataFrame, as_of) -> DataFrame:

@@ -18,6 +18,7 @@ def spark():
     from spendstar.session import build_session
     scratch = tempfile.mkdtemp(prefix="spendstar-test-")
     s = build_session("local[*]", 8, extra={"spark.checkpoint.dir": os.path.join(scratch, "ckpt"),
+                                            "spark.driver.memory": "8g",
                                             "spark.sql.warehouse.dir": os.path.join(scratch, "wh")})
     yield s
     s.stop()

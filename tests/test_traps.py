@@ -100,8 +100,10 @@ def test_t6_two_changes_same_day_leave_two_current_rows(spark):
     profiles = mk(spark, "supplier_profiles", [])
     dim = mk(spark, "dim_vendors", [_dimrow(1, "V1")])
     day = D(2023, 11, 5)
-    d1 = scd2.scd2_apply(dim, mk(spark, "vendors", [_vendor("V1", vendor_tier="Strategic")]), profiles, day)
-    d2 = scd2.scd2_apply(d1, mk(spark, "vendors", [_vendor("V1", vendor_tier="Tactical")]), profiles, day)
+    d1 = scd2.scd2_apply(dim, mk(spark, "vendors", [_vendor("V1", vendor_tier="Strategic")]), profiles, day,
+                         materialize=True)
+    d2 = scd2.scd2_apply(d1, mk(spark, "vendors", [_vendor("V1", vendor_tier="Tactical")]), profiles, day,
+                         materialize=True)
     cur = d2.filter("is_current_record").orderBy("vendor_key").collect()
     assert [r["vendor_tier"] for r in cur] == ["Strategic", "Tactical"]
     closed = d2.filter("not is_current_record").collect()
@@ -111,11 +113,14 @@ def test_t6_two_changes_same_day_leave_two_current_rows(spark):
 def test_d6_changes_on_distinct_days_leave_one_current_row_and_noop_on_unchanged(spark):
     profiles = mk(spark, "supplier_profiles", [])
     dim = mk(spark, "dim_vendors", [_dimrow(1, "V1")])
-    d1 = scd2.scd2_apply(dim, mk(spark, "vendors", [_vendor("V1", vendor_tier="Strategic")]), profiles, D(2023, 11, 5))
-    d2 = scd2.scd2_apply(d1, mk(spark, "vendors", [_vendor("V1", vendor_tier="Tactical")]), profiles, D(2023, 11, 6))
+    d1 = scd2.scd2_apply(dim, mk(spark, "vendors", [_vendor("V1", vendor_tier="Strategic")]), profiles, D(2023, 11, 5),
+                         materialize=True)
+    d2 = scd2.scd2_apply(d1, mk(spark, "vendors", [_vendor("V1", vendor_tier="Tactical")]), profiles, D(2023, 11, 6),
+                         materialize=True)
     cur = d2.filter("is_current_record").collect()
     assert len(cur) == 1 and cur[0]["vendor_tier"] == "Tactical" and cur[0]["vendor_key"] == 3
-    same = scd2.scd2_apply(d2, mk(spark, "vendors", [_vendor("V1", vendor_tier="Tactical")]), profiles, D(2023, 11, 7))
+    same = scd2.scd2_apply(d2, mk(spark, "vendors", [_vendor("V1", vendor_tier="Tactical")]), profiles, D(2023, 11, 7),
+                           materialize=True)
     assert sorted(map(tuple, same.collect())) == sorted(map(tuple, d2.collect()))
 
 
