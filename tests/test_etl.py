@@ -37,3 +37,18 @@ def test_daily_load_and_rerun(spark, T001, scratch):
     daily_load(spark, op_root, an_root, dt.date(2023, 11, 5), run_id="r2")
     assert io.read_table(spark, an_root, "fact_spend_analytics").count() == before + added
     assert io.read_table(spark, an_root, "dim_vendors").count() == dv.count()
+
+
+def test_cli_health_check_and_reports(spark, T001, scratch, capsys):
+    from spendstar.__main__ import main
+    op_root, an_root = os.path.join(scratch, "op"), os.path.join(scratch, "an")
+    for name in OPERATIONAL_TABLES:
+        T001[name].write.parquet(os.path.join(op_root, name))
+    io.publish({n: io.conform(T001[n], schemas.STAR[n]) for n in
+                ("dim_vendors", "dim_commodities", "dim_time", "fact_spend_analytics")}, an_root, run_id="initial")
+    main(["health-check", "--operational", op_root, "--analytics", an_root])
+    assert "HEALTHY" in capsys.readouterr().out
+    out = os.path.join(scratch, "reports")
+    main(["reports", "--operational", op_root, "--analytics", an_root, "--out", out])
+    run = capsys.readouterr().out.strip().splitlines()[-1]
+    assert len(os.listdir(os.path.join(out, run))) == 17
