@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..params import AS_OF, FISCAL_YEAR, time_key_of
 from ..operators import dims, facts, monitor, quality, reports, risk, scd2, views
 from ..sources import io
+from ..streaming.fact_stream import streamed_backlog
 
 Tables = Mapping[str, DataFrame]
 
@@ -91,6 +92,7 @@ PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     "spend_fiscal_filled": lambda T: facts.fill_fiscal(T["spend_transactions"]).select(
         "transaction_id", "transaction_date", "fiscal_year", "fiscal_quarter"),
     "fact_archive_split": _archive_summary,
+    "stream_fact_load": lambda T: streamed_backlog(T, AS_OF),
     # quality, reconciliation, monitoring
     "recon_vendor_count": quality.recon_vendors,
     "recon_spend_amount": quality.recon_spend,

@@ -30,12 +30,14 @@ def _read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFr
 
 
 def stream_fact_load(spark: SparkSession, source_dir: str, dims: Mapping[str, DataFrame], target_dir: str,
-                     checkpoint_dir: str, as_of, max_files_per_trigger: int | None = None):
+                     checkpoint_dir: str, as_of, max_files_per_trigger: int | None = None,
+                     loaded: DataFrame | None = None):
     """Load new facts from a directory of spend-transaction files.
 
-    ``dims`` holds dim_vendors, dim_commodities and dim_time. Returns the
-    finished ``StreamingQuery`` (availableNow: processes the backlog and
-    stops)."""
+    ``dims`` holds dim_vendors, dim_commodities and dim_time; ``loaded``
+    (optional) holds facts loaded before the stream started, in addition to
+    what the target already contains. Returns the finished ``StreamingQuery``
+    (availableNow: processes the backlog and stops)."""
     reader = spark.readStream.schema(schemas.OPERATIONAL["spend_transactions"])
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -46,7 +48,9 @@ def stream_fact_load(spark: SparkSession, source_dir: str, dims: Mapping[str, Da
                                             "source_transaction_id", "load_date")])
 
     def load_batch(batch: DataFrame, epoch_id: int) -> None:
-        existing = _read_or_empty(spark, target_dir, fact_schema)
+        existing = _read_or_empty(spark, target_dir, fact_schema).select("source_transaction_id")
+        if loaded is not None:
+            existing = existing.unionByName(loaded.select("source_transaction_id"))
         new = fact_spend_new(batch, dims["dim_vendors"], dims["dim_commodities"], dims["dim_time"], existing, as_of)
         new.select(*[F.col(f.name).cast(f.dataType) for f in fact_schema.fields]).write.mode("append").parquet(target_dir)
 
@@ -95,3 +99,24 @@ def apply_cdc(vendors: DataFrame, changes: DataFrame) -> DataFrame:
 def cdc_to_dimension(dim: DataFrame, vendors: DataFrame, profiles: DataFrame, changes: DataFrame, as_of) -> DataFrame:
     """Apply a CDC batch to the vendor master, then the SCD2 step."""
     return scd2_apply(dim, apply_cdc(vendors, changes), profiles, as_of)
+
+
+def streamed_backlog(T: Mapping[str, DataFrame], as_of, files: int = 4) -> DataFrame:
+    """Z1 over the given tables: the transactions are written as ``files``
+    arriving files under the shared checkpoint folder, streamed one file per
+    micro-batch into a fresh target (facts already in the star count as
+    loaded), and the target is returned. Equal to the batch backlog load
+    (F1) by construction; the test is that equality."""
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
+    spark = T["spend_transactions"].sparkSession
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    T["spend_transactions"].repartition(files).write.parquet(f"{root}/source")
+    dims = {k: T[k] for k in ("dim_vendors", "dim_commodities", "dim_time")}
+    stream_fact_load(spark, f"{root}/source", dims, f"{root}/facts", f"{root}/state", as_of,
+                     max_files_per_trigger=1, loaded=T["fact_spend_analytics"])
+    return _read_or_empty(spark, f"{root}/facts", StructType(
+        [f for f in schemas.STAR["fact_spend_analytics"].fields
+         if f.name in ("fact_key", "vendor_key", "commodity_key", "time_key", "spend_amount", "transaction_count",
+                       "quantity", "unit_price", "source_transaction_id", "load_date")]))
