@@ -14,7 +14,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ..operators.facts import fact_spend_new
 from ..operators.scd2 import scd2_apply
@@ -29,30 +29,52 @@ def _read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFr
         return spark.createDataFrame([], schema)
 
 
+FACT_COLS = ("fact_key", "vendor_key", "commodity_key", "time_key", "spend_amount", "transaction_count", "quantity",
+             "unit_price", "source_transaction_id", "load_date")
+
+
+def _fact_schema() -> StructType:
+    return StructType([f for f in schemas.STAR["fact_spend_analytics"].fields if f.name in FACT_COLS])
+
+
+def read_stream_target(spark: SparkSession, target_dir: str) -> DataFrame:
+    """Facts written by ``stream_fact_load`` (all micro-batch folders)."""
+    return _read_or_empty(spark, target_dir, _fact_schema()).select(*FACT_COLS)
+
+
 def stream_fact_load(spark: SparkSession, source_dir: str, dims: Mapping[str, DataFrame], target_dir: str,
-                     checkpoint_dir: str, as_of, max_files_per_trigger: int | None = None,
+                     checkpoint_dir: str, as_of, max_files_per_trigger: int = 100,
                      loaded: DataFrame | None = None):
     """Load new facts from a directory of spend-transaction files.
 
     ``dims`` holds dim_vendors, dim_commodities and dim_time; ``loaded``
-    (optional) holds facts loaded before the stream started, in addition to
-    what the target already contains. Returns the finished ``StreamingQuery``
-    (availableNow: processes the backlog and stops)."""
-    reader = spark.readStream.schema(schemas.OPERATIONAL["spend_transactions"])
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.parquet(source_dir)
-    fact_schema = StructType([f for f in schemas.STAR["fact_spend_analytics"].fields
-                              if f.name in ("fact_key", "vendor_key", "commodity_key", "time_key", "spend_amount",
-                                            "transaction_count", "quantity", "unit_price",
-                                            "source_transaction_id", "load_date")])
+    (optional) holds facts loaded before the stream started. Returns the
+    finished ``StreamingQuery`` (availableNow: processes the backlog and
+    stops).
+
+    Cost per micro-batch follows the batch, not the fact table: the batch's
+    transaction ids (at most ``max_files_per_trigger`` files, the proven
+    bound that makes broadcasting them safe) are looked up in the loaded
+    facts by a broadcast semi join (one-column scan, no shuffle of the
+    facts). Each micro-batch overwrites its own ``epoch=<id>`` folder, so a
+    batch replayed after a failure rewrites the same output instead of
+    adding it twice.
+    """
+    stream = (spark.readStream.schema(schemas.OPERATIONAL["spend_transactions"])
+              .option("maxFilesPerTrigger", int(max_files_per_trigger)).parquet(source_dir))
+    fact_schema = _fact_schema()
 
     def load_batch(batch: DataFrame, epoch_id: int) -> None:
-        existing = _read_or_empty(spark, target_dir, fact_schema).select("source_transaction_id")
+        ids = F.broadcast(batch.select(F.col("transaction_id").cast("string").alias("source_transaction_id"))
+                               .distinct())
+        earlier = (_read_or_empty(spark, target_dir, StructType(fact_schema.fields + [StructField("epoch", LongType())]))
+                   .filter(F.col("epoch") != F.lit(epoch_id)).select("source_transaction_id"))
         if loaded is not None:
-            existing = existing.unionByName(loaded.select("source_transaction_id"))
-        new = fact_spend_new(batch, dims["dim_vendors"], dims["dim_commodities"], dims["dim_time"], existing, as_of)
-        new.select(*[F.col(f.name).cast(f.dataType) for f in fact_schema.fields]).write.mode("append").parquet(target_dir)
+            earlier = earlier.unionByName(loaded.select("source_transaction_id"))
+        known = earlier.join(ids, "source_transaction_id", "left_semi")
+        new = fact_spend_new(batch, dims["dim_vendors"], dims["dim_commodities"], dims["dim_time"], known, as_of)
+        (new.select(*[F.col(f.name).cast(f.dataType) for f in fact_schema.fields])
+            .write.mode("overwrite").parquet(f"{target_dir}/epoch={epoch_id}"))
 
     q = (stream.writeStream.foreachBatch(load_batch)
          .option("checkpointLocation", checkpoint_dir)
@@ -116,7 +138,4 @@ def streamed_backlog(T: Mapping[str, DataFrame], as_of, files: int = 4) -> DataF
     dims = {k: T[k] for k in ("dim_vendors", "dim_commodities", "dim_time")}
     stream_fact_load(spark, f"{root}/source", dims, f"{root}/facts", f"{root}/state", as_of,
                      max_files_per_trigger=1, loaded=T["fact_spend_analytics"])
-    return _read_or_empty(spark, f"{root}/facts", StructType(
-        [f for f in schemas.STAR["fact_spend_analytics"].fields
-         if f.name in ("fact_key", "vendor_key", "commodity_key", "time_key", "spend_amount", "transaction_count",
-                       "quantity", "unit_price", "source_transaction_id", "load_date")]))
+    return read_stream_target(spark, f"{root}/facts")

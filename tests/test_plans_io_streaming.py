@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from spendstar.operators import facts, quality, reports
 from spendstar.plans.prefix import assign_keys, ordered_running
 from spendstar.sources import io, schemas
-from spendstar.streaming.fact_stream import CDC_SCHEMA, apply_cdc, latest_changes, stream_fact_load
+from spendstar.streaming.fact_stream import (CDC_SCHEMA, apply_cdc, latest_changes, read_stream_target,
+                                             stream_fact_load)
 
 D = dt.date
 
@@ -100,26 +101,28 @@ def test_write_reports(T001, scratch):
     assert spark.read.parquet(os.path.join(scratch, run, "r1")).count() == reports.supplier_performance(T001).count()
 
 
-def test_stream_fact_load_equals_batch(spark, T001, scratch):
+def test_stream_fact_load_equals_batch_and_replay_is_idempotent(spark, T001, scratch):
     src = os.path.join(scratch, "spend")
     spend = T001["spend_transactions"]
     spend.repartition(4, "transaction_id").write.parquet(src)
     target = os.path.join(scratch, "facts")
     dims = {k: T001[k] for k in ("dim_vendors", "dim_commodities", "dim_time")}
-    # the target starts as the already-loaded facts
-    base = T001["fact_spend_analytics"].select("fact_key", "vendor_key", "commodity_key", "time_key", "spend_amount",
-                                               "transaction_count", "quantity", "unit_price",
-                                               "source_transaction_id", "load_date")
-    base.write.parquet(target)
-    stream_fact_load(spark, src, dims, target, os.path.join(scratch, "ckpt"), D(2023, 11, 5), max_files_per_trigger=1)
-    batch = facts.fact_spend_new(spend, dims["dim_vendors"], dims["dim_commodities"], dims["dim_time"],
-                                 T001["fact_spend_analytics"], D(2023, 11, 5))
-    loaded = spark.read.parquet(target).subtract(base)
-    assert loaded.count() == batch.count() > 0
-    assert loaded.subtract(batch.select(*loaded.columns)).count() == 0
-    # replay: running again over the same files adds nothing
-    stream_fact_load(spark, src, dims, target, os.path.join(scratch, "ckpt2"), D(2023, 11, 5))
-    assert spark.read.parquet(target).count() == base.count() + batch.count()
+    loaded = T001["fact_spend_analytics"]
+    ckpt = os.path.join(scratch, "ckpt")
+    stream_fact_load(spark, src, dims, target, ckpt, D(2023, 11, 5), max_files_per_trigger=1, loaded=loaded)
+    batch = facts.fact_spend_new(spend, dims["dim_vendors"], dims["dim_commodities"], dims["dim_time"], loaded,
+                                 D(2023, 11, 5))
+    got = read_stream_target(spark, target)
+    assert got.count() == batch.count() > 0
+    assert got.subtract(batch.select(*got.columns)).count() == 0
+    assert len([d for d in os.listdir(target) if d.startswith("epoch=")]) == 4
+    # rerunning with the same checkpoint adds nothing
+    stream_fact_load(spark, src, dims, target, ckpt, D(2023, 11, 5), max_files_per_trigger=1, loaded=loaded)
+    assert read_stream_target(spark, target).count() == batch.count()
+    # a fresh checkpoint replays every file: the earlier epochs count as loaded
+    stream_fact_load(spark, src, dims, target, os.path.join(scratch, "ckpt2"), D(2023, 11, 5),
+                     max_files_per_trigger=1, loaded=loaded)
+    assert read_stream_target(spark, target).count() == batch.count()
 
 
 def test_cdc_latest_change_and_apply(spark):
