@@ -57,14 +57,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder of the cluster.
 
     On a cluster ``spark.checkpoint.dir`` names a shared (HDFS/object store)
-    folder and is used as is. Only when it is unset (local tests) is a fresh
-    scratch folder created and set.
+    folder and is used as is; if it is unset there, this raises rather than
+    fall back to a machine-local folder. Only for a ``local`` master (tests)
+    is a fresh scratch folder created and set.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext._jsc.getCheckpointDir()
         d = d.get() if d.isPresent() else None
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: set it to a folder shared by all executors")
         d = tempfile.mkdtemp(prefix="spendstar-ckpt-", dir=os.environ.get("SPENDSTAR_SCRATCH", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)

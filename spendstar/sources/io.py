@@ -156,15 +156,17 @@ def table_info(T: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def table_sizes(T: Mapping[str, DataFrame]) -> dict[str, int]:
-    """Bytes of the files behind each file-backed table (metadata only)."""
+    """Bytes behind each table: one directory summary per table for
+    stored tables (no per-file calls from the driver), else the sizes of the
+    DataFrame's input files."""
     spark = next(iter(T.values())).sparkSession
     sizes = {}
     for n in T:
-        total = 0
-        for f in T[n].inputFiles():
-            fs, p = _jfs(spark, f)
-            total += fs.getFileStatus(p).getLen()
-        sizes[n] = total
+        if isinstance(T, ParquetTables):
+            fs, p = _jfs(spark, table_path(spark, T.root, n))
+            sizes[n] = fs.getContentSummary(p).getLength()
+        else:
+            sizes[n] = sum(_jfs(spark, f)[0].getFileStatus(_jfs(spark, f)[1]).getLen() for f in T[n].inputFiles())
     return sizes
 
 
