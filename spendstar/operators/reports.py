@@ -177,14 +177,17 @@ def esg_diversity(T: Mapping[str, DataFrame]) -> DataFrame:
     the year total covers all facts of the year."""
     dv = (current_vendors(T["dim_vendors"]).filter(F.col("diversity_classification").isNotNull())
           .select("vendor_key", "diversity_classification", "esg_score"))
-    f = facts_with_calendar(T, "fiscal_year")
-    totals = f.groupBy("fiscal_year").agg(F.sum(dec("spend_amount")).cast("double").alias("_fy_spend"))
-    out = (f.join(dv, "vendor_key")
-            .groupBy("fiscal_year", "diversity_classification")
-            .agg(F.countDistinct("vendor_key").alias("vendor_count"),
-                 dsum("spend_amount").alias("total_spend"),
-                 dsum("esg_weighted_spend", 4).alias("esg_weighted_spend"),
-                 davg("esg_score").alias("avg_esg_score")))
+    per = vendor_measures(facts_with_calendar(T, "fiscal_year"), "fiscal_year")
+    totals = per.groupBy("fiscal_year").agg(F.sum("_spend").cast("double").alias("_fy_spend"))
+    esg = dec("esg_score")
+    out = (per.join(dv, "vendor_key")
+              .groupBy("fiscal_year", "diversity_classification")
+              .agg(F.count(F.lit(1)).alias("vendor_count"),       # one row per vendor and year
+                   F.sum("_spend").cast("double").alias("total_spend"),
+                   F.sum("_esgw").cast("double").alias("esg_weighted_spend"),
+                   # mean of the vendor's score over its fact rows
+                   F.try_divide(F.sum(esg * F.col("_rows")).cast("double"),
+                                F.sum(F.when(F.col("esg_score").isNotNull(), F.col("_rows")))).alias("avg_esg_score")))
     return (out.join(totals, "fiscal_year", "left")
                .withColumn("spend_percentage", pct("total_spend", "_fy_spend")).drop("_fy_spend")
                .orderBy("fiscal_year", F.desc("total_spend")))
@@ -399,15 +402,16 @@ def global_sourcing(T: Mapping[str, DataFrame], fiscal_year: int = FISCAL_YEAR)
     and all vendor versions (a NULL category gets a NULL share)."""
     dv = current_vendors(T["dim_vendors"]).select("vendor_key", "region", "country")
     dc = T["dim_commodities"].select("commodity_key", "parent_category")
-    f = facts_in_fiscal_year(T, fiscal_year).join(dv, "vendor_key").join(dc, "commodity_key")
-    cat = (T["fact_spend_analytics"].join(dc, "commodity_key")
-           .groupBy("parent_category").agg(F.sum(dec("spend_amount")).cast("double").alias("_cat_spend")))
-    out = f.groupBy("region", "country", "parent_category").agg(
+    per = vendor_measures(facts_in_fiscal_year(T, fiscal_year), "commodity_key")
+    cat = (T["fact_spend_analytics"].groupBy("commodity_key").agg(F.sum(dec("spend_amount")).alias("_c"))
+           .join(dc, "commodity_key")
+           .groupBy("parent_category").agg(F.sum("_c").cast("double").alias("_cat_spend")))
+    out = per.join(dv, "vendor_key").join(dc, "commodity_key").groupBy("region", "country", "parent_category").agg(
         F.countDistinct("vendor_key").alias("vendor_count"),
-        dsum("spend_amount").alias("total_spend"),
-        davg("delivery_performance_score").alias("avg_delivery_performance"),
-        davg("unit_price").alias("avg_unit_price"),
-        dsum("risk_weighted_spend", 3).alias("_rws"))
+        F.sum("_spend").cast("double").alias("total_spend"),
+        mean_of("_deliv_s", "_deliv_n", rollup=True).alias("avg_delivery_performance"),
+        mean_of("_price_s", "_price_n", rollup=True).alias("avg_unit_price"),
+        F.sum("_rws").cast("double").alias("_rws"))
     return (out.join(cat, "parent_category", "left")
                .select("region", "country", "parent_category", "vendor_count", "total_spend",
                        "avg_delivery_performance", "avg_unit_price",

@@ -54,6 +54,9 @@ def vendor_measures(facts: DataFrame, *group: str) -> DataFrame:
         return F.sum(F.col(c).cast(f"decimal(18,{scale})"))
     return facts.groupBy("vendor_key", *group).agg(
         F.count(F.lit(1)).alias("_rows"),
+        F.count("fact_key").alias("_keys"),
+        s("esg_weighted_spend", 4).alias("_esgw"),
+        s("unit_price").alias("_price_s"), F.count("unit_price").alias("_price_n"),
         F.countDistinct("commodity_key").alias("_commodities"),
         s("spend_amount").alias("_spend"),
         s("savings_amount", 4).alias("_savings"),
@@ -73,14 +76,17 @@ def mean_of(sum_col: str, n_col: str, rollup: bool = False):
 def monthly_spend_summary(T: Mapping[str, DataFrame]) -> DataFrame:
     """V2: spend, fact count and mean delivery score by fiscal month, vendor
     tier and parent category; current vendors only (commodities: any
-    version, as in the source view)."""
+    version, as in the source view). Facts are combined per vendor,
+    commodity and month before the two dimension joins."""
     dv = current_vendors(T["dim_vendors"]).select("vendor_key", "vendor_tier")
     dc = T["dim_commodities"].select("commodity_key", "parent_category")
-    f = facts_with_calendar(T, "fiscal_year", "fiscal_month", "month_name").join(dv, "vendor_key").join(dc, "commodity_key")
-    return f.groupBy("fiscal_year", "fiscal_month", "month_name", "vendor_tier", "parent_category").agg(
-        dsum("spend_amount").alias("total_spend"),
-        F.count("fact_key").alias("transaction_count"),
-        davg("delivery_performance_score").alias("avg_delivery_score"))
+    cal = ("fiscal_year", "fiscal_month", "month_name")
+    per = vendor_measures(facts_with_calendar(T, *cal), *cal, "commodity_key")
+    return (per.join(dv, "vendor_key").join(dc, "commodity_key")
+            .groupBy(*cal, "vendor_tier", "parent_category")
+            .agg(F.sum("_spend").cast("double").alias("total_spend"),
+                 F.sum("_keys").alias("transaction_count"),
+                 mean_of("_deliv_s", "_deliv_n", rollup=True).alias("avg_delivery_score")))
 
 
 def top_vendor_spend(T: Mapping[str, DataFrame], n: int | None = None) -> DataFrame:
