@@ -128,9 +128,10 @@ def fact_savings_realization(facts: DataFrame, dim_commodities: DataFrame, dim_t
     """
     days = calendar(dim_time, "time_key", "fiscal_year")
     dc = dim_commodities.select("commodity_key", "commodity_id")
-    f = facts.join(days, "time_key").join(dc, "commodity_key")
-    vc = f.groupBy("fiscal_year", "commodity_id", "commodity_key", "vendor_key").agg(
-        F.sum(dec("savings_amount", 4)).alias("realized"), F.sum(dec("spend_amount")).alias("v_spend"))
+    vc = (facts.join(days, "time_key")
+               .groupBy("fiscal_year", "commodity_key", "vendor_key")
+               .agg(F.sum(dec("savings_amount", 4)).alias("realized"), F.sum(dec("spend_amount")).alias("v_spend"))
+               .join(dc, "commodity_key"))
     cs = vc.groupBy("fiscal_year", "commodity_key").agg(F.sum("v_spend").alias("c_spend"))   # from the smaller aggregate
     tg = targets.groupBy("commodity_id", "fiscal_year").agg(
         F.sum(dec("target_amount")).cast("double").alias("target_total"),

@@ -199,13 +199,17 @@ def maverick_spend(T: Mapping[str, DataFrame], fiscal_year: int = FISCAL_YEAR, t
     only groups above ``threshold`` %. All vendor versions count."""
     dc = T["dim_commodities"].select("commodity_key", "parent_category")
     dv = T["dim_vendors"].select("vendor_key")
-    f = facts_in_fiscal_year(T, fiscal_year, "fiscal_quarter").join(dc, "commodity_key").join(dv, "vendor_key")
     off = F.col("contract_key").isNull()
-    out = f.groupBy("parent_category", "fiscal_quarter").agg(
-        dsum("spend_amount").alias("total_spend"),
-        F.sum(F.when(off, dec("spend_amount")).otherwise(F.lit(0).cast("decimal(18,2)"))).cast("double")
-        .alias("off_contract_spend"),
-        F.countDistinct(F.when(off, F.col("vendor_key"))).alias("maverick_vendors"))
+    per = (facts_in_fiscal_year(T, fiscal_year, "fiscal_quarter")
+           .groupBy("fiscal_quarter", "commodity_key", "vendor_key")
+           .agg(F.sum(dec("spend_amount")).alias("_spend"),
+                F.sum(F.when(off, dec("spend_amount")).otherwise(F.lit(0).cast("decimal(18,2)"))).alias("_off"),
+                F.count(F.when(off, 1)).alias("_off_rows")))
+    out = (per.join(dc, "commodity_key").join(dv, "vendor_key")
+              .groupBy("parent_category", "fiscal_quarter")
+              .agg(F.sum("_spend").cast("double").alias("total_spend"),
+                   F.sum("_off").cast("double").alias("off_contract_spend"),
+                   F.countDistinct(F.when(F.col("_off_rows") > 0, F.col("vendor_key"))).alias("maverick_vendors")))
     out = out.withColumn("maverick_percentage", pct("off_contract_spend", "total_spend"))
     return out.filter(F.col("maverick_percentage") > F.lit(float(threshold))).orderBy(F.desc("maverick_percentage"))
 
@@ -302,12 +306,14 @@ def strategic_roadmap(T: Mapping[str, DataFrame]) -> DataFrame:
     dc = T["dim_commodities"].select("commodity_key", "commodity_id", "business_criticality", "sourcing_complexity")
     strat = (T["sourcing_strategies"].filter(F.col("status") == "Active")
              .groupBy("commodity_id").agg(F.min("strategy_type").alias("strategy_type")))
-    f = (facts_with_calendar(T, "fiscal_year").join(dv, "vendor_key").join(dc, "commodity_key")
+    per = (facts_with_calendar(T, "fiscal_year").groupBy("fiscal_year", "vendor_key", "commodity_key")
+           .agg(F.sum(dec("spend_amount")).alias("_s")))
+    f = (per.join(dv, "vendor_key").join(dc, "commodity_key")
          .join(strat, "commodity_id", "left")
          .withColumn("strategy_type", F.coalesce(F.col("strategy_type"), F.lit("None"))))
     keys = ["vendor_tier", "business_criticality", "sourcing_complexity", "strategy_type"]
     seg = f.groupBy("fiscal_year", *keys).agg(F.countDistinct("vendor_key").alias("vendors"),
-                                              F.sum(dec("spend_amount")).alias("_spend"))
+                                              F.sum("_s").alias("_spend"))
     fy = seg.groupBy("fiscal_year").agg(F.sum("_spend").alias("_fy_spend"))
     w = Window.partitionBy(*keys).orderBy("fiscal_year")
     prev = F.lag(F.col("_spend").cast("double")).over(w)
@@ -454,10 +460,12 @@ def category_plan(T: Mapping[str, DataFrame]) -> DataFrame:
     dc = T["dim_commodities"].filter(F.col("is_current_record")).select(
         "commodity_key", "commodity_id", "parent_category", "sub_category")
     keys = ["fiscal_year", "parent_category", "sub_category"]
-    f = facts_with_calendar(T, "fiscal_year").join(dc, "commodity_key")
+    per = (facts_with_calendar(T, "fiscal_year").groupBy("fiscal_year", "commodity_key")
+           .agg(F.sum(dec("spend_amount")).alias("_s"), F.sum(dec("savings_amount", 4)).alias("_v")))
+    f = per.join(dc, "commodity_key")
     spend = f.rollup(*keys).agg(F.grouping_id().alias("level"),
-                                F.sum(dec("spend_amount")).alias("_spend"),
-                                F.sum(dec("savings_amount", 4)).alias("_savings"))
+                                F.sum("_s").alias("_spend"),
+                                F.sum("_v").alias("_savings"))
     tg = (T["savings_targets"].join(dc.select("commodity_id", "parent_category", "sub_category"), "commodity_id")
           .rollup(*keys).agg(F.grouping_id().alias("level"), F.sum(dec("target_amount")).alias("_target")))
     cond = [spend[k].eqNullSafe(tg[k]) for k in keys] + [spend["level"] == tg["level"]]
