@@ -276,9 +276,12 @@ def tail_spend(T: Mapping[str, DataFrame], cutoff: float = 0.8, num_partitions:
     vy = (facts_with_calendar(T, "fiscal_year")
           .groupBy("fiscal_year", "vendor_key")
           .agg(F.sum(dec("spend_amount")).alias("v_spend"), F.count(F.lit(1)).alias("v_rows")))
+    # The slices feed two branches (local positions and per-slice totals);
+    # materializing them once keeps the fact aggregation above from running
+    # twice.
     ranked = ordered_running(vy, [F.desc("v_spend"), F.col("vendor_key")], group=["fiscal_year"],
                              value="v_spend", index_col="rank", sum_col="cum_spend",
-                             num_partitions=num_partitions)
+                             num_partitions=num_partitions, stable="checkpoint")
     totals = vy.groupBy("fiscal_year").agg(F.sum("v_spend").alias("fy_spend"))
     before = (F.col("cum_spend") - F.col("v_spend")).cast("double")
     tail = F.try_divide(before, F.col("fy_spend").cast("double")) >= F.lit(float(cutoff))

@@ -12,8 +12,11 @@ size of the largest group.
 Recomputation safety: slice ids come from the physical range partitioning.
 Rows are sorted by the (total) order inside each input partition before the
 range exchange, so the sampled range bounds, and therefore the slices, are the
-same when a lost task or stage is recomputed. ``stable="checkpoint"`` instead
-materializes the slices in the shared checkpoint folder.
+same when a lost task or stage is recomputed. The slices feed two branches
+(local positions, per-slice totals) that Spark may compute separately, so an
+expensive input is computed twice in that mode; ``stable="checkpoint"``
+materializes the slices once in the shared checkpoint folder instead (used
+where the input is a fact aggregation).
 """
 
 from __future__ import annotations
