@@ -178,19 +178,25 @@ def esg_diversity(T: Mapping[str, DataFrame]) -> DataFrame:
     dv = (current_vendors(T["dim_vendors"]).filter(F.col("diversity_classification").isNotNull())
           .select("vendor_key", "diversity_classification", "esg_score"))
     per = vendor_measures(facts_with_calendar(T, "fiscal_year"), "fiscal_year")
-    totals = per.groupBy("fiscal_year").agg(F.sum("_spend").cast("double").alias("_fy_spend"))
     esg = dec("esg_score")
-    out = (per.join(dv, "vendor_key")
-              .groupBy("fiscal_year", "diversity_classification")
-              .agg(F.count(F.lit(1)).alias("vendor_count"),       # one row per vendor and year
-                   F.sum("_spend").cast("double").alias("total_spend"),
-                   F.sum("_esgw").cast("double").alias("esg_weighted_spend"),
-                   # mean of the vendor's score over its fact rows
-                   F.try_divide(F.sum(esg * F.col("_rows")).cast("double"),
-                                F.sum(F.when(F.col("esg_score").isNotNull(), F.col("_rows")))).alias("avg_esg_score")))
-    return (out.join(totals, "fiscal_year", "left")
-               .withColumn("spend_percentage", pct("total_spend", "_fy_spend")).drop("_fy_spend")
-               .orderBy("fiscal_year", F.desc("total_spend")))
+    # One pass over the facts: vendors without a (current, classified) row
+    # fall into a NULL group that only feeds the year total; the total is a
+    # window over the few groups of each year.
+    g = (per.join(dv, "vendor_key", "left")
+            .groupBy("fiscal_year", "diversity_classification")
+            .agg(F.count(F.lit(1)).alias("vendor_count"),       # one row per vendor and year
+                 F.sum("_spend").alias("_spend"),
+                 F.sum("_esgw").cast("double").alias("esg_weighted_spend"),
+                 # mean of the vendor's score over its fact rows
+                 F.try_divide(F.sum(esg * F.col("_rows")).cast("double"),
+                              F.sum(F.when(F.col("esg_score").isNotNull(), F.col("_rows")))).alias("avg_esg_score")))
+    fy_spend = F.sum("_spend").over(Window.partitionBy("fiscal_year"))
+    return (g.withColumn("_fy_spend", fy_spend)
+             .filter(F.col("diversity_classification").isNotNull())
+             .select("fiscal_year", "diversity_classification", "vendor_count",
+                     F.col("_spend").cast("double").alias("total_spend"), "esg_weighted_spend", "avg_esg_score",
+                     pct("_spend", "_fy_spend").alias("spend_percentage"))
+             .orderBy("fiscal_year", F.desc("total_spend")))
 
 
 def maverick_spend(T: Mapping[str, DataFrame], fiscal_year: int = FISCAL_YEAR, threshold: float = 5.0) -> DataFrame:
@@ -282,7 +288,7 @@ def tail_spend(T: Mapping[str, DataFrame], cutoff: float = 0.8, num_partitions:
     ranked = ordered_running(vy, [F.desc("v_spend"), F.col("vendor_key")], group=["fiscal_year"],
                              value="v_spend", index_col="rank", sum_col="cum_spend",
                              num_partitions=num_partitions, stable="checkpoint")
-    totals = vy.groupBy("fiscal_year").agg(F.sum("v_spend").alias("fy_spend"))
+    totals = ranked.groupBy("fiscal_year").agg(F.sum("v_spend").alias("fy_spend"))   # reads the slices
     before = (F.col("cum_spend") - F.col("v_spend")).cast("double")
     tail = F.try_divide(before, F.col("fy_spend").cast("double")) >= F.lit(float(cutoff))
     out = (ranked.join(totals, "fiscal_year")
@@ -317,11 +323,12 @@ def strategic_roadmap(T: Mapping[str, DataFrame]) -> DataFrame:
     keys = ["vendor_tier", "business_criticality", "sourcing_complexity", "strategy_type"]
     seg = f.groupBy("fiscal_year", *keys).agg(F.countDistinct("vendor_key").alias("vendors"),
                                               F.sum("_s").alias("_spend"))
-    fy = seg.groupBy("fiscal_year").agg(F.sum("_spend").alias("_fy_spend"))
+    # year totals and lag are windows over segment rows (bounded by the
+    # number of segment combinations), so the facts are aggregated once
     w = Window.partitionBy(*keys).orderBy("fiscal_year")
     prev = F.lag(F.col("_spend").cast("double")).over(w)
     spend = F.col("_spend").cast("double")
-    return (seg.join(fy, "fiscal_year")
+    return (seg.withColumn("_fy_spend", F.sum("_spend").over(Window.partitionBy("fiscal_year")))
                .select("fiscal_year", *keys, "vendors", spend.alias("total_spend"),
                        pct("_spend", "_fy_spend").alias("spend_share"),
                        (F.try_divide(spend - prev, prev) * 100.0).alias("growth_pct")))

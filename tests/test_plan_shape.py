@@ -74,3 +74,8 @@ def test_vendor_reports_aggregate_before_vendor_join(stored):
     join_line = next(i for i, line in enumerate(tree.splitlines()) if "Join" in line)
     agg_line = next(i for i, line in enumerate(tree.splitlines()) if "HashAggregate" in line and i > join_line)
     assert agg_line > join_line
+
+
+@pytest.mark.parametrize("key", ["esg_diversity", "strategic_roadmap", "supplier_performance", "category_plan"])
+def test_facts_scanned_once(stored, key):
+    assert len(scans(plan_of(PLANS[key](stored)), "fact_spend_analytics")) == 1
