@@ -261,3 +261,19 @@ def test_apply_checks_counts_match(T001):
     valid, rejected = quality.apply_checks(df, quality.rules_for("po_line_items", df))
     assert valid.count() + rejected.count() == df.count()
     assert rejected.filter(F.array_contains("failed_rules", "line_amount_matches")).count() > 0
+
+
+def test_t15_strategic_vendors_counts_fact_rows(spark):
+    T = star(spark, [fact(1, tk=20230501), fact(2, tk=20230601), fact(3, tk=20230701)])
+    rows = reports.risk_exposure(T, D(2023, 11, 5)).collect()
+    assert [(r["vendor_count"], r["strategic_vendors"]) for r in rows] == [(1, 3)]
+
+
+def test_t16_esg_share_is_of_all_spend_of_the_year(spark):
+    vendors = [dict(_dimrow(1, "V1"), diversity_classification="Women"),
+               dict(_dimrow(2, "V2"), diversity_classification=None),
+               dict(_dimrow(3, "V3", vendor_tier="Old"), diversity_classification="Women", is_current_record=False)]
+    T = star(spark, [fact(1, vk=1, spend="25.00"), fact(2, vk=2, spend="50.00"), fact(3, vk=3, spend="25.00")],
+             vendors=vendors)
+    (row,) = reports.esg_diversity(T).collect()
+    assert (row["diversity_classification"], row["total_spend"], row["spend_percentage"]) == ("Women", 25.0, 25.0)
