@@ -453,11 +453,10 @@ def talent_coverage(T: Mapping[str, DataFrame]) -> DataFrame:
         F.coalesce(F.sum("_spend"), F.lit(0).cast("decimal(28,2)")).alias("_mgr"),
         F.countDistinct(F.when(F.col("business_criticality").isin("High", "Critical"), F.col("commodity_id")))
         .alias("high_critical_commodities"))
-    total = j.agg(F.sum("_spend").alias("_all"))
-    return (out.crossJoin(F.broadcast(total))
-               .select("category_manager", "commodities", "categories",
-                       F.col("_mgr").cast("double").alias("total_spend"),
-                       pct("_mgr", "_all").alias("spend_share"), "high_critical_commodities"))
+    total = j.agg(F.sum("_spend")).scalar()          # scalar subquery, evaluated once
+    return out.select("category_manager", "commodities", "categories",
+                      F.col("_mgr").cast("double").alias("total_spend"),
+                      pct(F.col("_mgr"), total).alias("spend_share"), "high_critical_commodities")
 
 
 def category_plan(T: Mapping[str, DataFrame]) -> DataFrame:

@@ -117,12 +117,12 @@ def active_contracts(T: Mapping[str, DataFrame], as_of) -> DataFrame:
 def current_fy_spend(T: Mapping[str, DataFrame]) -> DataFrame:
     """V5: transactions of the latest fiscal year present in the
     transactions, with vendor and commodity names. The latest year is a
-    one-row aggregate joined as a broadcast."""
+    scalar subquery."""
     st = T["spend_transactions"]
-    latest = st.agg(F.max("fiscal_year").alias("_fy"))
+    latest = st.agg(F.max("fiscal_year")).scalar()        # scalar subquery, evaluated once
     v = T["vendors"].select("vendor_id", "vendor_name", "vendor_tier")
     c = T["commodities"].select("commodity_id", "commodity_description", "parent_category")
-    return (st.join(F.broadcast(latest), st.fiscal_year == F.col("_fy")).drop("_fy")
+    return (st.filter(F.col("fiscal_year") == latest)
               .join(v, "vendor_id").join(c, "commodity_id")
               .select(*st.columns, "vendor_name", "vendor_tier", "commodity_description", "parent_category"))
 
@@ -150,12 +150,9 @@ def current_fy_performance(T: Mapping[str, DataFrame], literal: bool = False) ->
     view does; normally a year without facts)."""
     dt = T["dim_time"]
     f = facts_with_calendar(T, "fiscal_year")
-    if literal:
-        latest = dt.agg(F.max("fiscal_year").alias("_fy"))
-    else:
-        latest = f.agg(F.max("fiscal_year").alias("_fy"))
+    latest = (dt if literal else f).agg(F.max("fiscal_year")).scalar()   # scalar subquery
     dv = current_vendors(T["dim_vendors"]).select("vendor_key", "vendor_name")
-    per = vendor_measures(f.join(F.broadcast(latest), f.fiscal_year == F.col("_fy")))
+    per = vendor_measures(f.filter(F.col("fiscal_year") == latest))
     return per.join(dv, "vendor_key").select(
         "vendor_key", "vendor_name", F.col("_spend").cast("double").alias("total_spend"),
         mean_of("_deliv_s", "_deliv_n").alias("avg_delivery"))

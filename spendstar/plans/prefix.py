@@ -82,12 +82,12 @@ def ordered_running(df: DataFrame, order: Sequence, group: Sequence[str] = (), v
 def assign_keys(new: DataFrame, existing: DataFrame | None, key: str, order: Sequence,
                 num_partitions: int | None = None) -> DataFrame:
     """Surrogate keys ``max(existing.key) + 1, + 2, ...`` in ``order``
-    (auto-increment semantics), computed without a global window."""
+    (auto-increment semantics), computed without a global window. The
+    current maximum is a scalar subquery (evaluated once)."""
     if existing is not None:
-        base = existing.agg(F.coalesce(F.max(key), F.lit(0)).cast("long").alias("_base"))
+        base = existing.agg(F.coalesce(F.max(key), F.lit(0)).cast("long")).scalar()
     else:
-        base = new.sparkSession.range(1).select(F.lit(0).cast("long").alias("_base"))
+        base = F.lit(0).cast("long")
     ranked = ordered_running(new, order, index_col="_pos", num_partitions=num_partitions)
-    # ``base`` is one row: the join is a broadcast of a single row.
-    out = ranked.crossJoin(F.broadcast(base)).withColumn(key, F.col("_base") + F.col("_pos"))
+    out = ranked.withColumn(key, base + F.col("_pos"))
     return out.select(key, *[c for c in new.columns if c != key])
