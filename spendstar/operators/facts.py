@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ..functions import dates as D
 from ..functions.agg import dec
 from ..params import as_date
+from ..session import ensure_checkpoint_dir
 from .dims import calendar
 
 SPEND_FACT_COLS = ["fact_key", "vendor_key", "commodity_key", "time_key", "spend_amount", "transaction_count",
@@ -132,6 +133,10 @@ def fact_savings_realization(facts: DataFrame, dim_commodities: DataFrame, dim_t
                .groupBy("fiscal_year", "commodity_key", "vendor_key")
                .agg(F.sum(dec("savings_amount", 4)).alias("realized"), F.sum(dec("spend_amount")).alias("v_spend"))
                .join(dc, "commodity_key"))
+    # the aggregate feeds two branches (vendor rows, commodity totals);
+    # materialized once in the shared checkpoint folder, the facts are read once
+    ensure_checkpoint_dir(vc.sparkSession)
+    vc = vc.checkpoint(eager=True)
     cs = vc.groupBy("fiscal_year", "commodity_key").agg(F.sum("v_spend").alias("c_spend"))   # from the smaller aggregate
     tg = targets.groupBy("commodity_id", "fiscal_year").agg(
         F.sum(dec("target_amount")).cast("double").alias("target_total"),
