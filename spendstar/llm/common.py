@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,6 +23,19 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application (what
+    ``--py-files`` does), so that functions used in tasks can be imported there
+    however the driver found the package."""
+    sc = spark.sparkContext
+    if getattr(sc, "_spendstar_shipped", False):
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    base = os.path.join(tempfile.mkdtemp(prefix="spendstar-py-"), "spendstar")
+    sc.addPyFile(shutil.make_archive(base, "zip", os.path.dirname(package), os.path.basename(package)))
+    sc._spendstar_shipped = True
+
+
 def cut(df: DataFrame) -> DataFrame:
     """The rows of ``df``, computed once and stored in ``spark.checkpoint.dir``."""
     ensure_checkpoint_dir(df.sparkSession)

@@ -5,12 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import lines, mixing, sharding
+from . import langid, linecrf, lines, minhash, mixing, sharding, toxicity
 from .common import documents, shared_folder
 
 SHARDS = 40
 
 
+def op1_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(documents(spark, sf_dir).select("doc_id", "text"))
+
+
 def op3_systematic_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.with_copies(documents(spark, sf_dir)).select(
         "doc_id", "size", "source_size", "target", "taken")
@@ -35,8 +39,34 @@ def op5_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard", "vslot")
 
 
+def op6_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    out = linecrf.judge(docs, linecrf.train(docs, labels))
+    return out.drop("text")
+
+
+def op8_byte_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    out = docs.withColumn("held_out", toxicity.fold(F.col("doc_id"), 5) == 0)
+    model = langid.train(out.filter(~F.col("held_out")))
+    return langid.predict(out.drop("lang"), model).select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op10_nb_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter(toxicity.fold(F.col("doc_id"), 4) != 2)
+    scored = toxicity.score(docs, toxicity.train(docs, labels))
+    return scored.select("doc_id", (toxicity.fold(F.col("doc_id"), 4) == 2).alias("held_out"), "score",
+                         (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 QUERIES = {
+    "op1_hyperminhash": op1_hyperminhash,
     "op3_systematic_mix": op3_systematic_mix,
     "op4_line_dedup": op4_line_dedup,
     "op5_virtual_slots": op5_virtual_slots,
+    "op6_line_crf": op6_line_crf,
+    "op8_byte_gru": op8_byte_gru,
+    "op10_nb_ngrams": op10_nb_ngrams,
 }
