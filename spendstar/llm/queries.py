@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, linecrf, lines, minhash, mixing, sharding, toxicity
+from . import langid, linecrf, lines, minhash, mixing, packing, sharding, toxicity
 from .common import documents, shared_folder
 
 SHARDS = 40
@@ -15,6 +15,16 @@ def op1_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(documents(spark, sf_dir).select("doc_id", "text"))
 
 
+def tokenizer_path() -> str:
+    """The word tokenizer of the installed public vocabularies."""
+    import public_tokenizers
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op2_bm25_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir).select("doc_id", "text"), tokenizer_path())
+
+
 def op3_systematic_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.with_copies(documents(spark, sf_dir)).select(
         "doc_id", "size", "source_size", "target", "taken")
@@ -63,6 +73,7 @@ def op10_nb_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_hyperminhash": op1_hyperminhash,
+    "op2_bm25_packing": op2_bm25_packing,
     "op3_systematic_mix": op3_systematic_mix,
     "op4_line_dedup": op4_line_dedup,
     "op5_virtual_slots": op5_virtual_slots,
