@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, linecrf, lines, minhash, mixing, packing, sharding, toxicity
+from . import langid, linecrf, lines, minhash, mixing, packing, sharding, suffixes, toxicity
 from .common import documents, shared_folder
 
 SHARDS = 40
@@ -63,6 +63,10 @@ def op8_byte_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(out.drop("lang"), model).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op9_sparse_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeats(documents(spark, sf_dir).select("doc_id", "text")).drop("text")
+
+
 def op10_nb_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter(toxicity.fold(F.col("doc_id"), 4) != 2)
@@ -79,5 +83,6 @@ QUERIES = {
     "op5_virtual_slots": op5_virtual_slots,
     "op6_line_crf": op6_line_crf,
     "op8_byte_gru": op8_byte_gru,
+    "op9_sparse_suffixes": op9_sparse_suffixes,
     "op10_nb_ngrams": op10_nb_ngrams,
 }
