@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, linecrf, lines, minhash, mixing, packing, sharding, suffixes, toxicity
+from . import balltree, langid, linecrf, lines, minhash, mixing, packing, sharding, suffixes, toxicity
 from .common import documents, shared_folder
 
 SHARDS = 40
@@ -56,6 +56,11 @@ def op6_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.drop("text")
 
 
+def op7_ball_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
+    return balltree.top_k(vectors, vectors.filter(F.col("vec_id") % 100 == 0))
+
+
 def op8_byte_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
     out = docs.withColumn("held_out", toxicity.fold(F.col("doc_id"), 5) == 0)
@@ -82,6 +87,7 @@ QUERIES = {
     "op4_line_dedup": op4_line_dedup,
     "op5_virtual_slots": op5_virtual_slots,
     "op6_line_crf": op6_line_crf,
+    "op7_ball_tree": op7_ball_tree,
     "op8_byte_gru": op8_byte_gru,
     "op9_sparse_suffixes": op9_sparse_suffixes,
     "op10_nb_ngrams": op10_nb_ngrams,

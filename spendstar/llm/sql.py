@@ -58,4 +58,17 @@ select doc_id, count(*)::bigint as n_lines, count(*) filter (where f.k is not nu
 from keyed left join frequent f using (k) group by doc_id
 """
 
-SQL = {"op3_systematic_mix": OP3, "op4_line_dedup": OP4}
+OP7 = r"""
+with v as (
+  select distinct vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)::bigint) as v
+  from embeddings
+  where vec_id is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = len(embedding)),
+scored as (
+  select q.vec_id as query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::bigint as score
+  from (from v where vec_id % 100 = 0) q join v c on c.vec_id <> q.vec_id and len(c.v) = len(q.v)),
+ranked as (select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from scored)
+select query_id, rank, vec_id, score from ranked where rank <= 10
+"""
+
+SQL = {"op3_systematic_mix": OP3, "op4_line_dedup": OP4, "op7_ball_tree": OP7}
