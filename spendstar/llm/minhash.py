@@ -8,27 +8,32 @@ mantissa bits. Empty buckets borrow the next filled one for banding only.
 1. Documents with equal sets (128-bit fingerprint) collapse to one
    representative, the smallest id.
 2. Bands of ``ROWS`` registers are hashed; in every band bucket each
-   representative is paired with the bucket's centre (smallest by a hash that
-   differs from band to band): as many pairs as rows, whatever the bucket's
-   size.
+   representative is paired with the bucket's centre, the member whose buckets
+   are the fullest: the text that a group of copies was made from, if it is
+   there. As many pairs as rows, whatever the bucket's size.
 3. The Jaccard similarity of each pair is estimated from its registers, less
    the expected share of accidental register matches; pairs far below the
    threshold (five standard errors) stop here.
 4. The rest is confirmed on full sets. Connected components follow.
-5. Buckets whose members still lie in different components are the exact rest:
-   there every pair of members of different components goes through steps 3
-   and 4 too, so no link of a bucket is lost to the choice of centres.
+5. The exact rest: members that share a centre but lie in different components
+   are compared with each other, first by estimate, then (only those with a
+   promising partner) on full sets. Groups are cut into blocks of at most
+   ``GROUP_DOCS`` documents and ``GROUP_SHINGLES`` shingles, and every two
+   blocks meet in one task, so no link of a bucket is lost and no group comes
+   to one task. A task returns one link per document and other component, not
+   pairs.
 
 With 26 bands of 6 rows a pair of similarity 0.85 meets in some bucket with
 probability 0.999995.
 
 Scale: shuffles carry 16 to 24 bytes per band and document, 312 register bytes
-per document, and texts or sets only of documents that are in a candidate
-pair. Hot buckets combine map-side (centre by min) and join back on the key.
+per document, and sets only of documents in a candidate pair. The ids of these
+are broadcast while they are at most ``BROADCAST_IDS``, and joined by shuffle
+beyond. Hot buckets combine map-side (size, centre) and join back on the key.
 
 Defined cases: a text without words has the empty set, is linked with nothing
-and is kept; ids are non-null and unique (repeated rows with one id: one
-result row per input row). Extra columns are carried along; output columns
+and is kept. A row without an id is linked with nothing and kept, with null
+counts. Rows that repeat an id share its result: one row each. Extra columns are carried along; output columns
 replace input columns of the same name.
 """
 
@@ -50,6 +55,8 @@ ROWS, BANDS = 6, 26
 BUCKETS = ROWS * BANDS
 MANTISSA = 10
 EMPTY = 0xFFFF
+GROUP_DOCS, GROUP_SHINGLES = 2000, 1_000_000
+BROADCAST_IDS = 1_000_000
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 _SALT = np.random.default_rng(7).integers(1, 2**63, BUCKETS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -187,10 +194,11 @@ def promising(pairs: DataFrame, sk: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(run, "a long, b long")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, percent: int, folder: str) -> DataFrame:
-    """The pairs whose full shingle sets reach the threshold. Sets are made
-    for documents in a pair only, and stored once."""
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+def stored_sets(ids: DataFrame, docs: DataFrame, id_col: str, text_col: str, path: str) -> DataFrame:
+    """(id, set) of the documents named in ids, made from whole texts and stored once."""
+    ids = cut(ids.distinct())
+    if ids.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
     needed = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(ids, "id", "left_semi")
 
     def make(batches):
@@ -199,9 +207,12 @@ def confirmed(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, per
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.tobytes() for s in sets], pa.binary())],
                                              names=["id", "set"])
 
-    path = f"{folder}/sets"
-    needed.mapInArrow(make, "id long, set binary").write.parquet(path)
-    sets = docs.sparkSession.read.parquet(path)
+    needed.mapInArrow(make, "id long, set binary").dropDuplicates(["id"]).write.parquet(path)
+    return docs.sparkSession.read.parquet(path)
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose full shingle sets reach the threshold."""
     both = (pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("sa")), "a")
                  .join(sets.select(F.col("id").alias("b"), F.col("set").alias("sb")), "b"))
 
@@ -217,48 +228,102 @@ def confirmed(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, per
     return both.select("a", "b", "sa", "sb").mapInArrow(compare, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: id, n_shingles, component_id, kept."""
+def across(member: DataFrame, percent: int):
+    """Group members with a promising partner in another component.
+    member: centre, i, j (two blocks of a group), id, comp, n, regs.
+    Returns (centre, i, j, id, comp)."""
+    def run(key, table):
+        comp, n = (table.column(c).to_numpy() for c in ("comp", "n"))
+        regs = np.frombuffer(b"".join(x.as_py() for x in table.column("regs")), np.uint16).reshape(-1, BUCKETS)
+        # the largest component needs no search among itself: all others look at everything
+        names, size = np.unique(comp, return_counts=True)
+        seekers = np.flatnonzero(comp != names[size.argmax()])
+        hit = np.zeros(len(comp), bool)
+        for x in seekers:
+            fits = np.flatnonzero((comp != comp[x]) & (100 * np.minimum(n, n[x]) >= percent * np.maximum(n, n[x])))
+            if len(fits):
+                j, err = estimate(np.broadcast_to(regs[x], (len(fits), BUCKETS)), regs[fits], np.full(len(fits), n[x]), n[fits])
+                good = fits[j >= percent / 100 - 5 * err - 0.01]
+                hit[good] = True
+                hit[x] |= len(good) > 0
+        return table.select(["centre", "i", "j", "id", "comp"]).filter(pa.array(hit))
+
+    return member.groupBy("centre", "i", "j").applyInArrow(run, "centre long, i int, j int, id long, comp long")
+
+
+def links_across(member: DataFrame, percent: int) -> DataFrame:
+    """Confirmed links (a, b) between components, one per document and other
+    component. member: centre, i, j, id, comp, set."""
+    def run(key, table):
+        ids, comp = (table.column(c).to_numpy() for c in ("id", "comp"))
+        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("set")]
+        size = np.array([len(s) for s in sets])
+        owner, flat = np.repeat(np.arange(len(sets)), size), np.concatenate(sets)
+        order = np.argsort(flat, kind="stable")
+        owner, flat = owner[order], flat[order]
+        names, count = np.unique(comp, return_counts=True)
+        a, b = [], []
+        for x in np.flatnonzero(comp != names[count.argmax()]):
+            lo, hi = np.searchsorted(flat, sets[x], "left"), np.searchsorted(flat, sets[x], "right")
+            n = hi - lo
+            at = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            same = np.bincount(owner[at], minlength=len(sets))
+            good = np.flatnonzero((100 * same >= percent * (size + size[x] - same)) & (comp != comp[x]))
+            _, first = np.unique(comp[good], return_index=True)
+            a += [ids[x]] * len(first)
+            b += ids[good[first]].tolist()
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return member.groupBy("centre", "i", "j").applyInArrow(run, "a long, b long")
+
+
+def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text_col: str = "text",
+                    group_docs: int = GROUP_DOCS, group_shingles: int = GROUP_SHINGLES) -> DataFrame:
+    """``docs`` without the text, plus n_shingles, component_id and kept."""
     spark = docs.sparkSession
     ship(spark)
     folder = shared_folder(spark, "minhash")
-    sketches(docs, id_col, text_col).write.parquet(f"{folder}/sketches")
-    sk = spark.read.parquet(f"{folder}/sketches")
+
+    def stored(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{folder}/{name}")
+        return spark.read.parquet(f"{folder}/{name}")
+
+    sk = stored(sketches(docs, id_col, text_col), "sketches").filter("id is not null")
     # equal sets: one representative, the smallest id
     alike = sk.filter("n > 0").groupBy("f1", "f2", "n").agg(F.min("id").alias("rep"))
-    reps = (sk.filter("n > 0").join(alike.select(F.col("rep").alias("id")), "id", "left_semi").dropDuplicates(["id"]))
-    reps.write.parquet(f"{folder}/reps")
-    reps = spark.read.parquet(f"{folder}/reps")
-    band_rows(reps).write.parquet(f"{folder}/bands")
-    rows = spark.read.parquet(f"{folder}/bands")
-
-    rank = F.struct(F.xxhash64("key", "id").alias("h"), F.col("id"))
-    centre = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min(rank).alias("c")) \
-                 .filter("size > 1").select("key", "size", F.col("c.id").alias("centre"))
-    centre.write.parquet(f"{folder}/centres")
-    centre = spark.read.parquet(f"{folder}/centres")
-    shared = rows.join(centre, "key")
-    pairs = shared.filter("id <> centre").select(F.least("id", "centre").alias("a"),
+    reps = stored(sk.filter("n > 0").join(alike.select(F.col("rep").alias("id")), "id", "left_semi")
+                    .dropDuplicates(["id"]), "reps")
+    rows = stored(band_rows(reps), "bands")
+
+    filled = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    shared = stored(rows.join(filled, "key"), "shared")
+    weight = shared.groupBy("id").agg(F.sum("size").alias("weight"))
+    centre = shared.join(weight, "id").groupBy("key").agg(F.max(F.struct("weight", "id"))["id"].alias("centre"))
+    member = cut(shared.join(centre, "key").select("centre", "id").distinct())
+    pairs = member.filter("id <> centre").select(F.least("id", "centre").alias("a"),
                                                  F.greatest("id", "centre").alias("b")).distinct()
-    cut_pairs = cut(promising(pairs, reps, percent))
-    links = cut(confirmed(cut_pairs, docs, id_col, text_col, percent, f"{folder}/first"))
+    pairs = cut(promising(pairs, reps, percent))
+    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b"))
+    links = cut(confirmed(pairs, stored_sets(ids, docs, id_col, text_col, f"{folder}/sets-1"), percent))
     comp = components(links)
 
-    # the exact rest: buckets of three or more that hold several components
-    label = F.coalesce("component", "id").alias("comp")
-    member = shared.filter("size > 2").select("key", "id", "centre") \
-                   .join(comp.withColumnRenamed("node", "id"), "id", "left").select("key", "id", "centre", label)
-    mixed = member.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")) \
-                  .filter("lo <> hi").select("key")
-    member = cut(member.join(mixed, "key", "left_semi"))
-    other = member.select("key", F.col("id").alias("b"), F.col("comp").alias("comp_b"))
-    rest = (member.withColumnRenamed("id", "a").join(other, "key")
-                  .filter((F.col("comp") != F.col("comp_b")) & (F.col("a") < F.col("b"))
-                          & (F.col("a") != F.col("centre")) & (F.col("b") != F.col("centre")))
-                  .select("a", "b").distinct())
-    rest = cut(promising(rest, reps, percent))
-    if not rest.isEmpty():
-        more = confirmed(rest, docs, id_col, text_col, percent, f"{folder}/rest")
+    # the exact rest: groups of a centre that hold members outside its component
+    facts = reps.select("id", "n", "regs").join(comp.withColumnRenamed("node", "id"), "id", "left") \
+                .select("id", "n", "regs", F.coalesce("component", "id").alias("comp"))
+    group = member.join(facts.select("id", "n", "comp"), "id")
+    groups = group.groupBy("centre").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("shingles"),
+                                         F.min("comp").alias("lo"), F.max("comp").alias("hi")) \
+                  .filter("lo <> hi and docs > 2")
+    blocks = F.greatest(F.ceil(F.col("docs") / group_docs), F.ceil(F.col("shingles") / group_shingles)).cast("int")
+    group = group.select("centre", "id").join(groups.select("centre", blocks.alias("blocks")), "centre")
+    mine = F.pmod(F.xxhash64("centre", "id"), F.col("blocks")).cast("int")
+    # a document goes to every pair of blocks that holds its own
+    group = group.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
+                 .select("centre", "id", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"))
+    found = cut(across(group.join(facts, "id"), percent))
+    if not found.isEmpty():
+        sets = stored_sets(found.select("id"), docs, id_col, text_col, f"{folder}/sets-2")
+        more = cut(links_across(found.join(sets, "id"), percent))
         comp = components(links.unionByName(more))
 
     made = ("n_shingles", "component_id", "kept")
@@ -267,7 +332,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
                   .select("f1", "f2", "n", F.coalesce("component", "rep").alias("component_id"))
     size = sk.dropDuplicates(["id"]).join(of_rep, ["f1", "f2", "n"], "left").select("id", "n", "component_id")
     out = docs.select(*cols).withColumn("__id", F.col(id_col).cast("long")).join(
-        size.withColumnRenamed("id", "__id"), "__id")
+        size.withColumnRenamed("id", "__id"), "__id", "left")
     comp_id = F.coalesce("component_id", "__id")
     return out.select(*cols, F.col("n").alias("n_shingles"), comp_id.alias("component_id"),
-                      (comp_id == F.col("__id")).alias("kept"))
+                      F.coalesce(comp_id == F.col("__id"), F.lit(True)).alias("kept"))

@@ -78,24 +78,25 @@ def present(data: np.ndarray, off: np.ndarray, keep: np.ndarray | None = None) -
 def fit(texts: list[bytes], label: np.ndarray, share: float, min_chi2: float = 25.0,
         epochs: int = 12, rate: float = 0.3, penalty: float = 1e-3) -> Model:
     """Fit on whole texts; ``share``: of label 1 among all labelled rows."""
-    docs, buckets = [], []
-    for a in range(0, len(texts), 200):
-        part = texts[a:a + 200]
-        off = np.cumsum([0, *map(len, part)])
-        d, b = present(np.frombuffer(b"".join(part), np.uint8), off)
-        docs.append(d + a)
-        buckets.append(b)
-    doc, bucket = np.concatenate(docs), np.concatenate(buckets)
-    one = label[doc] == 1
-    p = np.bincount(bucket[one], minlength=1 << BITS).astype(np.float64)
-    q = np.bincount(bucket[~one], minlength=1 << BITS).astype(np.float64)
+    def features(keep=None):
+        """(document, bucket) of the sample, a few texts at a time: counted first, kept only where used."""
+        for a in range(0, len(texts), 50):
+            part = texts[a:a + 50]
+            d, b = present(np.frombuffer(b"".join(part), np.uint8), np.cumsum([0, *map(len, part)]), keep)
+            yield d + a, b
+
+    p, q = np.zeros(1 << BITS), np.zeros(1 << BITS)
+    for doc, bucket in features():
+        one = label[doc] == 1
+        p += np.bincount(bucket[one], minlength=1 << BITS)
+        q += np.bincount(bucket[~one], minlength=1 << BITS)
     n1, n0 = (label == 1).sum(), (label == 0).sum()
     ratio = np.log((p + 1) / (n1 + 2)) - np.log((q + 1) / (n0 + 2))
     seen = p + q
     chi2 = (p * n0 - q * n1) ** 2 * (n1 + n0) / np.maximum(n1 * n0 * seen * (n1 + n0 - seen), 1)
     ratio[chi2 < min_chi2] = 0  # a difference that chance makes among a million features
-    used = ratio[bucket] != 0
-    doc, bucket = doc[used], bucket[used]
+    kept = list(features(ratio != 0))
+    doc, bucket = (np.concatenate([x[k] for x in kept]) for k in (0, 1))
     starts = np.searchsorted(doc, np.arange(len(texts) + 1))
     w, b = np.zeros(1 << BITS), 0.0
     g2, gb2 = np.full(1 << BITS, 1e-8), 1e-8
