@@ -211,12 +211,17 @@ def train(docs: DataFrame, max_per_lang: int = MAX_PER_LANG, max_langs: int = MA
     chosen by hash, of which training sees the first ``max_bytes`` characters."""
     rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__t"),
                        F.col(lang_col).cast("string").alias("__l")).filter(
-        F.col("__l").isNotNull() & F.col("__t").rlike(r"\p{L}"))
+        F.col("__id").isNotNull() & F.col("__l").isNotNull() & F.col("__t").rlike(r"\p{L}"))
     found = [r["__l"] for r in rows.groupBy("__l").count().orderBy(F.desc("count"), "__l").limit(max_langs).collect()]
-    picked = []
+    # the sample is chosen by id alone, so that only ids meet in the sort
+    ids = None
     for lang in found:
-        picked += rows.filter(F.col("__l") == lang).select("__l", "__id", F.substring("__t", 1, max_bytes).alias("__t")) \
-                      .orderBy(F.xxhash64("__id"), "__id", "__t").limit(max_per_lang).collect()
+        some = rows.filter(F.col("__l") == lang).select("__l", "__id") \
+                   .orderBy(F.xxhash64("__id"), "__id").limit(max_per_lang)
+        ids = some if ids is None else ids.unionByName(some)
+    picked = [] if ids is None else rows.join(F.broadcast(ids.distinct()), ["__l", "__id"]).select(
+        "__l", "__id", F.substring("__t", 1, max_bytes).alias("__t")).limit(4 * max_per_lang * len(found)).collect()
+    picked = sorted(picked, key=lambda r: (r["__l"], r["__id"], r["__t"]))
     return fit([r["__t"].encode() for r in picked], [r["__l"] for r in picked]) if picked else None
 
 

@@ -24,7 +24,6 @@ gives no rows. Input columns other than id and text are not carried.
 
 from __future__ import annotations
 
-import re
 import zlib
 
 import numpy as np
@@ -32,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .buffers import prefix_hash, span_hash, words
+from .buffers import BYTE_LOWER, prefix_hash, span_hash, words
 from .common import ship
 
 WINDOW = 2048
@@ -40,12 +39,25 @@ END = 1
 SHARD_BYTES = 4 << 20
 QUERY_WORDS = 24
 K1, B = 1.2, 0.75
-CACHE_WORDS = 1_000_000
-_LETTERS_MARKS = re.compile(r"([^\W\d_]+)([!-/:-@\[-`{-~]+)")
+CACHE_WORDS = 2_000_000
+_MARK = np.zeros(256, bool)       # ASCII characters that are neither letters, digits nor white space
+_MARK[[c for c in range(33, 127) if not chr(c).isalnum()]] = True
 PIECES = ("doc_id long, copy int, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long")
 
 
+def _letters(data: np.ndarray) -> np.ndarray:
+    """Bytes of ASCII letters and of the letters of U+00C0 to U+00FF. Other
+    bytes are no letters here: their words are tokenized whole."""
+    low = data | 32
+    out = (low >= 97) & (low <= 122)
+    if len(data) > 1:
+        pair = (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] < 0xC0) & (data[1:] != 0x97) & (data[1:] != 0xB7)
+        out[:-1] |= pair
+        out[1:] |= pair
+    return out
+
+
 class WordTokenizer:
     """Ids of whole texts from a table of words' ids."""
 
@@ -62,62 +74,79 @@ class WordTokenizer:
         self.clear()
 
     def clear(self):
-        self.index: dict[str, int] = {}
+        """Forget all words. Known words are kept by 64-bit hash, sorted."""
+        self.keys, self.entry = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.pool, self.first, self.size = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    def _add(self, words: list[str], ids: np.ndarray, size: np.ndarray) -> None:
-        self.index.update(zip(words, range(len(self.first), len(self.first) + len(words)), strict=True))
+    def _add(self, ids: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """New entries for consecutive runs of ids; their numbers."""
+        number = len(self.first) + np.arange(len(size))
         self.first = np.concatenate([self.first, len(self.pool) + np.cumsum(size) - size])
         self.size = np.concatenate([self.size, size])
         self.pool = np.concatenate([self.pool, ids])
-
-    def _plain(self, stems: list[str]) -> None:
-        """Words of letters only: one unit of the tokenizer each, so their ids end at a word end."""
-        if not stems:
-            return
-        flat = np.array(self.tok.encode_batch_fast([" ".join(stems)], add_special_tokens=False)[0].ids, np.uint32)
+        return number
+
+    def _find(self, value: np.ndarray) -> np.ndarray:
+        """Entries of hashed words, -1 for unknown ones."""
+        if not len(self.keys):
+            return np.full(len(value), -1)
+        at = np.minimum(np.searchsorted(self.keys, value), len(self.keys) - 1)
+        return np.where(self.keys[at] == value, self.entry[at], -1)
+
+    def _learn(self, value: np.ndarray, number: np.ndarray) -> None:
+        keys, first = np.unique(np.concatenate([self.keys, value]), return_index=True)
+        self.keys, self.entry = keys, np.concatenate([self.entry, number])[first]
+
+    def _stems(self, words: list[str]) -> np.ndarray:
+        """Entries of words of letters: one tokenizer unit each, so their ids end at a word end."""
+        flat = np.array(self.tok.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, np.uint32)
         cuts = np.flatnonzero(self.ends[flat]) + 1
-        if len(cuts) == len(stems):
-            self._add(stems, flat, np.diff(cuts, prepend=0))
-        else:
-            self._whole(stems)
+        return self._add(flat, np.diff(cuts, prepend=0)) if len(cuts) == len(words) else self._single(words)
 
-    def _whole(self, words: list[str]) -> None:
+    def _single(self, words: list[str]) -> np.ndarray:
+        out = [np.zeros(0, np.int64)]
         for a in range(0, len(words), 20_000):
-            part = words[a:a + 20_000]
-            ids = [e.ids for e in self.tok.encode_batch_fast(part, add_special_tokens=False)]
-            self._add(part, np.array([i for x in ids for i in x], np.uint32), np.array([len(x) for x in ids], np.int64))
-
-    def numbers(self, words: list[str]) -> np.ndarray:
-        """Table numbers of distinct words; unknown ones are tokenized first."""
-        new = [w for w in words if w not in self.index]
-        if len(self.index) + len(new) > CACHE_WORDS:
+            ids = [e.ids for e in self.tok.encode_batch_fast(words[a:a + 20_000], add_special_tokens=False)]
+            out.append(self._add(np.array([i for x in ids for i in x], np.uint32),
+                                 np.array([len(x) for x in ids], np.int64)))
+        return np.concatenate(out)
+
+    def numbers(self, value: np.ndarray, start: np.ndarray, stop: np.ndarray, data: np.ndarray) -> np.ndarray:
+        """Entries of distinct words: their hashes and places in data. A word
+        of letters, with ASCII marks after it or not, is put together from its
+        lower-cased letters and its marks, which the tokenizer never joins;
+        any other word is tokenized by itself."""
+        if len(self.keys) + len(value) > CACHE_WORDS:
             self.clear()
-            new = words
-        joined, other = {}, []
-        stems, marks = set(), set()
-        for w in new:
-            if w.isalpha():
-                stem, mark = (w.lower() if w.isascii() else w), ""
-            elif m := _LETTERS_MARKS.fullmatch(w):
-                stem, mark = (m[1].lower() if w.isascii() else m[1]), m[2]
-                marks.add(mark)
-            else:
-                other.append(w)
-                continue
-            stems.add(stem)
-            joined[w] = (stem, mark)
-        self._plain([x for x in stems if x not in self.index])
-        self._whole([x for x in {*other, *marks} if x not in self.index])
-        joined = {w: p for w, p in joined.items() if w not in self.index}
-        if joined:
-            one = np.array([self.index[x] for x, _ in joined.values()])
-            two = np.array([self.index[x] if x else -1 for _, x in joined.values()])
-            both = np.stack([one, two], axis=1).ravel()
-            both = both[both >= 0]
-            size = self.size[one] + np.where(two >= 0, self.size[two], 0)
-            self._add(list(joined), self._gather(both), size)
-        return np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
+        new = np.flatnonzero(self._find(value) < 0)
+        if len(new):
+            raw = data.tobytes()
+
+            def text(a, b):
+                return [raw[x:y].decode() for x, y in zip(a.tolist(), b.tolist(), strict=True)]
+
+            a, b = start[new], stop[new]
+            letter = _letters(data)
+            letters = np.concatenate([[0], np.cumsum(letter)])
+            other = np.maximum.accumulate(np.where(_MARK[data], -1, np.arange(len(data))))
+            end = np.maximum(other[b - 1] + 1, a)          # of the part before trailing marks
+            plain = (end > a) & (letters[end] - letters[a] == end - a)
+            stem = span_hash(prefix_hash(data, BYTE_LOWER), a[plain], end[plain])
+            mark = span_hash(prefix_hash(data), end[plain], b[plain])
+            marked = (b > end)[plain]
+            for hashes, x, y, make in ((stem, a[plain], end[plain], self._stems),
+                                       (mark[marked], end[plain][marked], b[plain][marked], self._single)):
+                distinct, at = np.unique(hashes, return_index=True)
+                miss = self._find(distinct) < 0
+                if miss.any():
+                    self._learn(distinct[miss], make(text(x[at[miss]], y[at[miss]])))
+            one = self._find(stem)
+            both = np.stack([one[marked], self._find(mark[marked])], axis=1)
+            joined = self._add(self._gather(both.ravel()), self.size[both].sum(axis=1))
+            one[marked] = joined
+            self._learn(np.concatenate([value[new[plain]], value[new[~plain]]]),
+                        np.concatenate([one, self._single(text(a[~plain], b[~plain]))]))
+        return self._find(value)
 
     def _gather(self, number: np.ndarray) -> np.ndarray:
         n = self.size[number]
@@ -209,8 +238,7 @@ def pack_shard(ids_of: list, texts: list[str], tok: WordTokenizer, shard: int, w
     number = np.empty(len(by), np.int64)
     number[by] = np.cumsum(new) - 1
     lead = by[new]
-    text = data.tobytes()
-    table = tok.numbers([text[a:b].decode() for a, b in zip(start[lead].tolist(), stop[lead].tolist(), strict=True)])
+    table = tok.numbers(value[lead], start[lead], stop[lead], data)
     ids, size = tok.expand(table[number] if len(number) else number, count, end)
     doc = np.repeat(np.arange(len(count)), count)[by]
     post = np.flatnonzero(new | np.concatenate([[True], doc[1:] != doc[:-1]])[:len(by)])
