@@ -4,10 +4,10 @@ SQL around them is written here independently."""
 
 from __future__ import annotations
 
-from spendstar.operators.quality import CHECK_RULES, FOREIGN_KEYS, KEYS
 from spendstar.sources.fixtures import OPERATIONAL_TABLES, STAR_TABLES
 from spendstar.sources.schemas import ALL
 
+from .fixed_rules import CHECK_RULES, FOREIGN_KEYS, KEYS
 from .queries import AS_OF, DSUM
 
 TABLES = list(OPERATIONAL_TABLES) + list(STAR_TABLES)
@@ -23,40 +23,62 @@ def _has(table: str, cols) -> bool:
     return table in ALL and set(cols) <= set(ALL[table].fieldNames())
 
 
-VIOLATIONS = "\nunion all\n".join(
-    f"select '{t}' as table_name, '{name}' as rule_name, count(case when not coalesce({pred}, true) then 1 end) "
-    f"as violations from {t}"
-    for t, name, pred in CHECK_RULES if t in TABLES and _has(t, _cols(pred)))
+def _state(*needs) -> str:
+    """What a check needs: (table, columns) pairs, in the order in which they are missed."""
+    for table, cols in needs:
+        if table not in TABLES:
+            return "TABLE_MISSING"
+        if not _has(table, cols):
+            return "COLUMN_MISSING"
+    return "CHECKED"
 
-DUPLICATES = "\nunion all\n".join(
-    f"""select '{t}' as table_name, '{",".join(k)}' as key_columns,
+
+def _violations(t, name, pred) -> str:
+    state = _state((t, _cols(pred)))
+    count = (f"(select count(*) from {t} where not coalesce({pred}, true))" if state == "CHECKED" else "cast(null as bigint)")
+    return f"select '{t}' as table_name, '{name}' as rule_name, '{state}' as status, {count} as violations"
+
+
+def _duplicates(t, k) -> str:
+    state, names, cols = _state((t, k)), ",".join(k), ", ".join(k)
+    if state != "CHECKED":
+        nulls = ", ".join(f"cast(null as bigint) as {c}" for c in ("row_count", "null_key_rows", "duplicate_groups", "duplicate_rows"))
+        return f"select '{t}' as table_name, '{names}' as key_columns, '{state}' as status, {nulls}"
+    return f"""select '{t}' as table_name, '{names}' as key_columns, '{state}' as status,
   (select count(*) from {t}) as row_count,
   (select count(*) from {t} where {" or ".join(c + " is null" for c in k)}) as null_key_rows,
-  (select count(*) from (select 1 from {t} group by {", ".join(k)} having count(*) > 1) g) as duplicate_groups,
-  (select cast(coalesce(sum(n), 0) as bigint) from (select count(*) as n from {t} group by {", ".join(k)}
+  (select count(*) from (select 1 from {t} group by {cols} having count(*) > 1) g) as duplicate_groups,
+  (select cast(coalesce(sum(n), 0) as bigint) from (select count(*) as n from {t} group by {cols}
      having count(*) > 1) g) as duplicate_rows"""
-    for t, k in KEYS if t in TABLES and _has(t, k))
 
-FK_VIOLATIONS = "\nunion all\n".join(
-    f"""select '{c}' as child_table, '{col}' as child_column, '{p}' as parent_table, '{pcol}' as parent_column,
-  count(*) as violations from {c} ch
-where ch.{col} is not null and not exists (select 1 from {p} pa where pa.{pcol} = ch.{col})"""
-    for c, col, p, pcol in FOREIGN_KEYS if c in TABLES and p in TABLES and _has(c, [col]) and _has(p, [pcol]))
+
+def _fk(c, col, p, pcol) -> str:
+    state = _state((c, [col]), (p, [pcol]))
+    count = (f"(select count(*) from {c} ch where ch.{col} is not null and not exists "
+             f"(select 1 from {p} pa where pa.{pcol} = ch.{col}))" if state == "CHECKED" else "cast(null as bigint)")
+    return (f"select '{c}' as child_table, '{col}' as child_column, '{p}' as parent_table, '{pcol}' as parent_column, "
+            f"'{state}' as status, {count} as violations")
+
+
+VIOLATIONS = "\nunion all\n".join(_violations(*r) for r in CHECK_RULES)
+DUPLICATES = "\nunion all\n".join(_duplicates(*r) for r in KEYS)
+FK_VIOLATIONS = "\nunion all\n".join(_fk(*r) for r in FOREIGN_KEYS)
+
+RATED = """
+select v.* exclude (is_active), v.is_active,
+  coalesce((select max(p.risk_rating) from supplier_profiles p where p.vendor_id = v.vendor_id), 'Medium') as risk_rating
+from vendors v"""
+SHOWN = "vendor_id, vendor_name, vendor_tier, diversity_classification, risk_rating, country, region"
 
 D1 = f"""
-select distinct v.vendor_id, v.vendor_name, v.vendor_tier, v.diversity_classification,
-  coalesce(sp.risk_rating, 'Medium') as risk_rating, v.country, v.region
-from vendors v left join supplier_profiles sp on v.vendor_id = sp.vendor_id
-where v.is_active and v.vendor_id not in (select vendor_id from dim_vendors where is_current_record)"""
+select distinct {SHOWN} from ({RATED}) r
+where is_active and not exists (select 1 from dim_vendors d where d.is_current_record and d.vendor_id = r.vendor_id)"""
 
+# a tracked attribute differs if both sides are known and not equal
 D4 = f"""
-select v.vendor_id, v.vendor_name, v.vendor_tier, v.diversity_classification,
-  coalesce(sp.risk_rating, 'Medium') as risk_rating, v.country, v.region
-from vendors v left join supplier_profiles sp on v.vendor_id = sp.vendor_id
-join dim_vendors d on v.vendor_id = d.vendor_id and d.is_current_record
-where v.vendor_name != d.vendor_name or v.vendor_tier != d.vendor_tier
-   or v.diversity_classification != d.diversity_classification
-   or coalesce(sp.risk_rating, 'Medium') != d.risk_rating or v.country != d.country or v.region != d.region"""
+select {", ".join("r." + c for c in SHOWN.split(", "))} from ({RATED}) r, dim_vendors d
+where d.is_current_record and d.vendor_id = r.vendor_id and len(list_filter([
+  {", ".join(f"r.{c} <> d.{c}" for c in SHOWN.split(", ")[1:])}], lambda x: x)) > 0"""
 
 D6 = f"""
 with ins as (select *, 1 as b from ({D1}) a union all select *, 2 as b from ({D4}) c),
@@ -78,10 +100,9 @@ from (select alld.*, (alld.vendor_id in (select vendor_id from chg) and alld.is_
                       and alld.effective_start_date < {AS_OF}) as closing from alld) x"""
 
 RECON_VENDORS = """
-select 'Vendor Count Check' as check_name, op.operational_count, an.analytics_count,
-  op.operational_count - an.analytics_count as variance
-from (select count(*) as operational_count from vendors where is_active) op
-cross join (select count(*) as analytics_count from dim_vendors where is_current_record) an"""
+select 'Vendor Count Check' as check_name, operational_count, analytics_count, operational_count - analytics_count as variance
+from (select (select count(*) from vendors where is_active) as operational_count,
+             (select count(*) from dim_vendors where is_current_record) as analytics_count) counts"""
 
 SPEND_STATUS = f"""
 select 'Spend Reconciliation' as validation, cast(abs(op.s - an.s) as double) as variance,
@@ -90,12 +111,11 @@ from (select sum(cast(total_amount as decimal(18,2))) as s from spend_transactio
 cross join (select sum(cast(spend_amount as decimal(18,2))) as s from fact_spend_analytics) an"""
 
 ORPHANS = """
-select 'Orphaned Fact Records' as check_name, count(*) as orphaned_count
-from fact_spend_analytics fsa
-left join dim_vendors dv on fsa.vendor_key = dv.vendor_key
-left join dim_commodities dc on fsa.commodity_key = dc.commodity_key
-left join dim_time dt on fsa.time_key = dt.time_key
-where dv.vendor_key is null or dc.commodity_key is null or dt.time_key is null"""
+select 'Orphaned Fact Records' as check_name, (select count(*) from fact_spend_analytics) - (
+  select count(*) from fact_spend_analytics b
+  where exists (select 1 from dim_vendors x where x.vendor_key = b.vendor_key)
+    and exists (select 1 from dim_commodities x where x.commodity_key = b.commodity_key)
+    and exists (select 1 from dim_time x where x.time_key = b.time_key)) as orphaned_count"""
 
 CONSISTENCY = """
 select case when abs(ov - av) <= 10 and ratio > 0.9 then 'PASSED' else 'WARNING' end as status,
@@ -106,9 +126,19 @@ from (select *, case when ot > 0 then cast(af as double) / cast(ot as double) el
                    (select count(*) from spend_transactions) as ot,
                    (select count(*) from fact_spend_analytics) as af) c) r"""
 
+
+
+def _row_text(table: str) -> str:
+    """Integers, strings and dates of a row as one text, in table order."""
+    cols = [f.name for f in ALL[table].fields if f.dataType.typeName() in ("integer", "long", "string", "date")]
+    return "concat_ws('|', " + ", ".join(f"coalesce(cast({c} as varchar), '~')" for c in cols) + ")"
+
+
 QUALITY_QUERIES: dict[str, str] = {
     "copy_star_counts": "\nunion all\n".join(
-        f"select '{t}' as table_name, count(*) as row_count from {t}" for t in STAR_TABLES),
+        f"select '{t}' as table_name, count(*) as row_count, "
+        f"cast(coalesce(sum(cast('0x' || substr(md5({_row_text(t)}), 1, 8) as bigint)), 0) as bigint) as value_sum from {t}"
+        for t in STAR_TABLES),
     "table_info": "\nunion all\n".join(f"select '{t}' as table_name, count(*) as row_count from {t}" for t in TABLES),
     "scd2_vendor_changes": f"""
 select *, {AS_OF} as effective_start_date, true as is_current_record from ({D4}) x""",
@@ -126,12 +156,16 @@ from (select sum(cast(total_amount as decimal(18,2))) as s from spend_transactio
 cross join (select sum(cast(spend_amount as decimal(18,2))) as s from fact_spend_analytics) an""",
     "recon_spend_status": SPEND_STATUS,
     "recon_txn_by_fy": """
-select 'Transaction Count by FY' as check_name, op.fiscal_year, op.operational_count, an.analytics_count,
-  op.operational_count - an.analytics_count as variance
-from (select fiscal_year, count(*) as operational_count from spend_transactions group by fiscal_year) op
-full outer join (select dt.fiscal_year, count(*) as analytics_count from fact_spend_analytics fsa
-                 join dim_time dt on fsa.time_key = dt.time_key group by dt.fiscal_year) an
-  on op.fiscal_year = an.fiscal_year""",
+with n as (
+  select fiscal_year, 1 as op, 0 as an from spend_transactions where fiscal_year is not null
+  union all
+  select y.fiscal_year, 0, 1 from fact_spend_analytics b join dim_time y using (time_key)),
+g as (select fiscal_year, nullif(sum(op), 0)::bigint as o, nullif(sum(an), 0)::bigint as a from n group by fiscal_year),
+unknown as (select count(*) as o from spend_transactions where fiscal_year is null having count(*) > 0)
+select 'Transaction Count by FY' as check_name, case when o is not null then fiscal_year end as fiscal_year,
+  o as operational_count, a as analytics_count, o - a as variance from g
+union all
+select 'Transaction Count by FY', null, o, null, null from unknown""",
     "orphan_facts": ORPHANS,
     "consistency_check": CONSISTENCY,
     "health_check": f"""
@@ -146,18 +180,19 @@ select po_line_id, po_id, line_number, cast(line_amount as double) as line_amoun
   abs(line_amount - quantity * unit_price) as difference
 from po_line_items where abs(line_amount - quantity * unit_price) > 0.01""",
     "etl_summary": """
-select 'ETL Summary' as report_type, max(load_date) as last_etl_date, count(distinct load_date) as total_etl_runs,
-  count(*) as total_records_loaded, min(load_date) as first_etl_date
-from fact_spend_analytics""",
+with per_run as (select load_date, count(*) as n from fact_spend_analytics group by load_date)
+select 'ETL Summary' as report_type, (select max(load_date) from per_run) as last_etl_date,
+  (select count(load_date) from per_run) as total_etl_runs, (select coalesce(sum(n), 0)::bigint from per_run) as total_records_loaded,
+  (select min(load_date) from per_run) as first_etl_date""",
     "etl_daily_volume": f"""
 select load_date, count(*) as records_loaded, {DSUM('spend_amount')} as total_spend_loaded,
   count(distinct vendor_key) as vendors_affected, count(distinct commodity_key) as commodities_affected
 from fact_spend_analytics where load_date >= cast({AS_OF} - interval 30 day as date)
 group by load_date""",
     "data_freshness": f"""
-select 'Data Freshness' as check_type, max(dt.date_actual) as latest_transaction_date, {AS_OF} as "current_date",
-  cast({AS_OF} - max(dt.date_actual) as double) as days_behind
-from fact_spend_analytics fsa join dim_time dt on fsa.time_key = dt.time_key""",
+select 'Data Freshness' as check_type, d as latest_transaction_date, {AS_OF} as "current_date",
+  cast({AS_OF} - d as double) as days_behind
+from (select max(date_actual) as d from dim_time where time_key in (select time_key from fact_spend_analytics)) x""",
     "dq_alerts": f"""
 select 'vendor_count_variance' as check_name, 'WARNING' as severity, cast(variance as double) as measured,
   10.0 as threshold from ({RECON_VENDORS}) a where abs(variance) > 10
@@ -171,19 +206,14 @@ union all
 select table_name || '.' || rule_name, 'ERROR', cast(violations as double), 0.0 from ({VIOLATIONS}) e
 where violations > 0""",
     "spend_anomalies": """
-with s as (
-  select vendor_key, commodity_key, count(*) as n,
-    cast(sum(cast(spend_amount as decimal(18,2))) as double) as s1,
-    cast(sum(cast(spend_amount as decimal(18,2)) * cast(spend_amount as decimal(18,2))) as double) as s2
-  from fact_spend_analytics group by vendor_key, commodity_key having count(*) >= 5),
-j as (
-  select f.fact_key, f.vendor_key, f.commodity_key, cast(f.spend_amount as double) as x,
-    s.s1 / cast(s.n as double) as mean,
-    sqrt(greatest((s.s2 - s.s1 * s.s1 / cast(s.n as double)) / (cast(s.n as double) - 1.0), 0.0)) as sd
-  from fact_spend_analytics f join s on f.vendor_key = s.vendor_key and f.commodity_key = s.commodity_key)
+with h as (
+  select *, cast(spend_amount as double) as x,
+    cast(sum(cast(spend_amount as decimal(38,12))) over pair as double) / count(*) over pair as mean,
+    stddev_samp(cast(spend_amount as double)) over pair as sd, count(*) over pair as n
+  from fact_spend_analytics window pair as (partition by vendor_key, commodity_key))
 select fact_key, vendor_key, commodity_key, x as spend_amount, round(mean, 6) as mean_spend, round(sd, 6) as stddev_spend,
   round((x - mean) / nullif(sd, 0), 6) as z_score, coalesce(abs((x - mean) / nullif(sd, 0)) > 3.0, false) as is_anomaly
-from j""",
+from h where n >= 5""",
     "supplier_risk_score": f"""
 with a as (
   select vendor_id,

@@ -1,33 +1,38 @@
 """The daily load as one Spark job: operational database -> star schema.
 
-Order (as the source system's daily run): vendor dimension (new vendors,
-SCD2 changes, close), new commodities, missing calendar days, new facts;
-then checks; then publish.
+Order: vendor dimension (new vendors, SCD2 changes, close), new commodities,
+contracts, business units and missing calendar days are written and published
+first, all at once. They are read back, and the new facts (with their KPI
+columns) are keyed to what was published, written once to a staging folder
+with the rules they fail, checked, and appended. The supplier-performance and
+savings facts are rebuilt from the stored facts and published; the
+reconciliation runs on the result; the run log is stored in ``etl_log``.
 
 Failure and rerun behaviour:
 
-* new facts are appended to the fact table through Spark's file commit
-  protocol (files become visible when the write job commits); history is
-  never rewritten, so the cost of a run is proportional to its new data;
-* dimensions are small next to the facts and are written as new versions,
-  switched by pointer only after the facts are committed;
-* a rerun after any failure is safe: facts already committed are skipped by
-  the anti join on ``source_transaction_id`` and the dimension step is
-  recomputed from the last published versions.
+* facts are keyed to published dimension rows only, read back from storage, so
+  a stop between the steps leaves no fact without its dimension rows, and a
+  rerun on changed source data cannot renumber rows that facts point to;
+* new facts become visible when the append commits (Spark's file commit
+  protocol); history is never rewritten;
+* a rerun skips facts that are loaded (anti join on ``source_transaction_id``)
+  and finds the dimensions up to date.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 import time
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .operators.dims import dim_time, new_dim_commodities
-from .operators.facts import fact_spend_new
-from .operators.monitor import observed, run_log
-from .operators.quality import apply_checks, rules_for
+from .operators.dims import dim_business_units, dim_contracts, dim_time, new_dim_commodities
+from .operators.facts import (enrich_facts, fact_savings_realization, fact_spend_new, fact_supplier_performance,
+                              fill_fiscal)
+from .operators.monitor import run_log
+from .operators.quality import check_consistency, orphan_facts, rules_for, tag_failures
 from .operators.scd2 import scd2_apply
 from .params import as_date
 from .plans.prefix import assign_keys
@@ -39,43 +44,90 @@ class LoadRejected(RuntimeError):
     """Raised when the new facts fail the load checks; nothing is published."""
 
 
-def _conform(df: DataFrame, name: str) -> DataFrame:
-    return io.conform(df, schemas.STAR[name], schemas.DEFAULTS.get(name))
+def _conform(df: DataFrame, name: str, drop=()) -> DataFrame:
+    return io.conform(df, schemas.STAR[name], schemas.DEFAULTS.get(name), drop)
+
+
+def _stored(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A star table, or an empty one if it was never published."""
+    if name in io.manifest(spark, root) or io.exists(spark, f"{root}/{name}"):
+        return io.read_table(spark, root, name)
+    return spark.createDataFrame([], schemas.STAR[name])
+
+
+def load_dimensions(spark: SparkSession, op, root: str, day, run_id: str) -> dict[str, int]:
+    """Write and publish the next version of every dimension; rows by table."""
+    now = {n: _stored(spark, root, n) for n in
+           ("dim_vendors", "dim_commodities", "dim_time", "dim_contracts", "dim_business_units")}
+    new_c = new_dim_commodities(op["commodities"], op["commodity_profiles"], now["dim_commodities"], day)
+    fresh_k = op["contracts"].join(now["dim_contracts"].select("contract_id"), "contract_id", "left_anti")
+    fresh_u = now["dim_business_units"].select("business_unit_id")
+    units = dim_business_units(op["business_units"], day)
+    new_u = assign_keys(units.drop("business_unit_key").join(fresh_u, "business_unit_id", "left_anti"),
+                        now["dim_business_units"], "business_unit_key", ["business_unit_id"])
+    out = {
+        "dim_vendors": _conform(scd2_apply(now["dim_vendors"], op["vendors"], op["supplier_profiles"], day), "dim_vendors"),
+        "dim_commodities": now["dim_commodities"].unionByName(_conform(
+            assign_keys(new_c, now["dim_commodities"], "commodity_key", ["commodity_id"]), "dim_commodities")),
+        "dim_time": now["dim_time"].unionByName(_conform(dim_time(spark, existing=now["dim_time"]), "dim_time")),
+        "dim_contracts": now["dim_contracts"].unionByName(_conform(
+            dim_contracts(fresh_k, op["risk_assessments"], day, now["dim_contracts"]), "dim_contracts")),
+        "dim_business_units": now["dim_business_units"].unionByName(_conform(new_u, "dim_business_units")),
+    }
+    io.publish(out, root, run_id=run_id)
+    return {n: io.read_table(spark, root, n).count() for n in out}
 
 
 def daily_load(spark: SparkSession, operational_root: str, analytics_root: str, as_of,
                incremental_days: int | None = None, run_id: str | None = None) -> DataFrame:
-    """Run one load for day ``as_of``; returns the run log (M4) as a
-    DataFrame. ``incremental_days`` restricts facts to transactions dated in
-    the last N days (F2); the default loads the whole backlog (F1)."""
+    """Run one load for day ``as_of``; returns the run's log (M4), which is
+    also appended to ``etl_log``. ``incremental_days`` restricts facts to
+    transactions dated in the last N days (F2); the default loads the whole
+    backlog (F1)."""
     day = as_date(as_of)
     run_id = run_id or f"{day:%Y%m%d}-{int(time.time())}"
     op = io.read_tables(spark, operational_root, OPERATIONAL_TABLES)
-    an = io.read_tables(spark, analytics_root, ["dim_vendors", "dim_commodities", "dim_time", "fact_spend_analytics"])
-    log = []
+    root, log = analytics_root, []
 
     t = time.perf_counter()
-    dim_v = _conform(scd2_apply(an["dim_vendors"], op["vendors"], op["supplier_profiles"], day), "dim_vendors")
-    new_c = new_dim_commodities(op["commodities"], op["commodity_profiles"], an["dim_commodities"], day)
-    keyed_c = assign_keys(new_c, an["dim_commodities"], "commodity_key", ["commodity_id"])
-    dim_c = an["dim_commodities"].unionByName(_conform(keyed_c, "dim_commodities"))
-    dim_t = an["dim_time"].unionByName(_conform(dim_time(spark, existing=an["dim_time"]), "dim_time"))
-    log.append(("dimensions", None, None, 0, time.perf_counter() - t))
+    rows = load_dimensions(spark, op, root, day, run_id)
+    log.append(("dimensions", sum(rows.values()), None, 0, time.perf_counter() - t))
 
     t = time.perf_counter()
+    star = {n: io.read_table(spark, root, n) for n in rows}       # what is published, whatever the source does now
+    loaded = _stored(spark, root, "fact_spend_analytics")
     since = day - _dt.timedelta(days=incremental_days) if incremental_days else None
-    new_f = _conform(fact_spend_new(op["spend_transactions"], dim_v, dim_c, dim_t, an["fact_spend_analytics"], day,
-                                    since=since), "fact_spend_analytics")
-    valid, rejected = apply_checks(new_f, rules_for("fact_spend_analytics", new_f))
-    n_rejected = rejected.count()
-    if n_rejected:
-        raise LoadRejected(f"{n_rejected} new facts fail the fact rules; run {run_id} not published")
-    valid, obs = observed(valid, "facts")
-    valid.write.mode("append").parquet(io.table_path(spark, analytics_root, "fact_spend_analytics"))
-    inserted = obs.get.get("rows", 0)
-    log.append(("facts", None, inserted, n_rejected, time.perf_counter() - t))
+    spend = fill_fiscal(op["spend_transactions"])
+    new = fact_spend_new(spend, star["dim_vendors"], star["dim_commodities"], star["dim_time"], loaded, day, since=since)
+    rich = _conform(enrich_facts(new, spend, star["dim_vendors"], star["dim_contracts"], op["contracts"],
+                                 op["purchase_orders"], star["dim_business_units"]), "fact_spend_analytics")
+    staging = f"{root}/_staging/{run_id}-{uuid.uuid4().hex[:8]}"
+    tag_failures(rich, rules_for("fact_spend_analytics", rich)).write.parquet(staging)
+    staged = spark.read.parquet(staging)
+    counts = staged.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.size("failed_rules") > 0, 1)).alias("bad")).first()
+    if counts["bad"]:
+        raise LoadRejected(f"{counts['bad']} new facts fail the fact rules; run {run_id} appended none, see {staging}")
+    if "fact_spend_analytics" in io.manifest(spark, root) or io.exists(spark, f"{root}/fact_spend_analytics"):
+        staged.drop("failed_rules").write.mode("append").parquet(io.table_path(spark, root, "fact_spend_analytics"))
+    else:
+        io.publish({"fact_spend_analytics": staged.drop("failed_rules")}, root, run_id=run_id)
+    log.append(("facts", counts["n"], counts["n"], 0, time.perf_counter() - t))
 
     t = time.perf_counter()
-    io.publish({"dim_vendors": dim_v, "dim_commodities": dim_c, "dim_time": dim_t}, analytics_root, run_id=run_id)
-    log.append(("publish_dimensions", None, None, 0, time.perf_counter() - t))
-    return run_log(spark, log).withColumn("run_id", F.lit(run_id))
+    facts = io.read_table(spark, root, "fact_spend_analytics")
+    io.publish({
+        "fact_supplier_performance": _conform(fact_supplier_performance(
+            op["performance_metrics"], star["dim_vendors"], star["dim_time"], day), "fact_supplier_performance"),
+        "fact_savings_realization": _conform(fact_savings_realization(
+            facts, star["dim_commodities"], star["dim_time"], op["savings_targets"], day), "fact_savings_realization"),
+    }, root, run_id=f"{run_id}-summary")
+    log.append(("summary_facts", None, None, 0, time.perf_counter() - t))
+
+    t = time.perf_counter()
+    both = {**{n: op[n] for n in op}, **star, "fact_spend_analytics": facts}
+    status = check_consistency(both).first()["status"]
+    orphans = orphan_facts(both).first()["orphaned_count"]
+    log.append((f"reconciliation:{status}", facts.count(), None, int(orphans), time.perf_counter() - t))
+    out = run_log(spark, log).withColumn("run_id", F.lit(run_id))
+    out.coalesce(1).write.mode("append").parquet(f"{root}/etl_log")
+    return out

@@ -134,8 +134,9 @@ def estimate(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray) -> tupl
     used = (a != EMPTY) | (b != EMPTY)
     total = np.maximum(used.sum(axis=1), 1)
     share = ((a == b) & used).sum(axis=1) / total
-    cls = [np.round(2 * np.log2(np.maximum(x, 1))).astype(int) for x in (n, m)]
-    by_chance = np.array([accidental(int(x), int(y)) for x, y in zip(*cls, strict=True)]) * BUCKETS / total
+    cls = np.stack([np.round(2 * np.log2(np.maximum(x, 1))).astype(int) for x in (n, m)], axis=1)
+    kinds, which = np.unique(cls, axis=0, return_inverse=True)
+    by_chance = np.array([accidental(int(x), int(y)) for x, y in kinds])[which.ravel()] * BUCKETS / total
     by_chance = np.minimum(by_chance, 0.5)
     return (share - by_chance) / (1 - by_chance), np.sqrt(0.85 * 0.15 / total)
 

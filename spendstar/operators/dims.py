@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import dates as D
 from ..params import CALENDAR_END, CALENDAR_START, as_date
 from ..plans.prefix import assign_keys
+from ..session import ensure_checkpoint_dir
 
 VENDOR_DIM_COLS = ["vendor_id", "vendor_name", "vendor_tier", "diversity_classification", "risk_rating",
                    "country", "region", "effective_start_date", "is_current_record"]
@@ -89,6 +90,21 @@ def dim_time(spark: SparkSession, start=CALENDAR_START, end=CALENDAR_END,
     days = (spark.range(1)
             .select(F.explode(F.sequence(F.lit(start), F.lit(end), F.expr("interval 1 day"))).alias("date_actual"))
             .repartition(n_parts))
+    return calendar_rows(days, existing)
+
+
+def calendar_of(spend: DataFrame, existing: DataFrame | None = None, start=CALENDAR_START,
+                end=CALENDAR_END) -> DataFrame:
+    """D3 for given transactions: every day from the first transaction date to
+    the last (the fiscal calendar has no gaps) within the calendar's range,
+    without the days that ``existing`` already has."""
+    inside = spend.filter(F.col("transaction_date").between(D.lit_date(start), D.lit_date(end)))
+    span = inside.agg(F.min("transaction_date").alias("a"), F.max("transaction_date").alias("b")).filter("a is not null")
+    return calendar_rows(span.select(F.explode(F.sequence("a", "b", F.expr("interval 1 day"))).alias("date_actual")), existing)
+
+
+def calendar_rows(days: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+    """Calendar attributes of the days in ``date_actual``; keys in ``existing`` are skipped."""
     d = F.col("date_actual")
     out = days.select(
         D.time_key(d).alias("time_key"),
@@ -149,23 +165,37 @@ def dim_contracts(contracts: DataFrame, risk: DataFrame, as_of, existing: DataFr
     return assign_keys(rows, existing, "contract_key", ["contract_id"])
 
 
-def dim_business_units(bu: DataFrame, as_of, max_depth: int = 10, existing: DataFrame | None = None) -> DataFrame:
-    """Business units with ``level_in_hierarchy`` (roots are 1).
-
-    Levels come from a recursive CTE (Spark 4.1 runs it as an iterative
-    union loop that stops when a level adds no rows), bounded by
-    ``max_depth``; units deeper than that, or on a parent cycle, keep a NULL
-    level.
-    """
-    units = bu.select("business_unit_id", "parent_unit_id")
-    levels = bu.sparkSession.sql(f"""
-        with recursive lv(business_unit_id, lvl) as (
-          select business_unit_id, 1 from {{units}} where parent_unit_id is null
-          union all
-          select u.business_unit_id, lv.lvl + 1
-          from {{units}} u join lv on u.parent_unit_id = lv.business_unit_id
-          where lv.lvl < {int(max_depth)})
-        select business_unit_id, min(lvl) as level_in_hierarchy from lv group by business_unit_id""", units=units)
+def unit_levels(bu: DataFrame) -> DataFrame:
+    """(business_unit_id, level_in_hierarchy) of every unit that a root
+    reaches; roots are 1. Each round doubles how far a unit has looked up its
+    chain of parents, so the rounds follow the logarithm of the depth and no
+    depth is cut off. Units on a parent cycle, or below an unknown parent,
+    are not reached from a root and get no row."""
+    ensure_checkpoint_dir(bu.sparkSession)
+    at = bu.filter(F.col("business_unit_id").isNotNull()).select(
+        F.col("business_unit_id").alias("unit"), F.col("parent_unit_id").alias("above"),
+        F.when(F.col("parent_unit_id").isNull(), 1).otherwise(0).alias("level"),
+        F.lit(1).cast("long").alias("up")).dropDuplicates(["unit"]).checkpoint(eager=True)
+    units = at.count()
+    reach = 1
+    while reach <= 2 * units and not at.filter("level = 0 and above is not null").isEmpty():
+        high = at.select(F.col("unit").alias("above"), F.col("above").alias("_above"), F.col("level").alias("_level"),
+                         F.col("up").alias("_up"))
+        open_ = F.col("level") == 0
+        at = (at.join(high, "above", "left").select(
+            "unit", F.when(open_, F.col("_above")).otherwise(F.col("above")).alias("above"),
+            F.when(open_ & (F.col("_level") > 0), F.col("_level") + F.col("up")).otherwise(F.col("level")).alias("level"),
+            F.when(open_, F.col("up") + F.coalesce("_up", F.lit(0))).otherwise(F.col("up")).alias("up"))
+            .checkpoint(eager=True))
+        reach *= 2
+    return at.filter("level > 0").select(F.col("unit").alias("business_unit_id"),
+                                         F.col("level").alias("level_in_hierarchy"))
+
+
+def dim_business_units(bu: DataFrame, as_of, existing: DataFrame | None = None) -> DataFrame:
+    """Business units with ``level_in_hierarchy`` (roots are 1, NULL for
+    units that no root reaches)."""
+    levels = unit_levels(bu)
     rows = (bu.join(levels, "business_unit_id", "left")
               .select("business_unit_id", "business_unit_name", "parent_unit_id",
                       F.col("level_in_hierarchy").cast("int").alias("level_in_hierarchy"),

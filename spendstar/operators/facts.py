@@ -16,8 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dates as D
-from ..functions.agg import dec
-from ..params import as_date
+from ..functions.agg import dec, real
+from ..params import as_date, time_key_of
 from ..session import ensure_checkpoint_dir
 from .dims import calendar
 
@@ -45,6 +45,11 @@ def fact_spend_new(spend: DataFrame, dim_vendors: DataFrame, dim_commodities: Da
         st = st.filter(F.col("transaction_date") >= D.lit_date(since))
     # The "not loaded yet" test depends on the transaction alone, so it runs
     # first: a daily run joins only its new transactions to the dimensions.
+    # With ``since`` only the loaded facts of those days are looked at (a
+    # time_key range on the scan); a transaction re-dated after its load needs
+    # the full backlog load.
+    if since is not None:
+        existing = existing.filter(F.col("time_key") >= F.lit(time_key_of(as_date(since))))
     st = (st.withColumn("source_transaction_id", F.col("transaction_id").cast("string"))
             .join(_loaded_ids(existing), "source_transaction_id", "left_anti"))
     dv = dim_vendors.filter(F.col("is_current_record")).select("vendor_id", "vendor_key")
@@ -99,7 +104,7 @@ def fact_supplier_performance(metrics: DataFrame, dim_vendors: DataFrame, dim_ti
     m = (metrics.filter(F.col("metric_name").isin(PERFORMANCE_METRICS))
                 .join(dv, "vendor_id")
                 .join(days, F.col("measurement_period_end") == days.date_actual))
-    aggs = [F.try_divide(F.sum(F.when(F.col("metric_name") == name, dec("metric_value", 4))).cast("double"),
+    aggs = [F.try_divide(F.sum(F.when(F.col("metric_name") == name, real("metric_value"))).cast("double"),
                          F.count(F.when(F.col("metric_name") == name, F.col("metric_value")))).alias(name)
             for name in PERFORMANCE_METRICS]
     out = m.groupBy("vendor_key", "time_key").agg(*aggs)
@@ -204,12 +209,12 @@ def enrich_facts(facts: DataFrame, spend: DataFrame, dim_vendors: DataFrame, dim
              .join(terms, "contract_id", "left")
              .join(po, "po_id", "left")
              .join(bu, "business_unit_id", "left"))
-    disc = F.col("discount").cast("decimal(4,2)")
+    disc = F.col("discount").cast("decimal(13,10)")
     baseline = (F.col("unit_price") * (F.lit(1).cast("decimal(1,0)") + disc)).cast("decimal(18,4)")
     return j.select(
         *base.columns, "contract_key", "business_unit_key",
         (F.col("spend_amount") * risk_factor(F.col("risk_rating"))).cast("decimal(18,3)").alias("risk_weighted_spend"),
-        (F.col("spend_amount") * F.col("esg_score").cast("decimal(5,0)") * F.lit(0.01).cast("decimal(2,2)"))
+        (F.col("spend_amount") * F.col("esg_score").cast("decimal(13,10)") * F.lit(0.01).cast("decimal(2,2)"))
         .cast("decimal(20,4)").alias("esg_weighted_spend"),
         ((baseline - F.col("unit_price")) * F.col("quantity").cast("decimal(18,4)")).cast("decimal(18,4)")
         .alias("savings_amount"),

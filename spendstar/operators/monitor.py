@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import dates as D
-from ..functions.agg import dsum
+from ..functions.agg import dec
 from ..params import as_date
 from .dims import calendar
 
@@ -28,9 +28,12 @@ def etl_daily_volume(facts: DataFrame, as_of, days: int = 30) -> DataFrame:
     spend, distinct vendors and commodities."""
     since = as_date(as_of) - _dt.timedelta(days=days)
     return (facts.filter(F.col("load_date") >= F.lit(since))
+            # combined per vendor and commodity first, so the distinct counts expand those rows, not the facts
+            .groupBy("load_date", "vendor_key", "commodity_key")
+            .agg(F.count(F.lit(1)).alias("_n"), F.sum(dec("spend_amount")).alias("_spend"))
             .groupBy("load_date")
-            .agg(F.count(F.lit(1)).alias("records_loaded"),
-                 dsum("spend_amount").alias("total_spend_loaded"),
+            .agg(F.sum("_n").alias("records_loaded"),
+                 F.sum("_spend").cast("double").alias("total_spend_loaded"),
                  F.countDistinct("vendor_key").alias("vendors_affected"),
                  F.countDistinct("commodity_key").alias("commodities_affected"))
             .orderBy(F.desc("load_date")))

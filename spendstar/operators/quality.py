@@ -178,15 +178,20 @@ def rules_for(table: str, df: DataFrame) -> list[tuple[str, str]]:
     return [(name, sql) for t, name, sql in CHECK_RULES if t == table and _columns_of(sql) <= cols]
 
 
+def tag_failures(df: DataFrame, rules: Sequence[tuple[str, str]]) -> DataFrame:
+    """``df`` with ``failed_rules``: the names of the rules that each row fails."""
+    fails = [F.when(~F.coalesce(F.expr(sql), F.lit(True)), F.lit(name)) for name, sql in rules]
+    return df.withColumn("failed_rules", F.filter(F.array(*fails), lambda x: x.isNotNull()) if fails
+                         else F.array().cast("array<string>"))
+
+
 def apply_checks(df: DataFrame, rules: Sequence[tuple[str, str]], strict: bool = False,
                  table: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Q9/Q12: split ``df`` into (valid, rejected). A rule holds when its
     predicate is true or NULL. Rejected rows carry ``failed_rules`` (array of
     rule names). ``strict=True`` raises on the first failing rule instead
     (one aggregate over ``df``; only counts reach the driver)."""
-    fails = [F.when(~F.coalesce(F.expr(sql), F.lit(True)), F.lit(name)) for name, sql in rules]
-    tagged = df.withColumn("failed_rules", F.filter(F.array(*fails), lambda x: x.isNotNull()) if fails
-                           else F.array().cast("array<string>"))
+    tagged = tag_failures(df, rules)
     if strict and rules:
         counts = violation_counts(df, rules).filter(F.col("violations") > 0).take(1)
         if counts:
@@ -205,21 +210,42 @@ def violation_counts(df: DataFrame, rules: Sequence[tuple[str, str]]) -> DataFra
     return wide.selectExpr(f"stack({len(rules)}, {pairs}) as (rule_name, violations)")
 
 
-def dq_check_violations(T: Mapping[str, DataFrame]) -> DataFrame:
-    """Q9 over every table of ``T``: (table_name, rule_name, violations)."""
-    parts = []
-    for table in T:
-        df = T[table]
-        rules = rules_for(table, df)
-        if rules:
-            parts.append(violation_counts(df, rules).select(F.lit(table).alias("table_name"), "rule_name",
-                                                             "violations"))
+#: Status of a declared check: it ran, or what it needs is not there.
+CHECKED, NO_TABLE, NO_COLUMN = "CHECKED", "TABLE_MISSING", "COLUMN_MISSING"
+
+
+def _status(T: Mapping[str, DataFrame], table: str, columns: set[str]) -> str:
+    if table not in T:
+        return NO_TABLE
+    return CHECKED if columns <= set(T[table].columns) else NO_COLUMN
+
+
+def _union(parts: Sequence[DataFrame]) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:
-        out = out.unionByName(p)
+        out = out.unionByName(p, allowMissingColumns=True)
     return out
 
 
+def dq_check_violations(T: Mapping[str, DataFrame]) -> DataFrame:
+    """Q9: one row per declared rule: (table_name, rule_name, status,
+    violations). Each table is read once for all its rules. A rule whose table
+    or column is absent has a status that says so and NULL violations."""
+    parts, absent = [], []
+    for table in dict.fromkeys(t for t, _, _ in CHECK_RULES):
+        mine = [(name, sql) for t, name, sql in CHECK_RULES if t == table]
+        state = {name: _status(T, table, _columns_of(sql)) for name, sql in mine}
+        rules = [(name, sql) for name, sql in mine if state[name] == CHECKED]
+        if rules:
+            parts.append(violation_counts(T[table], rules).select(
+                F.lit(table).alias("table_name"), "rule_name", F.lit(CHECKED).alias("status"), "violations"))
+        absent += [(table, name, state[name]) for name, _ in mine if state[name] != CHECKED]
+    spark = T[next(iter(T))].sparkSession
+    gone = spark.createDataFrame(absent, "table_name string, rule_name string, status string") \
+                .withColumn("violations", F.lit(None).cast("long"))
+    return _union([*parts, gone])
+
+
 def check_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """Q10: one row: rows, rows with a NULL key column, key values occurring
     more than once, and rows in such groups. One scan and one shuffle: the
@@ -238,35 +264,19 @@ def check_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
 
 
 def dq_duplicate_keys(T: Mapping[str, DataFrame]) -> DataFrame:
-    """Q10 over every declared key whose columns exist in ``T``, as one plan:
-    each table contributes (check id, key value as JSON, NULL flag) rows, all
-    checks are counted per key value in one aggregation (combined map-side)
-    and then per check."""
-    parts, labels = [], []
+    """Q10: one row per declared key: (table_name, key_columns, status, counts).
+    Every key is grouped by its own typed columns (``check_keys``); a key whose
+    table or column is absent has a status that says so and NULL counts."""
+    parts, absent = [], []
     for table, key in KEYS:
-        if table in T and set(key) <= set(T[table].columns):
-            i = len(labels)
-            labels.append((i, table, ",".join(key)))
-            null = None
-            for k in key:
-                null = F.col(k).isNull() if null is None else (null | F.col(k).isNull())
-            parts.append(T[table].select(F.lit(i).alias("_check"), F.to_json(F.struct(*key)).alias("_key"),
-                                         null.alias("_null")))
-    tagged = parts[0]
-    for p in parts[1:]:
-        tagged = tagged.unionByName(p)
-    per_key = tagged.groupBy("_check", "_key").agg(F.count(F.lit(1)).alias("_n"), F.max("_null").alias("_null"))
-    per_check = per_key.groupBy("_check").agg(
-        F.sum("_n").cast("long").alias("row_count"),
-        F.coalesce(F.sum(F.when(F.col("_null"), F.col("_n"))), F.lit(0)).cast("long").alias("null_key_rows"),
-        F.count(F.when(F.col("_n") > 1, 1)).alias("duplicate_groups"),
-        F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0)).cast("long").alias("duplicate_rows"))
-    names = T[next(iter(T))].sparkSession.createDataFrame(labels, "_check int, table_name string, key_columns string")
-    # ``names`` has one row per declared key (a fixed list)
-    return (F.broadcast(names).join(per_check, "_check", "left")
-            .select("table_name", "key_columns",
-                    *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c)
-                      for c in ("row_count", "null_key_rows", "duplicate_groups", "duplicate_rows")]))
+        state, label = _status(T, table, set(key)), ",".join(key)
+        if state == CHECKED:
+            parts.append(check_keys(T[table], key).select(
+                F.lit(table).alias("table_name"), F.lit(label).alias("key_columns"), F.lit(CHECKED).alias("status"), "*"))
+        else:
+            absent.append((table, label, state))
+    spark = T[next(iter(T))].sparkSession
+    return _union([*parts, spark.createDataFrame(absent, "table_name string, key_columns string, status string")])
 
 
 def check_fk(child: DataFrame, col: str, parent: DataFrame, parent_col: str) -> DataFrame:
@@ -276,24 +286,37 @@ def check_fk(child: DataFrame, col: str, parent: DataFrame, parent_col: str) ->
 
 
 def dq_fk_violations(T: Mapping[str, DataFrame]) -> DataFrame:
-    """Q11 for every declared foreign key present in ``T``:
-    (child_table, child_column, parent_table, parent_column, violations).
-
-    Each check is an anti join of the non-NULL child keys with the parent
-    keys: Spark broadcasts the parent side when it is measured small (no
-    shuffle of the child at all) and falls back to a sort-merge anti join
-    with AQE skew splitting when it is not."""
-    parts = []
-    for child, col, parent, pcol in FOREIGN_KEYS:
-        if child in T and parent in T and col in T[child].columns and pcol in T[parent].columns:
-            bad = check_fk(T[child].select(col), col, T[parent], pcol)
-            parts.append(bad.agg(F.count(F.lit(1)).alias("violations")).select(
-                F.lit(child).alias("child_table"), F.lit(col).alias("child_column"),
-                F.lit(parent).alias("parent_table"), F.lit(pcol).alias("parent_column"), "violations"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """Q11: one row per declared foreign key: (child_table, child_column,
+    parent_table, parent_column, status, violations).
+
+    Each child table is read once: its key columns become (check, key) rows,
+    counted per key value (map-side, so a hot key costs one row per task).
+    The counted keys are anti-joined with the parents' keys and the counts
+    left over are the violations. A key whose table or column is absent has a
+    status that says so and NULL violations."""
+    state = [_status(T, c, {col}) if _status(T, c, {col}) != CHECKED else _status(T, p, {pcol})
+             for c, col, p, pcol in FOREIGN_KEYS]
+    run = [i for i, x in enumerate(state) if x == CHECKED]
+    children, parents = [], []
+    for table in dict.fromkeys(FOREIGN_KEYS[i][0] for i in run):
+        mine = [i for i in run if FOREIGN_KEYS[i][0] == table]
+        pairs = F.array(*[F.struct(F.lit(i).alias("_check"), F.col(FOREIGN_KEYS[i][1]).cast("string").alias("_key"))
+                          for i in mine])
+        rows = T[table].select(F.explode(pairs).alias("_p")).select("_p._check", "_p._key")
+        children.append(rows.filter(F.col("_key").isNotNull()).groupBy("_check", "_key").agg(F.count(F.lit(1)).alias("_n")))
+    for table, col in dict.fromkeys((FOREIGN_KEYS[i][2], FOREIGN_KEYS[i][3]) for i in run):
+        mine = [i for i in run if FOREIGN_KEYS[i][2:] == (table, col)]
+        keys = T[table].select(F.col(col).cast("string").alias("_key")).filter(F.col("_key").isNotNull())
+        parents.append(keys.select(F.explode(F.array(*[F.lit(i) for i in mine])).alias("_check"), "_key"))
+    left = _union(children).join(_union(parents), ["_check", "_key"], "left_anti")
+    bad = left.groupBy("_check").agg(F.sum("_n").alias("violations"))
+    names = T[next(iter(T))].sparkSession.createDataFrame(
+        [(i, *FOREIGN_KEYS[i], state[i]) for i in range(len(FOREIGN_KEYS))],
+        "_check int, child_table string, child_column string, parent_table string, parent_column string, status string")
+    # ``names`` has one row per declared key (a fixed list), ``bad`` at most as many
+    return names.join(bad, "_check", "left").select(
+        "child_table", "child_column", "parent_table", "parent_column", "status",
+        F.when(F.col("status") == CHECKED, F.coalesce("violations", F.lit(0))).cast("long").alias("violations"))
 
 
 def po_line_amount_violations(po_lines: DataFrame, tolerance: float = 0.01) -> DataFrame:
@@ -385,24 +408,19 @@ def orphan_facts(T: Mapping[str, DataFrame]) -> DataFrame:
     """Q5: facts whose vendor, commodity or day is missing from its
     dimension (a NULL key counts as missing).
 
-    The missing key values are found from the facts' distinct keys (combined
-    map-side) anti-joined with each dimension; the facts are then flagged
-    against those key sets, which Spark broadcasts when they are measured
-    small (the usual case) instead of shuffling the facts once per
-    dimension."""
-    f = T["fact_spend_analytics"].select("vendor_key", "commodity_key", "time_key")
-    dims = [("vendor_key", T["dim_vendors"]), ("commodity_key", T["dim_commodities"]),
-            ("time_key", T["dim_time"])]
-    flagged = f
-    missing_any = None
-    for key, dim in dims:
-        missing = (f.select(key).filter(F.col(key).isNotNull()).distinct()
-                    .join(dim.select(key), key, "left_anti").withColumn("_m_" + key, F.lit(True)))
-        flagged = flagged.join(missing, key, "left")
-        cond = F.col("_m_" + key).isNotNull() | F.col(key).isNull()
-        missing_any = cond if missing_any is None else (missing_any | cond)
+    One scan: the facts are combined to one row per key combination
+    (map-side), and those rows are joined to the dimensions' distinct keys.
+    A hot key costs one row per task; Spark broadcasts a dimension that is
+    measured small."""
+    keys = ["vendor_key", "commodity_key", "time_key"]
+    flagged = T["fact_spend_analytics"].groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    missing_any = F.lit(False)
+    for key, table in zip(keys, ("dim_vendors", "dim_commodities", "dim_time"), strict=True):
+        there = T[table].select(key).filter(F.col(key).isNotNull()).distinct().withColumn("_has_" + key, F.lit(True))
+        flagged = flagged.join(there, key, "left")
+        missing_any = missing_any | F.col("_has_" + key).isNull()
     return flagged.agg(F.lit("Orphaned Fact Records").alias("check_name"),
-                       F.count(F.when(missing_any, 1)).alias("orphaned_count"))
+                       F.coalesce(F.sum(F.when(missing_any, F.col("_n"))), F.lit(0)).cast("long").alias("orphaned_count"))
 
 
 def check_consistency(T: Mapping[str, DataFrame], vendor_tolerance: int = 10, ratio_floor: float = 0.9) -> DataFrame:

@@ -23,8 +23,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import dates as D
-from ..functions.agg import dec, davg, dsum, pct, ratio
-from ..params import FISCAL_YEAR, as_date, time_key_of
+from ..functions.agg import davg, dec, dsum, pct, ratio, real
+from ..params import FISCAL_YEAR, as_date, fiscal_year_time_keys, time_key_of
 from ..plans.prefix import ordered_running
 from .dims import calendar
 from .views import (contract_expiry_alerts, current_vendors, facts_in_fiscal_year, facts_with_calendar, mean_of,
@@ -66,13 +66,25 @@ def risk_weighted_spend(T: Mapping[str, DataFrame]) -> DataFrame:
 
 
 # --------------------------------------------------------------- reports
-def supplier_performance(T: Mapping[str, DataFrame], fiscal_year: int = FISCAL_YEAR) -> DataFrame:
+def restated(facts: DataFrame, dim_vendors: DataFrame) -> DataFrame:
+    """Facts re-pointed from superseded vendor versions to the vendor's current
+    one; facts of vendors without a current version keep their key. One row
+    per superseded version is joined, so current facts need no match."""
+    now = current_vendors(dim_vendors).groupBy("vendor_id").agg(F.max("vendor_key").alias("_now"))
+    old = dim_vendors.filter(~F.col("is_current_record")).select("vendor_id", "vendor_key").join(now, "vendor_id") \
+                     .select("vendor_key", "_now")
+    return facts.join(old, "vendor_key", "left").withColumn("vendor_key", F.coalesce("_now", "vendor_key")).drop("_now")
+
+
+def supplier_performance(T: Mapping[str, DataFrame], fiscal_year: int = FISCAL_YEAR, restate: bool = False) -> DataFrame:
     """R1 (flagship): per current vendor version in one fiscal year:
     distinct commodities, spend, mean OTIF / quality / compliance, savings;
     largest spend first. Facts booked on superseded vendor versions are not
-    counted (the report filters the vendor dimension to current rows)."""
+    counted (the report filters the vendor dimension to current rows) unless
+    ``restate`` is set: they then count for the vendor's current version."""
     dv = current_vendors(T["dim_vendors"]).select("vendor_key", "vendor_name", "vendor_tier", "risk_rating")
-    per = vendor_measures(facts_in_fiscal_year(T, fiscal_year))
+    facts = facts_in_fiscal_year(T, fiscal_year)
+    per = vendor_measures(restated(facts, T["dim_vendors"]) if restate else facts)
     return (per.join(dv, "vendor_key")
                .select("vendor_name", "vendor_tier", "risk_rating",
                        F.col("_commodities").alias("categories_served"),
@@ -93,7 +105,9 @@ def savings_realization(T: Mapping[str, DataFrame], years=(2023, 2024)) -> DataF
                     "fiscal_quarter")
     dc = T["dim_commodities"].select("commodity_key", "parent_category")
     baseline = dec("baseline_price", 4) * F.col("quantity").cast("decimal(18,4)")
-    per = (T["fact_spend_analytics"].filter(F.col("savings_amount") > 0).join(days, "time_key")
+    lo, hi = fiscal_year_time_keys(min(years))[0], fiscal_year_time_keys(max(years))[1]
+    per = (T["fact_spend_analytics"].filter(F.col("time_key").between(lo, hi) & (F.col("savings_amount") > 0))
+           .join(days, "time_key")
            .groupBy("fiscal_year", "fiscal_quarter", "commodity_key")
            .agg(F.sum(dec("spend_amount")).alias("_spend"), F.sum(dec("savings_amount", 4)).alias("_savings"),
                 F.sum(baseline).alias("_baseline")))
@@ -178,7 +192,7 @@ def esg_diversity(T: Mapping[str, DataFrame]) -> DataFrame:
     dv = (current_vendors(T["dim_vendors"]).filter(F.col("diversity_classification").isNotNull())
           .select("vendor_key", "diversity_classification", "esg_score"))
     per = vendor_measures(facts_with_calendar(T, "fiscal_year"), "fiscal_year")
-    esg = dec("esg_score")
+    esg = real("esg_score")
     # One pass over the facts: vendors without a (current, classified) row
     # fall into a NULL group that only feeds the year total; the total is a
     # window over the few groups of each year.
@@ -254,12 +268,15 @@ def procurement_roi(T: Mapping[str, DataFrame], cost_rate: float = 0.01) -> Data
     """Per fiscal year: managed spend, savings, savings rate, vendors and
     commodities managed, mean compliance, estimated cost (``cost_rate`` of
     spend) and ROI % = (savings - cost) / cost x 100."""
-    m = facts_with_calendar(T, "fiscal_year").groupBy("fiscal_year").agg(
-        dsum("spend_amount").alias("total_managed_spend"),
-        dsum("savings_amount", 4).alias("total_savings"),
+    per = facts_with_calendar(T, "fiscal_year").groupBy("fiscal_year", "vendor_key", "commodity_key").agg(
+        F.sum(dec("spend_amount")).alias("_spend"), F.sum(dec("savings_amount", 4)).alias("_savings"),
+        F.sum(real("compliance_score")).alias("_comp_s"), F.count("compliance_score").alias("_comp_n"))
+    m = per.groupBy("fiscal_year").agg(
+        F.sum("_spend").cast("double").alias("total_managed_spend"),
+        F.sum("_savings").cast("double").alias("total_savings"),
         F.countDistinct("vendor_key").alias("vendors_managed"),
         F.countDistinct("commodity_key").alias("categories_managed"),
-        davg("compliance_score").alias("avg_compliance"))
+        mean_of("_comp_s", "_comp_n", rollup=True).alias("avg_compliance"))
     cost = F.col("total_managed_spend") * F.lit(float(cost_rate))
     return (m.select("fiscal_year", "total_managed_spend", "total_savings",
                      pct("total_savings", "total_managed_spend").alias("savings_rate"),
@@ -287,7 +304,7 @@ def tail_spend(T: Mapping[str, DataFrame], cutoff: float = 0.8, num_partitions:
     # twice.
     ranked = ordered_running(vy, [F.desc("v_spend"), F.col("vendor_key")], group=["fiscal_year"],
                              value="v_spend", index_col="rank", sum_col="cum_spend",
-                             num_partitions=num_partitions, stable="checkpoint")
+                             num_partitions=num_partitions)
     totals = ranked.groupBy("fiscal_year").agg(F.sum("v_spend").alias("fy_spend"))   # reads the slices
     before = (F.col("cum_spend") - F.col("v_spend")).cast("double")
     tail = F.try_divide(before, F.col("fy_spend").cast("double")) >= F.lit(float(cutoff))
@@ -341,7 +358,7 @@ def compliance_scorecard(T: Mapping[str, DataFrame], floor: float = 80.0) -> Dat
     dc = T["dim_commodities"].select("commodity_key", "parent_category")
     score = F.col("compliance_score")
     per = facts_with_calendar(T, "fiscal_year").groupBy("fiscal_year", "commodity_key").agg(
-        F.sum(dec("compliance_score")).alias("_cs"),
+        F.sum(real("compliance_score")).alias("_cs"),
         F.count(F.when(score < F.lit(float(floor)), 1)).alias("_u"),
         F.count(score).alias("_n"),
         F.sum(F.when(F.col("contract_key").isNotNull(), dec("spend_amount"))).alias("_o"),
@@ -367,19 +384,23 @@ def working_capital(T: Mapping[str, DataFrame]) -> DataFrame:
     spend paid later than the terms."""
     st = T["spend_transactions"].filter(F.col("payment_date").isNotNull())
     terms = T["contracts"].select("contract_id", "payment_terms")
-    f = (st.join(terms, "contract_id", "left")
-           .withColumn("fiscal_year", D.fiscal_year("transaction_date"))
+    # combined per contract, quarter and days first: the join sees one row of
+    # each, so transactions without a contract are no hot key
+    f = (st.withColumn("fiscal_year", D.fiscal_year("transaction_date"))
            .withColumn("fiscal_quarter", D.fiscal_quarter("transaction_date"))
-           .withColumn("_days", F.datediff("payment_date", "invoice_date")))
-    amt = dec("total_amount")
+           .withColumn("_days", F.datediff("payment_date", "invoice_date"))
+           .groupBy("fiscal_year", "fiscal_quarter", "contract_id", "_days")
+           .agg(F.sum(dec("total_amount")).alias("_a"), F.count(F.lit(1)).alias("_n"))
+           .join(terms, "contract_id", "left"))
+    amt, n = F.col("_a"), F.col("_n")
     known = F.col("payment_terms").isNotNull()
     out = f.groupBy("fiscal_year", "fiscal_quarter").agg(
         F.sum(amt * F.col("_days")).alias("_wdays"),
         F.sum(amt).alias("_amt"),
-        davg("payment_terms").alias("avg_payment_terms"),
+        F.try_divide(F.sum(real("payment_terms") * n).cast("double"), F.sum(F.when(known, n))).alias("avg_payment_terms"),
         F.sum(F.when(known & (F.col("_days") > F.col("payment_terms")), amt)).alias("_late"),
         F.sum(F.when(known, amt)).alias("_backed"),
-        F.count(F.lit(1)).alias("transactions"))
+        F.sum(n).alias("transactions"))
     return out.select("fiscal_year", "fiscal_quarter",
                       ratio("_wdays", "_amt").alias("days_payable"),
                       "avg_payment_terms",

@@ -1,9 +1,9 @@
 """Spend anomaly scoring and supplier risk score (roadmap items of the
 source, built from their one-line definitions).
 
-Per-group statistics are grouped aggregates joined back to the rows, not
-windows: a vendor x commodity pair holding a large part of the facts is then
-combined map-side instead of being sorted whole inside one task.
+Per-group statistics are grouped aggregates (combined map-side) joined back to
+the rows, not windows, which would sort a large vendor x commodity pair whole
+inside one task.
 """
 
 from __future__ import annotations
@@ -14,27 +14,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dates as D
-from ..functions.agg import dec
+from ..functions.agg import davg
+from ..session import ensure_checkpoint_dir
 
 
 def spend_anomalies(T: Mapping[str, DataFrame], min_facts: int = 5, threshold: float = 3.0) -> DataFrame:
     """Z3: z-score of each fact's spend against its vendor x commodity
     history (groups with at least ``min_facts`` facts):
     ``z = (spend - mean) / stddev_samp``; anomalous when ``|z| > threshold``.
-    Statistics come from exact decimal sums; reported values are rounded to
-    6 decimals."""
+    The mean is an exact sum / count, the deviation Spark's ``stddev_samp``
+    (central moments, so large amounts do not cancel); reported values are
+    rounded to 6 decimals. The statistics are stored once in the checkpoint
+    folder: the join back then has two plain inputs, so a small statistics
+    table is broadcast and a pair that holds much of the facts is split by
+    Spark's skew-join handling."""
     f = T["fact_spend_analytics"].select("fact_key", "vendor_key", "commodity_key", "spend_amount")
-    x = dec("spend_amount")
     stats = (f.groupBy("vendor_key", "commodity_key")
-              .agg(F.count(F.lit(1)).alias("_n"), F.sum(x).cast("double").alias("_s1"),
-                   F.sum(x * x).cast("double").alias("_s2"))
+              .agg(F.count(F.lit(1)).alias("_n"), davg("spend_amount").alias("_mean"),
+                   F.stddev_samp(F.col("spend_amount").cast("double")).alias("_sd"))
               .filter(F.col("_n") >= min_facts))
-    n = F.col("_n").cast("double")
-    mean = F.col("_s1") / n
-    var = (F.col("_s2") - F.col("_s1") * F.col("_s1") / n) / (n - F.lit(1.0))
-    scored = (f.join(stats, ["vendor_key", "commodity_key"])
-               .withColumn("_mean", mean)
-               .withColumn("_sd", F.sqrt(F.greatest(var, F.lit(0.0)))))
+    ensure_checkpoint_dir(f.sparkSession)
+    stats = stats.checkpoint(eager=True)
+    scored = f.join(stats, ["vendor_key", "commodity_key"])
     z = F.try_divide(F.col("spend_amount").cast("double") - F.col("_mean"), F.col("_sd"))
     return scored.select("fact_key", "vendor_key", "commodity_key",
                          F.col("spend_amount").cast("double").alias("spend_amount"),

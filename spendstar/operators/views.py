@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dates as D
-from ..functions.agg import davg, dsum
+from ..functions.agg import real
 from ..params import fiscal_year_time_keys
 from .dims import calendar
 
@@ -56,14 +56,14 @@ def vendor_measures(facts: DataFrame, *group: str) -> DataFrame:
         F.count(F.lit(1)).alias("_rows"),
         F.count("fact_key").alias("_keys"),
         s("esg_weighted_spend", 4).alias("_esgw"),
-        s("unit_price").alias("_price_s"), F.count("unit_price").alias("_price_n"),
+        F.sum(real("unit_price")).alias("_price_s"), F.count("unit_price").alias("_price_n"),
         F.countDistinct("commodity_key").alias("_commodities"),
         s("spend_amount").alias("_spend"),
         s("savings_amount", 4).alias("_savings"),
         s("risk_weighted_spend", 3).alias("_rws"),
-        s("delivery_performance_score").alias("_deliv_s"), F.count("delivery_performance_score").alias("_deliv_n"),
-        s("quality_score").alias("_qual_s"), F.count("quality_score").alias("_qual_n"),
-        s("compliance_score").alias("_comp_s"), F.count("compliance_score").alias("_comp_n"))
+        F.sum(real("delivery_performance_score")).alias("_deliv_s"), F.count("delivery_performance_score").alias("_deliv_n"),
+        F.sum(real("quality_score")).alias("_qual_s"), F.count("quality_score").alias("_qual_n"),
+        F.sum(real("compliance_score")).alias("_comp_s"), F.count("compliance_score").alias("_comp_n"))
 
 
 def mean_of(sum_col: str, n_col: str, rollup: bool = False):
@@ -148,21 +148,30 @@ def current_fy_performance(T: Mapping[str, DataFrame], literal: bool = False) ->
     fiscal year. Default: the latest fiscal year that has facts.
     ``literal=True``: the latest fiscal year of the calendar (as the source
     view does; normally a year without facts)."""
-    dt = T["dim_time"]
-    f = facts_with_calendar(T, "fiscal_year")
-    latest = (dt if literal else f).agg(F.max("fiscal_year")).scalar()   # scalar subquery
+    days = T["dim_time"].select("time_key", "fiscal_year")
+    if not literal:
+        last = T["fact_spend_analytics"].agg(F.max("time_key")).scalar()     # statistics only, no calendar join
+        days = days.filter(F.col("time_key") <= last)
+    latest = days.agg(F.max("fiscal_year")).scalar()
+    # the year as a time_key range on the fact scan (scalar subqueries, pushed when the scan starts)
+    first = T["dim_time"].filter(F.col("fiscal_year") == latest).agg(F.min("time_key")).scalar()
+    end = T["dim_time"].filter(F.col("fiscal_year") == latest).agg(F.max("time_key")).scalar()
+    f = T["fact_spend_analytics"].filter((F.col("time_key") >= first) & (F.col("time_key") <= end))
+    f = f.join(calendar(T["dim_time"].filter(F.col("fiscal_year") == latest), "time_key"), "time_key")
     dv = current_vendors(T["dim_vendors"]).select("vendor_key", "vendor_name")
-    per = vendor_measures(f.filter(F.col("fiscal_year") == latest))
+    per = vendor_measures(f)
     return per.join(dv, "vendor_key").select(
         "vendor_key", "vendor_name", F.col("_spend").cast("double").alias("total_spend"),
         mean_of("_deliv_s", "_deliv_n").alias("avg_delivery"))
 
 
-def supplier_performance_by_year(T: Mapping[str, DataFrame]) -> DataFrame:
+def supplier_performance_by_year(T: Mapping[str, DataFrame], fiscal_year: int | None = None) -> DataFrame:
     """The supplier-performance view by fiscal year (R1 without the fixed
-    year), which the source's parameterised report reads."""
+    year), which the source's parameterised report reads; ``fiscal_year``
+    restricts the fact scan to that year's days."""
     dv = current_vendors(T["dim_vendors"]).select("vendor_key", "vendor_name", "vendor_tier", "risk_rating")
-    per = vendor_measures(facts_with_calendar(T, "fiscal_year"), "fiscal_year")
+    facts = facts_in_fiscal_year(T, fiscal_year, "fiscal_year") if fiscal_year else facts_with_calendar(T, "fiscal_year")
+    per = vendor_measures(facts, "fiscal_year")
     return per.join(dv, "vendor_key").select(
         "fiscal_year", "vendor_key", "vendor_name", "vendor_tier", "risk_rating",
         F.col("_commodities").alias("categories_served"),
@@ -176,11 +185,8 @@ def supplier_performance_by_year(T: Mapping[str, DataFrame]) -> DataFrame:
 def get_supplier_performance(T: Mapping[str, DataFrame], fiscal_year: int | None = None,
                              vendor_tier: str | None = None) -> DataFrame:
     """V8: name, OTIF and spend from the by-year view; each filter applies
-    only when its parameter is given (a falsy value means no filter). The
-    fiscal-year filter is pushed below the aggregate by Catalyst."""
-    v = supplier_performance_by_year(T)
-    if fiscal_year:
-        v = v.filter(F.col("fiscal_year") == F.lit(int(fiscal_year)))
+    only when its parameter is given (a falsy value means no filter)."""
+    v = supplier_performance_by_year(T, int(fiscal_year) if fiscal_year else None)
     if vendor_tier:
         v = v.filter(F.col("vendor_tier") == F.lit(vendor_tier))
     return v.select("vendor_name", "avg_otif", "total_spend")

@@ -68,7 +68,7 @@ PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     "dim_vendors_new_simple": lambda T: dims.new_dim_vendors_simple(T["vendors"], T["dim_vendors"], AS_OF),
     "dim_commodities_new": lambda T: dims.new_dim_commodities(T["commodities"], T["commodity_profiles"],
                                                               T["dim_commodities"], AS_OF),
-    "dim_time": lambda T: T["dim_time"],
+    "dim_time": lambda T: dims.calendar_of(T["spend_transactions"]),
     "dim_vendors_as_of": lambda T: dims.dim_as_of(T["dim_vendors"], AS_OF_HISTORY),
     "dim_contracts": lambda T: dims.dim_contracts(T["contracts"], T["risk_assessments"], AS_OF),
     "dim_business_units": lambda T: dims.dim_business_units(T["business_units"], AS_OF),
@@ -123,6 +123,7 @@ PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     "top_vendor_performance": reports.top_vendor_performance,
     "risk_weighted_spend": reports.risk_weighted_spend,
     "supplier_performance": lambda T: reports.supplier_performance(T, FISCAL_YEAR),
+    "supplier_performance_restated": lambda T: reports.supplier_performance(T, 2019, restate=True),
     "savings_realization": lambda T: reports.savings_realization(T, (2023, 2024)),
     "pipeline_plan": lambda T: reports.pipeline_plan(T, AS_OF),
     "contract_renewals": lambda T: reports.contract_renewals(T, AS_OF),

@@ -9,14 +9,11 @@ per-slice totals (one row per slice and group, so at most
 the offset back. The work per task is bounded by the slice size, whatever the
 size of the largest group.
 
-Recomputation safety: slice ids come from the physical range partitioning.
-Rows are sorted by the (total) order inside each input partition before the
-range exchange, so the sampled range bounds, and therefore the slices, are the
-same when a lost task or stage is recomputed. The slices feed two branches
-(local positions, per-slice totals) that Spark may compute separately, so an
-expensive input is computed twice in that mode; ``stable="checkpoint"``
-materializes the slices once in the shared checkpoint folder instead (used
-where the input is a fact aggregation).
+The slices feed two branches (local positions, per-slice totals). Range bounds
+are sampled per exchange, so two exchanges over the same rows may cut them
+differently; the slices are therefore stored once in the shared checkpoint
+folder (``spark.checkpoint.dir``) and both branches read that copy. A task
+recomputed after an executor loss reads the stored slices too.
 """
 
 from __future__ import annotations
@@ -35,7 +32,7 @@ def _col(c) -> Column:
 
 def ordered_running(df: DataFrame, order: Sequence, group: Sequence[str] = (), value: str | None = None,
                     index_col: str = "row_index", sum_col: str = "running_sum",
-                    num_partitions: int | None = None, stable: str = "sort") -> DataFrame:
+                    num_partitions: int | None = None) -> DataFrame:
     """Add ``index_col`` (1-based position in ``order`` within ``group``) and,
     when ``value`` is given, ``sum_col`` (inclusive running sum of ``value``).
 
@@ -47,12 +44,8 @@ def ordered_running(df: DataFrame, order: Sequence, group: Sequence[str] = (), v
     group = list(group)
     order_cols = [_col(c) for c in order]
     keys = [F.col(g) for g in group] + order_cols
-    if stable == "checkpoint":
-        ensure_checkpoint_dir(spark)
-        sliced = df.repartitionByRange(n, *keys).withColumn("_slice", F.spark_partition_id()).checkpoint(eager=True)
-    else:
-        sliced = (df.sortWithinPartitions(*keys).repartitionByRange(n, *keys)
-                    .withColumn("_slice", F.spark_partition_id()))
+    ensure_checkpoint_dir(spark)
+    sliced = df.repartitionByRange(n, *keys).withColumn("_slice", F.spark_partition_id()).checkpoint(eager=True)
 
     w_local = Window.partitionBy("_slice", *group).orderBy(*order_cols)
     local = sliced.withColumn("_lidx", F.row_number().over(w_local))

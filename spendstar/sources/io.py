@@ -2,13 +2,14 @@
 
 A "database" is a directory of Parquet tables, one sub-directory per table.
 Writes never overwrite a table that is being read: every load is written to
-a new version directory and published by replacing a small pointer file once
-all outputs are written and checked (all-or-nothing, readers see either the
-old or the new set).
+new version directories, and one manifest file for the whole database names
+the current version of each table. Publishing replaces that file by a single
+overwriting rename, so readers see either the old or the new set of tables.
 """
 
 from __future__ import annotations
 
+import json
 import time
 import uuid
 from collections.abc import Iterable, Mapping
@@ -19,7 +20,7 @@ from pyspark.sql.types import StructType
 
 from . import schemas
 
-POINTER = "_CURRENT"
+MANIFEST = "_MANIFEST"
 
 
 def _jfs(spark: SparkSession, path: str):
@@ -35,16 +36,34 @@ def _read_text(spark: SparkSession, path: str) -> str | None:
     jvm = spark.sparkContext._jvm
     reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(p), "UTF-8"))
     try:
-        line = reader.readLine()     # a one-line pointer file
+        line = reader.readLine()     # the manifest is one line
     finally:
         reader.close()
     return line.strip() if line else None
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _jfs(spark, path)
+    return fs.exists(p)
+
+
+def manifest(spark: SparkSession, root: str) -> dict[str, str]:
+    """Current version of each published table under ``root``."""
+    return json.loads(_read_text(spark, f"{root}/{MANIFEST}") or "{}")
+
+
 def table_path(spark: SparkSession, root: str, name: str) -> str:
-    """Current version directory of table ``name`` under ``root``."""
-    version = _read_text(spark, f"{root}/{name}/{POINTER}")
-    return f"{root}/{name}/{version}" if version else f"{root}/{name}"
+    """Current version directory of table ``name`` under ``root``; a table
+    that was never published is a plain Parquet directory. Version
+    directories without a manifest entry are an unfinished load: an error,
+    never a read across versions."""
+    version = manifest(spark, root).get(name)
+    if version:
+        return f"{root}/{name}/{version}"
+    fs, p = _jfs(spark, f"{root}/{name}")
+    if fs.exists(p) and any(s.isDirectory() and s.getPath().getName().startswith("v") for s in fs.listStatus(p)):
+        raise FileNotFoundError(f"{root}/{name} has versions but no published one")
+    return f"{root}/{name}"
 
 
 def read_table(spark: SparkSession, root: str, name: str, schema: StructType | None = None) -> DataFrame:
@@ -80,22 +99,38 @@ def read_tables(spark: SparkSession, root: str, names: Iterable[str] | None = No
     return ParquetTables(spark, root, names)
 
 
+#: Tables that grow with the business: they are read over many connections only.
+LARGE_TABLES = ("spend_transactions", "purchase_orders", "po_line_items", "fact_spend_analytics")
+
+
 def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict | None = None,
-              schema: StructType | None = None) -> DataFrame:
+              schema: StructType | None = None, column: str | None = None, lower: int | None = None,
+              upper: int | None = None, partitions: int | None = None) -> DataFrame:
     """S1 for a live relational source; the result is cast to the fixed
-    schema so downstream code sees the same types."""
-    df = spark.read.jdbc(url, table, properties=properties or {})
+    schema so downstream code sees the same types. ``column`` (numeric or
+    date), its bounds and the number of partitions split the read; one
+    connection for a large table is refused."""
+    split = (column, lower, upper, partitions)
+    if any(x is None for x in split) and (any(x is not None for x in split) or table in LARGE_TABLES):
+        raise ValueError(f"{table}: give column, lower, upper and partitions")
+    df = (spark.read.jdbc(url, table, properties=properties or {}) if column is None else
+          spark.read.jdbc(url, table, column, lower, upper, partitions, properties=properties or {}))
     schema = schema or schemas.ALL.get(table)
     if schema is None:
         return df
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def conform(df: DataFrame, schema: StructType, defaults: Mapping | None = None) -> DataFrame:
+def conform(df: DataFrame, schema: StructType, defaults: Mapping | None = None,
+            drop: Iterable[str] = ()) -> DataFrame:
     """Shape ``df`` like ``schema`` by name: missing columns get their
-    default (or a typed NULL), present ones are cast, extra ones dropped;
-    a NULL in a column with a default takes the default."""
+    default (or a typed NULL), present ones are cast; a NULL in a column with
+    a default takes the default. Columns that the schema does not have are an
+    error unless named in ``drop``."""
     defaults = defaults or {}
+    extra = set(df.columns) - set(schema.fieldNames()) - set(drop)
+    if extra:
+        raise ValueError(f"columns without a place in the table: {sorted(extra)}")
     cols = []
     for f in schema.fields:
         if f.name in df.columns:
@@ -121,7 +156,7 @@ def create_star(spark: SparkSession, root: str, names: Iterable[str] | None = No
     names = list(names) if names is not None else list(schemas.STAR)
     for name in names:
         spark.createDataFrame([], schemas.STAR[name]).write.mode("errorifexists").parquet(f"{root}/{name}/v0")
-        _write_pointer(spark, root, name, "v0")
+    _switch(spark, root, dict.fromkeys(names, "v0"))
     return names
 
 
@@ -139,10 +174,25 @@ def copy_star(src: Mapping[str, DataFrame], target_schemas: Mapping[str, StructT
 
 def copy_star_counts(T: Mapping[str, DataFrame], names=("dim_vendors", "dim_commodities", "dim_time",
                                                         "fact_spend_analytics")) -> DataFrame:
-    """S3 as a check: rows per copied table (one aggregate each)."""
-    target = {n: StructType([f for f in T[n].schema.fields]) for n in names}
-    copied = copy_star(T, target)
-    return table_info(copied)
+    """S3 as a check: per table copied into the star schemas, its rows and a
+    sum over its rows' values (one aggregate each). A column in the wrong
+    place or lost in a cast changes the sum."""
+    copied = copy_star(T, {n: schemas.STAR[n] for n in names})
+    parts = []
+    for n, df in copied.items():
+        text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in _stable_columns(df.schema)])
+        parts.append(df.agg(F.lit(n).alias("table_name"), F.count(F.lit(1)).alias("row_count"),
+                            F.coalesce(F.sum(F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("long")),
+                                       F.lit(0)).alias("value_sum")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _stable_columns(schema: StructType) -> list[str]:
+    """Columns whose text form is the same everywhere (integers, strings, dates)."""
+    return [f.name for f in schema.fields if f.dataType.typeName() in ("integer", "long", "string", "date")]
 
 
 def table_info(T: Mapping[str, DataFrame]) -> DataFrame:
@@ -170,15 +220,22 @@ def table_sizes(T: Mapping[str, DataFrame]) -> dict[str, int]:
     return sizes
 
 
-def _write_pointer(spark: SparkSession, root: str, name: str, version: str) -> None:
-    fs, p = _jfs(spark, f"{root}/{name}/{POINTER}")
-    tmp = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/{name}/{POINTER}.{uuid.uuid4().hex}")
-    out = fs.create(tmp, True)
-    out.write(bytearray(version.encode()))
+def _switch(spark: SparkSession, root: str, versions: Mapping[str, str]) -> None:
+    """Publish ``versions`` (table -> version): the manifest with them merged
+    in is written beside the old one and renamed over it in one step."""
+    text = json.dumps({**manifest(spark, root), **versions}, sort_keys=True)
+    fs, target = _jfs(spark, f"{root}/{MANIFEST}")
+    jvm = spark.sparkContext._jvm
+    fresh = jvm.org.apache.hadoop.fs.Path(f"{root}/{MANIFEST}.{uuid.uuid4().hex}")
+    out = fs.create(fresh, True)
+    out.write(bytearray(text.encode()))
     out.close()
-    if fs.exists(p):
-        fs.delete(p, False)
-    fs.rename(tmp, p)
+    rename = jvm.org.apache.hadoop.fs.Options.Rename
+    how = spark.sparkContext._gateway.new_array(rename, 1)
+    how[0] = rename.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        fs.makeQualified(target).toUri(), spark.sparkContext._jsc.hadoopConfiguration()).rename(
+        fs.makeQualified(fresh), fs.makeQualified(target), how)
 
 
 def publish(outputs: Mapping[str, DataFrame], root: str, checks=None, partition_by: Mapping | None = None,
@@ -188,7 +245,7 @@ def publish(outputs: Mapping[str, DataFrame], root: str, checks=None, partition_
     Every output is written to a new version directory ``<table>/v<run_id>``
     (never over the data being read). ``checks`` (callable receiving the
     written tables, returning True/False) runs on the written data; only when
-    it passes are the pointers switched. On failure nothing is published and
+    it passes does the manifest switch, for all outputs at once. On failure nothing is published and
     the staged versions are left for inspection.
     """
     if not outputs:
@@ -206,8 +263,7 @@ def publish(outputs: Mapping[str, DataFrame], root: str, checks=None, partition_
         written[name] = spark.read.schema(df.schema).parquet(path)
     if checks is not None and not checks(written):
         raise RuntimeError(f"checks failed; run {run_id} staged but not published")
-    for name in outputs:
-        _write_pointer(spark, root, name, version)
+    _switch(spark, root, dict.fromkeys(outputs, version))
     return version
 
 

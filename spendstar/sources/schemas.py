@@ -75,7 +75,8 @@ STAR = {
                        "is_current_record boolean"),
     "dim_commodities": _st("commodity_key bigint, commodity_id string, commodity_description string, "
                            "parent_category string, sub_category string, business_criticality string, "
-                           "sourcing_complexity string, category_manager string, is_current_record boolean"),
+                           "sourcing_complexity string, category_manager string, effective_start_date date, "
+                           "is_current_record boolean"),
     "dim_time": _st("time_key int, date_actual date, year int, quarter int, month int, fiscal_year int, "
                     "fiscal_quarter int, fiscal_month int, month_name string, quarter_name string, "
                     "day_of_week string, day_of_week_num int, week_of_year int, is_weekend boolean, "
@@ -88,6 +89,7 @@ STAR = {
                               "parent_unit_id string, level_in_hierarchy int, effective_start_date date, "
                               "is_current_record boolean"),
     "fact_spend_analytics": _st("fact_key bigint, vendor_key bigint, commodity_key bigint, contract_key bigint, "
+                                "business_unit_key bigint, "
                                 "time_key int, spend_amount decimal(18,2), transaction_count int, quantity double, "
                                 "unit_price decimal(18,2), delivery_performance_score double, quality_score double, "
                                 "compliance_score double, risk_weighted_spend decimal(18,3), "

@@ -34,11 +34,43 @@ def test_daily_load_and_rerun(spark, T001, scratch):
     assert closed_today > 0
     assert dv.filter("is_current_record").groupBy("vendor_id").count().filter("count > 1").count() == 0
 
+    own = (facts.filter("load_date = '2023-11-05' and vendor_key >= 0").join(dv.select("vendor_key", "vendor_id"), "vendor_key")
+           .join(T001["spend_transactions"].select(F.col("transaction_id").cast("string").alias("source_transaction_id"),
+                                                   F.col("vendor_id").alias("own_vendor")), "source_transaction_id"))
+    assert own.count() > 0
+    assert spark.read.parquet(os.path.join(an_root, "etl_log")).count() == len(log)
     daily_load(spark, op_root, an_root, dt.date(2023, 11, 5), run_id="r2")
     assert io.read_table(spark, an_root, "fact_spend_analytics").count() == before + added
     assert io.read_table(spark, an_root, "dim_vendors").count() == dv.count()
 
 
+def test_first_load_into_an_empty_star_keeps_every_fact_on_its_own_rows(spark, T001, scratch):
+    """Also after a stop between publishing the dimensions and appending the facts, with a changed source."""
+    from spendstar import etl
+    op_root, an_root = os.path.join(scratch, "op"), os.path.join(scratch, "an")
+    for name in OPERATIONAL_TABLES:
+        T001[name].write.parquet(os.path.join(op_root, name))
+    op = io.read_tables(spark, op_root, OPERATIONAL_TABLES)
+    etl.load_dimensions(spark, op, an_root, dt.date(2023, 11, 5), "stopped")         # and then nothing
+    extra = T001["vendors"].limit(1).withColumn("vendor_id", F.lit("V!first"))        # sorts before all others
+    T001["vendors"].unionByName(extra).write.mode("overwrite").parquet(os.path.join(op_root, "vendors"))
+    daily_load(spark, op_root, an_root, dt.date(2023, 11, 5), run_id="again")
+    star = io.read_tables(spark, an_root, ["dim_vendors", "dim_commodities", "fact_spend_analytics", "dim_contracts",
+                                           "fact_supplier_performance", "fact_savings_realization"])
+    src = T001["spend_transactions"].select(F.col("transaction_id").cast("string").alias("source_transaction_id"),
+                                            F.col("vendor_id").alias("sv"), F.col("commodity_id").alias("sc"))
+    f = star["fact_spend_analytics"]
+    j = (f.join(star["dim_vendors"].select("vendor_key", "vendor_id"), "vendor_key")
+          .join(star["dim_commodities"].select("commodity_key", "commodity_id"), "commodity_key")
+          .withColumnsRenamed({"vendor_id": "sv", "commodity_id": "sc"})
+          .join(src, ["source_transaction_id", "sv", "sc"], "left_semi"))
+    assert f.count() == j.count() > 0
+    assert f.filter("savings_amount is not null").count() > 0
+    for n, k in (("dim_vendors", "vendor_key"), ("dim_commodities", "commodity_key"), ("dim_contracts", "contract_key")):
+        assert star[n].count() == star[n].select(k).distinct().count() > 0
+    assert star["fact_supplier_performance"].count() > 0
+
+
 def test_cli_health_check_and_reports(spark, T001, scratch, capsys):
     from spendstar.__main__ import main
     op_root, an_root = os.path.join(scratch, "op"), os.path.join(scratch, "an")

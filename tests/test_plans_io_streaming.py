@@ -46,6 +46,21 @@ def test_assign_keys_continue_after_max(spark):
     assert got == {"a": 10, "b": 11, "c": 12}
 
 
+@pytest.mark.parametrize("parts", [16, 200])
+def test_keys_of_a_million_rows_are_gapless_and_ordered(spark, scratch, parts):
+    new = spark.range(1_000_000, numPartitions=24).select(
+        F.concat(F.lit("N"), F.lpad(F.pmod(F.col("id") * 7919, F.lit(1_000_003)).cast("string"), 7, "0")).alias("name"),
+        F.xxhash64("id").alias("a"), F.md5(F.col("id").cast("string").cast("binary")).alias("b"), F.rand(3).alias("c"))
+    path = os.path.join(scratch, f"keys{parts}")
+    assign_keys(new, None, "k", ["name"], num_partitions=parts).write.parquet(path)
+    got = spark.read.parquet(path)
+    r = got.agg(F.count(F.lit(1)), F.countDistinct("k"), F.min("k"), F.max("k")).first()
+    assert tuple(r) == (1_000_000, 1_000_000, 1, 1_000_000)
+    # in order: the key equals the name's place, checked through the sorted names of the ends of each slice
+    wrong = got.alias("x").join(got.alias("y"), F.expr("y.k = x.k + 1")).filter("y.name <= x.name").count()
+    assert wrong == 0
+
+
 def test_tail_spend_brute_force(T001):
     out = {r["fiscal_year"]: r for r in reports.tail_spend(T001, 0.8, num_partitions=5).collect()}
     f = (T001["fact_spend_analytics"].join(T001["dim_time"].select("time_key", "fiscal_year"), "time_key")
@@ -78,6 +93,8 @@ def test_create_conform_copy_publish(spark, scratch):
     io.create_star(spark, root, ["dim_vendors", "fact_spend_analytics"])
     assert io.read_table(spark, root, "dim_vendors").count() == 0
     rows = spark.createDataFrame([("V1", "A")], "vendor_id string, vendor_name string")
+    with pytest.raises(ValueError):
+        io.conform(rows.withColumn("extra", F.lit(1)), schemas.STAR["dim_vendors"])
     conformed = io.conform(rows, schemas.STAR["dim_vendors"], schemas.DEFAULTS["dim_vendors"])
     assert conformed.schema.simpleString() == schemas.STAR["dim_vendors"].simpleString()
     assert conformed.collect()[0]["is_current_record"] is True
@@ -89,6 +106,12 @@ def test_create_conform_copy_publish(spark, scratch):
     with pytest.raises(RuntimeError):
         io.publish({"dim_vendors": keyed.unionByName(keyed)}, root, checks=lambda w: w["dim_vendors"].count() == 1)
     assert io.table_path(spark, root, "dim_vendors").endswith(v1)     # failed run not published
+    assert io.manifest(spark, root) == {"dim_vendors": v1, "fact_spend_analytics": "v0"}
+    os.makedirs(os.path.join(root, "dim_time", "v7"))                 # versions, none published
+    with pytest.raises(FileNotFoundError):
+        io.table_path(spark, root, "dim_time")
+    with pytest.raises(ValueError):
+        io.read_jdbc(spark, "jdbc:none", "spend_transactions")
     T = io.read_tables(spark, root, ["dim_vendors", "fact_spend_analytics"])
     info = {r["table_name"]: r["row_count"] for r in io.table_info(T).collect()}
     assert info == {"dim_vendors": 1, "fact_spend_analytics": 0}
@@ -125,6 +148,16 @@ def test_stream_fact_load_equals_batch_and_replay_is_idempotent(spark, T001, scr
     assert read_stream_target(spark, target).count() == batch.count()
 
 
+def test_unreadable_stream_target_raises(spark, T001, scratch):
+    target = os.path.join(scratch, "facts")
+    os.makedirs(os.path.join(target, "epoch=0"))
+    with open(os.path.join(target, "epoch=0", "part-0.parquet"), "w") as f:
+        f.write("not parquet")
+    with pytest.raises(Exception):  # noqa: B017
+        read_stream_target(spark, target).count()
+    assert read_stream_target(spark, os.path.join(scratch, "none")).count() == 0
+
+
 def test_cdc_latest_change_and_apply(spark):
     vendors = spark.createDataFrame(
         [("V1", "A", "Approved", None, "C", "R", True), ("V2", "B", "Approved", None, "C", "R", True)],

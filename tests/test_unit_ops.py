@@ -7,8 +7,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from spendstar.operators import monitor, quality, reports, views
-from spendstar.plans.prefix import ordered_running
+from spendstar.operators import monitor, quality, reports, risk, views
 
 
 def test_register_views_and_query_them(spark, T001):
@@ -40,10 +39,37 @@ def test_run_reports_catalogue(T001):
     assert out["supplier_performance"].count() == reports.supplier_performance(T001, 2024).count()
 
 
-def test_ordered_running_checkpoint_mode_equals_sort_mode(spark):
-    df = spark.range(0, 500).select((F.col("id") % 3).alias("g"), F.col("id").alias("k"),
-                                    ((F.col("id") * 7) % 11).cast("decimal(18,2)").alias("v"))
-    a = ordered_running(df, [F.desc("v"), "k"], ["g"], "v", num_partitions=4)
-    b = ordered_running(df, [F.desc("v"), "k"], ["g"], "v", num_partitions=4, stable="checkpoint")
-    cols = ["g", "k", "row_index", "running_sum"]
-    assert sorted(map(tuple, a.select(cols).collect())) == sorted(map(tuple, b.select(cols).collect()))
+def test_large_amounts_do_not_cancel_in_the_anomaly_score(spark):
+    rows = [(i, 1, 1, 50_000_000.0 + (i % 2) * 0.5) for i in range(100)]
+    f = spark.createDataFrame(rows, "fact_key long, vendor_key long, commodity_key long, spend_amount double") \
+             .withColumn("spend_amount", F.col("spend_amount").cast("decimal(18,2)"))
+    out = risk.spend_anomalies({"fact_spend_analytics": f}).collect()
+    assert {r["stddev_spend"] for r in out} == {0.251259} and all(abs(r["z_score"]) > 0.9 for r in out)
+
+
+def test_real_means_keep_their_digits(spark):
+    from spendstar.functions.agg import davg
+    df = spark.createDataFrame([(33.333,), (33.334,), (None,)], "x double")
+    assert df.agg(davg("x").alias("m")).first()["m"] == 33.3335
+
+
+def test_unit_levels_have_no_depth_limit(spark):
+    from spendstar.operators.dims import dim_business_units
+    rows = [(f"B{i}", "u", f"B{i - 1}" if i else None) for i in range(150)]
+    rows += [("X", "u", "Y"), ("Y", "u", "X"), ("Z", "u", "gone")]
+    got = {r["business_unit_id"]: r["level_in_hierarchy"] for r in dim_business_units(
+        spark.createDataFrame(rows, "business_unit_id string, business_unit_name string, parent_unit_id string"),
+        dt.date(2023, 11, 5)).collect()}
+    assert got == {f"B{i}": i + 1 for i in range(150)} | {"X": None, "Y": None, "Z": None}
+
+
+def test_absent_columns_are_reported_not_skipped(T001):
+    from spendstar.operators import quality
+    T = {n: T001[n] for n in T001}
+    T["vendors"] = T["vendors"].drop("vendor_tier")
+    rules = quality.dq_check_violations(T).collect()
+    assert len(rules) == len(quality.CHECK_RULES)
+    lost = [r for r in rules if r["table_name"] == "vendors" and r["status"] == "COLUMN_MISSING"]
+    assert lost and all(r["violations"] is None for r in lost)
+    assert quality.dq_duplicate_keys(T).count() == len(quality.KEYS)
+    assert quality.dq_fk_violations(T).count() == len(quality.FOREIGN_KEYS)
