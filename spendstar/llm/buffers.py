@@ -1,7 +1,7 @@
 """Texts of an Arrow batch as one byte array, cut into words, lines and hashes.
 
 All functions work on whole texts. A batch is handled in runs of documents of
-a few megabytes, so the working memory follows the run (or the longest single
+half a megabyte, so the working memory follows the run (or the longest single
 text), never the table.
 """
 
@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-RUN_BYTES = 2 << 20
+RUN_BYTES = 1 << 19
 _RNG = np.random.default_rng(20240229)
 #: 64 random bits for each byte; the second table takes A-Z as a-z.
 BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)

@@ -15,6 +15,9 @@ from ..session import ensure_checkpoint_dir
 #: The white space of the contracts: space and U+0009 to U+000D.
 SPACE = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
+#: Rows in an Arrow batch of texts.
+TEXT_ROWS = 1000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -24,10 +27,16 @@ def shared_folder(spark: SparkSession, name: str) -> str:
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the Python workers, once per application (what
+    """Make the session ready for operators with Python tasks.
+
+    The package is sent to the workers, once per application (what
     ``--py-files`` does), so that functions used in tasks can be imported there
-    however the driver found the package."""
+    however the driver found the package. Spark's default of 10,000 rows to an
+    Arrow batch is meant for short rows: for texts it is lowered to
+    ``TEXT_ROWS``; another value set by the user stays."""
     sc = spark.sparkContext
+    if spark.conf.get(_BATCH) == "10000":
+        spark.conf.set(_BATCH, str(TEXT_ROWS))
     if getattr(sc, "_spendstar_shipped", False):
         return
     package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, ascii_lower
+from .common import SPACE, ascii_lower, cut
 
 
 def drop_shared_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1,
@@ -43,6 +43,7 @@ def drop_shared_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1,
     frequent = (line.select("__k1", "__k2", "__d1", "__d2").distinct()
                     .groupBy("__k1", "__k2").agg(F.count(F.lit(1)).alias("__n"))
                     .filter(F.col("__n") >= min_docs).select("__k1", "__k2"))
+    frequent = cut(frequent)  # a stored table: Spark can split the lines' side of the join
     drops = (line.join(frequent, ["__k1", "__k2"], "left_semi")
                  .groupBy("__d1", "__d2").agg(F.collect_set("__pos").alias("__drop")))
 

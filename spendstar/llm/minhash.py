@@ -296,10 +296,12 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
                     .dropDuplicates(["id"]), "reps")
     rows = stored(band_rows(reps), "bands")
 
-    filled = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    # tables that hot keys are joined to are stored, so that Spark can split the other side
+    filled = stored(rows.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"), "filled")
     shared = stored(rows.join(filled, "key"), "shared")
     weight = shared.groupBy("id").agg(F.sum("size").alias("weight"))
-    centre = shared.join(weight, "id").groupBy("key").agg(F.max(F.struct("weight", "id"))["id"].alias("centre"))
+    centre = stored(shared.join(weight, "id").groupBy("key").agg(F.max(F.struct("weight", "id"))["id"].alias("centre")),
+                    "centres")
     member = cut(shared.join(centre, "key").select("centre", "id").distinct())
     pairs = member.filter("id <> centre").select(F.least("id", "centre").alias("a"),
                                                  F.greatest("id", "centre").alias("b")).distinct()
@@ -315,6 +317,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
     groups = group.groupBy("centre").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("shingles"),
                                          F.min("comp").alias("lo"), F.max("comp").alias("hi")) \
                   .filter("lo <> hi and docs > 2")
+    groups = cut(groups)
     blocks = F.greatest(F.ceil(F.col("docs") / group_docs), F.ceil(F.col("shingles") / group_shingles)).cast("int")
     group = group.select("centre", "id").join(groups.select("centre", blocks.alias("blocks")), "centre")
     mine = F.pmod(F.xxhash64("centre", "id"), F.col("blocks")).cast("int")

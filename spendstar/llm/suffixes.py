@@ -225,7 +225,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT, id_col
                     names=["half", "id", "pos", "lo", "hi"])
 
     half_rows = one.select("id", "suffixes").mapInArrow(halves, f"half long, id {id_type}, pos int, lo short, hi short")
-    often = half_rows.groupBy("half").agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
+    # stored, so that Spark can split the other side of the join
+    often = cut(half_rows.groupBy("half").agg(F.count(F.lit(1)).alias("times")).filter("times > 1"))
     suspect = half_rows.join(often, "half").groupBy("id").agg(
         F.collect_set(F.struct("pos", "lo", "hi", (F.col("times") > hot).alias("hot"))).alias("at"))
     suspect.join(texts, "id").select("id", "text", "at").write.parquet(f"{folder}/suspects")
