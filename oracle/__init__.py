@@ -29,7 +29,7 @@ CTE_SQL = dict(FIXTURE_SQL)
 CTE_SQL["dim_time"] = DIM_TIME_SQL
 # Dependency order for the WITH list.
 CTE_ORDER = ["vendors", "supplier_profiles", "commodities", "commodity_profiles", "business_units", "contracts",
-             "purchase_orders", "po_line_items", "spend_transactions", "dim_vendors", "dim_commodities",
+             "purchase_orders", "po_line_items", "time_periods", "spend_transactions", "dim_vendors", "dim_commodities",
              "fact_spend_analytics", "dim_time", "savings_targets", "demand_forecasts", "risk_assessments",
              "sourcing_strategies", "market_intelligence", "performance_metrics"]
 

@@ -87,13 +87,14 @@ keyed as (
   from ins),
 alld as (
   select vendor_key, vendor_id, vendor_name, vendor_tier, diversity_classification, risk_rating, esg_score, country,
-    region, effective_start_date, effective_end_date, is_current_record from dim_vendors
+    region, effective_start_date, effective_end_date, is_current_record, supplier_size, certification_status from dim_vendors
   union all
   select vendor_key, vendor_id, vendor_name, vendor_tier, diversity_classification, risk_rating,
-    cast(null as double), country, region, {AS_OF}, cast(null as date), true from keyed),
+    cast(null as double), country, region, {AS_OF}, cast(null as date), true, cast(null as varchar), cast(null as varchar)
+  from keyed),
 chg as (select distinct vendor_id from alld where effective_start_date = {AS_OF} and is_current_record)
 select vendor_key, vendor_id, vendor_name, vendor_tier, diversity_classification, risk_rating, esg_score, country, region,
-  effective_start_date,
+  effective_start_date, supplier_size, certification_status,
   case when closing then cast({AS_OF} - interval 1 day as date) else effective_end_date end as effective_end_date,
   case when closing then false else is_current_record end as is_current_record
 from (select alld.*, (alld.vendor_id in (select vendor_id from chg) and alld.is_current_record

@@ -152,6 +152,8 @@ def fact_savings_realization(facts: DataFrame, dim_commodities: DataFrame, dim_t
     realized = F.col("realized").cast("double")
     forecast = F.coalesce(F.col("target_total") * share, F.lit(0.0))
     out = j.select(
+        # the grain: fiscal year, vendor, commodity
+        F.concat_ws("-", "fiscal_year", "vendor_key", "commodity_key").alias("savings_key"),
         "vendor_key", "commodity_key",
         D.time_key(F.make_date(F.col("fiscal_year"), F.lit(3), F.lit(31))).alias("time_key"),
         "fiscal_year",
