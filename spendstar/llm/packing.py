@@ -36,7 +36,7 @@ from .common import ship
 
 WINDOW = 2048
 END = 1
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 2 << 20
 QUERY_WORDS = 24
 K1, B = 1.2, 0.75
 CACHE_WORDS = 2_000_000
@@ -75,41 +75,50 @@ class WordTokenizer:
 
     def clear(self):
         """Forget all words. Known words are kept by 64-bit hash, sorted."""
-        self.keys, self.entry = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        self.pool, self.first, self.size = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.keys, self.entry = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+        self.pool, self.first, self.size = np.zeros(0, np.uint32), np.zeros(0, np.int32), np.zeros(0, np.int32)
 
     def _add(self, ids: np.ndarray, size: np.ndarray) -> np.ndarray:
         """New entries for consecutive runs of ids; their numbers."""
-        number = len(self.first) + np.arange(len(size))
-        self.first = np.concatenate([self.first, len(self.pool) + np.cumsum(size) - size])
-        self.size = np.concatenate([self.size, size])
+        number = np.arange(len(self.first), len(self.first) + len(size), dtype=np.int32)
+        self.first = np.concatenate([self.first, (len(self.pool) + np.cumsum(size) - size).astype(np.int32)])
+        self.size = np.concatenate([self.size, size.astype(np.int32)])
         self.pool = np.concatenate([self.pool, ids])
         return number
 
     def _find(self, value: np.ndarray) -> np.ndarray:
         """Entries of hashed words, -1 for unknown ones."""
         if not len(self.keys):
-            return np.full(len(value), -1)
+            return np.full(len(value), -1, np.int32)
         at = np.minimum(np.searchsorted(self.keys, value), len(self.keys) - 1)
         return np.where(self.keys[at] == value, self.entry[at], -1)
 
     def _learn(self, value: np.ndarray, number: np.ndarray) -> None:
-        keys, first = np.unique(np.concatenate([self.keys, value]), return_index=True)
-        self.keys, self.entry = keys, np.concatenate([self.entry, number])[first]
+        value, first = np.unique(value, return_index=True)
+        value, number = value[self._find(value) < 0], number[first][self._find(value) < 0]
+        at = np.searchsorted(self.keys, value)
+        self.keys, self.entry = np.insert(self.keys, at, value), np.insert(self.entry, at, number)
 
     def _stems(self, words: list[str]) -> np.ndarray:
         """Entries of words of letters: one tokenizer unit each, so their ids end at a word end."""
-        flat = np.array(self.tok.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, np.uint32)
-        cuts = np.flatnonzero(self.ends[flat]) + 1
-        return self._add(flat, np.diff(cuts, prepend=0)) if len(cuts) == len(words) else self._single(words)
+        ids, size = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for a in range(0, len(words), 4000):
+            part = words[a:a + 4000]
+            flat = np.array(self.tok.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, np.uint32)
+            cuts = np.flatnonzero(self.ends[flat]) + 1
+            if len(cuts) != len(part):
+                return self._single(words)
+            ids.append(flat)
+            size.append(np.diff(cuts, prepend=0))
+        return self._add(np.concatenate(ids), np.concatenate(size))
 
     def _single(self, words: list[str]) -> np.ndarray:
-        out = [np.zeros(0, np.int64)]
-        for a in range(0, len(words), 20_000):
-            ids = [e.ids for e in self.tok.encode_batch_fast(words[a:a + 20_000], add_special_tokens=False)]
-            out.append(self._add(np.array([i for x in ids for i in x], np.uint32),
-                                 np.array([len(x) for x in ids], np.int64)))
-        return np.concatenate(out)
+        ids, size = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for a in range(0, len(words), 4000):
+            part = [e.ids for e in self.tok.encode_batch_fast(words[a:a + 4000], add_special_tokens=False)]
+            ids.append(np.array([i for x in part for i in x], np.uint32))
+            size.append(np.array([len(x) for x in part], np.int64))
+        return self._add(np.concatenate(ids), np.concatenate(size))
 
     def numbers(self, value: np.ndarray, start: np.ndarray, stop: np.ndarray, data: np.ndarray) -> np.ndarray:
         """Entries of distinct words: their hashes and places in data. A word
@@ -150,12 +159,14 @@ class WordTokenizer:
 
     def _gather(self, number: np.ndarray) -> np.ndarray:
         n = self.size[number]
-        stop = np.cumsum(n)
-        return self.pool[np.repeat(self.first[number] - (stop - n), n) + np.arange(stop[-1] if len(stop) else 0)]
+        stop = np.cumsum(n, dtype=np.int32)
+        at = np.repeat(self.first[number] - (stop - n), n)
+        at += np.arange(stop[-1] if len(stop) else 0, dtype=np.int32)
+        return self.pool[at]
 
     def expand(self, number: np.ndarray, count: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
         """Token ids of texts given as table numbers, each with ``end`` after it, and their token counts."""
-        n = np.concatenate([[0], np.cumsum(self.size[number])])
+        n = np.concatenate([[0], np.cumsum(self.size[number], dtype=np.int64)])
         size = np.diff(n[np.concatenate([[0], np.cumsum(count)])]) + 1
         stop = np.cumsum(size)
         out = np.full(stop[-1] if len(stop) else 0, end, np.uint32)
@@ -282,7 +293,8 @@ def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, end: int = END,
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     total = rows.agg(F.sum(F.octet_length("text") + 16).alias("b")).first()["b"] or 0
     shards = max(1, -(-total // shard_bytes))
-    rows = rows.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards)).cast("long"))
+    # as many partitions as shards: a task's share does not depend on the session's setting
+    rows = rows.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards)).cast("long")).repartition(shards, "shard")
 
     def run(key, table):
         tok = _tokenizers.get(tokenizer)
