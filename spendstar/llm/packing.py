@@ -61,11 +61,12 @@ def _letters(data: np.ndarray) -> np.ndarray:
 class WordTokenizer:
     """Ids of whole texts from a table of words' ids."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, limit: int = CACHE_WORDS):
         import os
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
+        self.limit = limit          # words to remember before all are forgotten
         self.tok.encode_special_tokens = True  # their strings in a text are ordinary text
         vocab = self.tok.get_vocab()
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
@@ -125,7 +126,7 @@ class WordTokenizer:
         of letters, with ASCII marks after it or not, is put together from its
         lower-cased letters and its marks, which the tokenizer never joins;
         any other word is tokenized by itself."""
-        if len(self.keys) + len(value) > CACHE_WORDS:
+        if len(self.keys) + len(value) > self.limit:
             self.clear()
         new = np.flatnonzero(self._find(value) < 0)
         if len(new):
@@ -285,10 +286,11 @@ _tokenizers: dict[str, WordTokenizer] = {}
 
 
 def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, end: int = END, shard_bytes: int = SHARD_BYTES,
-         id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+         id_col: str = "doc_id", text_col: str = "text", cache_words: int = CACHE_WORDS) -> DataFrame:
     """One row per piece: doc_id, copy, start, length, ids_crc32, doc_tokens,
     sequence_id (shard << 32 | window), offset. ``tokenizer``: path of a
-    tokenizer file that every executor has."""
+    tokenizer file that every executor has. Smaller shards and fewer
+    remembered words (``cache_words``) take less memory and more time."""
     ship(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     total = rows.agg(F.sum(F.octet_length("text") + 16).alias("b")).first()["b"] or 0
@@ -300,6 +302,7 @@ def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, end: int = END,
         tok = _tokenizers.get(tokenizer)
         if tok is None:
             tok = _tokenizers[tokenizer] = WordTokenizer(tokenizer)
+        tok.limit = cache_words
         pairs = sorted(zip(table.column("id").to_pylist(), table.column("text").to_pylist(), strict=True),
                        key=lambda p: (p[0] is not None, p[0] or 0, p[1]))
         return pack_shard([p[0] for p in pairs], [p[1] for p in pairs], tok, key[0].as_py(), window, end)
