@@ -45,9 +45,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of token windows; small shards and word tables, since the
+    """Pieces of token windows; small shards, since the
     executors still hold what the stages before needed."""
-    return packing.pack(docs, tokenizer_path(), shard_bytes=1 << 20, cache_words=400_000)
+    return packing.pack(docs, tokenizer_path(), shard_bytes=1 << 20)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
