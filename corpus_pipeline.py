@@ -45,9 +45,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of token windows; small shards, since the
-    executors still hold what the stages before needed."""
-    return packing.pack(docs, tokenizer_path(), shard_bytes=1 << 20)
+    """Pieces of token windows, packed as op2 does."""
+    return packing.pack(docs, tokenizer_path())
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

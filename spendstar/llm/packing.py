@@ -1,21 +1,34 @@
 """Packing by lexical retrieval: neighbours of a seed document fill its window.
 
-Documents are hashed by id into shards of about ``SHARD_BYTES`` bytes. One task
-handles one shard: it tokenizes the texts, builds an inverted index with BM25
-weights over the shard's words, and then repeats: the current document is the
-seed, its rarest shared words are the query, and the best unused neighbours
-are appended until the window is full. A document that crosses the end of a
-window is cut there; its rest opens the next window and is the next seed. When
-no neighbour is left the next unused document in id order follows. Only the
-last window of a shard is padded.
+1. Document frequencies, the number of documents and the mean length are those
+   of the whole table (counted in Spark by 64-bit word hash).
+2. Documents that share rare heavy words are placed together. Of the
+   ``PLACE_WORDS`` words with the highest BM25 weight in a document, its lead is
+   the one that most documents have, as long as their texts fit a shard; the
+   next one orders the documents of a lead. Leads are hashed into buckets of
+   about ``SHARD_BYTES`` bytes (a lead with more than that is split by id), and
+   a bucket is cut, in the order of its leads, into shards of at most
+   ``SHARD_BYTES``.
+3. One task handles a bucket, shard after shard: it tokenizes the texts, builds
+   an inverted index with BM25 weights, and then repeats: the current document
+   is the seed, all its words are the query, and the best unused neighbours of
+   the shard are appended until the window is full. A document that crosses the
+   end of a window is cut there; its rest opens the next window and is the next
+   seed. When no neighbour is left the next unused document in order of lead
+   and id follows. Only the last window of a shard is padded.
+
+Neighbours that were placed in another shard are not found; README gives the
+share that is.
 
 Tokens are looked up per word: words are tokenized once per worker and kept in
 a bounded table (the tokenizer never joins tokens across white space), which
 gives the ids of tokenizing the whole text.
 
-Scale: one shuffle of the texts by shard; a shard is bounded by its expected
-bytes, and rows that share an id share a shard. Nothing is collected but the
-total number of bytes.
+Scale: the texts are shuffled twice, to meet their places and by bucket. At
+most ``HEAD_WORDS`` words, the commonest, are broadcast with their frequencies;
+rarer words that two documents have are joined. A shard is bounded by its bytes
+(or one id: rows that share an id share a shard). The driver gets the totals,
+the number of words per frequency and the broadcast words.
 
 Defined cases: a null or empty text is the end token alone; rows with one id
 are separate documents, told apart by ``copy`` (0, 1, ...); an empty table
@@ -31,13 +44,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .buffers import BYTE_LOWER, prefix_hash, span_hash, words
-from .common import ship
+from .buffers import BYTE_LOWER, prefix_hash, runs, span_hash, text_array, words
+from .common import cut, shared_folder, ship
 
 WINDOW = 2048
 END = 1
 SHARD_BYTES = 4 << 20
-QUERY_WORDS = 24
+PLACE_WORDS = 24
+HEAD_WORDS = 1 << 20
 K1, B = 1.2, 0.75
 CACHE_WORDS = 2_000_000
 _MARK = np.zeros(256, bool)       # ASCII characters that are neither letters, digits nor white space
@@ -165,32 +179,72 @@ class WordTokenizer:
         return out, size
 
 
+class Statistics:
+    """Document count, mean length and document frequencies of the whole
+    table. ``words`` is sorted; a word that is not in it occurs in one document."""
+
+    def __init__(self, n: int, mean: float, words: np.ndarray, df: np.ndarray):
+        self.n, self.mean, self.words, self.df = n, mean, words, df
+
+    def find(self, value: np.ndarray) -> np.ndarray:
+        """Frequencies of hashed words, 1 for unknown ones."""
+        if not len(self.words):
+            return np.ones(len(value), np.int64)
+        at = np.minimum(np.searchsorted(self.words, value), len(self.words) - 1)
+        return np.where(self.words[at] == value, self.df[at], 1)
+
+    def plus(self, words: np.ndarray, df: np.ndarray) -> Statistics:
+        """With more words, none of which is known yet."""
+        if not len(words):
+            return self
+        words, at = np.unique(words, return_index=True)
+        place = np.searchsorted(self.words, words)
+        return Statistics(self.n, self.mean, np.insert(self.words, place, words), np.insert(self.df, place, df[at]))
+
+    def idf(self, df: np.ndarray) -> np.ndarray:
+        return np.log1p((self.n - df + 0.5) / (df + 0.5))
+
+    def norm(self, count: np.ndarray) -> np.ndarray:
+        return K1 * (1 - B + B * count / max(self.mean, 1))
+
+
+def postings(value: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Word, document and term frequency of every (word, document), sorted by
+    both, from the hashed words of consecutive documents; positions of new words."""
+    by = np.argsort(value, kind="stable")
+    new = np.concatenate([[True], value[by[1:]] != value[by[:-1]]])[:len(by)]
+    doc = np.repeat(np.arange(len(count)), count)[by]
+    post = np.flatnonzero(new | np.concatenate([[True], doc[1:] != doc[:-1]])[:len(by)])
+    return value[by[post]], doc[post], np.diff(post, append=len(by)), np.flatnonzero(new[post])
+
+
 class Index:
-    """Inverted index of one shard: postings with BM25 weights, rare words first in a query."""
+    """Inverted index of one shard: postings with BM25 weights."""
 
-    def __init__(self, word: np.ndarray, doc: np.ndarray, tf: np.ndarray, df: np.ndarray, count: np.ndarray):
-        """Postings sorted by word, then document; ``df`` by word, ``count``: words by document."""
+    def __init__(self, word: np.ndarray, doc: np.ndarray, tf: np.ndarray, df: np.ndarray, count: np.ndarray,
+                 of: Statistics, df_all: np.ndarray):
+        """Postings sorted by word, then document; ``df`` in the shard and
+        ``df_all`` in the table by word, ``count``: words by document."""
         n = len(count)
         self.doc = doc
         self.first = np.concatenate([[0], np.cumsum(df)])
-        idf = np.log1p((n - df + 0.5) / (df + 0.5))
-        norm = K1 * (1 - B + B * count / max(count.mean(), 1)) if n else count
-        self.weight = idf[word] * tf * (K1 + 1) / (tf + norm[self.doc])
-        # the query of each document: its heaviest words that another document has too
+        self.weight = of.idf(df_all)[word] * tf * (K1 + 1) / (tf + of.norm(count)[self.doc])
+        # the query of each document: its words that another document of the shard has too
         shared = np.flatnonzero(df[word] > 1)
-        order = shared[np.lexsort((word[shared], -self.weight[shared], self.doc[shared]))]
-        own = np.bincount(self.doc[order], minlength=n)
-        start = np.concatenate([[0], np.cumsum(own)])
-        self.query = [word[order[start[i]:min(start[i] + QUERY_WORDS, start[i + 1])]] for i in range(n)]
+        order = shared[np.argsort(self.doc[shared], kind="stable")]
+        start = np.concatenate([[0], np.cumsum(np.bincount(self.doc[order], minlength=n))])
+        self.query = np.split(word[order], start[1:-1]) if n else []
         self.n = n
 
     def neighbours(self, seed: int, used: np.ndarray) -> np.ndarray:
         """Unused documents by falling BM25 score, ties to the smaller number."""
-        spans = [slice(self.first[w], self.first[w + 1]) for w in self.query[seed]]
-        if not spans:
+        q = self.query[seed]
+        if not len(q):
             return np.zeros(0, np.int64)
-        score = np.bincount(np.concatenate([self.doc[s] for s in spans]),
-                            np.concatenate([self.weight[s] for s in spans]), minlength=self.n)
+        size = self.first[q + 1] - self.first[q]
+        stop = np.cumsum(size)
+        at = np.arange(stop[-1]) + np.repeat(self.first[q] - (stop - size), size)
+        score = np.bincount(self.doc[at], self.weight[at], minlength=self.n)
         score[used] = 0
         found = np.flatnonzero(score)
         return found[np.argsort(-score[found], kind="stable")]
@@ -225,8 +279,10 @@ def reading_order(index: Index, size: np.ndarray, window: int) -> np.ndarray:
     return np.array(out, np.int64)
 
 
-def pack_shard(ids_of: list, texts: list[str], tok: WordTokenizer, shard: int, window: int, end: int) -> pa.Table:
-    """Pieces of one shard (documents in the order given)."""
+def pack_shard(ids_of: list, texts: list[str], tok: WordTokenizer, shard: int, window: int, end: int,
+               of: Statistics | None = None) -> pa.Table:
+    """Pieces of one shard (documents in the order given); ``of``: the table's
+    statistics, by default the shard's own."""
     raw = [t.encode() for t in texts]
     off = np.cumsum([0, *map(len, raw)])
     data = np.frombuffer(b"".join(raw), np.uint8)
@@ -243,7 +299,12 @@ def pack_shard(ids_of: list, texts: list[str], tok: WordTokenizer, shard: int, w
     doc = np.repeat(np.arange(len(count)), count)[by]
     post = np.flatnonzero(new | np.concatenate([[True], doc[1:] != doc[:-1]])[:len(by)])
     word = number[by[post]]
-    index = Index(word, doc[post], np.diff(post, append=len(by)), np.bincount(word, minlength=len(lead)), count)
+    df = np.bincount(word, minlength=len(lead))
+    if of is None:
+        of, df_all = Statistics(len(count), count.mean() if len(count) else 0, value[lead], df), df
+    else:
+        df_all = of.find(value[lead])
+    index = Index(word, doc[post], np.diff(post, append=len(by)), df, count, of, df_all)
     order = reading_order(index, size, window)
     begin = (np.cumsum(size) - size)[order]
     place = np.cumsum(size[order]) - size[order]             # in the shard's stream
@@ -273,23 +334,186 @@ def pack_shard(ids_of: list, texts: list[str], tok: WordTokenizer, shard: int, w
 _tokenizers: dict[str, WordTokenizer] = {}
 
 
+def _hashed(column):
+    """Hashed words and word counts of a batch's texts, in runs of documents: (first, last, values, counts)."""
+    data, off = text_array(column)
+    for a, b in runs(off):
+        part = data[off[a]:off[b]]
+        start, stop, count = words(part, off[a:b + 1] - off[a])
+        yield a, b, span_hash(prefix_hash(part), start, stop) if len(start) else np.zeros(0, np.uint64), count
+
+
+def count_words(texts: DataFrame) -> DataFrame:
+    """(word, df, n_words): document frequency by word hash, and one row
+    without a word that has the number of all words. ``texts``: one column."""
+
+    def run(batches):
+        total, held, size = 0, [], 0
+
+        def flush():
+            value = np.concatenate([v for v, _ in held])
+            by = np.argsort(value, kind="stable")
+            first = np.flatnonzero(np.concatenate([[True], value[by[1:]] != value[by[:-1]]]))
+            return value[by[first]], np.add.reduceat(np.concatenate([c for _, c in held])[by], first)
+
+        def rows(value, df):
+            return pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(df.astype(np.int64)),
+                                               pa.array(np.zeros(len(value), np.int64))], names=["word", "df", "n_words"])
+
+        for batch in batches:
+            for _, _, value, count in _hashed(batch.column(0)):
+                total += int(count.sum())
+                if len(value):
+                    word, _, _, new = postings(value, count)
+                    held.append((word[new], np.diff(new, append=len(word))))
+                    size += len(new)
+                if size > 1_000_000:
+                    merged = flush()
+                    if len(merged[0]) > 500_000:       # little left to combine
+                        yield rows(*merged)
+                        held, size = [], 0
+                    else:
+                        held, size = [merged], len(merged[0])
+        if held:
+            yield rows(*flush())
+        yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([0], pa.int64()), pa.array([total])],
+                                         names=["word", "df", "n_words"])
+
+    counted = texts.mapInArrow(run, "word long, df long, n_words long").groupBy("word").agg(
+        F.sum("df").alias("df"), F.sum("n_words").alias("n_words"))
+    return counted.filter((F.col("df") > 1) | F.col("word").isNull())
+
+
+def places(rows: DataFrame, table: DataFrame, head, low: int, cap: int) -> DataFrame:
+    """(id, bytes, lead, next, rare): where a document belongs, and its words
+    of fewer than ``low`` documents. ``table``: (word, df), ``head``: broadcast
+    statistics of the words of ``low`` documents or more."""
+    item = "array<struct<minus: double, word: long, df: long>>"
+
+    def run(batches):
+        for batch in batches:
+            cand, rare = [], []
+            of = head.value
+            for a, b, value, count in _hashed(batch.column(1)):
+                word, doc, tf, _ = postings(value, count)
+                df = of.find(word)
+                part = tf * (K1 + 1) / (tf + of.norm(count)[doc])
+                known = np.flatnonzero(df > 1)
+                weight = of.idf(df[known]) * part[known]
+                order = np.lexsort((word[known], -weight, doc[known]))
+                own = np.bincount(doc[known], minlength=b - a)
+                nth = np.arange(len(order)) - np.repeat(np.cumsum(own) - own, own)
+                top = order[nth < PLACE_WORDS]
+                at = known[top]
+                cand.append((np.minimum(own, PLACE_WORDS), -weight[top], word[at], df[at]))
+                new = np.flatnonzero(df == 1) if low > 2 else np.zeros(0, np.int64)
+                new = new[np.argsort(doc[new], kind="stable")]
+                rare.append((np.bincount(doc[new], minlength=b - a), part[new], word[new]))
+
+            def lists(parts, names):
+                size, *columns = [np.concatenate(x) for x in zip(*parts, strict=True)]
+                values = [pa.array(c.view(np.int64) if c.dtype == np.uint64 else c) for c in columns]
+                return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32)),
+                                                pa.StructArray.from_arrays(values, names))
+            if batch.num_rows:
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), batch.column(2), lists(cand, ["minus", "word", "df"]), lists(rare, ["part", "word"])],
+                    names=["id", "bytes", "cand", "rare"])
+
+    read = rows.select("id", "text", (F.octet_length("text") + 16).cast("long").alias("bytes")).mapInArrow(
+        run, f"id long, bytes long, cand {item}, rare array<struct<part: double, word: long>>")
+    # of rows with one id one chooses the place
+    own = read.groupBy("id").agg(F.sum("bytes").alias("bytes"), F.max("cand").alias("cand"))
+    if low > 2:
+        n = head.value.n
+        few = table.filter((F.col("df") > 1) & (F.col("df") < low)).select("word", "df")
+        minus = -F.log1p((F.lit(float(n)) - F.col("df") + 0.5) / (F.col("df") + 0.5)) * F.col("part")
+        found = read.select("id", F.explode("rare").alias("r")).select("id", "r.word", "r.part") \
+                    .join(few.hint("shuffle_hash"), "word").groupBy("id", "word") \
+                    .agg(F.struct(F.min(minus).alias("minus"), F.col("word"), F.max("df").alias("df")).alias("r")) \
+                    .groupBy(F.col("id").alias("__id")).agg(F.sort_array(F.collect_list("r")).alias("rare"))
+        own = own.join(found, F.col("id").eqNullSafe(F.col("__id")), "left").drop("__id")
+    else:
+        own = own.withColumn("rare", F.lit(None).cast(item))
+    rare = F.coalesce("rare", F.array().cast(item))
+    heavy = F.slice(F.sort_array(F.concat("cand", rare)), 1, PLACE_WORDS)
+    # words whose documents fit a shard first, the commonest of them leading
+    choice = F.sort_array(F.transform(heavy, lambda x: F.struct(
+        F.when(x["df"] <= cap, -x["df"]).otherwise(x["df"]).alias("rank"), x["word"].alias("word"))))
+    return own.select("id", "bytes", F.transform(rare, lambda x: F.struct(x["word"], x["df"])).alias("rare"),
+                      choice.alias("choice")) \
+              .select("id", "bytes", "rare", F.coalesce(F.get("choice", F.lit(0))["word"], F.xxhash64("id")).alias("lead"),
+                      F.coalesce(F.get("choice", F.lit(1))["word"], F.lit(0)).alias("next"))
+
+
 def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, end: int = END, shard_bytes: int = SHARD_BYTES,
-         id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+         id_col: str = "doc_id", text_col: str = "text", head_words: int = HEAD_WORDS) -> DataFrame:
     """One row per piece: doc_id, copy, start, length, ids_crc32, doc_tokens,
-    sequence_id (shard << 32 | window), offset. ``tokenizer``: path of a
-    tokenizer file that every executor has."""
-    ship(docs.sparkSession)
+    sequence_id (bucket << 44 | shard << 32 | window), offset. ``tokenizer``:
+    path of a tokenizer file that every executor has."""
+    spark = docs.sparkSession
+    ship(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    total = rows.agg(F.sum(F.octet_length("text") + 16).alias("b")).first()["b"] or 0
-    shards = max(1, -(-total // shard_bytes))
-    rows = rows.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards)).cast("long"))
-
-    def run(key, table):
+    sums = rows.agg(F.sum(F.octet_length("text") + 16).alias("b"), F.count(F.lit(1)).alias("n")).first()
+    total, n = sums["b"] or 0, sums["n"]
+    path = f"{shared_folder(spark, 'packing')}/words"
+    count_words(rows.select("text")).write.parquet(path)
+    table = spark.read.parquet(path)
+    n_words = table.filter(F.col("word").isNull()).agg(F.sum("n_words")).first()[0] or 0
+    table = table.filter(F.col("word").isNotNull())
+    low, known = 2, 0                 # the commonest words, whole frequencies at a time
+    for r in table.groupBy("df").count().orderBy(F.desc("df")).collect():
+        known += r["count"]
+        if known > head_words:
+            low = r["df"] + 1
+            break
+    common = table.filter(F.col("df") >= low).select("word", "df").toArrow()
+    value = common.column("word").to_numpy().view(np.uint64)
+    by = np.argsort(value)
+    head = spark.sparkContext.broadcast(Statistics(n, n_words / max(n, 1), value[by], common.column("df").to_numpy()[by]))
+    place = cut(places(rows, table, head, low, max(2, n * shard_bytes // max(total, 1))))
+
+    buckets = max(1, -(-total // shard_bytes))
+    # at most ``buckets`` leads are that large
+    large = place.groupBy("lead").agg(F.sum("bytes").alias("b")).filter(F.col("b") > shard_bytes) \
+                 .select("lead", F.ceil(F.col("b") / F.lit(shard_bytes)).alias("parts"))
+    place = place.join(F.broadcast(large), "lead", "left").withColumn(
+        "part", F.when(F.col("parts") > 1, F.pmod(F.xxhash64("id"), F.col("parts"))).otherwise(F.lit(0)))
+    place = place.select(F.col("id").alias("__id"), "lead", "next", "rare",
+                         F.pmod(F.xxhash64("lead", "part"), F.lit(buckets)).cast("long").alias("bucket"))
+    placed = rows.join(place.hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("__id"))) \
+                 .select("bucket", "id", "text", "lead", "next", "rare")
+
+    def run(key, batch):
         tok = _tokenizers.get(tokenizer)
         if tok is None:
             tok = _tokenizers[tokenizer] = WordTokenizer(tokenizer)
-        pairs = sorted(zip(table.column("id").to_pylist(), table.column("text").to_pylist(), strict=True),
-                       key=lambda p: (p[0] is not None, p[0] or 0, p[1]))
-        return pack_shard([p[0] for p in pairs], [p[1] for p in pairs], tok, key[0].as_py(), window, end)
-
-    return rows.groupBy("shard").applyInArrow(run, PIECES)
+        rows_ = sorted(zip(*(batch.column(c).to_pylist() for c in ("lead", "next", "id", "text")),
+                           range(batch.num_rows), strict=True),
+                       key=lambda p: (p[0], p[1], p[2] is not None, p[2] or 0, p[3]))
+        size = np.array([len(p[3].encode()) + 16 for p in rows_])
+        shards = shard_cuts([p[2] for p in rows_], size, shard_bytes)
+        out = []
+        for k, (a, b) in enumerate(shards):
+            part = rows_[a:b]
+            rare = batch.column("rare").take(pa.array([p[4] for p in part])).combine_chunks().flatten()
+            of = head.value.plus(rare.field(0).to_numpy(zero_copy_only=False).view(np.uint64),
+                                 rare.field(1).to_numpy(zero_copy_only=False)) if len(rare) else head.value
+            out.append(pack_shard([p[2] for p in part], [p[3] for p in part], tok, key[0].as_py() << 12 | k,
+                                  window, end, of))
+        return pa.concat_tables(out)
+
+    return placed.groupBy("bucket").applyInArrow(run, PIECES)
+
+
+def shard_cuts(ids: list, size: np.ndarray, shard_bytes: int) -> list[tuple[int, int]]:
+    """Ranges of at most ``shard_bytes`` of about the same bytes; rows of one id in a row stay together."""
+    first = [i for i in range(len(ids)) if i == 0 or ids[i] != ids[i - 1]] + [len(ids)]
+    full = np.concatenate([[0], np.cumsum(size)])
+    goal = full[-1] / max(1, -(-int(full[-1]) // shard_bytes))
+    out, a = [], 0
+    for i, j in zip(first[:-1], first[1:], strict=True):
+        if i > a and (full[j] - full[a] > shard_bytes or full[i] - full[a] >= goal):
+            out.append((a, i))
+            a = i
+    return [*out, (a, len(ids))]

@@ -155,6 +155,35 @@ def test_packing_puts_neighbours_together():
     assert np.mean([max(c.values()) / sum(c.values()) for c in mixed.values()]) > 0.8
 
 
+@pytest.mark.parametrize("head", [packing.HEAD_WORDS, 50, 0])
+def test_packing_finds_neighbours_of_the_whole_table(spark, make_docs, head):
+    """40 small topics whose documents are far apart by id land in one shard each; also if the rare words are joined."""
+    rng = random.Random(4)
+    common = texts(1, seed=8, words=60)[0].split()
+    rows = []
+    for k in range(400):
+        own = [f"topic{k % 40}word{c}" for c in rng.sample(range(12), 8)]
+        rows.append((k, " ".join(own + [rng.choice(common) for _ in range(40)])))
+    docs = make_docs(rows + [(None, "no id"), (None, None)])
+    got = packing.pack(docs, queries.tokenizer_path(), window=512, shard_bytes=10_000, head_words=head).collect()
+    shards = defaultdict(set)
+    for r in got:
+        if r["doc_id"] is not None:
+            shards[r["doc_id"]].add(r["sequence_id"] >> 32)
+    assert len(shards) == 400 and len({x for s in shards.values() for x in s}) > 5
+    assert sum(r["doc_id"] is None and r["start"] == 0 for r in got) == 2
+    together = [shards[i] == shards[j] for i in range(400) for j in range(i) if i % 40 == j % 40]
+    assert np.mean(together) > 0.5
+
+
+def test_packing_statistics_are_those_of_the_table(spark, make_docs):
+    rows = [(i, t) for i, t in enumerate(texts(300, seed=2))]
+    have = {r["word"]: (r["df"], r["n_words"]) for r in packing.count_words(make_docs(rows).select("text").repartition(7)).collect()}
+    df = Counter(w for _, t in rows for w in set(t.split()))
+    assert have.pop(None)[1] == sum(len(t.split()) for _, t in rows)
+    assert sorted(d for d, _ in have.values()) == sorted(c for c in df.values() if c > 1)
+
+
 def brute_rules(t):
     t = t or ""
     w = WORD.findall(t)
