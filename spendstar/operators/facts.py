@@ -29,8 +29,22 @@ def _loaded_ids(existing: DataFrame) -> DataFrame:
     return existing.filter(F.col("source_transaction_id").isNotNull()).select("source_transaction_id")
 
 
+def _not_loaded(st: DataFrame, existing: DataFrame, near=None) -> DataFrame:
+    """Rows of ``st`` whose transaction is not among ``existing``. With
+    ``near`` (a predicate on the facts' time_key) the facts it selects are
+    looked at first; only the transactions that survive are then looked up
+    among all other facts, where re-dated transactions and those of the
+    award-dated variant are. Which side moves is left to Spark's measured
+    sizes."""
+    key = "source_transaction_id"
+    if near is None:
+        return st.join(_loaded_ids(existing), key, "left_anti")
+    st = st.join(_loaded_ids(existing.filter(near)), key, "left_anti")
+    return st.join(_loaded_ids(existing.filter(~F.coalesce(near, F.lit(False)))), key, "left_anti")
+
+
 def fact_spend_new(spend: DataFrame, dim_vendors: DataFrame, dim_commodities: DataFrame, dim_time: DataFrame,
-                   existing: DataFrame, as_of, since=None) -> DataFrame:
+                   existing: DataFrame, as_of, since=None, near=None) -> DataFrame:
     """F1 (and F2 with ``since``): transactions not loaded yet, keyed to the
     current vendor and commodity versions and to the calendar.
 
@@ -38,20 +52,19 @@ def fact_spend_new(spend: DataFrame, dim_vendors: DataFrame, dim_commodities: Da
     the calendar drop out (inner joins). "Already loaded" compares the
     transaction id as text with ``source_transaction_id`` (an anti join; the
     loaded side is filtered to non-NULL ids, so it is not the null-aware
-    ``NOT IN`` plan that would broadcast the whole fact table).
+    ``NOT IN`` plan that would broadcast the whole fact table). ``near``: the
+    facts to compare with first (by default those dated on or after ``since``).
     """
     st = spend.filter(F.col("transaction_id").isNotNull())
     if since is not None:
         st = st.filter(F.col("transaction_date") >= D.lit_date(since))
     # The "not loaded yet" test depends on the transaction alone, so it runs
     # first: a daily run joins only its new transactions to the dimensions.
-    # With ``since`` only the loaded facts of those days are looked at (a
-    # time_key range on the scan); a transaction re-dated after its load needs
-    # the full backlog load.
-    if since is not None:
-        existing = existing.filter(F.col("time_key") >= F.lit(time_key_of(as_date(since))))
-    st = (st.withColumn("source_transaction_id", F.col("transaction_id").cast("string"))
-            .join(_loaded_ids(existing), "source_transaction_id", "left_anti"))
+    # With ``since`` the loaded facts of those days are looked at first (a
+    # time_key range on the scan).
+    if near is None and since is not None:
+        near = F.col("time_key") >= F.lit(time_key_of(as_date(since)))
+    st = _not_loaded(st.withColumn("source_transaction_id", F.col("transaction_id").cast("string")), existing, near)
     dv = dim_vendors.filter(F.col("is_current_record")).select("vendor_id", "vendor_key")
     dc = dim_commodities.filter(F.col("is_current_record")).select("commodity_id", "commodity_key")
     days = calendar(dim_time, "date_actual", "time_key")

@@ -56,11 +56,10 @@ def stream_fact_load(spark: SparkSession, source_dir: str, dims: Mapping[str, Da
 
     A micro-batch holds at most ``max_bytes_per_trigger`` of files
     (``max_files_per_trigger`` bounds their number instead, for tests). Its
-    transaction ids are looked up among the facts of the batch's days only (a
-    ``time_key`` range on the scan of loaded ids); whether one side is
-    broadcast is left to Spark's measured sizes. A transaction whose date was
-    changed after it was loaded is therefore not recognised here: re-dated
-    transactions need the batch load, which compares with all ids. Each
+    transaction ids are looked up among the facts of the batch's days first (a
+    ``time_key`` range on the scan of loaded ids), and those not found there
+    among all other facts, so re-dated transactions are recognised; whether
+    one side is broadcast is left to Spark's measured sizes. Each
     micro-batch overwrites its own ``epoch=<id>`` folder, so a batch replayed
     after a failure rewrites the same output instead of adding it twice.
     """
@@ -78,8 +77,9 @@ def stream_fact_load(spark: SparkSession, source_dir: str, dims: Mapping[str, Da
         days = batch.agg(F.min("transaction_date").alias("a"), F.max("transaction_date").alias("b")).first()
         if days["a"] is None:
             return
-        known = earlier.filter(F.col("time_key").between(time_key_of(days["a"]), time_key_of(days["b"])))
-        new = fact_spend_new(batch, dims["dim_vendors"], dims["dim_commodities"], dims["dim_time"], known, as_of)
+        near = F.col("time_key").between(time_key_of(days["a"]), time_key_of(days["b"]))
+        new = fact_spend_new(batch, dims["dim_vendors"], dims["dim_commodities"], dims["dim_time"], earlier, as_of,
+                             near=near)
         (new.select(*[F.col(f.name).cast(f.dataType) for f in fact_schema.fields])
             .write.mode("overwrite").parquet(f"{target_dir}/epoch={epoch_id}"))
 

@@ -73,6 +73,31 @@ def test_t3_t4_loaded_ids_compared_as_text_and_null_ids_ignored(spark):
     assert [r["fact_key"] for r in new.collect()] == [12]
 
 
+def test_incremental_load_knows_redated_and_award_dated_facts(spark):
+    from decimal import Decimal
+    spend = mk(spark, "spend_transactions", [
+        dict(transaction_id=i, vendor_id="V1", commodity_id="C1", transaction_date=D(2023, 11, 3),
+             total_amount=Decimal("5.00")) for i in (12, 13, 14)])
+    # 12 was loaded under an earlier date, 13 by the award date and without a key
+    T = star(spark, [dict(fact(12), time_key=20230501), dict(fact(13), fact_key=None, time_key=20230401)])
+    new = facts.fact_spend_incremental(spend, T["dim_vendors"], T["dim_commodities"], T["dim_time"],
+                                       T["fact_spend_analytics"], D(2023, 11, 5))
+    assert [r["fact_key"] for r in new.collect()] == [14]
+
+
+def test_stream_load_knows_redated_facts(spark, tmp_path):
+    from decimal import Decimal
+
+    from spendstar.streaming.fact_stream import read_stream_target, stream_fact_load
+    mk(spark, "spend_transactions", [
+        dict(transaction_id=i, vendor_id="V1", commodity_id="C1", transaction_date=D(2023, 11, 3),
+             total_amount=Decimal("5.00")) for i in (12, 14)]).write.parquet(f"{tmp_path}/source")
+    T = star(spark, [dict(fact(12), time_key=20230501)])
+    stream_fact_load(spark, f"{tmp_path}/source", T, f"{tmp_path}/facts", f"{tmp_path}/state", D(2023, 11, 5),
+                     loaded=T["fact_spend_analytics"])
+    assert [r["source_transaction_id"] for r in read_stream_target(spark, f"{tmp_path}/facts").collect()] == ["14"]
+
+
 def _vendor(vid, **kw):
     r = dict(vendor_id=vid, vendor_name="N", vendor_tier="Approved", diversity_classification="Women",
              country="C", region="R", is_active=True)
