@@ -149,9 +149,8 @@ def current_fy_performance(T: Mapping[str, DataFrame], literal: bool = False) ->
     ``literal=True``: the latest fiscal year of the calendar (as the source
     view does; normally a year without facts)."""
     days = T["dim_time"].select("time_key", "fiscal_year")
-    if not literal:
-        last = T["fact_spend_analytics"].agg(F.max("time_key")).scalar()     # statistics only, no calendar join
-        days = days.filter(F.col("time_key") <= last)
+    if not literal:     # the facts' days (combined map-side) that the calendar has
+        days = days.join(T["fact_spend_analytics"].select("time_key").distinct(), "time_key", "left_semi")
     latest = days.agg(F.max("fiscal_year")).scalar()
     # the year as a time_key range on the fact scan (scalar subqueries, pushed when the scan starts)
     first = T["dim_time"].filter(F.col("fiscal_year") == latest).agg(F.min("time_key")).scalar()

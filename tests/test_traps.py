@@ -98,6 +98,12 @@ def test_stream_load_knows_redated_facts(spark, tmp_path):
     assert [r["source_transaction_id"] for r in read_stream_target(spark, f"{tmp_path}/facts").collect()] == ["14"]
 
 
+def test_current_year_ignores_facts_outside_the_calendar(spark):
+    T = star(spark, [fact(1), fact(2, tk=99991231)])
+    T["dim_time"] = T["dim_time"].filter("fiscal_year <= 2026")
+    assert [r["total_spend"] for r in views.current_fy_performance(T).collect()] == [100.0]
+
+
 def _vendor(vid, **kw):
     r = dict(vendor_id=vid, vendor_name="N", vendor_tier="Approved", diversity_classification="Women",
              country="C", region="R", is_active=True)
