@@ -27,7 +27,8 @@ Scale: 26 bytes per suffix, one shuffle of the texts and one of the suspicious
 suffixes; no bucket holds a hot string.
 
 Defined cases: null and empty texts have no bytes and stay as they are; ids are
-non-null and unique. Repeated rows (same id and text) count as copies.
+may be null or repeated: rows are told apart by a 128-bit hash of id and text.
+Repeated rows (same id and text) count as copies.
 """
 
 from __future__ import annotations
@@ -184,8 +185,11 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT, id_col
     ship(spark)
     folder = shared_folder(spark, "suffixes")
     half = length // 2
-    texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    id_type = dict(texts.dtypes)["id"]
+    texts = docs.select(F.col(id_col).alias("given"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    given_type, id_type = dict(texts.dtypes)["given"], "binary"
+    # the key of a row: hashes skip nulls, so a null id is hashed as such
+    hashes = [F.lpad(F.hex(F.xxhash64(F.lit(k), F.col("given").isNull(), "given", "text")), 16, "0") for k in (1, 2)]
+    texts = texts.select(F.unhex(F.concat(*hashes)).alias("id"), "given", "text")
 
     def read(batches):
         for batch in batches:
@@ -229,7 +233,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT, id_col
     often = cut(half_rows.groupBy("half").agg(F.count(F.lit(1)).alias("times")).filter("times > 1"))
     suspect = half_rows.join(often, "half").groupBy("id").agg(
         F.collect_set(F.struct("pos", "lo", "hi", (F.col("times") > hot).alias("hot"))).alias("at"))
-    suspect.join(texts, "id").select("id", "text", "at").write.parquet(f"{folder}/suspects")
+    suspect.join(texts, "id").select("id", "text", "at", "given").write.parquet(f"{folder}/suspects")
     suspects = spark.read.parquet(f"{folder}/suspects")
 
     def contexts(batches, want_hot):
@@ -334,12 +338,12 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT, id_col
                 .select("id", "n", "copies", "sha").dropDuplicates(["id"])
     gone = (F.col("copies") > 1) & (F.col("n") >= length)
     cut_texts = suspects.join(spans, "id").join(info.filter(~gone).select("id"), "id", "left_semi") \
-                        .select("id", "text", "spans").mapInArrow(
-        erase, f"id {id_type}, text binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+                        .select(F.col("given").alias("id"), "text", "spans").mapInArrow(
+        erase, f"id {given_type}, text binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
     rest = texts.join(info, "id").join(spans.select("id", F.lit(True).alias("cut")), "id", "left")
     nothing = hashlib.sha256(b"").hexdigest()
     plain = rest.filter(F.col("cut").isNull() | gone).select(
-        "id", F.when(gone, F.lit(b"")).otherwise(F.col("text").cast("binary")).alias("text"), F.col("n").alias("n_bytes"),
+        F.col("given").alias("id"), F.when(gone, F.lit(b"")).otherwise(F.col("text").cast("binary")).alias("text"), F.col("n").alias("n_bytes"),
         F.when(gone, F.col("n")).otherwise(F.lit(0)).cast("long").alias("n_removed"),
         gone.cast("long").alias("n_spans"), F.when(gone, F.lit(nothing)).otherwise(F.col("sha")).alias("kept_sha256"))
     return cut_texts.unionByName(plain).withColumnRenamed("id", id_col)

@@ -351,6 +351,17 @@ def test_repeats(spark, make_docs, hot):
     assert all(hashlib.sha256(bytes(r["text"])).hexdigest() == r["kept_sha256"] for r in got)
 
 
+def test_repeats_with_null_and_shared_ids(spark, make_docs):
+    """Every row has a result of its own text, whatever its id is."""
+    a, b, c = texts(3, seed=21, words=90)
+    block = " ".join(texts(2, seed=22, words=90))
+    rows = [(None, a + block), (None, b), (7, c + block + a[:5]), (7, "short"), (None, None), (8, b), (9, "x " * 5)]
+    got = Counter((r["doc_id"], r["n_bytes"], r["n_removed"], r["kept_sha256"])
+                  for r in suffixes.remove_repeats(make_docs(rows), length=40).collect())
+    want = brute_repeats(list(enumerate(t for _, t in rows)), 40)
+    assert got == Counter((i, want[k][0], want[k][1], want[k][3]) for k, (i, _) in enumerate(rows))
+
+
 def test_repeats_of_nothing(spark, make_docs):
     assert suffixes.remove_repeats(make_docs([])).count() == 0
     got = suffixes.remove_repeats(make_docs([(1, "a" * 500), (1, "a" * 500), (2, "short")])).collect()
