@@ -104,7 +104,7 @@ TRIGGER_MESSAGES = {
     ("po_line_items", "line_amount_matches"): "Line amount must equal quantity * unit_price",
 }
 
-# Primary keys / unique keys and NOT NULL columns of the DDL.
+# Primary keys / unique keys of the DDL.
 KEYS: list[tuple[str, tuple[str, ...]]] = [
     ("vendors", ("vendor_id",)), ("commodities", ("commodity_id",)), ("business_units", ("business_unit_id",)),
     ("contracts", ("contract_id",)), ("purchase_orders", ("po_id",)), ("po_line_items", ("po_line_id",)),
@@ -119,6 +119,32 @@ KEYS: list[tuple[str, tuple[str, ...]]] = [
     ("fact_supplier_performance", ("performance_key",)), ("fact_savings_realization", ("savings_key",)),
 ]
 
+# NOT NULL columns of the DDL that are no keys, by table.
+NOT_NULL: list[tuple[str, tuple[str, ...]]] = [
+    ("vendors", ("vendor_name",)),
+    ("commodities", ("commodity_description",)),
+    ("business_units", ("business_unit_name",)),
+    ("contracts", ("vendor_id",)),
+    ("purchase_orders", ("vendor_id", "po_date", "total_amount")),
+    ("po_line_items", ("po_id", "commodity_id", "line_number", "quantity", "unit_price", "line_amount")),
+    ("spend_transactions", ("vendor_id", "commodity_id", "transaction_date", "total_amount")),
+    ("sourcing_strategies", ("commodity_id", "strategy_name")),
+    ("time_periods", ("period_name", "start_date", "end_date", "fiscal_year")),
+    ("savings_targets", ("fiscal_year", "target_amount")),
+    ("demand_forecasts", ("commodity_id", "forecast_period_start", "forecast_period_end")),
+    ("risk_assessments", ("assessment_date",)),
+    ("market_intelligence", ("commodity_id", "report_date")),
+    ("performance_metrics", ("metric_name",)),
+    ("dim_vendors", ("vendor_id", "vendor_name", "effective_start_date", "is_current_record")),
+    ("dim_commodities", ("commodity_id", "commodity_description", "effective_start_date", "is_current_record")),
+    ("dim_time", ("date_actual", "year", "quarter", "month", "fiscal_year", "fiscal_quarter", "fiscal_month", "month_name", "quarter_name", "day_of_week", "day_of_week_num", "week_of_year", "is_weekend")),
+    ("dim_contracts", ("contract_id", "effective_start_date", "is_current_record")),
+    ("dim_business_units", ("business_unit_id", "business_unit_name", "effective_start_date", "is_current_record")),
+    ("fact_spend_analytics", ("vendor_key", "commodity_key", "time_key", "spend_amount", "load_date")),
+    ("fact_supplier_performance", ("vendor_key", "time_key", "load_date")),
+    ("fact_savings_realization", ("vendor_key", "commodity_key", "time_key", "forecasted_savings", "realized_savings", "load_date")),
+]
+
 # Foreign keys (child table, column, parent table, column).
 FOREIGN_KEYS: list[tuple[str, str, str, str]] = [
     ("business_units", "parent_unit_id", "business_units", "business_unit_id"),
@@ -279,6 +305,25 @@ def dq_duplicate_keys(T: Mapping[str, DataFrame]) -> DataFrame:
     return _union([*parts, spark.createDataFrame(absent, "table_name string, key_columns string, status string")])
 
 
+def dq_null_columns(T: Mapping[str, DataFrame]) -> DataFrame:
+    """Q10: one row per declared NOT NULL column (those of the keys are in
+    ``dq_duplicate_keys``): (table_name, column_name, status, null_rows). Each
+    table is read once for all its columns."""
+    parts, absent = [], []
+    for table, columns in NOT_NULL:
+        state = {c: _status(T, table, {c}) for c in columns}
+        here = [c for c in columns if state[c] == CHECKED]
+        if here:
+            parts.append(violation_counts(T[table], [(c, f"{c} is not null") for c in here]).select(
+                F.lit(table).alias("table_name"), F.col("rule_name").alias("column_name"),
+                F.lit(CHECKED).alias("status"), F.col("violations").alias("null_rows")))
+        absent += [(table, c, state[c]) for c in columns if state[c] != CHECKED]
+    spark = T[next(iter(T))].sparkSession
+    gone = spark.createDataFrame(absent, "table_name string, column_name string, status string") \
+                .withColumn("null_rows", F.lit(None).cast("long"))
+    return _union([*parts, gone])
+
+
 def check_fk(child: DataFrame, col: str, parent: DataFrame, parent_col: str) -> DataFrame:
     """Q11: child rows whose non-NULL ``col`` has no parent row."""
     keys = parent.select(F.col(parent_col).alias(col)).filter(F.col(col).isNotNull())
@@ -443,12 +488,14 @@ def check_consistency(T: Mapping[str, DataFrame], vendor_tolerance: int = 10, ra
 
 def verify_schema(T: Mapping[str, DataFrame], required: Sequence[str], schema_name: str) -> DataFrame:
     """Q6: PASSED when every required table is present (catalog metadata
-    only), with the list of missing ones."""
+    only), with the list of missing ones and the number of foreign keys that
+    are declared for the required tables."""
     spark = next(iter(T.values())).sparkSession if len(T) else None
     missing = [t for t in required if t not in T]
     return spark.createDataFrame(
-        [(schema_name, "PASSED" if not missing else "FAILED", ",".join(missing))],
-        "schema_name string, status string, missing_tables string")
+        [(schema_name, "PASSED" if not missing else "FAILED", ",".join(missing),
+          sum(child in required for child, *_ in FOREIGN_KEYS))],
+        "schema_name string, status string, missing_tables string, foreign_keys int")
 
 
 def health_check(T: Mapping[str, DataFrame]) -> DataFrame:

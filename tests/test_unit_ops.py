@@ -24,6 +24,20 @@ def test_verify_schema(T001):
     assert bad["status"] == "FAILED" and bad["missing_tables"] == "dim_nothing"
 
 
+def test_verify_schema_counts_foreign_keys(T001):
+    assert quality.verify_schema(T001, quality.REQUIRED_STAR, "star").collect()[0]["foreign_keys"] == 5
+
+
+def test_null_columns_are_counted(spark, T001):
+    T = {"vendors": T001["vendors"].withColumn("vendor_name", F.when(F.col("vendor_id") != "x", F.lit(None)).cast("string")),
+         "contracts": T001["contracts"].drop("vendor_id")}
+    got = {(r["table_name"], r["column_name"]): (r["status"], r["null_rows"]) for r in quality.dq_null_columns(T).collect()}
+    assert len(got) == sum(len(c) for _, c in quality.NOT_NULL)
+    assert got["vendors", "vendor_name"] == (quality.CHECKED, T["vendors"].filter("vendor_id <> 'x'").count())
+    assert got["contracts", "vendor_id"] == (quality.NO_COLUMN, None)
+    assert got["purchase_orders", "po_date"] == (quality.NO_TABLE, None)
+
+
 def test_observed_run_log(spark, T001):
     df, obs = monitor.observed(T001["vendors"], "vendors")
     df.write.format("noop").mode("overwrite").save()
