@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import balltree, langid, linecrf, lines, minhash, mixing, packing, sharding, suffixes, toxicity
+from . import audit, balltree, langid, linecrf, lines, minhash, mixing, packing, sharding, suffixes, toxicity
 from .common import documents, shared_folder
 
 SHARDS = 40
@@ -80,6 +80,17 @@ def op10_nb_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text", F.col("lang").alias("part"))
+    labelled = audit.with_labels(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    masked = labelled.withColumn("mask", audit.failure_mask(audit.text_conditions(F.coalesce("text", F.lit("")))))
+    counted = audit.later_copies(masked, "doc_id", "text", ["part", "mask", "good", "toxic"])
+    mask = F.col("mask").bitwiseOR(F.when(F.col("copy"), F.lit(16)).otherwise(F.lit(0)))
+    cells = audit.cells(counted, mask, F.col("part"), F.col("n"), good_lost=F.col("n") * F.col("good").cast("int"),
+                        toxic_lost=F.col("n") * F.col("toxic").cast("int"))
+    return audit.audit(cells, "ABCDE", ["good_lost", "toxic_lost"])
+
+
 QUERIES = {
     "op1_hyperminhash": op1_hyperminhash,
     "op2_bm25_packing": op2_bm25_packing,
@@ -91,4 +102,5 @@ QUERIES = {
     "op8_byte_gru": op8_byte_gru,
     "op9_sparse_suffixes": op9_sparse_suffixes,
     "op10_nb_ngrams": op10_nb_ngrams,
+    "op13_filter_audit": op13_filter_audit,
 }

@@ -71,4 +71,49 @@ ranked as (select *, row_number() over (partition by query_id order by score des
 select query_id, rank, vec_id, score from ranked where rank <= 10
 """
 
-SQL = {"op3_systematic_mix": OP3, "op4_line_dedup": OP4, "op7_ball_tree": OP7}
+OP13 = r"""
+with recursive firsts as (select coalesce(text, '') as t, min(doc_id) as first from documents group by 1),
+label as (select doc_id, bool_or(quality = 1) as good, bool_or(toxic = 1) as toxic from labels group by 1),
+split as (
+  select d.doc_id, d.lang, coalesce(d.text, '') as t, regexp_extract_all(coalesce(d.text, ''), '[^\x20\x09-\x0D]+') as w
+  from documents d),
+failing as (
+  select coalesce(s.lang, '') as part, coalesce(l.good, false) as good, coalesce(l.toxic, false) as toxic,
+    list_filter([
+      case when len(w) < 100 then 'A' end,
+      case when 100 * len(list_distinct(w)) < 80 * len(w) then 'B' end,
+      case when 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) then 'C' end,
+      case when regexp_matches(t, '[#$%&*|]') then 'D' end,
+      case when s.doc_id > f.first then 'E' end], lambda x: x is not null) as bad
+  from split s join firsts f using (t) left join label l on l.doc_id = s.doc_id),
+orders(o, rest) as (
+  select '', 'ABCDE'
+  union all
+  select o || substr(rest, i::int, 1), substr(rest, 1, i::int - 1) || substr(rest, i::int + 1)
+  from orders, range(1, 6) r(i) where i <= length(rest)),
+steps as (
+  select o as filter_order, s::int as step, substr(o, s::int, 1) as f, substr(o, 1, s::int - 1) as before
+  from orders, range(1, 6) r(s) where rest = ''),
+classes as (
+  select part, bad, count(*) as n, count(*) filter (where good) as good, count(*) filter (where toxic) as toxic
+  from failing group by part, bad),
+met as (
+  select part, filter_order, step, f, n, good, toxic, bad, list_contains(bad, f) as fails,
+    len(list_filter(bad, lambda x: contains(before, x))) > 0 as gone
+  from classes, steps),
+counted as (
+  select part, filter_order, step, f,
+    sum(case when not gone and not fails then n else 0 end)::bigint as kept,
+    sum(case when not gone and fails then n else 0 end)::bigint as removed,
+    sum(case when gone and fails then n else 0 end)::bigint as redundant,
+    sum(case when bad = [f] then n else 0 end)::bigint as unique_fails,
+    sum(case when not gone and fails then good else 0 end)::bigint as good_lost,
+    sum(case when not gone and fails then toxic else 0 end)::bigint as toxic_lost
+  from met group by part, filter_order, step, f)
+select part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  (sum(removed) over (partition by part, f))::bigint as shapley
+from counted
+"""
+
+SQL = {"op3_systematic_mix": OP3, "op4_line_dedup": OP4, "op7_ball_tree": OP7,
+       "op13_filter_audit": OP13}

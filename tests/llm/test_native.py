@@ -17,7 +17,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(sql.SQL))
 def test_oracle(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "labels", "benchmark"):
         con.execute(f"create view {t} as from '{SF}/{t}.parquet'")
     want = con.sql(sql.SQL[name]).df()
     got = queries.QUERIES[name](spark, SF).toPandas()
