@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import audit, balltree, langid, linecrf, lines, minhash, mixing, packing, sharding, suffixes, toxicity
+from . import audit, balltree, langid, linecrf, lines, minhash, mixing, packing, pieces, sharding, suffixes, toxicity
 from .common import documents, shared_folder
 
 SHARDS = 40
@@ -80,6 +80,20 @@ def op10_nb_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def piece_model_path() -> str:
+    """The piece model of the installed public vocabularies."""
+    import public_tokenizers
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op11_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pieces.encode(documents(spark, sf_dir).select("doc_id", "text"), piece_model_path(), decoded_col="decoded")
+    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                      F.sha2(ids.cast("binary"), 256).alias("ids_sha256"),
+                      F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text", F.col("lang").alias("part"))
     labelled = audit.with_labels(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -102,5 +116,6 @@ QUERIES = {
     "op8_byte_gru": op8_byte_gru,
     "op9_sparse_suffixes": op9_sparse_suffixes,
     "op10_nb_ngrams": op10_nb_ngrams,
+    "op11_piece_encoding": op11_piece_encoding,
     "op13_filter_audit": op13_filter_audit,
 }
