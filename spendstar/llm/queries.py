@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import audit, balltree, langid, linecrf, lines, minhash, mixing, packing, pieces, sharding, suffixes, toxicity
+from . import audit, balltree, langid, linecrf, lines, minhash, mixing, packing, pieces, search, sharding, suffixes, toxicity
 from .common import documents, shared_folder
 
 SHARDS = 40
@@ -94,6 +94,11 @@ def op11_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op12_block_max_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
+    return search.ranked(documents(spark, sf_dir).select("doc_id", "text"), items)
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text", F.col("lang").alias("part"))
     labelled = audit.with_labels(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -117,5 +122,6 @@ QUERIES = {
     "op9_sparse_suffixes": op9_sparse_suffixes,
     "op10_nb_ngrams": op10_nb_ngrams,
     "op11_piece_encoding": op11_piece_encoding,
+    "op12_block_max_search": op12_block_max_search,
     "op13_filter_audit": op13_filter_audit,
 }

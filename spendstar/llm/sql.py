@@ -71,6 +71,32 @@ ranked as (select *, row_number() over (partition by query_id order by score des
 select query_id, rank, vec_id, score from ranked where rank <= 10
 """
 
+OP12 = r"""
+with split as (
+  select row_number() over () as row, doc_id, translate(unnest(regexp_extract_all(text,
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as term
+  from documents),
+docs as (select row, doc_id, count(*)::bigint as n from split group by row, doc_id),
+total as (select count(*)::bigint as nn, sum(n)::bigint as l from docs),
+post as (select row, term, count(*)::bigint as tf from split group by row, term),
+item as (
+  select item_id, text, translate(unnest(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as term
+  from (select distinct item_id, text from benchmark)),
+asked as (select item_id, text, term, count(*)::bigint as times from item group by all),
+weighed as (
+  select term, floor(1000 * ln((2 * nn + 2)::double / (2 * df + 1)::double))::bigint as w
+  from (select term, count(*)::bigint as df from post where term in (select term from asked) group by term), total),
+scored as (
+  select item_id, a.text, d.doc_id, d.row,
+    sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * nn) // l))))::bigint as score
+  from asked a join weighed using (term) join post p using (term) join docs d on d.row = p.row, total
+  group by item_id, a.text, d.doc_id, d.row),
+ranked as (
+  select *, row_number() over (partition by item_id, text order by score desc, doc_id)::int as rank from scored where score > 0)
+select item_id, rank, doc_id, score from ranked where rank <= 20
+"""
+
 OP13 = r"""
 with recursive firsts as (select coalesce(text, '') as t, min(doc_id) as first from documents group by 1),
 label as (select doc_id, bool_or(quality = 1) as good, bool_or(toxic = 1) as toxic from labels group by 1),
@@ -116,4 +142,4 @@ from counted
 """
 
 SQL = {"op3_systematic_mix": OP3, "op4_line_dedup": OP4, "op7_ball_tree": OP7,
-       "op13_filter_audit": OP13}
+       "op12_block_max_search": OP12, "op13_filter_audit": OP13}
