@@ -133,26 +133,30 @@ def by_order(counts: DataFrame, names: Sequence[str], measures: Sequence[str] =
         (F.col("failing") - F.col("removed")).alias("redundant"), "unique_fails", *measures, "shapley")
 
 
-def later_copies(docs: DataFrame, id_col: str, text_col: str, keys: Sequence[str]) -> DataFrame:
-    """Rows counted by ``keys`` and by ``copy``: whether a smaller id has the
-    same text, anywhere in the table. A null text equals the empty one; a row
-    without an id is no copy and makes none.
-
-    Texts are known by a 128-bit hash. Rows are counted by id first, then by
-    keys, both with map-side combine, so that neither a text nor an id that
-    holds a third of the table meets in one task; the smallest id of every text
-    that has more than one row is stored, so that Spark may split the join."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("__id"), *keys, F.xxhash64(text).alias("__h1"),
-                       F.xxhash64(F.lit(7), text).alias("__h2"))
-    rows = rows.groupBy("__h1", "__h2", "__id", *keys).agg(F.count(F.lit(1)).alias("__n"))
+def text_key(text: Column) -> list[Column]:
+    """A 128-bit hash of a text, in columns h1 and h2; a null text is the empty one."""
+    known = F.coalesce(text, F.lit(""))
+    return [F.xxhash64(known).alias("h1"), F.xxhash64(F.lit(7), known).alias("h2")]
+
+
+def later_copies(rows: DataFrame, id_col: str, keys: Sequence[str]) -> DataFrame:
+    """Rows with a ``text_key`` (h1, h2) counted by ``keys`` and by ``copy``:
+    whether a smaller id has the same text, anywhere in the table. A row without
+    an id is no copy and makes none.
+
+    Rows are counted by id first, then by keys, both with map-side combine, so
+    that neither a text nor an id that holds a third of the table meets in one
+    task; the counts and the smallest id of every text that has more than one
+    row are stored, so that Spark may split the join."""
+    rows = rows.select(F.col(id_col).alias("__id"), *keys, "h1", "h2")
+    rows = rows.groupBy("h1", "h2", "__id", *keys).agg(F.count(F.lit(1)).alias("__n"))
     # of the rows with a text and keys: all, those without an id, those of the smallest id
-    rows = rows.groupBy("__h1", "__h2", *keys).agg(
+    rows = cut(rows.groupBy("h1", "h2", *keys).agg(
         F.sum("__n").alias("__n"), F.sum(F.when(F.col("__id").isNull(), F.col("__n")).otherwise(0)).alias("__none"),
-        F.min("__id").alias("__low"), F.min_by("__n", "__id").alias("__at_low"))
-    least = rows.groupBy("__h1", "__h2").agg(F.min("__low").alias("__first"), F.sum("__n").alias("__all")) \
-                .filter("__all > 1 and __first is not null").select("__h1", "__h2", "__first")
-    rows = rows.join(cut(least), ["__h1", "__h2"], "left")
+        F.min("__id").alias("__low"), F.min_by("__n", "__id").alias("__at_low")))
+    least = rows.groupBy("h1", "h2").agg(F.min("__low").alias("__first"), F.sum("__n").alias("__all")) \
+                .filter("__all > 1 and __first is not null").select("h1", "h2", "__first")
+    rows = rows.join(cut(least), ["h1", "h2"], "left")
     kept = F.when(F.col("__first").isNull(), F.col("__n")).otherwise(
         F.col("__none") + F.when(F.col("__low") == F.col("__first"), F.col("__at_low")).otherwise(0))
     sides = F.array(F.struct(F.lit(False).alias("copy"), kept.alias("n")),
@@ -172,7 +176,8 @@ def text_conditions(text: Column) -> list[Column]:
 
 def with_labels(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """``docs`` plus ``good`` (a label of quality 1) and ``toxic`` (of toxic 1),
-    false without a label. Rows without an id are spread, not joined in one task."""
+    false without a label. Rows without an id are spread, not joined in one
+    task. ``docs`` is shuffled: leave texts out."""
     of = labels.filter(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("__id")).agg(
         F.max(F.coalesce(F.col("quality") == 1, F.lit(False))).alias("good"),
         F.max(F.coalesce(F.col("toxic") == 1, F.lit(False))).alias("toxic"))

@@ -100,10 +100,11 @@ def op12_block_max_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir).select("doc_id", "text", F.col("lang").alias("part"))
-    labelled = audit.with_labels(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    masked = labelled.withColumn("mask", audit.failure_mask(audit.text_conditions(F.coalesce("text", F.lit("")))))
-    counted = audit.later_copies(masked, "doc_id", "text", ["part", "mask", "good", "toxic"])
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    text = F.coalesce("text", F.lit(""))
+    read = docs.select("doc_id", F.col("lang").alias("part"), *audit.text_key(text),
+                       audit.failure_mask(audit.text_conditions(text)).alias("mask"))
+    counted = audit.later_copies(audit.with_labels(read, labels), "doc_id", ["part", "mask", "good", "toxic"])
     mask = F.col("mask").bitwiseOR(F.when(F.col("copy"), F.lit(16)).otherwise(F.lit(0)))
     cells = audit.cells(counted, mask, F.col("part"), F.col("n"), good_lost=F.col("n") * F.col("good").cast("int"),
                         toxic_lost=F.col("n") * F.col("toxic").cast("int"))
