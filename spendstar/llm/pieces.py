@@ -17,8 +17,9 @@ two pieces back. So no text has to be merged as a whole:
 
 Characters without a piece become their UTF-8 bytes' pieces and bound the
 stretches. Where no piece holds a space mark after another character, a text is
-further cut before the marks that follow one: no merge crosses such a place,
-and most of the resulting stretches are words seen before, whose ids come from
+further cut before the marks that follow one, and likewise (``apart``) between
+any two characters that are neighbours in no piece: no merge crosses such a
+place, and most of the resulting stretches are words seen before, whose ids come from
 a table per worker bounded by ``CACHE_BYTES``.
 
 Scale: rows are handled where they are, without a shuffle. A worker holds the
@@ -42,7 +43,8 @@ from pyspark.sql.types import ArrayType, DataType, IntegerType, StringType
 from .common import lean, ship
 
 SPACE_MARK = "▁"
-CACHE_BYTES = 48 << 20
+CACHE_BYTES = 160 << 20
+ENTRY_BYTES = 240            # of a stretch in the table, about
 CACHE_STRETCH = 48           # longer stretches are not kept
 PAIRS = 1 << 20
 RUN_CHARS = 1 << 19
@@ -81,26 +83,37 @@ class Vocabulary:
                 self.raw[i] = piece.replace(SPACE_MARK, " ").encode()
                 self.automaton.add_word(piece, (len(piece), i))
         self.automaton.make_automaton()
-        inner = any(SPACE_MARK in p.lstrip(SPACE_MARK) for p in self.ids)
-        inside = {c for p in self.ids if len(p) > 1 for c in p}
-        if not inside <= self.ids.keys():
+        self.inside = {x + y for p in self.ids for x, y in zip(p, p[1:], strict=False)}      # neighbours in some piece
+        self.alphabet = frozenset(c for c in self.ids if len(c) == 1)
+        if not {c for p in self.ids for c in p} <= self.alphabet:
             raise ValueError("a character of a piece is no piece itself")
         if len(self.fallback) < 256:
             raise ValueError("vocabularies without byte pieces are not supported")
         # a line break is the commonest character without a piece
         alone = "" if "\n" in self.ids else "\n"
-        whole = f"[^{alone}]+" if alone else ".+"
-        pattern = whole if inner else f"{SPACE_MARK}*[^{SPACE_MARK}{alone}]+|{SPACE_MARK}+"
+        if any(p[1] == SPACE_MARK != p[0] for p in self.inside):
+            pattern = f"[^{alone}]+" if alone else ".+"
+        else:
+            pattern = f"{SPACE_MARK}*[^{SPACE_MARK}{alone}]+|{SPACE_MARK}+"
         self.cut = re.compile(pattern + ("|\n" if alone else ""), re.S)
         self.pairs: dict[tuple[int, int], bool] = {}
         self.clear()
 
+    def apart(self, text: str) -> list[str]:
+        """``text`` cut wherever two characters are neighbours in no piece: no merge crosses such a place."""
+        out, a = [], 0
+        for k in range(1, len(text)):
+            if text[k - 1:k + 1] not in self.inside:
+                out.append(text[a:k])
+                a = k
+        out.append(text[a:])
+        return out
+
     def clear(self) -> None:
         """Forget the stretches seen."""
         self.known: dict[str, int] = {}
-        self.size, self.first = array("q"), array("q")
-        self.pool = np.zeros(1 << 16, np.int32)
-        self.used = self.held = 0
+        self.size, self.first, self.pool = array("q"), array("q"), array("i")
+        self.held = 0
 
     def merged(self, text: str) -> list[int]:
         """The merge law itself, for a few known characters: of all neighbours
@@ -138,38 +151,43 @@ class Vocabulary:
         for last, (size, i) in self.automaton.iter(text):
             starts[last - size + 1].append((size, i))          # by rising size
         failed = bytearray(n // 8 + 1)
+        pairs = self.pairs
         out: list[int] = []
         tried: list[int] = []                                  # of each piece taken: its place among its start's
-        at, place = 0, len(starts[0]) - 1 if n else 0
+        at, before, place = 0, -1, len(starts[0]) - 1 if n else 0
         while at < n:
-            before = out[-1] if out else -1
             options = starts[at]
             while place >= 0:
                 size, i = options[place]
                 stop = at + size
-                if not failed[stop >> 3] >> (stop & 7) & 1 and self.compatible(before, i):
-                    break
+                if not failed[stop >> 3] >> (stop & 7) & 1:
+                    good = pairs.get((before, i))
+                    if self.compatible(before, i) if good is None else good:
+                        break
                 place -= 1
             if place >= 0:
                 out.append(i)
                 tried.append(place)
-                at = stop
+                at, before = stop, i
                 place = len(starts[at]) - 1 if at < n else 0
             else:
                 if not out:
                     raise ValueError(f"no encoding of {text[:40]!r}")
                 failed[at >> 3] |= 1 << (at & 7)
                 at -= len(self.text[out.pop()])
+                before = out[-1] if out else -1
                 place = tried.pop() - 1
         return out
 
     def stretch(self, text: str) -> list[int]:
         """Ids of any normalized text; characters without a piece stand alone."""
+        if self.alphabet.issuperset(text):
+            return self.backtrack(text)
         out: list[int] = []
         a, n = 0, len(text)
         while a < n:
             b = a
-            while b < n and text[b] in self.ids:
+            while b < n and text[b] in self.alphabet:
                 b += 1
             if b > a:
                 out += self.backtrack(text[a:b])
@@ -179,42 +197,42 @@ class Vocabulary:
             a = b
         return out
 
-    def _add(self, ids: list[int]) -> int:
-        n = len(ids)
-        if self.used + n > len(self.pool):
-            self.pool = np.concatenate([self.pool, np.zeros(max(n, len(self.pool)), np.int32)])
-        self.pool[self.used:self.used + n] = ids
-        self.first.append(self.used)
-        self.size.append(n)
-        self.used += n
-        return len(self.size) - 1
+    def _number(self, part: str, extra: dict[str, int]) -> int:
+        """The table's entry of a stretch that had none. ``extra``: entries of long ones, of one call only."""
+        table = self.known if len(part) <= CACHE_STRETCH else extra
+        number = table.get(part)
+        if number is None:
+            ids, parts = [], self.apart(part)
+            if len(parts) == 1:
+                ids = self.stretch(part)
+            else:
+                for k in [self._number(x, extra) for x in parts]:
+                    ids += self.pool[self.first[k]:self.first[k] + self.size[k]]
+            number = table[part] = len(self.size)
+            self.first.append(len(self.pool))
+            self.size.append(len(ids))
+            self.pool.extend(ids)
+            self.held += ENTRY_BYTES + 4 * len(ids)
+        return number
 
     def encode(self, texts: list[str], end: bool = True) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the texts one after another, and the number of each text's ids."""
         if self.held > CACHE_BYTES:
             self.clear()
-        numbers, counts = [], []
-        extra: dict[str, int] = {}                    # long stretches, of this call only
+        numbers: list[int] = []
+        counts, extra = [], {}
         for text in texts:
             parts = self.cut.findall(self.normalized(text)) if text else []
-            try:
-                got = [self.known[p] for p in parts]
-            except KeyError:
-                got = []
-                for p in parts:
-                    k = self.known.get(p, extra.get(p, -1))
-                    if k < 0:
-                        ids = self.stretch(p)
-                        k = self._add(ids)
-                        (self.known if len(p) <= CACHE_STRETCH else extra)[p] = k
-                        self.held += 200 + 4 * len(ids)
-                    got.append(k)
+            got = list(map(self.known.get, parts))
+            if None in got:
+                got = [self._number(p, extra) if k is None else k for p, k in zip(parts, got, strict=True)]
             numbers += got
             counts.append(len(got))
         number, count = np.array(numbers, np.int64), np.array(counts, np.int64)
         first, each = (np.frombuffer(x, np.int64)[number] if len(number) else number for x in (self.first, self.size))
         stop = np.cumsum(each)
-        flat = self.pool[np.repeat(first - (stop - each), each) + np.arange(stop[-1] if len(stop) else 0)]
+        at = np.repeat(first - (stop - each), each) + np.arange(stop[-1] if len(stop) else 0)
+        flat = np.frombuffer(self.pool, np.int32)[at] if len(at) else np.zeros(0, np.int32)
         total = np.concatenate([[0], stop])[np.concatenate([[0], np.cumsum(count)])]
         n = np.diff(total)
         if end:
