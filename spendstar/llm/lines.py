@@ -31,11 +31,12 @@ def drop_shared_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1,
     ``n_lines`` (before dropping) and ``n_dropped``, both long."""
     out_cols = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     text, doc = F.col(text_col), F.col(id_col)
-    known = F.coalesce(text, F.lit(""))
-    keyed = docs.select(*out_cols).withColumns({
-        "__d1": F.xxhash64(doc, text), "__d2": F.xxhash64(F.lit(7), doc, text)})
+    # split once: the lines travel as an array, so that a kept line is read by its position
+    keyed = docs.select(*[c for c in out_cols if c != text_col], F.split(text, "\n", -1).alias("__lines"),
+                        F.xxhash64(doc, text).alias("__d1"), F.xxhash64(F.lit(7), doc, text).alias("__d2"))
 
-    line = keyed.select("__d1", "__d2", F.posexplode(F.split(known, "\n", -1)).alias("__pos", "__line"))
+    # the hashes are made before the lines are exploded, not once per line
+    line = keyed.select("__d1", "__d2", "__lines").select("__d1", "__d2", F.posexplode_outer("__lines").alias("__pos", "__line"))
     line = line.withColumn("__key", ascii_lower(F.btrim("__line", F.lit(SPACE)))) \
                .filter(F.char_length("__key") >= max(1, min_chars)) \
                .select("__d1", "__d2", "__pos", F.xxhash64("__key").alias("__k1"),
@@ -47,14 +48,12 @@ def drop_shared_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1,
     drops = (line.join(frequent, ["__k1", "__k2"], "left_semi")
                  .groupBy("__d1", "__d2").agg(F.collect_set("__pos").alias("__drop")))
 
-    lines = F.split(known, "\n", -1)
-    joined = keyed.join(drops, ["__d1", "__d2"], "left")
-    out = joined.withColumn("__n", F.size(lines))
-    kept = F.array_except(F.sequence(F.lit(0), F.col("__n") - 1), F.col("__drop"))
-    out = out.withColumn("__kept", F.when(F.col("__drop").isNotNull(), kept))
-    new_text = F.array_join(F.transform("__kept", lambda i: F.get(lines, i)), "\n")
-    gone = F.when(F.col("__kept").isNull(), F.lit(0)).otherwise(F.col("__n") - F.size("__kept"))
-    return out.select(
-        *[F.when(F.col("__kept").isNull(), text).otherwise(new_text).alias(c) if c == text_col else F.col(c)
-          for c in out_cols],
-        F.col("__n").cast("long").alias("n_lines"), gone.cast("long").alias("n_dropped"))
+    kept = F.col("__kept")
+    out = keyed.join(drops, ["__d1", "__d2"], "left") \
+               .withColumn("__n", F.when(F.col("__lines").isNull(), 1).otherwise(F.size("__lines")))
+    out = out.withColumn("__kept", F.when(F.col("__drop").isNotNull(), F.array_except(
+        F.sequence(F.lit(0), F.col("__n") - 1), F.col("__drop"))))
+    rest = F.when(kept.isNull(), F.col("__lines")).otherwise(F.transform(kept, lambda i: F.get("__lines", i)))
+    gone = F.when(kept.isNull(), F.lit(0)).otherwise(F.col("__n") - F.size(kept))
+    return out.select(*[F.array_join(rest, "\n").alias(c) if c == text_col else F.col(c) for c in out_cols],
+                      F.col("__n").cast("long").alias("n_lines"), gone.cast("long").alias("n_dropped"))
