@@ -10,7 +10,8 @@ the kth score, and the leaves left are read by falling bound, with the kth
 score tested again before each.
 
 Scores are exact integers: products run in floating point only where every
-partial sum is below 2**53, else in 64-bit integers.
+partial sum is below 2**53, in 64-bit integers below 2**62, else in Python's
+integers.
 
 Scale: every task holds one tree and at most ``CHUNK`` blocks of queries; the
 number of rounds is the logarithm of the number of shards.
@@ -18,8 +19,9 @@ number of rounds is the logarithm of the number of shards.
 Defined cases: a vector that is null, empty or holds a null or non-finite
 component takes no part; vectors meet only vectors of their own length;
 repeated rows (same id and vector) count once; an item with the query's id is
-never its neighbour; ties go to the smaller id. Scaled components must fit 31
-bits. Fewer than k candidates: all of them.
+never its neighbour; ties go to the smaller id. A scaled component or a score
+of 2**62 or more in size does not fit the result: the query stops with an error
+that says so. Fewer than k candidates: all of them.
 """
 
 from __future__ import annotations
@@ -38,7 +40,8 @@ LEAF = 128
 BLOCK = 512
 CHUNK = 32
 NO_ID = np.iinfo(np.int64).max
-NO_SCORE = -2**62
+LIMIT = 2**62
+NO_SCORE = -LIMIT
 
 
 def packed(**arrays) -> bytes:
@@ -78,16 +81,24 @@ def build(ids: np.ndarray, vectors: np.ndarray, leaf: int = LEAF) -> dict[str, n
             mid = v[a:b].mean(axis=0) if b > a else np.zeros(v.shape[1])
             centers.append(mid)
             radii.append(np.sqrt(((v[a:b] - mid) ** 2).sum(axis=1).max()) if b > a else 0.0)
-    return {"ids": ids[order], "vectors": vectors[order].astype(np.int32), "bounds": cuts[-1],
+    small = np.abs(vectors).max(initial=0) < 2**31
+    return {"ids": ids[order], "vectors": vectors[order].astype(np.int32 if small else np.int64), "bounds": cuts[-1],
             "centers": np.array(centers), "radii": np.array(radii)}
 
 
-def products(q: np.ndarray, v: np.ndarray) -> np.ndarray:
-    """Exact inner products of integer rows."""
+def products(q: np.ndarray, v: np.ndarray, skip: np.ndarray | None = None) -> np.ndarray:
+    """Exact inner products of integer rows; pairs of no interest (``skip``) may have any value."""
     top = float(np.abs(q).max(initial=0)) * float(np.abs(v).max(initial=0)) * q.shape[1]
     if top < 2**53:
         return (q.astype(np.float64) @ v.T.astype(np.float64)).astype(np.int64)
-    return q.astype(np.int64) @ v.T.astype(np.int64)
+    if top < LIMIT:
+        return q.astype(np.int64) @ v.T.astype(np.int64)
+    exact = q.astype(object) @ v.T.astype(object)
+    if skip is not None:
+        exact[skip] = 0
+    if any(abs(x) >= LIMIT for x in exact.ravel()):
+        raise OverflowError("an inner product does not fit 62 bits")
+    return exact.astype(np.int64)
 
 
 def _better(scores, ids, k):
@@ -101,8 +112,10 @@ def search(tree: dict, own: np.ndarray, q: np.ndarray, scores: np.ndarray, ids:
     k = scores.shape[1]
     leaves = len(tree["bounds"]) - 1
     depth = leaves.bit_length() - 1
-    bound = q.astype(np.float64) @ tree["centers"].T + np.sqrt((q.astype(np.float64) ** 2).sum(axis=1))[:, None] * tree["radii"]
-    bound += 1e-9 * np.abs(bound) + 1e-6        # bounds round, scores do not
+    length = np.sqrt((q.astype(np.float64) ** 2).sum(axis=1))[:, None]
+    far = np.sqrt((tree["centers"] ** 2).sum(axis=1)) + tree["radii"]
+    bound = q.astype(np.float64) @ tree["centers"].T + length * tree["radii"]
+    bound += 1e-12 * length * far + 1e-9 * np.abs(bound) + 1e-6        # bounds round, scores do not
     alive = np.ones((len(q), 1), bool)
     for level in range(depth + 1):              # branch and bound from the root
         nodes = slice((1 << level) - 1, (1 << (level + 1)) - 1)
@@ -119,9 +132,10 @@ def search(tree: dict, own: np.ndarray, q: np.ndarray, scores: np.ndarray, ids:
             rows = go[leaf[go] == one]
             a, b = tree["bounds"][one], tree["bounds"][one + 1]
             names = tree["ids"][a:b]
-            got = products(q[rows], tree["vectors"][a:b])
+            itself = names == own[rows][:, None]
+            got = products(q[rows], tree["vectors"][a:b], itself)
             last, last_id = scores[rows, -1][:, None], ids[rows, -1][:, None]
-            good = ((got > last) | ((got == last) & (names < last_id))) & (names != own[rows][:, None])
+            good = ((got > last) | ((got == last) & (names < last_id))) & ~itself
             for i in np.flatnonzero(good.any(axis=1)):
                 r = rows[i]
                 scores[r], ids[r] = _better(np.concatenate([scores[r], got[i, good[i]]]),
@@ -138,9 +152,15 @@ def scaled(rows: DataFrame, id_col: str, vector_col: str, scale: float) -> DataF
     """id, v (integers floor(scale x)), dim; only whole, finite vectors, repeated rows once."""
     v = F.transform(F.col(vector_col), lambda x: x.cast("double"))
     ok = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
+    too_large = F.raise_error(F.lit("a scaled vector component does not fit 62 bits")).cast("long")
+
+    def whole(x):
+        y = F.floor(F.lit(scale) * x)
+        return F.when(F.abs(F.lit(scale) * x) < F.lit(float(LIMIT)), y.cast("long")).otherwise(too_large)
+
     return (rows.filter(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull() & (F.size(vector_col) > 0) & ok)
                 .select(F.col(id_col).cast("long").alias("id"),
-                        F.transform(v, lambda x: F.floor(F.lit(scale) * x).cast("long")).alias("v"),
+                        F.transform(v, whole).alias("v"),
                         F.size(vector_col).alias("dim"))
                 .dropDuplicates(["id", "v"]))
 
