@@ -6,7 +6,8 @@ distribution from both states, and a document's probabilities are the mean
 over all its positions. The gates are hard (clipped linear) functions, so that
 a step is one small matrix product and a few clips over thousands of windows
 side by side. Training is backpropagation through time with Adam over windows
-of a bounded, documented sample of labelled rows.
+of a bounded, documented sample of labelled rows, in which every language has
+a part.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0;
 the same holds for every row if no labelled row is given. Output columns
@@ -19,7 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .buffers import text_array
@@ -29,7 +30,7 @@ HIDDEN = 8
 WINDOW = 256
 LANES = 2048
 MAX_PER_LANG = 300
-MAX_LANGS = 64
+MAX_TEXTS = 20_000
 SEED = 11
 
 
@@ -118,6 +119,7 @@ def fit(texts: list[bytes], labels: list[str], hidden: int = HIDDEN, steps: int
         rounds: int = 250, rate: float = 0.02) -> Model:
     """Fit on random windows of the texts, the languages in equal shares."""
     langs = sorted(set(labels))
+    lanes = max(lanes, 8 * len(langs))
     rng = np.random.default_rng(SEED)
     m = _start(langs, hidden, rng)
     by = [[t for t, v in zip(texts, labels, strict=True) if v == lang] for lang in langs]
@@ -204,23 +206,25 @@ def probabilities(m: Model, column) -> np.ndarray:
     return out / np.maximum(size, 1)[:, None]
 
 
-def train(docs: DataFrame, max_per_lang: int = MAX_PER_LANG, max_langs: int = MAX_LANGS, max_bytes: int = 4096,
+def train(docs: DataFrame, max_per_lang: int = MAX_PER_LANG, max_texts: int = MAX_TEXTS, max_bytes: int = 4096,
           id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model | None:
-    """Model from labelled rows (the caller leaves held-out rows out): for each
-    of the ``max_langs`` commonest languages at most ``max_per_lang`` texts,
-    chosen by hash, of which training sees the first ``max_bytes`` characters."""
-    rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__t"),
+    """Model from labelled rows (the caller leaves held-out rows out): every
+    language found is learned, from at most ``max_per_lang`` of its texts, fewer
+    where all languages together would have more than ``max_texts`` (but one at
+    least). Of a text training sees ``max_bytes`` characters from a place given
+    by its hash."""
+    rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__t"), F.xxhash64(text_col).alias("__h"),
                        F.col(lang_col).cast("string").alias("__l")).filter(
         F.col("__id").isNotNull() & F.col("__l").isNotNull() & F.col("__t").rlike(r"\p{L}"))
-    found = [r["__l"] for r in rows.groupBy("__l").count().orderBy(F.desc("count"), "__l").limit(max_langs).collect()]
-    # the sample is chosen by id alone, so that only ids meet in the sort
-    ids = None
-    for lang in found:
-        some = rows.filter(F.col("__l") == lang).select("__l", "__id") \
-                   .orderBy(F.xxhash64("__id"), "__id").limit(max_per_lang)
-        ids = some if ids is None else ids.unionByName(some)
-    picked = [] if ids is None else rows.join(F.broadcast(ids.distinct()), ["__l", "__id"]).select(
-        "__l", "__id", F.substring("__t", 1, max_bytes).alias("__t")).limit(4 * max_per_lang * len(found)).collect()
+    n_langs = rows.select("__l").distinct().count()
+    each = max(1, min(max_per_lang, max_texts // max(n_langs, 1)))
+    # the sample is chosen by hashes, so that no text meets in the ranking, and each task keeps its first ones only
+    first = Window.partitionBy("__l").orderBy(F.xxhash64("__id", "__h"), "__id", "__h")
+    keys = rows.select("__l", "__id", "__h").distinct() \
+               .withColumn("__r", F.row_number().over(first)).filter(F.col("__r") <= each).drop("__r")
+    place = F.pmod("__h", F.greatest(F.char_length("__t") - max_bytes, F.lit(0)) + 1).cast("int") + 1
+    picked = rows.join(F.broadcast(keys), ["__l", "__id", "__h"]).select(
+        "__l", "__id", "__h", F.substring("__t", place, F.lit(max_bytes)).alias("__t")).distinct().collect()
     picked = sorted(picked, key=lambda r: (r["__l"], r["__id"], r["__t"]))
     return fit([r["__t"].encode() for r in picked], [r["__l"] for r in picked]) if picked else None
 
