@@ -38,7 +38,6 @@ def test_stages(spark, tmp_path):
     # packing: every token of every copy once
     from tokenizers import Tokenizer
     tok = Tokenizer.from_file(queries.tokenizer_path())
-    tok.encode_special_tokens = True
     ids = {r["doc_id"]: tok.encode(r["text"] or "", add_special_tokens=False).ids + [1] for r in single}
     total = Counter()
     for r in packed:

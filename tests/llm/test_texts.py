@@ -1,5 +1,6 @@
 """Near dedup, packing, line labels, vectors, languages, repeats, toxicity: brute force and edge cases."""
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -108,15 +109,15 @@ def test_components_of_paths_and_stars(spark):
     assert got == want
 
 
-TRICKY = ["", "it's   é éa, x\ty\x1cz <|endoftext|> İstanbul ΑΣ. 12ab%%% ½x ﬁn  \n\n don't!!", " ", "éa é, ((a))",
+TRICKY = ["", "foo <|endoftext|> bar", "a<|startoftext|>b<|endoftext|>, <|ENDOFTEXT|> <|endoftext|>%",
+          "it's   é éa, x\ty\x1cz <|endoftext|> İstanbul ΑΣ. 12ab%%% ½x ﬁn  \n\n don't!!", " ", "éa é, ((a))",
           "THE the The, the. 'tis we'll", "日本 語, 한국", None]
 
 
 def test_packing_round_trip(spark, make_docs):
     path = queries.tokenizer_path()
     from tokenizers import Tokenizer
-    tok = Tokenizer.from_file(path)
-    tok.encode_special_tokens = True
+    tok = Tokenizer.from_file(path)      # as the contract names it, without other settings
     rows = [(i, t) for i, t in enumerate(TRICKY + texts(150, seed=5, words=300) + [" ".join(texts(60, seed=6))])]
     docs = make_docs(rows + [(9, rows[9][1])]).withColumn("start", F.lit("clash"))
     got = packing.pack(docs, path, window=256, shard_bytes=40_000).collect()
@@ -262,7 +263,7 @@ def test_tree_prunes_and_wide_products():
     v = np.floor((centre[np.arange(4000) % 40] + rng.normal(0, 0.02, (4000, 16))) * 1024).astype(np.int64)
     tree = balltree.build(np.arange(4000), v)
     seen = []
-    real, balltree.products = balltree.products, lambda q, x: seen.append(len(q) * len(x)) or real(q, x)
+    real, balltree.products = balltree.products, lambda q, x, y: seen.append(len(q) * len(x)) or real(q, x, y)
     try:
         s, i = np.full((20, 5), balltree.NO_SCORE), np.full((20, 5), balltree.NO_ID)
         balltree.search(tree, np.arange(20), v[:20], s, i)
@@ -274,6 +275,67 @@ def test_tree_prunes_and_wide_products():
     assert balltree.products(big, big)[0, 0] == 2 * 2**60
 
 
+def test_large_components(spark):
+    """Components and products beyond 31 and 53 bits are exact; beyond 62 bits the query stops."""
+    assert balltree.build(np.arange(1), np.array([[3_000_000_000]]))["vectors"][0, 0] == 3_000_000_000
+    with pytest.raises(OverflowError):
+        balltree.products(np.array([[2**33]]), np.array([[2**31 - 1]]))
+    q, v = np.array([[2**33, 2**33]]), np.array([[2**31 - 1, -(2**31 - 5)]])
+    assert balltree.products(q, v)[0, 0] == 2**33 * 4
+    rng = np.random.default_rng(8)
+    rows = [(int(i), [float(x) for x in rng.normal(0, s, 3)]) for i, s in enumerate(np.geomspace(1e-3, 4e5, 300))]
+    rows += [(400, [2929687.5, 0.0, 1.0]), (401, [2**20 + 0.5, -3.0, 2.0])]
+    items = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = defaultdict(list)
+    for r in balltree.top_k(items, items.filter("vec_id % 20 = 0"), shard_rows=60).orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append((r["vec_id"], r["score"]))
+    real = {i: [math.floor(x * 1024) for x in v] for i, v in rows}
+    for q in (i for i in real if i % 20 == 0):
+        best = sorted((-sum(x * y for x, y in zip(real[q], v, strict=True)), i) for i, v in real.items() if i != q)[:10]
+        assert got[q] == [(i, -s) for s, i in best]
+    with pytest.raises(Exception, match="62 bits"):
+        far = spark.createDataFrame([(0, [1e17]), (1, [1.0])], "vec_id long, embedding array<double>")
+        balltree.top_k(far, far).count()
+
+
+def test_every_language_is_learned(spark, make_docs):
+    """More languages than any fixed number, most with one text."""
+    names = [f"l{k:03d}" for k in range(130)]
+    rows = [(k, f"{chr(0x4E00 + 40 * (k % 130))}{chr(0x4E01 + 40 * (k % 130))} " * 20, names[k % 130]) for k in range(180)]
+    model = langid.train(make_docs(rows + [rows[3], (None, "x", "zz"), (5, "other", "l005")]), max_texts=260)
+    assert model.langs == names and model.out.shape[0] == 130
+    got = langid.predict(make_docs(rows), model).collect()
+    assert len(got) == 180 and {r["lang_pred"] for r in got} <= set(names)
+
+
+def test_language_scores_position_by_position():
+    """A byte at a time in plain Python, from the model's tables."""
+    rng = np.random.default_rng(3)
+    m = langid._start(["a", "b", "c"], 4, rng)
+    cases = ["", "x", "héllo wörld " * 3, "z" * 255, "ab" * 128, "long text, " * 120, "日本語 " * 50]
+
+    def read(d, data):
+        h, out = np.zeros(4), [None] * len(data)
+        for t in range(len(data)) if d == 0 else range(len(data) - 1, -1, -1):
+            rec, inp = m.cycle[d].astype(float) @ h, m.table[d][:, data[t]].astype(float)
+            gate = [min(max(x, 0), 1) for x in inp[:8] + rec[:8]]
+            for j in range(4):
+                c = min(max(inp[8 + j] + gate[4 + j] * rec[8 + j], -1), 1)
+                h[j] += gate[j] * (c - h[j])
+            out[t] = h.copy()
+        return out
+
+    got = langid.probabilities(m, pa.array(cases))
+    for text, p in zip(cases, got, strict=True):
+        raw, total = text.encode(), np.zeros(3)
+        for a in range(0, len(raw), langid.WINDOW):
+            window = raw[a:a + langid.WINDOW]
+            for f, b in zip(read(0, window), read(1, window), strict=True):
+                z = np.exp(m.out.astype(float) @ np.concatenate([f, b]) + m.bias)
+                total += z / z.sum()
+        assert np.allclose(p, total / max(len(raw), 1), atol=1e-4)
+
+
 def test_language_of_held_out_texts(spark, make_docs):
     kinds = {"en": "thing of the and other", "de": "schön und über ein ich", "fr": "été où de la même", None: "zzz"}
     rng = random.Random(1)
@@ -393,6 +455,30 @@ def test_toxicity_held_out(spark, make_docs):
     assert toxicity.score(make_docs([]), model).count() == 0
 
 
+def test_toxicity_scores_from_the_table():
+    """One n-gram at a time in plain Python, from the model's weights."""
+    rng = np.random.default_rng(5)
+    model = toxicity.Model(rng.normal(0, 0.05, 1 << toxicity.BITS).astype(np.float32), -0.7)
+    model.weights[rng.random(1 << toxicity.BITS) < 0.5] = 0
+    cases = ["", None, "a", "Toxic\tText", "toxic text", "éÉ ab " * 30, "x" * 2000] + texts(20, seed=3)
+
+    def buckets(raw):
+        low = [32 if c in b" \t\n\x0b\x0c\r" else c + 32 if 65 <= c <= 90 else c for c in b" " + raw]
+        found = set()
+        for n in toxicity.ORDERS:
+            for at in range(len(low) - n + 1):
+                h = (low[at] * 0x01000193 + 1) % 2**32
+                for k in range(2, n + 1):
+                    h = (h * 0x9E3779B1 + low[at + k - 1] + k) % 2**32
+                found.add((n, ((h ^ h >> 15) * 0x85EBCA77 % 2**32) >> (32 - toxicity.BITS)))
+        return {b for _, b in found}
+
+    got = toxicity.score_texts(pa.array(cases), model, model.weights != 0)
+    for text, p in zip(cases, got, strict=True):
+        z = model.intercept + sum(float(model.weights[b]) for b in buckets((text or "").encode()))
+        assert p == pytest.approx(1 / (1 + math.exp(-z)), rel=1e-6)
+
+
 def test_registered_queries(spark):
     """Whole tables, the contracts' columns, one row per document."""
     n = spark.read.parquet(f"{SF}/documents.parquet").count()
