@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..params import AS_OF, FISCAL_YEAR, time_key_of
-from ..operators import dims, facts, monitor, quality, reports, risk, scd2, views
+from ..operators import asof, dims, facts, monitor, quality, reports, risk, scd2, views
 from ..sources import io
 from ..streaming.fact_stream import streamed_backlog
 
@@ -44,6 +44,13 @@ def _enriched(T: Tables) -> DataFrame:
                               T["purchase_orders"], dbu)
 
 
+def _as_of(T: Tables) -> DataFrame:
+    """The stored facts and the backlog, which the load keys to the vendor's current version."""
+    cols = ["fact_key", "time_key", "vendor_key", "spend_amount"]
+    both = T["fact_spend_analytics"].select(*cols).unionByName(_new_facts(T).select(*cols))
+    return asof.fact_as_of_versions(both, T["dim_vendors"], T["contracts"], T["dim_time"])
+
+
 def _closed(T: Tables) -> DataFrame:
     return scd2.scd2_closed_rows(T["dim_vendors"], T["vendors"], T["supplier_profiles"], AS_OF)
 
@@ -89,6 +96,7 @@ PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     "fact_savings_realization": lambda T: facts.fact_savings_realization(
         T["fact_spend_analytics"], T["dim_commodities"], T["dim_time"], T["savings_targets"], AS_OF),
     "fact_enriched": _enriched,
+    "fact_as_of_versions": _as_of,
     "spend_fiscal_filled": lambda T: facts.fill_fiscal(T["spend_transactions"]).select(
         "transaction_id", "transaction_date", "fiscal_year", "fiscal_quarter"),
     "fact_archive_split": _archive_summary,
