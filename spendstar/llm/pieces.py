@@ -96,7 +96,12 @@ class Vocabulary:
         else:
             pattern = f"{SPACE_MARK}*[^{SPACE_MARK}{alone}]+|{SPACE_MARK}+"
         self.cut = re.compile(pattern + ("|\n" if alone else ""), re.S)
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, dict[int, bool]] = {}
+        self.n_pairs = 0
+        # what ids stand for as bytes, byte pieces as their byte
+        plain = [bytes([self.fallback[i]]) if i in self.fallback else self.raw[i] or b"" for i in range(n)]
+        self.plain = np.frombuffer(b"".join(plain), np.uint8)
+        self.plain_off = np.cumsum([0, *map(len, plain)])
         self.clear()
 
     def apart(self, text: str) -> list[str]:
@@ -133,15 +138,15 @@ class Vocabulary:
 
     def compatible(self, left: int, right: int) -> bool:
         """Whether re-merging the two pieces gives them back; left -1: a piece alone."""
-        known = self.pairs.get((left, right))
+        after = self.pairs.setdefault(left, {})
+        known = after.get(right)
         if known is None:
-            if len(self.pairs) >= PAIRS:
-                self.pairs.clear()
             if left < 0:
                 known = self.merged(self.text[right]) == [right]
             else:
                 known = self.merged(self.text[left] + self.text[right]) == [left, right]
-            self.pairs[left, right] = known
+            after[right] = known
+            self.n_pairs += 1
         return known
 
     def backtrack(self, text: str) -> list[int]:
@@ -150,19 +155,23 @@ class Vocabulary:
         starts: list[list[tuple[int, int]]] = [[] for _ in range(n)]
         for last, (size, i) in self.automaton.iter(text):
             starts[last - size + 1].append((size, i))          # by rising size
-        failed = bytearray(n // 8 + 1)
+        failed, any_failed = bytearray(n // 8 + 1), False
         pairs = self.pairs
         out: list[int] = []
         tried: list[int] = []                                  # of each piece taken: its place among its start's
         at, before, place = 0, -1, len(starts[0]) - 1 if n else 0
         while at < n:
-            options = starts[at]
+            options, after = starts[at], pairs.get(before)
+            if after is None:
+                after = pairs[before] = {}
             while place >= 0:
                 size, i = options[place]
-                stop = at + size
-                if not failed[stop >> 3] >> (stop & 7) & 1:
-                    good = pairs.get((before, i))
-                    if self.compatible(before, i) if good is None else good:
+                good = after.get(i)
+                if good is None:
+                    good = self.compatible(before, i)
+                if good:
+                    stop = at + size
+                    if not any_failed or not failed[stop >> 3] >> (stop & 7) & 1:
                         break
                 place -= 1
             if place >= 0:
@@ -174,6 +183,7 @@ class Vocabulary:
                 if not out:
                     raise ValueError(f"no encoding of {text[:40]!r}")
                 failed[at >> 3] |= 1 << (at & 7)
+                any_failed = True
                 at -= len(self.text[out.pop()])
                 before = out[-1] if out else -1
                 place = tried.pop() - 1
@@ -219,6 +229,8 @@ class Vocabulary:
         """Ids of the texts one after another, and the number of each text's ids."""
         if self.held > CACHE_BYTES:
             self.clear()
+        if self.n_pairs > PAIRS:
+            self.pairs, self.n_pairs = {}, 0
         numbers: list[int] = []
         counts, extra = [], {}
         for text in texts:
@@ -240,6 +252,30 @@ class Vocabulary:
             n = n + 1
         return flat.astype(np.int32), n
 
+    def decode_all(self, flat: np.ndarray, count: np.ndarray) -> list[str]:
+        """``decode`` of consecutive texts' ids, by their bytes; texts with byte
+        pieces that are no whole characters are decoded piece by piece."""
+        out = []
+        off = np.concatenate([[0], np.cumsum(count)])
+        size = (self.plain_off[1:] - self.plain_off[:-1])[flat]
+        where = np.concatenate([[0], np.cumsum(size)])
+        raw = b"".join(self._bytes(flat[a:a + RUN_CHARS], size[a:a + RUN_CHARS]) for a in range(0, len(flat), RUN_CHARS))
+        for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True):
+            text = raw[where[a]:where[b]]
+            first = next((i for i in flat[a:b].tolist() if self.raw[i] is not None or i in self.fallback), None)
+            if self.leading and first is not None and self.text[first][:1] == SPACE_MARK:
+                text = text[1:]
+            try:
+                out.append(text.decode())
+            except UnicodeDecodeError:
+                out.append(self.decode(flat[a:b]))
+        return out
+
+    def _bytes(self, ids: np.ndarray, size: np.ndarray) -> bytes:
+        stop = np.cumsum(size)
+        at = np.repeat(self.plain_off[ids] - (stop - size), size) + np.arange(stop[-1])
+        return self.plain[at].tobytes()
+
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids: control ids stand for nothing, runs of byte pieces
         for their UTF-8 characters, invalid bytes for U+FFFD each; the space
@@ -256,7 +292,7 @@ class Vocabulary:
                 run = bytearray()
             raw = self.raw[i]
             if raw is not None:
-                if self.leading and not parts and raw[:1] == b" ":
+                if self.leading and not parts and self.text[i][:1] == SPACE_MARK:
                     raw = raw[1:]
                     parts.append(b"")
                 parts.append(raw)
@@ -341,7 +377,7 @@ def encode(docs: DataFrame, model: str, end: bool = True, text_col: str = "text"
         off = np.concatenate([[0], np.cumsum(sizes)])
         out = [pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(flat))]
         if decoded_col:
-            out.append(pa.array([of.decode(flat[x:y]) for x, y in zip(off[:-1], off[1:], strict=True)], pa.string()))
+            out.append(pa.array(of.decode_all(flat, sizes), pa.string()))
         return out
 
     made: dict[str, DataType] = {ids_col: ArrayType(IntegerType())}

@@ -59,9 +59,13 @@ def test_decode_of_any_ids(model):
     _, of, sp = model
     rng = random.Random(7)
     byte = [i for i in range(sp.vocab_size()) if sp.is_byte(i)]
-    for _ in range(500):
-        ids = [rng.choice(byte) if rng.random() < 0.6 else rng.randrange(sp.vocab_size()) for _ in range(rng.randint(0, 20))]
+    all_ = [[rng.choice(byte) if rng.random() < 0.6 else rng.randrange(sp.vocab_size()) for _ in range(rng.randint(0, 20))]
+            for _ in range(800)]
+    all_ += [[2, 1, sp.piece_to_id("▁a")], [1], [2, 2], [0, sp.piece_to_id("▁")], [sp.piece_to_id("▁▁"), sp.piece_to_id("▁")]]
+    for ids in all_:
         assert of.decode(np.array(ids, np.int64)) == sp.decode(ids), ids
+    assert of.decode_all(np.concatenate([np.array(x, np.int64) for x in all_]), np.array([len(x) for x in all_])) == [
+        sp.decode(x) for x in all_]
 
 
 def test_small_tables_stay_bounded(model, monkeypatch):
@@ -72,7 +76,7 @@ def test_small_tables_stay_bounded(model, monkeypatch):
     for seed in range(30):
         rng = random.Random(seed)
         check(of, sp, ["".join(rng.choice("abcdefg \n") for _ in range(300)) for _ in range(4)])
-        assert len(of.pairs) <= 50 and of.held < 3000 + 4 * 4 * 300 + 200 * 1200
+        assert of.n_pairs == sum(map(len, of.pairs.values())) and of.held < 3000 + pieces.ENTRY_BYTES * 2400 + 4 * 4 * 300
 
 
 def test_frames(spark, model, make_docs):
