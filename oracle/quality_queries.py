@@ -100,6 +100,46 @@ select vendor_key, vendor_id, vendor_name, vendor_tier, diversity_classification
 from (select alld.*, (alld.vendor_id in (select vendor_id from chg) and alld.is_current_record
                       and alld.effective_start_date < {AS_OF}) as closing from alld) x"""
 
+# the last word of every vendor in the change feed, whatever the order of arrival
+CDC = f"""
+with feed as (
+  select cast(substr(po_id, 2) as bigint) as n, vendor_id as of_order, total_amount as amount from purchase_orders),
+told as (
+  select n, n % 13 = 5 as ends, case when n % 11 = 3 then 'W' || lpad(cast(n % 211 as varchar), 6, '0') else of_order end as vendor_id,
+    case when amount > 200000 then 'Strategic' when amount > 120000 then 'Preferred' when amount > 60000 then 'Approved'
+         else 'Tactical' end as vendor_tier,
+    case when n % 2 = 0 then 'Women' end as diversity_classification, 'Country ' || (n % 7) as country,
+    'Region ' || (n % 3) as region, n % 17 <> 2 as awake
+  from feed),
+spoken as (
+  select vendor_id, max(n) as n_any, max(n) filter (where not ends) as n_row from told where vendor_id is not null group by vendor_id),
+master as (
+  select coalesce(v.vendor_id, k.vendor_id) as vendor_id,
+    case when k.n_row is null then v.vendor_name else 'Vendor ' || k.vendor_id end as vendor_name,
+    case when k.n_row is null then v.vendor_tier else r.vendor_tier end as vendor_tier,
+    case when k.n_row is null then v.diversity_classification else r.diversity_classification end as diversity_classification,
+    case when k.n_row is null then v.country else r.country end as country,
+    case when k.n_row is null then v.region else r.region end as region,
+    case when k.n_any is null then v.is_active when a.ends then false else a.awake end as is_active
+  from vendors v full join spoken k on k.vendor_id = v.vendor_id
+  left join told r on r.n = k.n_row left join told a on a.n = k.n_any),
+rated as (select m.*, coalesce(p.risk_rating, 'Medium') as risk_rating from master m left join supplier_profiles p using (vendor_id)),
+today as (
+  select r.* from rated r left join dim_vendors d on d.vendor_id = r.vendor_id and d.is_current_record
+  where case when d.vendor_id is null then r.is_active
+             else coalesce(r.vendor_name <> d.vendor_name, false) or coalesce(r.vendor_tier <> d.vendor_tier, false)
+               or coalesce(r.diversity_classification <> d.diversity_classification, false)
+               or coalesce(r.risk_rating <> d.risk_rating, false) or coalesce(r.country <> d.country, false)
+               or coalesce(r.region <> d.region, false) end)
+select d.vendor_id, d.vendor_name, d.vendor_tier, d.diversity_classification, d.risk_rating, d.esg_score, d.country, d.region,
+  d.effective_start_date, case when d.is_current_record and t.vendor_id is not null
+    then cast({AS_OF} - interval 1 day as date) else d.effective_end_date end as effective_end_date,
+  d.is_current_record and t.vendor_id is null as is_current_record, d.supplier_size, d.certification_status
+from dim_vendors d left join today t using (vendor_id)
+union all
+select vendor_id, vendor_name, vendor_tier, diversity_classification, risk_rating, null, country, region, {AS_OF}, null, true, null, null
+from today"""
+
 RECON_VENDORS = """
 select 'Vendor Count Check' as check_name, operational_count, analytics_count, operational_count - analytics_count as variance
 from (select (select count(*) from vendors where is_active) as operational_count,
@@ -144,6 +184,7 @@ QUALITY_QUERIES: dict[str, str] = {
     "scd2_vendor_changes": f"""
 select *, {AS_OF} as effective_start_date, true as is_current_record from ({D4}) x""",
     "scd2_apply": D6,
+    "vendor_cdc_dimension": CDC,
     "scd2_closed": f"""
 select vendor_key, vendor_id, effective_start_date, effective_end_date, is_current_record from ({D6}) s
 where effective_end_date = cast({AS_OF} - interval 1 day as date) and not is_current_record""",

@@ -13,10 +13,13 @@ Failure and rerun behaviour:
 * facts are keyed to published dimension rows only, read back from storage, so
   a stop between the steps leaves no fact without its dimension rows, and a
   rerun on changed source data cannot renumber rows that facts point to;
-* new facts become visible when the append commits (Spark's file commit
-  protocol); history is never rewritten;
-* a rerun skips facts that are loaded (anti join on ``source_transaction_id``)
-  and finds the dimensions up to date.
+* new facts are a version of their own, added to the fact table's others by
+  one manifest; history is never rewritten, and nothing is visible before;
+* which transactions are loaded is known from the index of loaded ids beside
+  the facts; ids are written before the facts and count from the moment that
+  the facts' version is published. No load reads the facts for it;
+* a rerun, under the same ``run_id`` or another, skips what is published and
+  does the rest.
 """
 
 from __future__ import annotations
@@ -38,6 +41,9 @@ from .params import as_date
 from .plans.prefix import assign_keys
 from .sources import io, schemas
 from .sources.fixtures import OPERATIONAL_TABLES
+from .sources.loaded_ids import add_ids, loaded_ids
+
+FACTS = "fact_spend_analytics"
 
 
 class LoadRejected(RuntimeError):
@@ -55,10 +61,27 @@ def _stored(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.createDataFrame([], schemas.STAR[name])
 
 
+def ids_path(root: str) -> str:
+    return f"{root}/_loaded_ids"
+
+
+def index_of_loaded(spark: SparkSession, root: str) -> DataFrame:
+    """Ids of the published facts. Versions that the index does not name yet
+    (facts published by other means, a first load) are taken in once."""
+    versions = io.table_versions(spark, root, FACTS)
+    noted = set(io.manifest(spark, root).get("_loaded_ids", []))
+    for v in [v for v in versions if v not in noted]:
+        path = f"{root}/{FACTS}/{v}" if v != "." else f"{root}/{FACTS}"
+        add_ids(spark, ids_path(root), spark.read.schema(schemas.STAR[FACTS]).parquet(path), v)
+        io.note(spark, root, "_loaded_ids", v)
+    return loaded_ids(spark, ids_path(root), committed=versions)
+
+
 def load_dimensions(spark: SparkSession, op, root: str, day, run_id: str) -> dict[str, int]:
     """Write and publish the next version of every dimension; rows by table."""
-    now = {n: _stored(spark, root, n) for n in
-           ("dim_vendors", "dim_commodities", "dim_time", "dim_contracts", "dim_business_units")}
+    names = ("dim_vendors", "dim_commodities", "dim_time", "dim_contracts", "dim_business_units")
+    based_on = {n: io.manifest(spark, root).get(n) for n in names}
+    now = {n: _stored(spark, root, n) for n in names}
     new_c = new_dim_commodities(op["commodities"], op["commodity_profiles"], now["dim_commodities"], day)
     fresh_k = op["contracts"].join(now["dim_contracts"].select("contract_id"), "contract_id", "left_anti")
     fresh_u = now["dim_business_units"].select("business_unit_id")
@@ -74,7 +97,8 @@ def load_dimensions(spark: SparkSession, op, root: str, day, run_id: str) -> dic
             dim_contracts(fresh_k, op["risk_assessments"], day, now["dim_contracts"]), "dim_contracts")),
         "dim_business_units": now["dim_business_units"].unionByName(_conform(new_u, "dim_business_units")),
     }
-    io.publish(out, root, run_id=run_id)
+    if any(v != f"v{run_id}" for v in based_on.values()):        # else this run has published them
+        io.publish(out, root, run_id=run_id, based_on=based_on)
     return {n: io.read_table(spark, root, n).count() for n in out}
 
 
@@ -95,23 +119,28 @@ def daily_load(spark: SparkSession, operational_root: str, analytics_root: str,
 
     t = time.perf_counter()
     star = {n: io.read_table(spark, root, n) for n in rows}       # what is published, whatever the source does now
-    loaded = _stored(spark, root, "fact_spend_analytics")
-    since = day - _dt.timedelta(days=incremental_days) if incremental_days else None
-    spend = fill_fiscal(op["spend_transactions"])
-    new = fact_spend_new(spend, star["dim_vendors"], star["dim_commodities"], star["dim_time"], loaded, day, since=since)
-    rich = _conform(enrich_facts(new, spend, star["dim_vendors"], star["dim_contracts"], op["contracts"],
-                                 op["purchase_orders"], star["dim_business_units"]), "fact_spend_analytics")
-    staging = f"{root}/_staging/{run_id}-{uuid.uuid4().hex[:8]}"
-    tag_failures(rich, rules_for("fact_spend_analytics", rich)).write.parquet(staging)
-    staged = spark.read.parquet(staging)
-    counts = staged.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.size("failed_rules") > 0, 1)).alias("bad")).first()
-    if counts["bad"]:
-        raise LoadRejected(f"{counts['bad']} new facts fail the fact rules; run {run_id} appended none, see {staging}")
-    if "fact_spend_analytics" in io.manifest(spark, root) or io.exists(spark, f"{root}/fact_spend_analytics"):
-        staged.drop("failed_rules").write.mode("append").parquet(io.table_path(spark, root, "fact_spend_analytics"))
+    version = f"v{run_id}"
+    if version not in io.table_versions(spark, root, FACTS):     # else this run has published them
+        since = day - _dt.timedelta(days=incremental_days) if incremental_days else None
+        spend = fill_fiscal(op["spend_transactions"])
+        new = fact_spend_new(spend, star["dim_vendors"], star["dim_commodities"], star["dim_time"], None, day, since=since,
+                             index=index_of_loaded(spark, root))
+        rich = _conform(enrich_facts(new, spend, star["dim_vendors"], star["dim_contracts"], op["contracts"],
+                                     op["purchase_orders"], star["dim_business_units"]), FACTS)
+        staging = f"{root}/_staging/{run_id}-{uuid.uuid4().hex[:8]}"
+        tag_failures(rich, rules_for(FACTS, rich)).write.parquet(staging)
+        staged = spark.read.parquet(staging)
+        counts = staged.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.size("failed_rules") > 0, 1)).alias("bad")).first()
+        if counts["bad"]:
+            raise LoadRejected(f"{counts['bad']} new facts fail the fact rules; run {run_id} appended none, see {staging}")
+        fresh = staged.drop("failed_rules")
+        add_ids(spark, ids_path(root), fresh, version)           # count once the facts are published
+        io.note(spark, root, "_loaded_ids", version)
+        io.publish({FACTS: fresh}, root, run_id=run_id, add=[FACTS])
+        n = counts["n"]
     else:
-        io.publish({"fact_spend_analytics": staged.drop("failed_rules")}, root, run_id=run_id)
-    log.append(("facts", counts["n"], counts["n"], 0, time.perf_counter() - t))
+        n = 0
+    log.append(("facts", n, n, 0, time.perf_counter() - t))
 
     t = time.perf_counter()
     facts = io.read_table(spark, root, "fact_spend_analytics")

@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 
 from ..functions import dates as D
 from ..functions.agg import dec, real
-from ..params import as_date, time_key_of
+from ..params import as_date
 from ..session import ensure_checkpoint_dir
+from ..sources.loaded_ids import find_loaded
 from .dims import calendar
 
 SPEND_FACT_COLS = ["fact_key", "vendor_key", "commodity_key", "time_key", "spend_amount", "transaction_count",
@@ -29,22 +30,18 @@ def _loaded_ids(existing: DataFrame) -> DataFrame:
     return existing.filter(F.col("source_transaction_id").isNotNull()).select("source_transaction_id")
 
 
-def _not_loaded(st: DataFrame, existing: DataFrame, near=None) -> DataFrame:
-    """Rows of ``st`` whose transaction is not among ``existing``. With
-    ``near`` (a predicate on the facts' time_key) the facts it selects are
-    looked at first; only the transactions that survive are then looked up
-    among all other facts, where re-dated transactions and those of the
-    award-dated variant are. Which side moves is left to Spark's measured
-    sizes."""
+def _not_loaded(st: DataFrame, existing: DataFrame | None, index: DataFrame | None = None) -> DataFrame:
+    """Rows of ``st`` whose transaction is not loaded yet: by the index of
+    loaded ids if there is one (the facts are not read), else by the facts.
+    Ids are compared whatever their day, so re-dated transactions and those of
+    the award-dated variant are found."""
     key = "source_transaction_id"
-    if near is None:
-        return st.join(_loaded_ids(existing), key, "left_anti")
-    st = st.join(_loaded_ids(existing.filter(near)), key, "left_anti")
-    return st.join(_loaded_ids(existing.filter(~F.coalesce(near, F.lit(False)))), key, "left_anti")
+    known = _loaded_ids(existing) if index is None else find_loaded(index, st)
+    return st.join(known, key, "left_anti")
 
 
 def fact_spend_new(spend: DataFrame, dim_vendors: DataFrame, dim_commodities: DataFrame, dim_time: DataFrame,
-                   existing: DataFrame, as_of, since=None, near=None) -> DataFrame:
+                   existing: DataFrame | None, as_of, since=None, index: DataFrame | None = None) -> DataFrame:
     """F1 (and F2 with ``since``): transactions not loaded yet, keyed to the
     current vendor and commodity versions and to the calendar.
 
@@ -52,19 +49,15 @@ def fact_spend_new(spend: DataFrame, dim_vendors: DataFrame, dim_commodities: Da
     the calendar drop out (inner joins). "Already loaded" compares the
     transaction id as text with ``source_transaction_id`` (an anti join; the
     loaded side is filtered to non-NULL ids, so it is not the null-aware
-    ``NOT IN`` plan that would broadcast the whole fact table). ``near``: the
-    facts to compare with first (by default those dated on or after ``since``).
+    ``NOT IN`` plan that would broadcast the whole fact table). With ``index``
+    (``sources.loaded_ids``) only ids are read, and ``existing`` is not used.
     """
     st = spend.filter(F.col("transaction_id").isNotNull())
     if since is not None:
         st = st.filter(F.col("transaction_date") >= D.lit_date(since))
     # The "not loaded yet" test depends on the transaction alone, so it runs
     # first: a daily run joins only its new transactions to the dimensions.
-    # With ``since`` the loaded facts of those days are looked at first (a
-    # time_key range on the scan).
-    if near is None and since is not None:
-        near = F.col("time_key") >= F.lit(time_key_of(as_date(since)))
-    st = _not_loaded(st.withColumn("source_transaction_id", F.col("transaction_id").cast("string")), existing, near)
+    st = _not_loaded(st.withColumn("source_transaction_id", F.col("transaction_id").cast("string")), existing, index)
     dv = dim_vendors.filter(F.col("is_current_record")).select("vendor_id", "vendor_key")
     dc = dim_commodities.filter(F.col("is_current_record")).select("commodity_id", "commodity_key")
     days = calendar(dim_time, "date_actual", "time_key")
@@ -76,10 +69,11 @@ def fact_spend_new(spend: DataFrame, dim_vendors: DataFrame, dim_commodities: Da
         "quantity", "unit_price", "source_transaction_id", D.lit_date(as_of).alias("load_date"))
 
 
-def fact_spend_incremental(spend, dim_vendors, dim_commodities, dim_time, existing, as_of, days: int = 7) -> DataFrame:
+def fact_spend_incremental(spend, dim_vendors, dim_commodities, dim_time, existing, as_of, days: int = 7,
+                           index: DataFrame | None = None) -> DataFrame:
     """as F1 for transactions dated on or after ``as_of - days``."""
     since = as_date(as_of) - _dt.timedelta(days=days)
-    return fact_spend_new(spend, dim_vendors, dim_commodities, dim_time, existing, as_of, since=since)
+    return fact_spend_new(spend, dim_vendors, dim_commodities, dim_time, existing, as_of, since=since, index=index)
 
 
 def fact_spend_award(spend: DataFrame, dim_vendors: DataFrame, dim_commodities: DataFrame, dim_time: DataFrame,

@@ -15,6 +15,7 @@ from ..params import AS_OF, FISCAL_YEAR, time_key_of
 from ..operators import asof, dims, facts, monitor, quality, reports, risk, scd2, views
 from ..sources import io
 from ..streaming.fact_stream import streamed_backlog
+from ..streaming.vendor_cdc import streamed_dimension
 
 Tables = Mapping[str, DataFrame]
 
@@ -83,6 +84,7 @@ PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     "scd2_vendor_changes": lambda T: scd2.scd2_changes(T["vendors"], T["supplier_profiles"], T["dim_vendors"], AS_OF),
     "scd2_closed": _closed,
     "scd2_apply": lambda T: scd2.scd2_apply(T["dim_vendors"], T["vendors"], T["supplier_profiles"], AS_OF),
+    "vendor_cdc_dimension": lambda T: streamed_dimension(T, AS_OF),
     # facts
     "fact_spend_backlog": _new_facts,
     "fact_spend_incremental": lambda T: facts.fact_spend_incremental(

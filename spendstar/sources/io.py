@@ -2,9 +2,12 @@
 
 A "database" is a directory of Parquet tables, one sub-directory per table.
 Writes never overwrite a table that is being read: every load is written to
-new version directories, and one manifest file for the whole database names
-the current version of each table. Publishing replaces that file by a single
-overwriting rename, so readers see either the old or the new set of tables.
+new version directories, and a manifest for the whole database names the
+version directories that make up each table (one, or several where loads were
+added to it). Manifests are numbered files that are never changed; publishing
+creates the next number by a rename that fails if another publisher was
+faster, and then starts over from that publisher's manifest. So readers see
+either the old or the new set of tables, and no publisher undoes another.
 """
 
 from __future__ import annotations
@@ -14,6 +17,7 @@ import time
 import uuid
 from collections.abc import Iterable, Mapping
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -21,6 +25,7 @@ from pyspark.sql.types import StructType
 from . import schemas
 
 MANIFEST = "_MANIFEST"
+KEPT_MANIFESTS = 50          # older ones are removed: readers only open the newest
 
 
 def _jfs(spark: SparkSession, path: str):
@@ -47,29 +52,64 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def manifest(spark: SparkSession, root: str) -> dict[str, str]:
-    """Current version of each published table under ``root``."""
-    return json.loads(_read_text(spark, f"{root}/{MANIFEST}") or "{}")
+class PublishConflict(RuntimeError):
+    """Another publisher changed a table that a publish was based on."""
 
 
-def table_path(spark: SparkSession, root: str, name: str) -> str:
-    """Current version directory of table ``name`` under ``root``; a table
+def _manifest(spark: SparkSession, root: str) -> tuple[int, dict]:
+    """Number and content of the newest manifest; 0 and nothing before the first."""
+    fs, p = _jfs(spark, f"{root}/{MANIFEST}")
+    for _ in range(10):
+        found = [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+        number = max((int(n) for n in found if n.isdigit()), default=0)
+        if not number:
+            return 0, {}
+        text = _read_text(spark, f"{root}/{MANIFEST}/{number:012d}")
+        if text:                     # else removed meanwhile: newer ones exist
+            return number, json.loads(text)
+    raise RuntimeError(f"{root}: no readable manifest")
+
+
+def manifest_number(spark: SparkSession, root: str) -> int:
+    """How often something was published under ``root``."""
+    return _manifest(spark, root)[0]
+
+
+def manifest(spark: SparkSession, root: str) -> dict:
+    """Current version of each published table under ``root``; a list where a table has several."""
+    return _manifest(spark, root)[1]
+
+
+def table_versions(spark: SparkSession, root: str, name: str, now: Mapping | None = None) -> list[str]:
+    """Versions that make up table ``name``: "." for a plain Parquet directory, none if there is no table."""
+    version = (manifest(spark, root) if now is None else now).get(name)
+    if version:
+        return [version] if isinstance(version, str) else list(version)
+    fs, p = _jfs(spark, f"{root}/{name}")
+    plain = fs.exists(p) and not any(s.isDirectory() and s.getPath().getName().startswith("v") for s in fs.listStatus(p))
+    return ["."] if plain else []
+
+
+def table_paths(spark: SparkSession, root: str, name: str) -> list[str]:
+    """Current version directories of table ``name`` under ``root``; a table
     that was never published is a plain Parquet directory. Version
     directories without a manifest entry are an unfinished load: an error,
     never a read across versions."""
-    version = manifest(spark, root).get(name)
-    if version:
-        return f"{root}/{name}/{version}"
-    fs, p = _jfs(spark, f"{root}/{name}")
-    if fs.exists(p) and any(s.isDirectory() and s.getPath().getName().startswith("v") for s in fs.listStatus(p)):
+    versions = table_versions(spark, root, name)
+    if not versions and exists(spark, f"{root}/{name}"):
         raise FileNotFoundError(f"{root}/{name} has versions but no published one")
-    return f"{root}/{name}"
+    return [f"{root}/{name}/{v}" if v != "." else f"{root}/{name}" for v in versions or ["."]]
+
+
+def table_path(spark: SparkSession, root: str, name: str) -> str:
+    """The newest version directory of table ``name``."""
+    return table_paths(spark, root, name)[-1]
 
 
 def read_table(spark: SparkSession, root: str, name: str, schema: StructType | None = None) -> DataFrame:
     schema = schema or schemas.ALL.get(name)
     reader = spark.read.schema(schema) if schema is not None else spark.read
-    return reader.parquet(table_path(spark, root, name))
+    return reader.parquet(*table_paths(spark, root, name))
 
 
 class ParquetTables(Mapping):
@@ -156,7 +196,7 @@ def create_star(spark: SparkSession, root: str, names: Iterable[str] | None = No
     names = list(names) if names is not None else list(schemas.STAR)
     for name in names:
         spark.createDataFrame([], schemas.STAR[name]).write.mode("errorifexists").parquet(f"{root}/{name}/v0")
-    _switch(spark, root, dict.fromkeys(names, "v0"))
+    _switch(spark, root, lambda now: dict.fromkeys(names, "v0"))
     return names
 
 
@@ -213,60 +253,106 @@ def table_sizes(T: Mapping[str, DataFrame]) -> dict[str, int]:
     sizes = {}
     for n in T:
         if isinstance(T, ParquetTables):
-            fs, p = _jfs(spark, table_path(spark, T.root, n))
-            sizes[n] = fs.getContentSummary(p).getLength()
+            paths = [_jfs(spark, p) for p in table_paths(spark, T.root, n)]
+            sizes[n] = sum(fs.getContentSummary(p).getLength() for fs, p in paths)
         else:
             sizes[n] = sum(_jfs(spark, f)[0].getFileStatus(_jfs(spark, f)[1]).getLen() for f in T[n].inputFiles())
     return sizes
 
 
-def _switch(spark: SparkSession, root: str, versions: Mapping[str, str]) -> None:
-    """Publish ``versions`` (table -> version): the manifest with them merged
-    in is written beside the old one and renamed over it in one step."""
-    text = json.dumps({**manifest(spark, root), **versions}, sort_keys=True)
-    fs, target = _jfs(spark, f"{root}/{MANIFEST}")
+def _create_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a file with its whole content, or not at all: False if it exists."""
+    fs, target = _jfs(spark, path)
     jvm = spark.sparkContext._jvm
-    fresh = jvm.org.apache.hadoop.fs.Path(f"{root}/{MANIFEST}.{uuid.uuid4().hex}")
+    fresh = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}")
     out = fs.create(fresh, True)
     out.write(bytearray(text.encode()))
     out.close()
-    rename = jvm.org.apache.hadoop.fs.Options.Rename
-    how = spark.sparkContext._gateway.new_array(rename, 1)
-    how[0] = rename.OVERWRITE
-    jvm.org.apache.hadoop.fs.FileContext.getFileContext(
-        fs.makeQualified(target).toUri(), spark.sparkContext._jsc.hadoopConfiguration()).rename(
-        fs.makeQualified(fresh), fs.makeQualified(target), how)
+    how = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        fs.makeQualified(target).toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        context.rename(fs.makeQualified(fresh), fs.makeQualified(target), how)
+        return True
+    except Py4JJavaError as e:
+        if "FileAlreadyExistsException" not in str(e.java_exception):
+            raise
+        fs.delete(fresh, False)
+        return False
+
+
+def _switch(spark: SparkSession, root: str, change, based_on: Mapping | None = None, tries: int = 100) -> None:
+    """Publish ``change`` (manifest -> the tables' new entries) as the next
+    manifest, over and over until no other publisher was faster. ``based_on``:
+    entries that must not have changed meanwhile (``PublishConflict``)."""
+    for _ in range(tries):
+        number, now = _manifest(spark, root)
+        moved = [n for n, v in (based_on or {}).items() if now.get(n) != v]
+        if moved:
+            raise PublishConflict(f"{root}: {', '.join(sorted(moved))} changed since this run read them")
+        text = json.dumps({**now, **change(now)}, sort_keys=True)
+        if _create_once(spark, f"{root}/{MANIFEST}/{number + 1:012d}", text):
+            fs, old = _jfs(spark, f"{root}/{MANIFEST}/{number + 1 - KEPT_MANIFESTS:012d}")
+            if number >= KEPT_MANIFESTS:
+                fs.delete(old, False)
+            return
+    raise RuntimeError(f"{root}: {tries} publishers were faster")
+
+
+def _written(df: DataFrame, root: str, name: str, version: str, partition_by=None) -> None:
+    """Write an unpublished version; what a stopped run of that name left is replaced."""
+    w = df.write.mode("overwrite")
+    (w.partitionBy(*partition_by) if partition_by else w).parquet(f"{root}/{name}/{version}")
 
 
 def publish(outputs: Mapping[str, DataFrame], root: str, checks=None, partition_by: Mapping | None = None,
-            run_id: str | None = None) -> str:
+            run_id: str | None = None, based_on: Mapping | None = None, add: Iterable[str] = ()) -> str:
     """All-or-nothing load.
 
     Every output is written to a new version directory ``<table>/v<run_id>``
     (never over the data being read). ``checks`` (callable receiving the
     written tables, returning True/False) runs on the written data; only when
-    it passes does the manifest switch, for all outputs at once. On failure nothing is published and
-    the staged versions are left for inspection.
+    it passes does the manifest switch, for all outputs at once. On failure
+    nothing is published and the staged versions are left for inspection.
+
+    Tables in ``add`` get the version added to the ones they have; the others
+    are replaced by it. A run that was stopped is run again under its
+    ``run_id``: what it left unpublished is written anew, what it published
+    stays as it is. Concurrent publishers of different tables both succeed;
+    ``based_on`` (entries of ``manifest`` that the outputs were computed from)
+    makes a publish fail instead of undoing another one's.
     """
     if not outputs:
         return ""
     spark = next(iter(outputs.values())).sparkSession
     run_id = run_id or f"{int(time.time())}-{uuid.uuid4().hex[:8]}"
-    version = f"v{run_id}"
+    version, add = f"v{run_id}", set(add)
+    if all(version in table_versions(spark, root, n) for n in outputs):
+        return version
+    before = {n: table_versions(spark, root, n) for n in add}
     written = {}
     for name, df in outputs.items():
-        w = df.write.mode("errorifexists")
-        if partition_by and name in partition_by:
-            w = w.partitionBy(*partition_by[name])
-        path = f"{root}/{name}/{version}"
-        w.parquet(path)
-        written[name] = spark.read.schema(df.schema).parquet(path)
+        _written(df, root, name, version, (partition_by or {}).get(name))
+        written[name] = spark.read.schema(df.schema).parquet(f"{root}/{name}/{version}")
     if checks is not None and not checks(written):
         raise RuntimeError(f"checks failed; run {run_id} staged but not published")
-    _switch(spark, root, dict.fromkeys(outputs, version))
+
+    def change(now: dict) -> dict:
+        out = {}
+        for name in outputs:
+            have = table_versions(spark, root, name, {name: before[name], **now}) if before.get(name) else []
+            out[name] = [*(v for v in have if v != version), version] if have else version
+        return out
+
+    _switch(spark, root, change, based_on)
     return version
 
 
+def note(spark: SparkSession, root: str, entry: str, value: str) -> None:
+    """Add ``value`` to the list ``entry`` of the manifest."""
+    _switch(spark, root, lambda now: {entry: sorted({*now.get(entry, []), value})})
+
+
 def write_reports(reports: Mapping[str, DataFrame], root: str, run_id: str | None = None) -> str:
     """One Parquet directory per report under a run folder."""
     run_id = run_id or f"{int(time.time())}-{uuid.uuid4().hex[:8]}"

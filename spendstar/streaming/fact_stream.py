@@ -3,25 +3,27 @@
 The fact load runs on Structured Streaming with ``foreachBatch``: each
 micro-batch is turned into the same batch operator the daily load uses, and the
 write is replay-safe (a micro-batch replayed after a failure adds nothing
-twice: new facts are anti-joined with what the target already holds). The CDC
-functions are batch functions over one set of changes. No server or port is
-involved: the source is a directory, ``trigger(availableNow=True)`` processes
-what is there and stops.
+twice: its transactions are looked up in the index of loaded ids, without its
+own earlier attempt). The CDC functions are batch functions over one set of
+changes; ``vendor_cdc`` runs them as a stream. No server or port is involved:
+the source is a directory, ``trigger(availableNow=True)`` processes what is
+there and stops.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from ..operators.facts import fact_spend_new
 from ..operators.scd2 import scd2_apply
-from ..params import time_key_of
 from ..sources import schemas
 from ..sources.io import exists
+from ..sources.loaded_ids import BUCKETS, add_ids, loaded_ids
 from ..sources.schemas import _st
 
 
@@ -46,7 +48,8 @@ def read_stream_target(spark: SparkSession, target_dir: str) -> DataFrame:
 
 def stream_fact_load(spark: SparkSession, source_dir: str, dims: Mapping[str, DataFrame], target_dir: str,
                      checkpoint_dir: str, as_of, max_bytes_per_trigger: int = 10 << 30,
-                     loaded: DataFrame | None = None, max_files_per_trigger: int | None = None):
+                     loaded: DataFrame | None = None, max_files_per_trigger: int | None = None,
+                     ids_dir: str | None = None, buckets: int = BUCKETS):
     """Load new facts from a directory of spend-transaction files.
 
     ``dims`` holds dim_vendors, dim_commodities and dim_time; ``loaded``
@@ -56,32 +59,31 @@ def stream_fact_load(spark: SparkSession, source_dir: str, dims: Mapping[str, Da
 
     A micro-batch holds at most ``max_bytes_per_trigger`` of files
     (``max_files_per_trigger`` bounds their number instead, for tests). Its
-    transaction ids are looked up among the facts of the batch's days first (a
-    ``time_key`` range on the scan of loaded ids), and those not found there
-    among all other facts, so re-dated transactions are recognised; whether
-    one side is broadcast is left to Spark's measured sizes. Each
-    micro-batch overwrites its own ``epoch=<id>`` folder, so a batch replayed
-    after a failure rewrites the same output instead of adding it twice.
+    transaction ids are looked up in the index of loaded ids in ``ids_dir``
+    (default: ``<target_dir>_ids``), which takes in ``loaded`` when it is new;
+    no micro-batch reads facts. Each micro-batch overwrites its own folder,
+    named after the checkpoint and its number, and counts its own earlier ids
+    as not loaded, so one replayed after a failure rewrites the same output. A
+    stream started anew with another checkpoint finds every transaction of the
+    earlier one loaded.
     """
     bound = (("maxFilesPerTrigger", str(int(max_files_per_trigger))) if max_files_per_trigger
              else ("maxBytesPerTrigger", str(int(max_bytes_per_trigger))))
     stream = (spark.readStream.schema(schemas.OPERATIONAL["spend_transactions"])
               .option(*bound).parquet(source_dir))
     fact_schema = _fact_schema()
+    ids_dir = ids_dir or f"{target_dir.rstrip('/')}_ids"
+    if loaded is not None and not exists(spark, f"{ids_dir}/_SUCCESS"):
+        add_ids(spark, ids_dir, loaded, "before", buckets)
+    name = f"{zlib.crc32(checkpoint_dir.encode()):08x}"
 
     def load_batch(batch: DataFrame, epoch_id: int) -> None:
-        earlier = (_read_or_empty(spark, target_dir, StructType(fact_schema.fields + [StructField("epoch", LongType())]))
-                   .filter(F.col("epoch") != F.lit(epoch_id)).select("source_transaction_id", "time_key"))
-        if loaded is not None:
-            earlier = earlier.unionByName(loaded.select("source_transaction_id", "time_key"))
-        days = batch.agg(F.min("transaction_date").alias("a"), F.max("transaction_date").alias("b")).first()
-        if days["a"] is None:
-            return
-        near = F.col("time_key").between(time_key_of(days["a"]), time_key_of(days["b"]))
-        new = fact_spend_new(batch, dims["dim_vendors"], dims["dim_commodities"], dims["dim_time"], earlier, as_of,
-                             near=near)
-        (new.select(*[F.col(f.name).cast(f.dataType) for f in fact_schema.fields])
-            .write.mode("overwrite").parquet(f"{target_dir}/epoch={epoch_id}"))
+        run = f"{name}-{epoch_id}"
+        new = fact_spend_new(batch, dims["dim_vendors"], dims["dim_commodities"], dims["dim_time"], None, as_of,
+                             index=loaded_ids(spark, ids_dir, without=run, buckets=buckets))
+        path = f"{target_dir}/epoch={run}"
+        new.select(*[F.col(f.name).cast(f.dataType) for f in fact_schema.fields]).write.mode("overwrite").parquet(path)
+        add_ids(spark, ids_dir, spark.read.schema(fact_schema).parquet(path), run, buckets)
 
     q = (stream.writeStream.foreachBatch(load_batch)
          .option("checkpointLocation", checkpoint_dir)
@@ -96,33 +98,58 @@ CDC_SCHEMA = _st(
     "country string, region string, is_active boolean, change_seq bigint")
 
 
+ATTRS = ["vendor_name", "vendor_tier", "diversity_classification", "country", "region"]
+
+
 def latest_changes(changes: DataFrame) -> DataFrame:
     """The last change per vendor (highest ``change_seq``) as a
     ``max_by`` aggregate: combined map-side, so a vendor with very many
     changes does not land whole in one task."""
     cols = [c for c in CDC_SCHEMA.fieldNames() if c not in ("vendor_id", "change_seq")]
     last = changes.groupBy("vendor_id").agg(
-        F.max_by(F.struct(*cols), "change_seq").alias("_last"), F.max("change_seq").alias("change_seq"))
+        F.max_by(F.struct(*cols), F.struct("change_seq", *cols)).alias("_last"), F.max("change_seq").alias("change_seq"))
     return last.select("vendor_id", "_last.*", "change_seq")
 
 
+def change_registers(changes: DataFrame) -> DataFrame:
+    """Per vendor the last insert or update (``row_seq`` and its attributes)
+    and the last change of any kind (``change_seq``, ``active``). Each is a
+    maximum, so the order in which changes arrive, repeats and the cuts between
+    batches do not matter. Changes without a vendor, a sequence number or a
+    known operation are left out."""
+    known = changes.filter(F.col("vendor_id").isNotNull() & F.col("change_seq").isNotNull() & F.col("op").isin("I", "U", "D"))
+    upsert = F.col("op") != "D"
+    active = F.when(upsert, F.coalesce("is_active", F.lit(True))).otherwise(F.lit(False))
+    row = F.struct("change_seq", *ATTRS)
+    return known.groupBy("vendor_id").agg(
+        F.max(F.when(upsert, row)).alias("_row"), F.max(F.struct("change_seq", active.alias("active"))).alias("_any")) \
+        .select("vendor_id", F.col("_row.change_seq").alias("row_seq"), *[F.col(f"_row.{a}").alias(a) for a in ATTRS],
+                F.col("_any.change_seq").alias("change_seq"), F.col("_any.active").alias("is_active"))
+
+
 def apply_cdc(vendors: DataFrame, changes: DataFrame) -> DataFrame:
-    """Vendor master after the latest insert/update/delete per vendor.
-    A delete marks the vendor inactive (history stays in the dimension)."""
-    last = latest_changes(changes)
-    attrs = ["vendor_name", "vendor_tier", "diversity_classification", "country", "region", "is_active"]
-    j = vendors.select("vendor_id", *attrs).join(
-        last.select("vendor_id", "op", *[F.col(a).alias("c_" + a) for a in attrs]), "vendor_id", "full_outer")
-    upsert = F.col("op").isin("I", "U")
+    """Vendor master after a set of inserts, updates and deletes: the
+    attributes of the last insert or update, active unless the last change is a
+    delete (which marks the vendor inactive: history stays in the dimension).
+
+    ``vendors`` may carry ``row_seq`` and ``change_seq``, the sequence numbers
+    that its rows already have; older changes than these are late and change
+    nothing, equal ones are replays. Without the columns every change is newer."""
+    seqs = ["row_seq", "change_seq"]
+    have = vendors.select("vendor_id", *ATTRS, "is_active", *[
+        F.col(c) if c in vendors.columns else F.lit(None).cast("long").alias(c) for c in seqs])
+    new = change_registers(changes).select("vendor_id", *[F.col(c).alias("c_" + c) for c in [*ATTRS, "is_active", *seqs]])
+
+    def newer(seq):
+        return F.col("c_" + seq).isNotNull() & (F.col(seq).isNull() | (F.col("c_" + seq) > F.col(seq)))
+
+    j = have.join(new, "vendor_id", "full_outer").filter(F.col("vendor_id").isNotNull())
     out = [F.col("vendor_id")]
-    for a in attrs:
-        if a == "is_active":
-            val = (F.when(F.col("op") == "D", F.lit(False))
-                   .when(upsert, F.coalesce(F.col("c_" + a), F.lit(True))).otherwise(F.col(a)))
-        else:
-            val = F.when(upsert, F.col("c_" + a)).otherwise(F.col(a))
-        out.append(val.alias(a))
-    return j.filter(F.col("vendor_id").isNotNull()).select(*out)
+    for cols, seq in ((ATTRS, "row_seq"), (["is_active"], "change_seq")):
+        out += [F.when(newer(seq), F.col("c_" + c)).otherwise(F.col(c)).alias(c) for c in cols]
+    if "row_seq" in vendors.columns:
+        out += [F.when(newer(c), F.col("c_" + c)).otherwise(F.col(c)).alias(c) for c in seqs]
+    return j.select(*out)
 
 
 def cdc_to_dimension(dim: DataFrame, vendors: DataFrame, profiles: DataFrame, changes: DataFrame, as_of) -> DataFrame:
