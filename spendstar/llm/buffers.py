@@ -93,6 +93,19 @@ def span_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     return mix64(raw + (end - start).astype(np.uint64) * np.uint64(0x2545F4914F6CDD1D))
 
 
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, table: np.ndarray = BYTE) -> np.ndarray:
+    """``span_hash`` of spans that follow one another, made from half a
+    megabyte of text at a time, so that the prefix sums stay small."""
+    out = np.empty(len(start), np.uint64)
+    a = 0
+    while a < len(start):
+        b = max(a + 1, int(np.searchsorted(start, start[a] + RUN_BYTES)))
+        low, high = start[a], end[b - 1]
+        out[a:b] = span_hash(prefix_hash(data[low:high], table), start[a:b] - low, end[a:b] - low)
+        a = b
+    return out
+
+
 def words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end of every word, and the number of words of each document."""
     if not len(data):

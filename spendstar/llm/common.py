@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import shutil
 import tempfile
+import time
 import uuid
 from functools import lru_cache
 
@@ -61,20 +62,42 @@ def _memory():
         return None
 
 
+_trimmed = [0.0]
+
+
+def _give_back(every: float = 0.0) -> None:
+    libc = _memory()
+    if libc is not None and time.monotonic() - _trimmed[0] >= every:
+        libc.malloc_trim(0)
+        _trimmed[0] = time.monotonic()
+
+
 def lean(run):
     """``run`` for mapInArrow in a worker that Spark keeps for later tasks: its
     arrays come from the C library, and what a task has freed goes back to the
     system instead of staying beside the JVM."""
     def task(batches):
         pa.set_memory_pool(pa.system_memory_pool())
-        libc = _memory()
+        _memory()
         yield from run(batches)
-        if libc is not None:
-            libc.malloc_trim(0)
+        _give_back()
 
     return task
 
 
+def lean_group(run):
+    """The same for the (key, table) functions of applyInArrow, once a second at most."""
+    def group(key, table):
+        pa.set_memory_pool(pa.system_memory_pool())
+        _memory()
+        out = run(key, table)
+        del table
+        _give_back(1.0)
+        return out
+
+    return group
+
+
 def cut(df: DataFrame) -> DataFrame:
     """The rows of ``df``, computed once and stored in ``spark.checkpoint.dir``."""
     ensure_checkpoint_dir(df.sparkSession)

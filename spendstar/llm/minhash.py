@@ -47,7 +47,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .buffers import BYTE_LOWER, mix64, prefix_hash, runs, span_hash, text_array, words
-from .common import cut, shared_folder, ship
+from .common import cut, lean, lean_group, shared_folder, ship
 from .components import components
 
 SHINGLE = 5
@@ -157,7 +157,7 @@ def sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                     pa.array([r.tobytes() for r in regs], pa.binary())], names=["id", "n", "f1", "f2", "regs"])
 
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")) \
-               .mapInArrow(run, "id long, n long, f1 long, f2 long, regs binary")
+               .mapInArrow(lean(run), "id long, n long, f1 long, f2 long, regs binary")
 
 
 def band_rows(sk: DataFrame) -> DataFrame:
@@ -172,7 +172,7 @@ def band_rows(sk: DataFrame) -> DataFrame:
                     pa.array(keys.ravel()),
                     pa.array(np.repeat(part.column(0).to_numpy(zero_copy_only=False), BANDS))], names=["key", "id"])
 
-    return sk.select("id", "regs").mapInArrow(run, "key long, id long")
+    return sk.select("id", "regs").mapInArrow(lean(run), "key long, id long")
 
 
 def promising(pairs: DataFrame, sk: DataFrame, percent: int) -> DataFrame:
@@ -192,7 +192,7 @@ def promising(pairs: DataFrame, sk: DataFrame, percent: int) -> DataFrame:
             j, err = estimate(*regs, *sizes)
             yield batch.select(["a", "b"]).filter(pa.array(j >= percent / 100 - 5 * err - 0.01))
 
-    return both.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(run, "a long, b long")
+    return both.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(lean(run), "a long, b long")
 
 
 def stored_sets(ids: DataFrame, docs: DataFrame, id_col: str, text_col: str, path: str) -> DataFrame:
@@ -208,7 +208,7 @@ def stored_sets(ids: DataFrame, docs: DataFrame, id_col: str, text_col: str, pat
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.tobytes() for s in sets], pa.binary())],
                                              names=["id", "set"])
 
-    needed.mapInArrow(make, "id long, set binary").dropDuplicates(["id"]).write.parquet(path)
+    needed.mapInArrow(lean(make), "id long, set binary").dropDuplicates(["id"]).write.parquet(path)
     return docs.sparkSession.read.parquet(path)
 
 
@@ -226,7 +226,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 good.append(same > 0 and 100 * same >= percent * (len(u) + len(v) - same))
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    return both.select("a", "b", "sa", "sb").mapInArrow(compare, "a long, b long")
+    return both.select("a", "b", "sa", "sb").mapInArrow(lean(compare), "a long, b long")
 
 
 def across(member: DataFrame, percent: int):
@@ -249,7 +249,7 @@ def across(member: DataFrame, percent: int):
                 hit[x] |= len(good) > 0
         return table.select(["centre", "i", "j", "id", "comp"]).filter(pa.array(hit))
 
-    return member.groupBy("centre", "i", "j").applyInArrow(run, "centre long, i int, j int, id long, comp long")
+    return member.groupBy("centre", "i", "j").applyInArrow(lean_group(run), "centre long, i int, j int, id long, comp long")
 
 
 def links_across(member: DataFrame, percent: int) -> DataFrame:
@@ -275,7 +275,7 @@ def links_across(member: DataFrame, percent: int) -> DataFrame:
             b += ids[good[first]].tolist()
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return member.groupBy("centre", "i", "j").applyInArrow(run, "a long, b long")
+    return member.groupBy("centre", "i", "j").applyInArrow(lean_group(run), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text_col: str = "text",

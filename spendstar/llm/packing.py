@@ -38,22 +38,24 @@ gives no rows. Input columns other than id and text are not carried.
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .buffers import BYTE_LOWER, prefix_hash, runs, span_hash, text_array, words
-from .common import cut, shared_folder, ship
+from .buffers import BYTE_LOWER, runs, span_hashes, text_array, words
+from .common import cut, lean, lean_group, shared_folder, ship
 
 WINDOW = 2048
 END = 1
 SHARD_BYTES = 4 << 20
 PLACE_WORDS = 24
 HEAD_WORDS = 1 << 20
+BEST = 24
 K1, B = 1.2, 0.75
-CACHE_WORDS = 2_000_000
+CACHE_WORDS = 1_000_000
 _MARK = np.zeros(256, bool)       # ASCII characters that are neither letters, digits nor white space
 _MARK[[c for c in range(33, 127) if not chr(c).isalnum()]] = True
 PIECES = ("doc_id long, copy int, start long, length long, ids_crc32 long, doc_tokens long, "
@@ -140,12 +142,15 @@ class WordTokenizer:
 
             a, b = start[new], stop[new]
             letter = _letters(data)
-            letters = np.concatenate([[0], np.cumsum(letter)])
-            other = np.maximum.accumulate(np.where(_MARK[data], -1, np.arange(len(data))))
+            letters = np.concatenate([[0], np.cumsum(letter, dtype=np.int32)])
+            other = np.maximum.accumulate(np.where(_MARK[data], -1, np.arange(len(data), dtype=np.int32)))
             end = np.maximum(other[b - 1] + 1, a)          # of the part before trailing marks
             plain = (end > a) & (letters[end] - letters[a] == end - a)
-            stem = span_hash(prefix_hash(data, BYTE_LOWER), a[plain], end[plain])
-            mark = span_hash(prefix_hash(data), end[plain], b[plain])
+            # hashed in the order of the text
+            by = np.argsort(a, kind="stable")
+            a, b, end, plain, new = a[by], b[by], end[by], plain[by], new[by]
+            stem = span_hashes(data, a[plain], end[plain], BYTE_LOWER)
+            mark = span_hashes(data, end[plain], b[plain])
             marked = (b > end)[plain]
             for hashes, x, y, make in ((stem, a[plain], end[plain], self._stems),
                                        (mark[marked], end[plain][marked], b[plain][marked], self._single)):
@@ -235,18 +240,23 @@ class Index:
         self.query = np.split(word[order], start[1:-1]) if n else []
         self.n = n
 
-    def neighbours(self, seed: int, used: np.ndarray) -> np.ndarray:
+    def neighbours(self, seed: int, used: np.ndarray) -> Iterator[int]:
         """Unused documents by falling BM25 score, ties to the smaller number."""
         q = self.query[seed]
         if not len(q):
-            return np.zeros(0, np.int64)
+            return
         size = self.first[q + 1] - self.first[q]
         stop = np.cumsum(size)
         at = np.arange(stop[-1]) + np.repeat(self.first[q] - (stop - size), size)
         score = np.bincount(self.doc[at], self.weight[at], minlength=self.n)
         score[used] = 0
         found = np.flatnonzero(score)
-        return found[np.argsort(-score[found], kind="stable")]
+        if len(found) > 4 * BEST:                # a window takes a few: the best ones are put in order first
+            least = np.partition(score[found], len(found) - BEST)[len(found) - BEST]
+            top = found[score[found] >= least]
+            yield from top[np.argsort(-score[top], kind="stable")].tolist()
+            found = found[score[found] < least]
+        yield from found[np.argsort(-score[found], kind="stable")].tolist()
 
 
 def reading_order(index: Index, size: np.ndarray, window: int) -> np.ndarray:
@@ -269,9 +279,9 @@ def reading_order(index: Index, size: np.ndarray, window: int) -> np.ndarray:
         last = -1
         for d in index.neighbours(seed, used):
             used[d] = True
-            out.append(int(d))
+            out.append(d)
             free -= int(size[d])
-            last = int(d)
+            last = d
             if free <= 0:
                 break
         seed = last if last >= 0 and free < 0 else -1
@@ -287,7 +297,7 @@ def pack_shard(ids_of: list, texts: list[str], tok: WordTokenizer, shard: int, w
     data = np.frombuffer(b"".join(raw), np.uint8)
     start, stop, count = words(data, off)
     # equal words by 64-bit hash: one sort gives the distinct words and the postings
-    value = span_hash(prefix_hash(data), start, stop) if len(start) else np.zeros(0, np.uint64)
+    value = span_hashes(data, start, stop)
     by = np.argsort(value, kind="stable")
     new = np.concatenate([[True], value[by[1:]] != value[by[:-1]]])[:len(by)]
     number = np.empty(len(by), np.int64)
@@ -339,7 +349,7 @@ def _hashed(column):
     for a, b in runs(off):
         part = data[off[a]:off[b]]
         start, stop, count = words(part, off[a:b + 1] - off[a])
-        yield a, b, span_hash(prefix_hash(part), start, stop) if len(start) else np.zeros(0, np.uint64), count
+        yield a, b, span_hashes(part, start, stop), count
 
 
 def count_words(texts: DataFrame) -> DataFrame:
@@ -378,15 +388,16 @@ def count_words(texts: DataFrame) -> DataFrame:
         yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([0], pa.int64()), pa.array([total])],
                                          names=["word", "df", "n_words"])
 
-    counted = texts.mapInArrow(run, "word long, df long, n_words long").groupBy("word").agg(
+    counted = texts.mapInArrow(lean(run), "word long, df long, n_words long").groupBy("word").agg(
         F.sum("df").alias("df"), F.sum("n_words").alias("n_words"))
     return counted.filter((F.col("df") > 1) | F.col("word").isNull())
 
 
-def places(rows: DataFrame, table: DataFrame, head, low: int, cap: int) -> DataFrame:
+def places(rows: DataFrame, table: DataFrame, head, low: int, cap: int, path: str) -> DataFrame:
     """(id, bytes, lead, next, rare): where a document belongs, and its words
     of fewer than ``low`` documents. ``table``: (word, df), ``head``: broadcast
-    statistics of the words of ``low`` documents or more."""
+    statistics of the words of ``low`` documents or more; ``path``: for what is
+    read from the texts."""
     item = "array<struct<minus: double, word: long, df: long>>"
 
     def run(batches):
@@ -399,7 +410,8 @@ def places(rows: DataFrame, table: DataFrame, head, low: int, cap: int) -> DataF
                 part = tf * (K1 + 1) / (tf + of.norm(count)[doc])
                 known = np.flatnonzero(df > 1)
                 weight = of.idf(df[known]) * part[known]
-                order = np.lexsort((word[known], -weight, doc[known]))
+                # by document and falling weight (below 256); equal weights stay in the order of their words
+                order = np.argsort(doc[known] * 256.0 - weight, kind="stable")
                 own = np.bincount(doc[known], minlength=b - a)
                 nth = np.arange(len(order)) - np.repeat(np.cumsum(own) - own, own)
                 top = order[nth < PLACE_WORDS]
@@ -419,8 +431,10 @@ def places(rows: DataFrame, table: DataFrame, head, low: int, cap: int) -> DataF
                     [batch.column(0), batch.column(2), lists(cand, ["minus", "word", "df"]), lists(rare, ["part", "word"])],
                     names=["id", "bytes", "cand", "rare"])
 
-    read = rows.select("id", "text", (F.octet_length("text") + 16).cast("long").alias("bytes")).mapInArrow(
-        run, f"id long, bytes long, cand {item}, rare array<struct<part: double, word: long>>")
+    # read once: stored for the two uses
+    rows.select("id", "text", (F.octet_length("text") + 16).cast("long").alias("bytes")).mapInArrow(
+        lean(run), f"id long, bytes long, cand {item}, rare array<struct<part: double, word: long>>").write.parquet(path)
+    read = rows.sparkSession.read.parquet(path)
     # of rows with one id one chooses the place
     own = read.groupBy("id").agg(F.sum("bytes").alias("bytes"), F.max("cand").alias("cand"))
     if low > 2:
@@ -455,28 +469,31 @@ def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, end: int = END,
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     sums = rows.agg(F.sum(F.octet_length("text") + 16).alias("b"), F.count(F.lit(1)).alias("n")).first()
     total, n = sums["b"] or 0, sums["n"]
-    path = f"{shared_folder(spark, 'packing')}/words"
-    count_words(rows.select("text")).write.parquet(path)
-    table = spark.read.parquet(path)
+    folder = shared_folder(spark, "packing")
+    count_words(rows.select("text")).write.parquet(f"{folder}/words")
+    table = spark.read.parquet(f"{folder}/words")
     n_words = table.filter(F.col("word").isNull()).agg(F.sum("n_words")).first()[0] or 0
     table = table.filter(F.col("word").isNotNull())
-    low, known = 2, 0                 # the commonest words, whole frequencies at a time
-    for r in table.groupBy("df").count().orderBy(F.desc("df")).collect():
-        known += r["count"]
+    # the commonest words, whole classes of frequencies (an eighth of a doubling each) at a time
+    classes = table.groupBy(F.floor(8 * F.log2("df")).alias("c")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("df").alias("a"), F.max("df").alias("b")).orderBy(F.desc("c")).collect()
+    low, known = 2, 0
+    for r, above in zip(classes, [None, *classes], strict=False):
+        known += r["n"]
         if known > head_words:
-            low = r["df"] + 1
+            low = above["a"] if above else r["b"] + 1
             break
     common = table.filter(F.col("df") >= low).select("word", "df").toArrow()
     value = common.column("word").to_numpy().view(np.uint64)
     by = np.argsort(value)
     head = spark.sparkContext.broadcast(Statistics(n, n_words / max(n, 1), value[by], common.column("df").to_numpy()[by]))
-    place = cut(places(rows, table, head, low, max(2, n * shard_bytes // max(total, 1))))
+    place = cut(places(rows, table, head, low, max(2, n * shard_bytes // max(total, 1)), f"{folder}/read"))
 
     buckets = max(1, -(-total // shard_bytes))
-    # at most ``buckets`` leads are that large
+    # at most ``buckets`` leads are that large; how they are joined is left to their measured size
     large = place.groupBy("lead").agg(F.sum("bytes").alias("b")).filter(F.col("b") > shard_bytes) \
                  .select("lead", F.ceil(F.col("b") / F.lit(shard_bytes)).alias("parts"))
-    place = place.join(F.broadcast(large), "lead", "left").withColumn(
+    place = place.join(large, "lead", "left").withColumn(
         "part", F.when(F.col("parts") > 1, F.pmod(F.xxhash64("id"), F.col("parts"))).otherwise(F.lit(0)))
     place = place.select(F.col("id").alias("__id"), "lead", "next", "rare",
                          F.pmod(F.xxhash64("lead", "part"), F.lit(buckets)).cast("long").alias("bucket"))
@@ -502,7 +519,7 @@ def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, end: int = END,
                                   window, end, of))
         return pa.concat_tables(out)
 
-    return placed.groupBy("bucket").applyInArrow(run, PIECES)
+    return placed.groupBy("bucket").applyInArrow(lean_group(run), PIECES)
 
 
 def shard_cuts(ids: list, size: np.ndarray, shard_bytes: int) -> list[tuple[int, int]]:

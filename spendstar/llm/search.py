@@ -47,7 +47,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .buffers import BYTE_LOWER, LOWER, RUN_BYTES, prefix_hash, span_hash, text_array
+from .buffers import BYTE_LOWER, LOWER, span_hashes, text_array
 from .common import cut, lean, shared_folder, ship
 
 SHARD_BYTES = 16 << 20
@@ -75,18 +75,6 @@ def terms(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     return start, end, np.diff(np.searchsorted(start, off))
 
 
-def hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the terms, A-Z lower-cased, half a megabyte of text at a time."""
-    out = np.empty(len(start), np.uint64)
-    a = 0
-    while a < len(start):
-        b = max(a + 1, int(np.searchsorted(start, start[a] + RUN_BYTES)))
-        low = start[a]
-        out[a:b] = span_hash(prefix_hash(data[low:end[b - 1]], BYTE_LOWER), start[a:b] - low, end[a:b] - low)
-        a = b
-    return out
-
-
 def length_norm(n: np.ndarray, n_docs: int, n_terms: int) -> np.ndarray:
     """m of documents with n terms."""
     return 100 - B_PART + (B_PART * n.astype(np.int64) * n_docs) // max(n_terms, 1)
@@ -132,7 +120,7 @@ def index_shard(data: np.ndarray, off: np.ndarray, n_docs: int, n_terms: int) ->
     blocks: last document, largest part and size in bytes; all postings as
     bytes; m of the documents."""
     start, end, count = terms(data, off)
-    value = hashes(data, start, end)
+    value = span_hashes(data, start, end, BYTE_LOWER)
     m = length_norm(count, n_docs, n_terms)
     order = np.argsort(value, kind="stable")
     doc = np.repeat(np.arange(len(count)), count)[order]
@@ -353,7 +341,7 @@ def query_terms(queries: DataFrame, id_col: str, text_col: str) -> DataFrame:
             low = LOWER[data]
             start, end, count = terms(data, off)
             raw = low.tobytes()
-            value = hashes(low, start, end).view(np.int64)
+            value = span_hashes(low, start, end, BYTE_LOWER).view(np.int64)
             who = pa.array(np.repeat(np.arange(batch.num_rows), count))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(who), batch.column(1).take(who), pa.array(value),
