@@ -142,3 +142,29 @@ FOREIGN_KEYS = [
     ('fact_savings_realization', 'commodity_key', 'dim_commodities', 'commodity_key'),
     ('fact_savings_realization', 'time_key', 'dim_time', 'time_key'),
 ]
+
+# NOT NULL columns of the DDL that are no keys, by table.
+NOT_NULL = [
+    ('vendors', ['vendor_name']),
+    ('commodities', ['commodity_description']),
+    ('business_units', ['business_unit_name']),
+    ('contracts', ['vendor_id']),
+    ('purchase_orders', ['vendor_id', 'po_date', 'total_amount']),
+    ('po_line_items', ['po_id', 'commodity_id', 'line_number', 'quantity', 'unit_price', 'line_amount']),
+    ('spend_transactions', ['vendor_id', 'commodity_id', 'transaction_date', 'total_amount']),
+    ('sourcing_strategies', ['commodity_id', 'strategy_name']),
+    ('time_periods', ['period_name', 'start_date', 'end_date', 'fiscal_year']),
+    ('savings_targets', ['fiscal_year', 'target_amount']),
+    ('demand_forecasts', ['commodity_id', 'forecast_period_start', 'forecast_period_end']),
+    ('risk_assessments', ['assessment_date']),
+    ('market_intelligence', ['commodity_id', 'report_date']),
+    ('performance_metrics', ['metric_name']),
+    ('dim_vendors', ['vendor_id', 'vendor_name', 'effective_start_date', 'is_current_record']),
+    ('dim_commodities', ['commodity_id', 'commodity_description', 'effective_start_date', 'is_current_record']),
+    ('dim_time', ['date_actual', 'year', 'quarter', 'month', 'fiscal_year', 'fiscal_quarter', 'fiscal_month', 'month_name', 'quarter_name', 'day_of_week', 'day_of_week_num', 'week_of_year', 'is_weekend']),
+    ('dim_contracts', ['contract_id', 'effective_start_date', 'is_current_record']),
+    ('dim_business_units', ['business_unit_id', 'business_unit_name', 'effective_start_date', 'is_current_record']),
+    ('fact_spend_analytics', ['vendor_key', 'commodity_key', 'time_key', 'spend_amount', 'load_date']),
+    ('fact_supplier_performance', ['vendor_key', 'time_key', 'load_date']),
+    ('fact_savings_realization', ['vendor_key', 'commodity_key', 'time_key', 'forecasted_savings', 'realized_savings', 'load_date']),
+]

@@ -7,7 +7,7 @@ from __future__ import annotations
 from spendstar.sources.fixtures import OPERATIONAL_TABLES, STAR_TABLES
 from spendstar.sources.schemas import ALL
 
-from .fixed_rules import CHECK_RULES, FOREIGN_KEYS, KEYS
+from .fixed_rules import CHECK_RULES, FOREIGN_KEYS, KEYS, NOT_NULL
 from .queries import AS_OF, DSUM
 
 TABLES = list(OPERATIONAL_TABLES) + list(STAR_TABLES)
@@ -60,6 +60,13 @@ def _fk(c, col, p, pcol) -> str:
             f"'{state}' as status, {count} as violations")
 
 
+def _nulls(t, c) -> str:
+    state = _state((t, [c]))
+    count = f"(select count(*) - count({c}) from {t})" if state == "CHECKED" else "cast(null as bigint)"
+    return f"select '{t}' as table_name, '{c}' as column_name, '{state}' as status, {count} as null_rows"
+
+
+NULL_ROWS = "\nunion all\n".join(_nulls(t, c) for t, columns in NOT_NULL for c in columns)
 VIOLATIONS = "\nunion all\n".join(_violations(*r) for r in CHECK_RULES)
 DUPLICATES = "\nunion all\n".join(_duplicates(*r) for r in KEYS)
 FK_VIOLATIONS = "\nunion all\n".join(_fk(*r) for r in FOREIGN_KEYS)
@@ -216,6 +223,7 @@ select 'PASSED' as star_schema_status, 'PASSED' as operational_schema_status, st
 from ({CONSISTENCY}) c""",
     "dq_check_violations": VIOLATIONS,
     "dq_duplicate_keys": DUPLICATES,
+    "dq_null_columns": NULL_ROWS,
     "dq_fk_violations": FK_VIOLATIONS,
     "dq_po_line_amount": """
 select po_line_id, po_id, line_number, cast(line_amount as double) as line_amount, quantity * unit_price as expected_amount,

@@ -28,13 +28,13 @@ import datetime as _dt
 import time
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .operators.dims import dim_business_units, dim_contracts, dim_time, new_dim_commodities
 from .operators.facts import (enrich_facts, fact_savings_realization, fact_spend_new, fact_supplier_performance,
                               fill_fiscal)
-from .operators.monitor import run_log
+from .operators.monitor import observed, run_log
 from .operators.quality import check_consistency, orphan_facts, rules_for, tag_failures
 from .operators.scd2 import scd2_apply
 from .params import as_date
@@ -43,7 +43,7 @@ from .sources import io, schemas
 from .sources.fixtures import OPERATIONAL_TABLES
 from .sources.loaded_ids import add_ids, loaded_ids
 
-FACTS = "fact_spend_analytics"
+FACTS, QUARANTINE = "fact_spend_analytics", "fact_spend_quarantine"
 
 
 class LoadRejected(RuntimeError):
@@ -78,7 +78,7 @@ def index_of_loaded(spark: SparkSession, root: str) -> DataFrame:
 
 
 def load_dimensions(spark: SparkSession, op, root: str, day, run_id: str) -> dict[str, int]:
-    """Write and publish the next version of every dimension; rows by table."""
+    """Write and publish the next version of every dimension; rows by table, as observed by the writes."""
     names = ("dim_vendors", "dim_commodities", "dim_time", "dim_contracts", "dim_business_units")
     based_on = {n: io.manifest(spark, root).get(n) for n in names}
     now = {n: _stored(spark, root, n) for n in names}
@@ -97,17 +97,26 @@ def load_dimensions(spark: SparkSession, op, root: str, day, run_id: str) -> dic
             dim_contracts(fresh_k, op["risk_assessments"], day, now["dim_contracts"]), "dim_contracts")),
         "dim_business_units": now["dim_business_units"].unionByName(_conform(new_u, "dim_business_units")),
     }
-    if any(v != f"v{run_id}" for v in based_on.values()):        # else this run has published them
-        io.publish(out, root, run_id=run_id, based_on=based_on)
-    return {n: io.read_table(spark, root, n).count() for n in out}
+    if all(v == f"v{run_id}" for v in based_on.values()):        # this run has published them
+        return dict.fromkeys(names, 0)
+    seen = {n: observed(df, f"{n}-{run_id}-{uuid.uuid4().hex[:8]}") for n, df in out.items()}
+    io.publish({n: df for n, (df, _) in seen.items()}, root, run_id=run_id, based_on=based_on)
+    return {n: watch.get["rows"] for n, (_, watch) in seen.items()}
 
 
 def daily_load(spark: SparkSession, operational_root: str, analytics_root: str, as_of,
-               incremental_days: int | None = None, run_id: str | None = None) -> DataFrame:
+               incremental_days: int | None = None, run_id: str | None = None, quarantine: bool = False) -> DataFrame:
     """Run one load for day ``as_of``; returns the run's log (M4), which is
     also appended to ``etl_log``. ``incremental_days`` restricts facts to
     transactions dated in the last N days (F2); the default loads the whole
-    backlog (F1)."""
+    backlog (F1). New facts that fail a rule stop the load (``LoadRejected``);
+    with ``quarantine`` they go to the table ``fact_spend_quarantine``, with the
+    rules they fail, and the others are loaded. Their transactions are not
+    marked as loaded, so a later load tries them again.
+
+    The log's counts are observed by the writes themselves: no step reads a
+    table again to count it. A step that an earlier attempt of the run has
+    published counts 0."""
     day = as_date(as_of)
     run_id = run_id or f"{day:%Y%m%d}-{int(time.time())}"
     op = io.read_tables(spark, operational_root, OPERATIONAL_TABLES)
@@ -128,35 +137,39 @@ def daily_load(spark: SparkSession, operational_root: str, analytics_root: str,
         rich = _conform(enrich_facts(new, spend, star["dim_vendors"], star["dim_contracts"], op["contracts"],
                                      op["purchase_orders"], star["dim_business_units"]), FACTS)
         staging = f"{root}/_staging/{run_id}-{uuid.uuid4().hex[:8]}"
-        tag_failures(rich, rules_for(FACTS, rich)).write.parquet(staging)
-        staged = spark.read.parquet(staging)
-        counts = staged.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.size("failed_rules") > 0, 1)).alias("bad")).first()
-        if counts["bad"]:
-            raise LoadRejected(f"{counts['bad']} new facts fail the fact rules; run {run_id} appended none, see {staging}")
-        fresh = staged.drop("failed_rules")
+        watch = Observation(f"facts-{uuid.uuid4().hex[:8]}")
+        tag_failures(rich, rules_for(FACTS, rich)).observe(
+            watch, F.count(F.lit(1)).alias("n"), F.count(F.when(F.size("failed_rules") > 0, 1)).alias("bad")).write.parquet(staging)
+        staged, n, bad = spark.read.parquet(staging), watch.get["n"], watch.get["bad"]
+        if bad and not quarantine:
+            raise LoadRejected(f"{bad} new facts fail the fact rules; run {run_id} appended none, see {staging}")
+        fresh = staged.filter(F.size("failed_rules") == 0).drop("failed_rules")
+        out = {FACTS: fresh}
+        if bad:
+            out[QUARANTINE] = staged.filter(F.size("failed_rules") > 0).withColumn("run_id", F.lit(run_id))
         add_ids(spark, ids_path(root), fresh, version)           # count once the facts are published
         io.note(spark, root, "_loaded_ids", version)
-        io.publish({FACTS: fresh}, root, run_id=run_id, add=[FACTS])
-        n = counts["n"]
+        io.publish(out, root, run_id=run_id, add=list(out))
     else:
-        n = 0
-    log.append(("facts", n, n, 0, time.perf_counter() - t))
+        n = bad = 0
+    log.append(("facts", n, n - bad, bad, time.perf_counter() - t))
 
     t = time.perf_counter()
     facts = io.read_table(spark, root, "fact_spend_analytics")
-    io.publish({
-        "fact_supplier_performance": _conform(fact_supplier_performance(
-            op["performance_metrics"], star["dim_vendors"], star["dim_time"], day), "fact_supplier_performance"),
-        "fact_savings_realization": _conform(fact_savings_realization(
-            facts, star["dim_commodities"], star["dim_time"], op["savings_targets"], day), "fact_savings_realization"),
-    }, root, run_id=f"{run_id}-summary")
-    log.append(("summary_facts", None, None, 0, time.perf_counter() - t))
+    summaries = {
+        "fact_supplier_performance": fact_supplier_performance(op["performance_metrics"], star["dim_vendors"], star["dim_time"], day),
+        "fact_savings_realization": fact_savings_realization(facts, star["dim_commodities"], star["dim_time"], op["savings_targets"], day)}
+    seen = {k: observed(_conform(df, k), f"{k}-{uuid.uuid4().hex[:8]}") for k, df in summaries.items()}
+    done = all(f"v{run_id}-summary" in io.table_versions(spark, root, k) for k in seen)
+    io.publish({k: df for k, (df, _) in seen.items()}, root, run_id=f"{run_id}-summary")
+    rows = 0 if done else sum(watch.get["rows"] for _, watch in seen.values())
+    log.append(("summary_facts", rows, rows, 0, time.perf_counter() - t))
 
     t = time.perf_counter()
-    both = {**{n: op[n] for n in op}, **star, "fact_spend_analytics": facts}
-    status = check_consistency(both).first()["status"]
+    both = {**{n: op[n] for n in op}, **star, FACTS: facts}
+    checked = check_consistency(both).first()
     orphans = orphan_facts(both).first()["orphaned_count"]
-    log.append((f"reconciliation:{status}", facts.count(), None, int(orphans), time.perf_counter() - t))
+    log.append((f"reconciliation:{checked['status']}", checked["analytics_facts"], None, int(orphans), time.perf_counter() - t))
     out = run_log(spark, log).withColumn("run_id", F.lit(run_id))
     out.coalesce(1).write.mode("append").parquet(f"{root}/etl_log")
     return out

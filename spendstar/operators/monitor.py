@@ -12,6 +12,7 @@ from ..functions import dates as D
 from ..functions.agg import dec
 from ..params import as_date
 from .dims import calendar
+from .quality import dq_check_violations, orphan_facts
 
 
 def etl_summary(facts: DataFrame) -> DataFrame:
@@ -104,3 +105,33 @@ def dq_alerts(results: Mapping[str, DataFrame], vendor_tolerance: int = 10, rati
     for p in parts[1:]:
         out = out.unionByName(p.select(*cols))
     return out
+
+
+def results_of_profile(T: Mapping[str, DataFrame], of: DataFrame, vendor_tolerance: int = 10, ratio_floor: float = 0.9,
+                       spend_tolerance: float = 1000.0) -> dict[str, DataFrame]:
+    """What ``dq_alerts`` reads, taken from a stored profile (``quality_profile``):
+    no table is read again but the facts' keys, for the orphans."""
+
+    def n(table: str, kind: str, name: str = ""):
+        mine = (F.col("table_name") == table) & (F.col("kind") == kind) & (F.col("name") == name)
+        return F.max(F.when(mine, F.col("n")))
+
+    def amount(table: str):
+        return F.max(F.when((F.col("table_name") == table) & (F.col("kind") == "amount"), F.col("amount")))
+
+    one = of.agg(n("vendors", "count", "is_active").alias("active"), n("dim_vendors", "count", "is_current_record").alias("current"),
+                 n("vendors", "rows").alias("vendors"), n("dim_vendors", "rows").alias("versions"),
+                 n("spend_transactions", "rows").alias("transactions"), n("fact_spend_analytics", "rows").alias("facts"),
+                 amount("spend_transactions").alias("spent"), amount("fact_spend_analytics").alias("booked"))
+    off = F.abs(F.col("spent") - F.col("booked"))
+    ratio = F.when(F.col("transactions") > 0, F.col("facts").cast("double") / F.col("transactions").cast("double")).otherwise(F.lit(0.0))
+    good = (F.abs(F.col("vendors") - F.col("versions")) <= vendor_tolerance) & (ratio > ratio_floor)
+    return {
+        "recon_vendor_count": one.select((F.col("active") - F.col("current")).alias("variance")),
+        "recon_spend_status": one.select(off.cast("double").alias("variance"),
+                                         F.when(off < F.lit(spend_tolerance), "PASS").otherwise("FAIL").alias("status")),
+        "orphan_facts": orphan_facts(T),
+        "consistency_check": one.select(F.when(good, "PASSED").otherwise("WARNING").alias("status"),
+                                        F.round(ratio, 3).alias("transaction_ratio")),
+        "dq_check_violations": dq_check_violations(T, of),
+    }

@@ -15,6 +15,7 @@ from pyspark.sql.types import StructType
 
 from ..functions.agg import dec
 from .dims import calendar
+from .profile import profile
 
 # --------------------------------------------------------------------------
 # CHECK rules of the source DDL, as (table, rule name, SQL
@@ -246,30 +247,53 @@ def _status(T: Mapping[str, DataFrame], table: str, columns: set[str]) -> str:
     return CHECKED if columns <= set(T[table].columns) else NO_COLUMN
 
 
-def _union(parts: Sequence[DataFrame]) -> DataFrame:
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p, allowMissingColumns=True)
-    return out
+def _absent(T: Mapping[str, DataFrame], rows: Sequence[tuple], columns: str, counts: Sequence[str]) -> DataFrame:
+    """Rows of checks that cannot run, with NULL counts."""
+    out = T[next(iter(T))].sparkSession.createDataFrame(list(rows), columns)
+    return out.withColumns({c: F.lit(None).cast("long") for c in counts})
 
 
-def dq_check_violations(T: Mapping[str, DataFrame]) -> DataFrame:
+def declared(T: Mapping[str, DataFrame]) -> tuple[dict, dict]:
+    """The declared checks that can run, as arguments of ``profile``, and the
+    status of those that cannot."""
+    rules, nulls, keys, references, absent = [], [], [], [], {"rules": [], "nulls": [], "keys": [], "references": []}
+    for table, name, sql in CHECK_RULES:
+        state = _status(T, table, _columns_of(sql))
+        rules.append((table, name, sql)) if state == CHECKED else absent["rules"].append((table, name, state))
+    for table, columns in NOT_NULL:
+        state = {c: _status(T, table, {c}) for c in columns}
+        nulls.append((table, [c for c in columns if state[c] == CHECKED]))
+        absent["nulls"] += [(table, c, state[c]) for c in columns if state[c] != CHECKED]
+    for table, key in KEYS:
+        state = _status(T, table, set(key))
+        keys.append((table, key)) if state == CHECKED else absent["keys"].append((table, ",".join(key), state))
+    for c, col, p, pcol in FOREIGN_KEYS:
+        state = _status(T, c, {col}) if _status(T, c, {col}) != CHECKED else _status(T, p, {pcol})
+        references.append((c, col, p, pcol)) if state == CHECKED else absent["references"].append((c, col, p, pcol, state))
+    return {"rules": rules, "nulls": [(t, c) for t, c in nulls if c], "keys": keys, "references": references}, absent
+
+
+def quality_profile(T: Mapping[str, DataFrame]) -> DataFrame:
+    """Everything that Q9, Q10, Q11 and the alerts (M5) count, from one scan
+    of each table; give it to those operators (stored or not)."""
+    return profile(T, **declared(T)[0], totals=ALERT_TOTALS)
+
+
+# What the alerts need beside the rules: (table, rows to count, column to sum).
+ALERT_TOTALS = [("vendors", ["is_active"], None), ("dim_vendors", ["is_current_record"], None),
+                ("spend_transactions", [], "total_amount"), ("fact_spend_analytics", [], "spend_amount")]
+
+
+def dq_check_violations(T: Mapping[str, DataFrame], of: DataFrame | None = None) -> DataFrame:
     """Q9: one row per declared rule: (table_name, rule_name, status,
-    violations). Each table is read once for all its rules. A rule whose table
-    or column is absent has a status that says so and NULL violations."""
-    parts, absent = [], []
-    for table in dict.fromkeys(t for t, _, _ in CHECK_RULES):
-        mine = [(name, sql) for t, name, sql in CHECK_RULES if t == table]
-        state = {name: _status(T, table, _columns_of(sql)) for name, sql in mine}
-        rules = [(name, sql) for name, sql in mine if state[name] == CHECKED]
-        if rules:
-            parts.append(violation_counts(T[table], rules).select(
-                F.lit(table).alias("table_name"), "rule_name", F.lit(CHECKED).alias("status"), "violations"))
-        absent += [(table, name, state[name]) for name, _ in mine if state[name] != CHECKED]
-    spark = T[next(iter(T))].sparkSession
-    gone = spark.createDataFrame(absent, "table_name string, rule_name string, status string") \
-                .withColumn("violations", F.lit(None).cast("long"))
-    return _union([*parts, gone])
+    violations). Each table is read once for all its rules, or not at all with
+    a profile. A rule whose table or column is absent has a status that says so
+    and NULL violations."""
+    can, absent = declared(T)
+    of = profile(T, rules=can["rules"]) if of is None else of
+    ran = of.filter("kind = 'rule'").select("table_name", F.col("name").alias("rule_name"), F.lit(CHECKED).alias("status"),
+                                            F.col("n").alias("violations"))
+    return ran.unionByName(_absent(T, absent["rules"], "table_name string, rule_name string, status string", ["violations"]))
 
 
 def check_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -289,39 +313,28 @@ def check_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
         F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0)).cast("long").alias("duplicate_rows"))
 
 
-def dq_duplicate_keys(T: Mapping[str, DataFrame]) -> DataFrame:
-    """Q10: one row per declared key: (table_name, key_columns, status, counts).
-    Every key is grouped by its own typed columns (``check_keys``); a key whose
-    table or column is absent has a status that says so and NULL counts."""
-    parts, absent = [], []
-    for table, key in KEYS:
-        state, label = _status(T, table, set(key)), ",".join(key)
-        if state == CHECKED:
-            parts.append(check_keys(T[table], key).select(
-                F.lit(table).alias("table_name"), F.lit(label).alias("key_columns"), F.lit(CHECKED).alias("status"), "*"))
-        else:
-            absent.append((table, label, state))
-    spark = T[next(iter(T))].sparkSession
-    return _union([*parts, spark.createDataFrame(absent, "table_name string, key_columns string, status string")])
+def dq_duplicate_keys(T: Mapping[str, DataFrame], of: DataFrame | None = None) -> DataFrame:
+    """Q10: one row per declared key: (table_name, key_columns, status, counts
+    as in ``check_keys``). All keys are grouped in one pass, or read from a
+    profile; a key whose table or column is absent has a status that says so
+    and NULL counts."""
+    can, absent = declared(T)
+    of = profile(T, keys=can["keys"]) if of is None else of
+    counts = {"rows": "row_count", "null_rows": "null_key_rows", "groups": "duplicate_groups", "group_rows": "duplicate_rows"}
+    ran = of.filter(F.col("kind").isin(*counts) & (F.col("name") != "")).groupBy("table_name", F.col("name").alias("key_columns")).agg(
+        F.lit(CHECKED).alias("status"), *[F.max(F.when(F.col("kind") == k, F.col("n"))).alias(c) for k, c in counts.items()])
+    return ran.unionByName(_absent(T, absent["keys"], "table_name string, key_columns string, status string", list(counts.values())))
 
 
-def dq_null_columns(T: Mapping[str, DataFrame]) -> DataFrame:
+def dq_null_columns(T: Mapping[str, DataFrame], of: DataFrame | None = None) -> DataFrame:
     """Q10: one row per declared NOT NULL column (those of the keys are in
     ``dq_duplicate_keys``): (table_name, column_name, status, null_rows). Each
-    table is read once for all its columns."""
-    parts, absent = [], []
-    for table, columns in NOT_NULL:
-        state = {c: _status(T, table, {c}) for c in columns}
-        here = [c for c in columns if state[c] == CHECKED]
-        if here:
-            parts.append(violation_counts(T[table], [(c, f"{c} is not null") for c in here]).select(
-                F.lit(table).alias("table_name"), F.col("rule_name").alias("column_name"),
-                F.lit(CHECKED).alias("status"), F.col("violations").alias("null_rows")))
-        absent += [(table, c, state[c]) for c in columns if state[c] != CHECKED]
-    spark = T[next(iter(T))].sparkSession
-    gone = spark.createDataFrame(absent, "table_name string, column_name string, status string") \
-                .withColumn("null_rows", F.lit(None).cast("long"))
-    return _union([*parts, gone])
+    table is read once for all its columns, or not at all with a profile."""
+    can, absent = declared(T)
+    of = profile(T, nulls=can["nulls"]) if of is None else of
+    ran = of.filter("kind = 'null'").select("table_name", F.col("name").alias("column_name"), F.lit(CHECKED).alias("status"),
+                                            F.col("n").alias("null_rows"))
+    return ran.unionByName(_absent(T, absent["nulls"], "table_name string, column_name string, status string", ["null_rows"]))
 
 
 def check_fk(child: DataFrame, col: str, parent: DataFrame, parent_col: str) -> DataFrame:
@@ -330,38 +343,23 @@ def check_fk(child: DataFrame, col: str, parent: DataFrame, parent_col: str) ->
     return child.filter(F.col(col).isNotNull()).join(keys, col, "left_anti")
 
 
-def dq_fk_violations(T: Mapping[str, DataFrame]) -> DataFrame:
+def dq_fk_violations(T: Mapping[str, DataFrame], of: DataFrame | None = None) -> DataFrame:
     """Q11: one row per declared foreign key: (child_table, child_column,
     parent_table, parent_column, status, violations).
 
-    Each child table is read once: its key columns become (check, key) rows,
-    counted per key value (map-side, so a hot key costs one row per task).
-    The counted keys are anti-joined with the parents' keys and the counts
-    left over are the violations. A key whose table or column is absent has a
+    Every table is read once: its references and the keys that they refer to
+    are grouped together by value, and references to values without a row are
+    the violations (``profile``). A key whose table or column is absent has a
     status that says so and NULL violations."""
-    state = [_status(T, c, {col}) if _status(T, c, {col}) != CHECKED else _status(T, p, {pcol})
-             for c, col, p, pcol in FOREIGN_KEYS]
-    run = [i for i, x in enumerate(state) if x == CHECKED]
-    children, parents = [], []
-    for table in dict.fromkeys(FOREIGN_KEYS[i][0] for i in run):
-        mine = [i for i in run if FOREIGN_KEYS[i][0] == table]
-        pairs = F.array(*[F.struct(F.lit(i).alias("_check"), F.col(FOREIGN_KEYS[i][1]).cast("string").alias("_key"))
-                          for i in mine])
-        rows = T[table].select(F.explode(pairs).alias("_p")).select("_p._check", "_p._key")
-        children.append(rows.filter(F.col("_key").isNotNull()).groupBy("_check", "_key").agg(F.count(F.lit(1)).alias("_n")))
-    for table, col in dict.fromkeys((FOREIGN_KEYS[i][2], FOREIGN_KEYS[i][3]) for i in run):
-        mine = [i for i in run if FOREIGN_KEYS[i][2:] == (table, col)]
-        keys = T[table].select(F.col(col).cast("string").alias("_key")).filter(F.col("_key").isNotNull())
-        parents.append(keys.select(F.explode(F.array(*[F.lit(i) for i in mine])).alias("_check"), "_key"))
-    left = _union(children).join(_union(parents), ["_check", "_key"], "left_anti")
-    bad = left.groupBy("_check").agg(F.sum("_n").alias("violations"))
-    names = T[next(iter(T))].sparkSession.createDataFrame(
-        [(i, *FOREIGN_KEYS[i], state[i]) for i in range(len(FOREIGN_KEYS))],
-        "_check int, child_table string, child_column string, parent_table string, parent_column string, status string")
-    # ``names`` has one row per declared key (a fixed list), ``bad`` at most as many
-    return names.join(bad, "_check", "left").select(
-        "child_table", "child_column", "parent_table", "parent_column", "status",
-        F.when(F.col("status") == CHECKED, F.coalesce("violations", F.lit(0))).cast("long").alias("violations"))
+    can, absent = declared(T)
+    of = profile(T, references=can["references"]) if of is None else of
+    parts = F.split("name", "[>.]")
+    ran = of.filter("kind = 'reference'").select(
+        F.col("table_name").alias("child_table"), F.get(parts, F.lit(0)).alias("child_column"),
+        F.get(parts, F.lit(1)).alias("parent_table"), F.get(parts, F.lit(2)).alias("parent_column"),
+        F.lit(CHECKED).alias("status"), F.col("n").alias("violations"))
+    columns = "child_table string, child_column string, parent_table string, parent_column string, status string"
+    return ran.unionByName(_absent(T, absent["references"], columns, ["violations"]))
 
 
 def po_line_amount_violations(po_lines: DataFrame, tolerance: float = 0.01) -> DataFrame:

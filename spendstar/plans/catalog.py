@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from ..params import AS_OF, FISCAL_YEAR, time_key_of
 from ..operators import asof, dims, facts, monitor, quality, reports, risk, scd2, views
+from ..operators.profile import profile
+from ..session import ensure_checkpoint_dir
 from ..sources import io
 from ..streaming.fact_stream import streamed_backlog
 from ..streaming.vendor_cdc import streamed_dimension
@@ -57,13 +59,10 @@ def _closed(T: Tables) -> DataFrame:
 
 
 def _alerts(T: Tables) -> DataFrame:
-    return monitor.dq_alerts({
-        "recon_vendor_count": quality.recon_vendors(T),
-        "recon_spend_status": quality.recon_spend_status(T),
-        "orphan_facts": quality.orphan_facts(T),
-        "consistency_check": quality.check_consistency(T),
-        "dq_check_violations": quality.dq_check_violations(T),
-    })
+    # rules and totals in one scan of each table; the profile is a few rows, stored for its several uses
+    of = profile(T, rules=quality.declared(T)[0]["rules"], totals=quality.ALERT_TOTALS)
+    ensure_checkpoint_dir(of.sparkSession)
+    return monitor.dq_alerts(monitor.results_of_profile(T, of.checkpoint(eager=True)))
 
 
 PLANS: dict[str, Callable[[Tables], DataFrame]] = {
@@ -113,6 +112,7 @@ PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     "health_check": quality.health_check,
     "dq_check_violations": quality.dq_check_violations,
     "dq_duplicate_keys": quality.dq_duplicate_keys,
+    "dq_null_columns": quality.dq_null_columns,
     "dq_fk_violations": quality.dq_fk_violations,
     "dq_po_line_amount": lambda T: quality.po_line_amount_violations(T["po_line_items"], 0.01),
     "etl_summary": lambda T: monitor.etl_summary(T["fact_spend_analytics"]),

@@ -71,6 +71,107 @@ def test_first_load_into_an_empty_star_keeps_every_fact_on_its_own_rows(spark, T
     assert star["fact_supplier_performance"].count() > 0
 
 
+def _started(spark, T001, scratch):
+    op_root, an_root = os.path.join(scratch, "op"), os.path.join(scratch, "an")
+    for name in OPERATIONAL_TABLES:
+        T001[name].write.parquet(os.path.join(op_root, name))
+    io.publish({n: io.conform(T001[n], schemas.STAR[n]) for n in
+                ("dim_vendors", "dim_commodities", "dim_time", "fact_spend_analytics")}, an_root, run_id="initial")
+    return op_root, an_root
+
+
+def test_stops_between_the_steps_and_reruns_of_the_same_run(spark, T001, scratch, monkeypatch):
+    """One run, stopped before its facts' ids, between ids and facts, before the summaries and before the log; no
+    attempt reads the facts to find what is loaded."""
+    import pytest
+
+    from spendstar import etl
+    op_root, an_root = _started(spark, T001, scratch)
+    before = {r[0] for r in io.read_table(spark, an_root, "fact_spend_analytics").select("fact_key").collect()}
+    plans, real_new = [], etl.fact_spend_new
+
+    def watched(*a, **k):
+        out = real_new(*a, **k)
+        plans.append(out._jdf.queryExecution().executedPlan().toString())
+        return out
+
+    monkeypatch.setattr(etl, "fact_spend_new", watched)
+    real = {n: getattr(etl, n) for n in ("add_ids", "run_log")} | {"publish": io.publish}
+
+    def stop_when(which):
+        def make(name):
+            def call(*a, **k):
+                if name == which[0] and which[1](*a, **k):
+                    raise RuntimeError("stopped")
+                return real[name](*a, **k)
+            return call
+        for n in ("add_ids", "run_log"):
+            monkeypatch.setattr(etl, n, make(n))
+        monkeypatch.setattr(io, "publish", make("publish"))
+
+    stops = [("add_ids", lambda *a, **k: a[3] == "vr1"), ("publish", lambda out, *a, **k: "fact_spend_analytics" in out),
+             ("publish", lambda out, *a, **k: "fact_savings_realization" in out), ("run_log", lambda *a: True)]
+    for which in stops:
+        stop_when(which)
+        with pytest.raises(RuntimeError, match="stopped"):
+            daily_load(spark, op_root, an_root, dt.date(2023, 11, 5), run_id="r1")
+        now = io.read_table(spark, an_root, "fact_spend_analytics")
+        assert (now.count() == len(before)) == (which in stops[:2])
+    stop_when(("none", None))
+    daily_load(spark, op_root, an_root, dt.date(2023, 11, 5), run_id="r1")
+    facts = io.read_table(spark, an_root, "fact_spend_analytics")
+    dims = [io.read_table(spark, an_root, n) for n in ("dim_vendors", "dim_commodities", "dim_time")]
+    from spendstar.operators.facts import fact_spend_new
+    whole = fact_spend_new(T001["spend_transactions"], *dims, T001["fact_spend_analytics"], dt.date(2023, 11, 5))
+    want = sorted([r[0] for r in whole.select("fact_key").collect()]
+                  + [r[0] for r in T001["fact_spend_analytics"].select("fact_key").collect()])
+    repeated = {r[0] for r in T001["spend_transactions"].groupBy("transaction_id").count().filter("count > 1").collect()}
+    have = sorted(r[0] for r in facts.select("fact_key").collect())
+    once = [k for k in have if k not in repeated]
+    assert once == [k for k in want if k not in repeated] and set(have) == set(want) and len(want) > len(before)
+    assert len(plans) == 3 and all("load_run" in p and "spend_amount:" not in p for p in plans)
+    vendors = dims[0]
+    assert vendors.count() == vendors.select("vendor_key").distinct().count()
+    # another run finds nothing new, also for transactions that were dated anew meanwhile
+    moved = spark.read.parquet(os.path.join(op_root, "spend_transactions")).withColumn(
+        "transaction_date", F.lit("2023-11-04").cast("date"))
+    moved.write.parquet(os.path.join(scratch, "moved"))
+    spark.read.parquet(os.path.join(scratch, "moved")).write.mode("overwrite").parquet(os.path.join(op_root, "spend_transactions"))
+    daily_load(spark, op_root, an_root, dt.date(2023, 11, 5), run_id="r2", incremental_days=7, quarantine=True)
+    late = [r[0] for r in io.read_table(spark, an_root, "fact_spend_analytics").select("fact_key").collect()]
+    assert sorted(k for k in late if k in set(have)) == have      # none of them once more
+
+
+def test_quarantine_and_observed_counts(spark, T001, scratch):
+    import pytest
+
+    from spendstar.etl import LoadRejected
+    op_root, an_root = _started(spark, T001, scratch)
+    spend = spark.read.parquet(os.path.join(op_root, "spend_transactions"))
+    bad = spend.withColumn("total_amount", F.when(F.col("transaction_id") % 10 == 7, -F.col("total_amount")).otherwise(F.col("total_amount")))
+    bad.write.parquet(os.path.join(scratch, "bad"))
+    spark.read.parquet(os.path.join(scratch, "bad")).write.mode("overwrite").parquet(os.path.join(op_root, "spend_transactions"))
+    before = io.read_table(spark, an_root, "fact_spend_analytics").count()
+    with pytest.raises(LoadRejected):
+        daily_load(spark, op_root, an_root, dt.date(2023, 11, 5), run_id="a")
+    assert io.read_table(spark, an_root, "fact_spend_analytics").count() == before
+    log = {r["stage"]: r for r in daily_load(spark, op_root, an_root, dt.date(2023, 11, 5), run_id="b", quarantine=True).collect()}
+    facts, held = io.read_table(spark, an_root, "fact_spend_analytics"), spark.read.parquet(*io.table_paths(spark, an_root, "fact_spend_quarantine"))
+    f = log["facts"]
+    assert f["rows_inserted"] == facts.count() - before > 0 and f["rows_rejected"] == held.count() > 0
+    assert f["rows_in"] == f["rows_inserted"] + f["rows_rejected"] and f["dq_pass_rate"] == f["rows_inserted"] / f["rows_in"]
+    assert held.filter("spend_amount >= 0").isEmpty() and held.filter("not array_contains(failed_rules, 'spend_amount_non_negative')").isEmpty()
+    assert facts.filter("spend_amount < 0").isEmpty()
+    dims = sum(io.read_table(spark, an_root, n).count() for n in
+               ("dim_vendors", "dim_commodities", "dim_time", "dim_contracts", "dim_business_units"))
+    assert log["dimensions"]["rows_in"] == 0 or log["dimensions"]["rows_in"] == dims
+    # corrected at the source, the held transactions are loaded
+    T001["spend_transactions"].write.mode("overwrite").parquet(os.path.join(op_root, "spend_transactions"))
+    n, loaded = held.count(), facts.count()
+    daily_load(spark, op_root, an_root, dt.date(2023, 11, 5), run_id="c", quarantine=True)
+    assert io.read_table(spark, an_root, "fact_spend_analytics").count() == loaded + n
+
+
 def test_cli_health_check_and_reports(spark, T001, scratch, capsys):
     from spendstar.__main__ import main
     op_root, an_root = os.path.join(scratch, "op"), os.path.join(scratch, "an")
