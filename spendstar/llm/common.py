@@ -62,6 +62,12 @@ def _memory():
         return None
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove an intermediate folder of an operator, once everything read from it is stored."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 _trimmed = [0.0]
 
 

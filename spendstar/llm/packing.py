@@ -46,7 +46,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .buffers import BYTE_LOWER, runs, span_hashes, text_array, words
-from .common import cut, lean, lean_group, shared_folder, ship
+from .common import discard, lean, lean_group, shared_folder, ship
 
 WINDOW = 2048
 END = 1
@@ -398,7 +398,7 @@ def places(rows: DataFrame, table: DataFrame, head, low: int, cap: int, path: st
     of fewer than ``low`` documents. ``table``: (word, df), ``head``: broadcast
     statistics of the words of ``low`` documents or more; ``path``: for what is
     read from the texts."""
-    item = "array<struct<minus: double, word: long, df: long>>"
+    item = "array<struct<minus: float, word: long, df: int>>"
 
     def run(batches):
         for batch in batches:
@@ -416,10 +416,11 @@ def places(rows: DataFrame, table: DataFrame, head, low: int, cap: int, path: st
                 nth = np.arange(len(order)) - np.repeat(np.cumsum(own) - own, own)
                 top = order[nth < PLACE_WORDS]
                 at = known[top]
-                cand.append((np.minimum(own, PLACE_WORDS), -weight[top], word[at], df[at]))
+                cand.append((np.minimum(own, PLACE_WORDS), -weight[top].astype(np.float32), word[at],
+                             np.minimum(df[at], 2**31 - 1).astype(np.int32)))
                 new = np.flatnonzero(df == 1) if low > 2 else np.zeros(0, np.int64)
                 new = new[np.argsort(doc[new], kind="stable")]
-                rare.append((np.bincount(doc[new], minlength=b - a), part[new], word[new]))
+                rare.append((np.bincount(doc[new], minlength=b - a), part[new].astype(np.float32), word[new]))
 
             def lists(parts, names):
                 size, *columns = [np.concatenate(x) for x in zip(*parts, strict=True)]
@@ -433,7 +434,7 @@ def places(rows: DataFrame, table: DataFrame, head, low: int, cap: int, path: st
 
     # read once: stored for the two uses
     rows.select("id", "text", (F.octet_length("text") + 16).cast("long").alias("bytes")).mapInArrow(
-        lean(run), f"id long, bytes long, cand {item}, rare array<struct<part: double, word: long>>").write.parquet(path)
+        lean(run), f"id long, bytes long, cand {item}, rare array<struct<part: float, word: long>>").write.parquet(path)
     read = rows.sparkSession.read.parquet(path)
     # of rows with one id one chooses the place
     own = read.groupBy("id").agg(F.sum("bytes").alias("bytes"), F.max("cand").alias("cand"))
@@ -443,7 +444,8 @@ def places(rows: DataFrame, table: DataFrame, head, low: int, cap: int, path: st
         minus = -F.log1p((F.lit(float(n)) - F.col("df") + 0.5) / (F.col("df") + 0.5)) * F.col("part")
         found = read.select("id", F.explode("rare").alias("r")).select("id", "r.word", "r.part") \
                     .join(few.hint("shuffle_hash"), "word").groupBy("id", "word") \
-                    .agg(F.struct(F.min(minus).alias("minus"), F.col("word"), F.max("df").alias("df")).alias("r")) \
+                    .agg(F.struct(F.min(minus).cast("float").alias("minus"), F.col("word"), F.max("df").cast("int").alias("df"))
+                         .alias("r")) \
                     .groupBy(F.col("id").alias("__id")).agg(F.sort_array(F.collect_list("r")).alias("rare"))
         own = own.join(found, F.col("id").eqNullSafe(F.col("__id")), "left").drop("__id")
     else:
@@ -487,7 +489,9 @@ def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, end: int = END,
     value = common.column("word").to_numpy().view(np.uint64)
     by = np.argsort(value)
     head = spark.sparkContext.broadcast(Statistics(n, n_words / max(n, 1), value[by], common.column("df").to_numpy()[by]))
-    place = cut(places(rows, table, head, low, max(2, n * shard_bytes // max(total, 1)), f"{folder}/read"))
+    places(rows, table, head, low, max(2, n * shard_bytes // max(total, 1)), f"{folder}/read").write.parquet(f"{folder}/places")
+    place = spark.read.parquet(f"{folder}/places")
+    discard(spark, f"{folder}/read")
 
     buckets = max(1, -(-total // shard_bytes))
     # at most ``buckets`` leads are that large; how they are joined is left to their measured size
