@@ -2,6 +2,50 @@
 
 WORD = r"[^\x20\x09-\x0D]+"
 
+OP1 = r"""
+with recursive word as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') as w from documents),
+shingle as (
+  select distinct doc_id, case when len(w) >= 5 then list_slice(w, i, i + 4) else w end as s
+  from word, lateral (select unnest(range(1, greatest(len(w) - 3, 2))) as i) where len(w) > 0),
+size as (select doc_id, count(*)::bigint as n from shingle group by doc_id),
+common as (
+  select a.doc_id as x, b.doc_id as y, count(*) as k from shingle a join shingle b on a.s = b.s and a.doc_id < b.doc_id group by x, y),
+link as (
+  select x, y from common join size p on p.doc_id = x join size q on q.doc_id = y where 100 * k >= 85 * (p.n + q.n - k)),
+arc as (select x, y from link union all select y, x from link),
+reach(doc_id, other) as (
+  select doc_id, doc_id from documents
+  union
+  select r.doc_id, b.y from reach r join arc b on b.x = r.other),
+component as (select doc_id, min(other) as component_id from reach group by doc_id)
+select doc_id, coalesce(n, 0)::bigint as n_shingles, component_id, doc_id = component_id as kept
+from documents left join size using (doc_id) left join component using (doc_id)
+"""
+
+OP9 = r"""
+with raw as (select doc_id, hex(encode(coalesce(text, ''))) as h, strlen(coalesce(text, '')) as n from documents),
+start as (
+  select doc_id, k, md5_number(substr(h, (2 * k + 1)::int, 800)) as m
+  from raw, lateral (select unnest(range(0, n - 399)) as k) where n >= 400),
+hit as (select doc_id, k from start where m in (select m from start group by m having count(*) > 1)),
+edge as (
+  select doc_id, k, case when k > coalesce(lag(k) over (partition by doc_id order by k) + 400, -1) then 1 else 0 end as fresh from hit),
+run as (select doc_id, k, sum(fresh) over (partition by doc_id order by k rows unbounded preceding) as r from edge),
+span as (select doc_id, r, min(k) as a, max(k) + 400 as b from run group by doc_id, r),
+gap as (   -- what is left before each span, and after the last one
+  select doc_id, a, coalesce(lag(b) over (partition by doc_id order by a), 0) as z from span),
+kept as (
+  select doc_id, string_agg(substr(h, (2 * z + 1)::int, (2 * (a - z))::int), '' order by a) as t
+  from (select doc_id, a, z from gap
+        union all select r.doc_id, r.n, coalesce(max(s.b), 0) from raw r left join span s on s.doc_id = r.doc_id group by r.doc_id, r.n) p
+  join raw using (doc_id) group by doc_id)
+select raw.doc_id, n::bigint as n_bytes, coalesce((select sum(b - a) from span s where s.doc_id = raw.doc_id), 0)::bigint as n_removed,
+  (select count(*) from span s where s.doc_id = raw.doc_id)::bigint as n_spans, sha256(unhex(t)) as kept_sha256
+from raw join kept using (doc_id)
+"""
+
 OP3 = r"""
 with sized as (
   select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint as size from documents),
@@ -141,5 +185,5 @@ select part, filter_order, step, kept, removed, redundant, unique_fails, good_lo
 from counted
 """
 
-SQL = {"op3_systematic_mix": OP3, "op4_line_dedup": OP4, "op7_ball_tree": OP7,
+SQL = {"op1_hyperminhash": OP1, "op9_sparse_suffixes": OP9, "op3_systematic_mix": OP3, "op4_line_dedup": OP4, "op7_ball_tree": OP7,
        "op12_block_max_search": OP12, "op13_filter_audit": OP13}
