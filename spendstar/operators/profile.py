@@ -39,21 +39,19 @@ class _Plan:
     def domain(self, name: tuple) -> int:
         return self.domains.setdefault(name, len(self.domains))
 
-    def entry(self, table: str, domain: int, slot: int, key, mask, amount=None) -> None:
-        self.entries.setdefault(table, []).append(F.struct(
-            F.lit(domain).alias("domain"), F.lit(slot).alias("slot"), key.cast("string").alias("key"),
-            mask.cast("long").alias("mask"),
-            (F.lit(None) if amount is None else F.col(amount)).cast("decimal(18,2)").alias("amount")))
+    def entry(self, table: str, domain: int, slot: int, key: str, mask: str, amount: str | None = None) -> None:
+        """Entries are SQL text: one expression per table, however many checks it has."""
+        self.entries.setdefault(table, []).append(
+            f"named_struct('domain', {domain}, 'slot', {slot}, 'key', cast({key} as string), 'mask', cast({mask} as bigint), "
+            f"'amount', cast({amount or 'null'} as decimal(18,2)))")
 
     def masks(self, table: str, measures: Sequence[tuple[str, str, str]], amount: str | None = None) -> None:
         """Count rows by measures (kind, name, SQL predicate); ``amount``: a column to sum."""
         for at in range(0, max(len(measures), 1), BITS):
             part, domain = measures[at:at + BITS], self.domain((table, "mask", at))
-            mask = F.lit(0).cast("long")
-            for i, (kind, name, sql) in enumerate(part):
-                mask = mask + F.when(F.coalesce(F.expr(sql), F.lit(False)), F.lit(1 << i)).otherwise(F.lit(0)).cast("long")
-                self.checks.append((domain, f"b{i}", table, kind, name))
-            self.entry(table, domain, 0, F.lit(None), mask, amount if at == 0 else None)
+            bits = [f"if(coalesce({sql}, false), {1 << i}L, 0L)" for i, (_, _, sql) in enumerate(part)]
+            self.checks += [(domain, f"b{i}", table, kind, name) for i, (kind, name, _) in enumerate(part)]
+            self.entry(table, domain, 0, "null", " + ".join(bits) or "0", amount if at == 0 else None)
             if at == 0:
                 self.checks += [(domain, "rows", table, "rows", ""), (domain, "amount", table, "amount", amount or "")]
 
@@ -64,8 +62,9 @@ class _Plan:
         domain = self.domain(name)
         if not known:
             # NULLs are values here: a mark in front tells them from any text
-            parts = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-")) for c in key]
-            self.entry(table, domain, 0, F.concat_ws("\x1f", *parts), F.greatest(*[F.col(c).isNull().cast("long") for c in key], F.lit(0)))
+            parts = [f"coalesce(concat('=', cast({c} as string)), '-')" for c in key]
+            self.entry(table, domain, 0, f"concat_ws('\x1f', {', '.join(parts)})",
+                       f"({' or '.join(f'{c} is null' for c in key)})")
         if report:
             self.checks += [(domain, c, table, c, ",".join(key)) for c in ("rows", "null_rows", "groups", "group_rows")]
         return domain
@@ -73,8 +72,7 @@ class _Plan:
     def reference(self, table: str, column: str, parent: str, parent_column: str) -> None:
         domain = self.key(parent, (parent_column,), False)
         slot = self.slots[domain] = self.slots.get(domain, 0) + 1
-        key = F.when(F.col(column).isNotNull(), F.concat(F.lit("="), F.col(column).cast("string")))
-        self.entry(table, domain, slot, key, F.when(F.col(column).isNotNull(), F.lit(0)))
+        self.entry(table, domain, slot, f"concat('=', cast({column} as string))", f"if({column} is null, null, 0)")
         self.checks.append((domain, f"lost{slot}", table, "reference", f"{column}>{parent}.{parent_column}"))
 
 
@@ -105,23 +103,20 @@ def profile(T: Mapping[str, DataFrame], rules: Iterable = (), nulls: Iterable =
     slots = max(plan.slots.values(), default=0)
     rows = None
     for table, structs in plan.entries.items():
-        one = T[table].select(F.explode(F.array(*structs)).alias("e")).select("e.*").filter("slot = 0 or key is not null")
+        one = T[table].selectExpr(f"explode(array({', '.join(structs)})) as e").selectExpr("e.*").filter("slot = 0 or key is not null")
         rows = one if rows is None else rows.unionByName(one)
     grouped = rows.groupBy("domain", "key", "mask").agg(
-        *[F.count(F.when(F.col("slot") == s, 1)).alias(f"n{s}") for s in range(slots + 1)], F.sum("amount").alias("amount"))
+        *[F.expr(f"count_if(slot = {k})").alias(f"n{k}") for k in range(slots + 1)], F.sum("amount").alias("amount"))
     # only the columns that some check reads
     used = {column for _, column, *_ in plan.checks}
-    there, many = F.col("n0") > 0, F.col("n0") > 1
-    could = {"rows": F.sum("n0"), "null_rows": F.sum(F.when(F.col("mask") > 0, F.col("n0"))), "groups": F.count(F.when(many, 1)),
-             "group_rows": F.sum(F.when(many, F.col("n0"))),
-             **{f"b{i}": F.sum(F.when(F.col("mask").bitwiseAND(F.lit(1 << i)) != 0, F.col("n0"))) for i in range(BITS)},
-             **{f"lost{s}": F.sum(F.when(~there, F.col(f"n{s}"))) for s in range(1, slots + 1)}}
-    wide = grouped.groupBy("domain").agg(F.sum("amount").alias("amount"), *[c.alias(k) for k, c in could.items() if k in used])
-    names = [c for c in wide.columns if c not in ("domain", "amount")]
-    long = wide.select("domain", F.explode(F.array(
-        *[F.struct(F.lit(c).alias("column"), F.col(c).cast("long").alias("n"), F.lit(None).cast("decimal(28,2)").alias("amount")) for c in names],
-        F.struct(F.lit("amount").alias("column"), F.lit(None).cast("long").alias("n"), F.col("amount").cast("decimal(28,2)").alias("amount"))
-    )).alias("c")).select("domain", "c.*")
+    could = {"rows": "sum(n0)", "null_rows": "sum(if(mask > 0, n0, 0))", "groups": "count_if(n0 > 1)",
+             "group_rows": "sum(if(n0 > 1, n0, 0))", **{f"b{i}": f"sum(if(mask & {1 << i}L <> 0, n0, 0))" for i in range(BITS)},
+             **{f"lost{k}": f"sum(if(n0 = 0, n{k}, 0))" for k in range(1, slots + 1)}}
+    sums = {k: sql for k, sql in could.items() if k in used}
+    wide = grouped.groupBy("domain").agg(F.sum("amount").alias("amount"), *[F.expr(sql).alias(k) for k, sql in sums.items()])
+    cells = [f"named_struct('column', '{k}', 'n', cast({k} as bigint), 'amount', cast(null as decimal(28,2)))" for k in sums]
+    cells.append("named_struct('column', 'amount', 'n', cast(null as bigint), 'amount', cast(amount as decimal(28,2)))")
+    long = wide.selectExpr("domain", f"explode(array({', '.join(cells)})) as c").selectExpr("domain", "c.*")
     spark = T[next(iter(T))].sparkSession
     checks = spark.createDataFrame(plan.checks, "domain int, column string, table_name string, kind string, name string")
     # ``checks`` is the list of declared checks; ``long`` has one row per check and unused column

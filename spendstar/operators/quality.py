@@ -241,12 +241,6 @@ def violation_counts(df: DataFrame, rules: Sequence[tuple[str, str]]) -> DataFra
 CHECKED, NO_TABLE, NO_COLUMN = "CHECKED", "TABLE_MISSING", "COLUMN_MISSING"
 
 
-def _status(T: Mapping[str, DataFrame], table: str, columns: set[str]) -> str:
-    if table not in T:
-        return NO_TABLE
-    return CHECKED if columns <= set(T[table].columns) else NO_COLUMN
-
-
 def _absent(T: Mapping[str, DataFrame], rows: Sequence[tuple], columns: str, counts: Sequence[str]) -> DataFrame:
     """Rows of checks that cannot run, with NULL counts."""
     out = T[next(iter(T))].sparkSession.createDataFrame(list(rows), columns)
@@ -257,18 +251,23 @@ def declared(T: Mapping[str, DataFrame]) -> tuple[dict, dict]:
     """The declared checks that can run, as arguments of ``profile``, and the
     status of those that cannot."""
     rules, nulls, keys, references, absent = [], [], [], [], {"rules": [], "nulls": [], "keys": [], "references": []}
+    have = {t: set(T[t].columns) for t in T}
+
+    def status(table, columns):
+        return NO_TABLE if table not in have else CHECKED if columns <= have[table] else NO_COLUMN
+
     for table, name, sql in CHECK_RULES:
-        state = _status(T, table, _columns_of(sql))
+        state = status(table, _columns_of(sql))
         rules.append((table, name, sql)) if state == CHECKED else absent["rules"].append((table, name, state))
     for table, columns in NOT_NULL:
-        state = {c: _status(T, table, {c}) for c in columns}
+        state = {c: status(table, {c}) for c in columns}
         nulls.append((table, [c for c in columns if state[c] == CHECKED]))
         absent["nulls"] += [(table, c, state[c]) for c in columns if state[c] != CHECKED]
     for table, key in KEYS:
-        state = _status(T, table, set(key))
+        state = status(table, set(key))
         keys.append((table, key)) if state == CHECKED else absent["keys"].append((table, ",".join(key), state))
     for c, col, p, pcol in FOREIGN_KEYS:
-        state = _status(T, c, {col}) if _status(T, c, {col}) != CHECKED else _status(T, p, {pcol})
+        state = status(c, {col}) if status(c, {col}) != CHECKED else status(p, {pcol})
         references.append((c, col, p, pcol)) if state == CHECKED else absent["references"].append((c, col, p, pcol, state))
     return {"rules": rules, "nulls": [(t, c) for t, c in nulls if c], "keys": keys, "references": references}, absent
 
