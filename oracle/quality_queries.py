@@ -152,11 +152,13 @@ select 'Vendor Count Check' as check_name, operational_count, analytics_count, o
 from (select (select count(*) from vendors where is_active) as operational_count,
              (select count(*) from dim_vendors where is_current_record) as analytics_count) counts"""
 
-SPEND_STATUS = f"""
-select 'Spend Reconciliation' as validation, cast(abs(op.s - an.s) as double) as variance,
-  case when abs(op.s - an.s) < 1000 then 'PASS' else 'FAIL' end as status
-from (select sum(cast(total_amount as decimal(18,2))) as s from spend_transactions) op
-cross join (select sum(cast(spend_amount as decimal(18,2))) as s from fact_spend_analytics) an"""
+SPEND_STATUS = """
+with gap as (
+  select abs(sum(money)) as off from (
+    select cast(total_amount as decimal(18,2)) as money from spend_transactions
+    union all
+    select -cast(spend_amount as decimal(18,2)) from fact_spend_analytics) entries)
+select 'Spend Reconciliation' as validation, cast(off as double) as variance, if(off < 1000, 'PASS', 'FAIL') as status from gap"""
 
 ORPHANS = """
 select 'Orphaned Fact Records' as check_name, (select count(*) from fact_spend_analytics) - (
@@ -197,12 +199,14 @@ select vendor_key, vendor_id, effective_start_date, effective_end_date, is_curre
 where effective_end_date = cast({AS_OF} - interval 1 day as date) and not is_current_record""",
     "recon_vendor_count": RECON_VENDORS,
     "recon_spend_amount": """
-select 'Spend Amount Check' as check_name, cast(op.s as double) as operational_spend, cast(an.s as double) as analytics_spend,
-  cast(op.s - an.s as double) as variance,
-  round((cast(an.s as double) / nullif(cast(op.s as double), 0)) * 100.0, 2) as coverage_percentage
-from (select sum(cast(total_amount as decimal(18,2))) as s from spend_transactions
-      where transaction_date >= date '2009-01-01') op
-cross join (select sum(cast(spend_amount as decimal(18,2))) as s from fact_spend_analytics) an""",
+with side as (
+  select 'op' as who, cast(total_amount as decimal(18,2)) as money from spend_transactions where transaction_date >= date '2009-01-01'
+  union all
+  select 'an', cast(spend_amount as decimal(18,2)) from fact_spend_analytics),
+both_sides as (select sum(money) filter (where who = 'op') as op, sum(money) filter (where who = 'an') as an from side)
+select 'Spend Amount Check' as check_name, cast(op as double) as operational_spend, cast(an as double) as analytics_spend,
+  cast(op - an as double) as variance, round((cast(an as double) / nullif(cast(op as double), 0)) * 100.0, 2) as coverage_percentage
+from both_sides""",
     "recon_spend_status": SPEND_STATUS,
     "recon_txn_by_fy": """
 with n as (

@@ -104,8 +104,35 @@ def load_dimensions(spark: SparkSession, op, root: str, day, run_id: str) -> dic
     return {n: watch.get["rows"] for n, (_, watch) in seen.items()}
 
 
+def build_summaries(spark: SparkSession, op, root: str, star, facts: DataFrame, day, run_id: str, rebuild: bool) -> int:
+    """F4 and F5 from the stored facts; rows written. The savings are kept by
+    fiscal year: only the years that the run's own facts fall into are computed
+    and written, the others stay in their files. ``rebuild`` (or a table that
+    is not kept by year yet) computes every year."""
+    name, run = "fact_savings_realization", f"{run_id}-summary"
+    metrics, seen = observed(_conform(fact_supplier_performance(op["performance_metrics"], star["dim_vendors"], star["dim_time"], day),
+                                      "fact_supplier_performance"), f"performance-{uuid.uuid4().hex[:8]}")
+    done = f"v{run}" in io.table_versions(spark, root, "fact_supplier_performance")
+    io.publish({"fact_supplier_performance": metrics}, root, run_id=run)
+    rows = 0 if done else seen.get["rows"]
+    by_year = [v for v in io.table_versions(spark, root, name) if "/part=" in v]
+    years = None
+    if by_year and not rebuild:
+        own = spark.read.schema(schemas.STAR[FACTS]).parquet(f"{root}/{FACTS}/v{run_id}")
+        years = sorted(r[0] for r in own.select("time_key").distinct().join(star["dim_time"].select("time_key", "fiscal_year"), "time_key")
+                       .select("fiscal_year").distinct().collect())
+        if not years:
+            return rows
+    savings, seen = observed(_conform(fact_savings_realization(facts, star["dim_commodities"], star["dim_time"],
+                                                               op["savings_targets"], day, years), name),
+                             f"savings-{uuid.uuid4().hex[:8]}")
+    io.publish_parts(savings, root, name, "fiscal_year", years, run)
+    return rows + seen.get["rows"]
+
+
 def daily_load(spark: SparkSession, operational_root: str, analytics_root: str, as_of,
-               incremental_days: int | None = None, run_id: str | None = None, quarantine: bool = False) -> DataFrame:
+               incremental_days: int | None = None, run_id: str | None = None, quarantine: bool = False,
+               rebuild_summaries: bool = False) -> DataFrame:
     """Run one load for day ``as_of``; returns the run's log (M4), which is
     also appended to ``etl_log``. ``incremental_days`` restricts facts to
     transactions dated in the last N days (F2); the default loads the whole
@@ -114,6 +141,9 @@ def daily_load(spark: SparkSession, operational_root: str, analytics_root: str,
     rules they fail, and the others are loaded. Their transactions are not
     marked as loaded, so a later load tries them again.
 
+    Savings are computed for the fiscal years that the new facts fall into;
+    ``rebuild_summaries`` computes all (after changed targets or commodities).
+
     The log's counts are observed by the writes themselves: no step reads a
     table again to count it. A step that an earlier attempt of the run has
     published counts 0."""
@@ -156,13 +186,7 @@ def daily_load(spark: SparkSession, operational_root: str, analytics_root: str,
 
     t = time.perf_counter()
     facts = io.read_table(spark, root, "fact_spend_analytics")
-    summaries = {
-        "fact_supplier_performance": fact_supplier_performance(op["performance_metrics"], star["dim_vendors"], star["dim_time"], day),
-        "fact_savings_realization": fact_savings_realization(facts, star["dim_commodities"], star["dim_time"], op["savings_targets"], day)}
-    seen = {k: observed(_conform(df, k), f"{k}-{uuid.uuid4().hex[:8]}") for k, df in summaries.items()}
-    done = all(f"v{run_id}-summary" in io.table_versions(spark, root, k) for k in seen)
-    io.publish({k: df for k, (df, _) in seen.items()}, root, run_id=f"{run_id}-summary")
-    rows = 0 if done else sum(watch.get["rows"] for _, watch in seen.values())
+    rows = build_summaries(spark, op, root, star, facts, day, run_id, rebuild_summaries)
     log.append(("summary_facts", rows, rows, 0, time.perf_counter() - t))
 
     t = time.perf_counter()

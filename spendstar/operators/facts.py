@@ -11,13 +11,14 @@ predicate stays pushable to the Parquet scan.
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dates as D
 from ..functions.agg import dec, real
-from ..params import as_date
+from ..params import as_date, fiscal_year_time_keys
 from ..session import ensure_checkpoint_dir
 from ..sources.loaded_ids import find_loaded
 from .dims import calendar
@@ -128,8 +129,9 @@ TARGET_TYPE_COLUMNS = [("Hard Savings", "hard_savings_amount"), ("Soft Savings",
 
 
 def fact_savings_realization(facts: DataFrame, dim_commodities: DataFrame, dim_time: DataFrame,
-                             targets: DataFrame, as_of) -> DataFrame:
-    """per fiscal year x commodity x vendor with a savings target.
+                             targets: DataFrame, as_of, years: Sequence[int] | None = None) -> DataFrame:
+    """per fiscal year x commodity x vendor with a savings target; with
+    ``years`` for these fiscal years only, read from their days' facts.
 
     realized = the vendor's savings on the commodity that year; forecast =
     the commodity's target for the year x the vendor's share of the
@@ -139,6 +141,11 @@ def fact_savings_realization(facts: DataFrame, dim_commodities: DataFrame, dim_t
     of the fiscal year. Commodity totals are a separate aggregate joined back
     (no window over a commodity's vendors).
     """
+    if years is not None:
+        ranges = F.lit(False)
+        for a, b in map(fiscal_year_time_keys, years):
+            ranges = ranges | F.col("time_key").between(a, b)
+        facts, targets = facts.filter(ranges), targets.filter(F.col("fiscal_year").isin(list(years)))
     days = calendar(dim_time, "time_key", "fiscal_year")
     dc = dim_commodities.select("commodity_key", "commodity_id")
     vc = (facts.join(days, "time_key")

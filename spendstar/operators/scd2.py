@@ -105,9 +105,17 @@ def scd2_apply(dim: DataFrame, vendors: DataFrame, profiles: DataFrame, as_of, n
     return out
 
 
-def scd2_closed_rows(dim: DataFrame, vendors: DataFrame, profiles: DataFrame, as_of) -> DataFrame:
-    """The versions closed by today's run (the rows D5 updates)."""
-    day = as_date(as_of) - _dt.timedelta(days=1)
-    nxt = scd2_apply(dim, vendors, profiles, as_of)
-    return (nxt.filter((F.col("effective_end_date") == F.lit(day)) & ~F.col("is_current_record"))
-               .select("vendor_key", "vendor_id", "effective_start_date", "effective_end_date", "is_current_record"))
+def scd2_closed_rows(dim: DataFrame, vendors: DataFrame, profiles: DataFrame, as_of, null_safe: bool = False) -> DataFrame:
+    """The versions closed by today's run, from the vendors that get a new
+    version (D4) or have one of today; the next snapshot and its surrogate keys
+    are not built for it (new vendors have nothing to close)."""
+    day = as_date(as_of)
+    today, before = D.lit_date(day), F.lit(day - _dt.timedelta(days=1))
+    cols = ["vendor_key", "vendor_id", "effective_start_date", "effective_end_date", "is_current_record"]
+    changed = scd2_changes(vendors, profiles, dim, as_of, null_safe).select("vendor_id").unionByName(
+        dim.filter((F.col("effective_start_date") == today) & F.col("is_current_record")).select("vendor_id"))
+    closing = (dim.filter(F.col("is_current_record") & (F.col("effective_start_date") < today))
+                  .join(changed, "vendor_id", "left_semi")
+                  .withColumns({"effective_end_date": before, "is_current_record": F.lit(False)}).select(*cols))
+    closed = dim.filter((F.col("effective_end_date") == before) & ~F.col("is_current_record")).select(*cols)
+    return closing.unionByName(closed)

@@ -348,6 +348,30 @@ def publish(outputs: Mapping[str, DataFrame], root: str, checks=None, partition_
     return version
 
 
+def publish_parts(df: DataFrame, root: str, name: str, part: str, values: Iterable | None, run_id: str) -> str:
+    """S6 for a part of a table: the rows of ``df`` replace the published rows
+    whose ``part`` is among ``values`` (None: all rows); every other part stays
+    in the files that it has. The table's versions are its parts
+    (``v<run_id>/part=<value>``)."""
+    spark, version = df.sparkSession, f"v{run_id}"
+    # the column is stored in the files as well: a part is read by its own path
+    df.withColumn("part", F.col(part)).write.mode("overwrite").partitionBy("part").parquet(f"{root}/{name}/{version}")
+    fs, p = _jfs(spark, f"{root}/{name}/{version}")
+    new = sorted(f"{version}/{s.getPath().getName()}" for s in fs.listStatus(p) if s.getPath().getName().startswith("part="))
+
+    def change(now: dict) -> dict:
+        if values is None:
+            return {name: new}
+        gone = {f"part={v}" for v in values}
+        have = [now[name]] if isinstance(now.get(name), str) else now.get(name, [])
+        if any("/part=" not in v for v in have):
+            raise ValueError(f"{root}/{name} is published as a whole: publish all its parts first")
+        return {name: [v for v in have if v.rsplit("/", 1)[-1] not in gone] + new}
+
+    _switch(spark, root, change)
+    return version
+
+
 def note(spark: SparkSession, root: str, entry: str, value: str) -> None:
     """Add ``value`` to the list ``entry`` of the manifest."""
     _switch(spark, root, lambda now: {entry: sorted({*now.get(entry, []), value})})

@@ -110,7 +110,7 @@ def test_stops_between_the_steps_and_reruns_of_the_same_run(spark, T001, scratch
         monkeypatch.setattr(io, "publish", make("publish"))
 
     stops = [("add_ids", lambda *a, **k: a[3] == "vr1"), ("publish", lambda out, *a, **k: "fact_spend_analytics" in out),
-             ("publish", lambda out, *a, **k: "fact_savings_realization" in out), ("run_log", lambda *a: True)]
+             ("publish", lambda out, *a, **k: "fact_supplier_performance" in out), ("run_log", lambda *a: True)]
     for which in stops:
         stop_when(which)
         with pytest.raises(RuntimeError, match="stopped"):
@@ -172,6 +172,39 @@ def test_quarantine_and_observed_counts(spark, T001, scratch):
     assert io.read_table(spark, an_root, "fact_spend_analytics").count() == loaded + n
 
 
+def test_a_load_of_one_year_writes_that_year_of_savings(spark, T001, scratch):
+    """Savings by fiscal year: what a load does not touch stays in its files; the result is that of a full rebuild."""
+    from spendstar.operators.facts import fact_savings_realization
+    op_root, an_root = _started(spark, T001, scratch)
+    spend = T001["spend_transactions"]
+    year = F.when(F.month("transaction_date") >= 4, F.year("transaction_date") + 1).otherwise(F.year("transaction_date"))
+    early = spend.filter(year != 2024)
+    early.write.mode("overwrite").parquet(os.path.join(op_root, "spend_transactions"))
+    daily_load(spark, op_root, an_root, dt.date(2023, 11, 5), run_id="one")
+    first = set(io.table_versions(spark, an_root, "fact_savings_realization"))
+    assert first == {"vone-summary/part=2023", "vone-summary/part=2024"}
+    spend.filter(F.col("transaction_id").isNotNull()).write.mode("overwrite").parquet(os.path.join(op_root, "spend_transactions"))
+    log = {r["stage"]: r for r in daily_load(spark, op_root, an_root, dt.date(2023, 11, 5), run_id="two").collect()}
+    assert log["facts"]["rows_inserted"] > 0
+    assert set(io.table_versions(spark, an_root, "fact_savings_realization")) == {"vone-summary/part=2023", "vtwo-summary/part=2024"}
+    # no new facts: nothing is written
+    daily_load(spark, op_root, an_root, dt.date(2023, 11, 5), run_id="three")
+    assert "vtwo-summary/part=2024" in io.table_versions(spark, an_root, "fact_savings_realization")
+    got = io.read_table(spark, an_root, "fact_savings_realization")
+    star = {n: io.read_table(spark, an_root, n) for n in ("fact_spend_analytics", "dim_commodities", "dim_time")}
+    whole = fact_savings_realization(star["fact_spend_analytics"], star["dim_commodities"], star["dim_time"], T001["savings_targets"],
+                                     dt.date(2023, 11, 5))
+    cols = ["savings_key", "fiscal_year", "realized_savings", "forecasted_savings", "realization_rate"]
+    assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, whole.select(*cols).collect()))
+    # one year's computation reads that year's days only
+    import contextlib
+    import io as text_io
+    buf = text_io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        star["fact_spend_analytics"].filter(F.col("time_key").between(20230401, 20240331)).explain("formatted")
+    assert "GreaterThanOrEqual(time_key,20230401)" in buf.getvalue()
+
+
 def test_cli_health_check_and_reports(spark, T001, scratch, capsys):
     from spendstar.__main__ import main
     op_root, an_root = os.path.join(scratch, "op"), os.path.join(scratch, "an")
