@@ -54,8 +54,8 @@ def _memory():
     import ctypes
     try:
         libc = ctypes.CDLL("libc.so.6")
-        libc.mallopt(-3, 1 << 20)       # M_MMAP_THRESHOLD
-        libc.mallopt(-1, 1 << 20)       # M_TRIM_THRESHOLD
+        libc.mallopt(-3, 16 << 20)      # M_MMAP_THRESHOLD
+        libc.mallopt(-1, 16 << 20)      # M_TRIM_THRESHOLD
         libc.mallopt(-8, 2)             # M_ARENA_MAX
         return libc
     except (OSError, AttributeError):

@@ -55,7 +55,7 @@ PLACE_WORDS = 24
 HEAD_WORDS = 1 << 20
 BEST = 24
 K1, B = 1.2, 0.75
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 1_500_000
 _MARK = np.zeros(256, bool)       # ASCII characters that are neither letters, digits nor white space
 _MARK[[c for c in range(33, 127) if not chr(c).isalnum()]] = True
 PIECES = ("doc_id long, copy int, start long, length long, ids_crc32 long, doc_tokens long, "
@@ -74,6 +74,24 @@ def _letters(data: np.ndarray) -> np.ndarray:
     return out
 
 
+class Growing:
+    """An array that is appended to; room doubles, so that a part costs its own length."""
+
+    def __init__(self, kind):
+        self.held, self.n = np.zeros(1 << 16, kind), 0
+
+    def append(self, part: np.ndarray) -> int:
+        """Append; returns the length before."""
+        before, self.n = self.n, self.n + len(part)
+        if self.n > len(self.held):
+            self.held = np.concatenate([self.held[:before], np.zeros(max(self.n, 2 * before) - before, self.held.dtype)])
+        self.held[before:self.n] = part
+        return before
+
+    def __getitem__(self, at):
+        return self.held[at]
+
+
 class WordTokenizer:
     """Ids of whole texts from a table of words' ids."""
 
@@ -91,14 +109,13 @@ class WordTokenizer:
     def clear(self):
         """Forget all words. Known words are kept by 64-bit hash, sorted."""
         self.keys, self.entry = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        self.pool, self.first, self.size = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.pool, self.first, self.size = Growing(np.uint32), Growing(np.int64), Growing(np.int32)
 
     def _add(self, ids: np.ndarray, size: np.ndarray) -> np.ndarray:
         """New entries for consecutive runs of ids; their numbers."""
-        number = len(self.first) + np.arange(len(size))
-        self.first = np.concatenate([self.first, len(self.pool) + np.cumsum(size) - size])
-        self.size = np.concatenate([self.size, size])
-        self.pool = np.concatenate([self.pool, ids])
+        start = self.pool.append(ids)
+        number = self.first.append(start + np.cumsum(size) - size) + np.arange(len(size))
+        self.size.append(size)
         return number
 
     def _find(self, value: np.ndarray) -> np.ndarray:
@@ -109,8 +126,11 @@ class WordTokenizer:
         return np.where(self.keys[at] == value, self.entry[at], -1)
 
     def _learn(self, value: np.ndarray, number: np.ndarray) -> None:
-        keys, first = np.unique(np.concatenate([self.keys, value]), return_index=True)
-        self.keys, self.entry = keys, np.concatenate([self.entry, number])[first]
+        value, first = np.unique(value, return_index=True)
+        fresh = self._find(value) < 0
+        value, number = value[fresh], number[first[fresh]]
+        at = np.searchsorted(self.keys, value)
+        self.keys, self.entry = np.insert(self.keys, at, value), np.insert(self.entry, at, number)
 
     def _stems(self, words: list[str]) -> np.ndarray:
         """Entries of words of letters: one tokenizer unit each, so their ids end at a word end."""
