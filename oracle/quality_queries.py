@@ -184,6 +184,18 @@ def _row_text(table: str) -> str:
     return "concat_ws('|', " + ", ".join(f"coalesce(cast({c} as varchar), '~')" for c in cols) + ")"
 
 
+def _anomalies(least: int, limit: float) -> str:
+    return f"""
+with h as (
+  select *, cast(spend_amount as double) as x,
+    cast(sum(cast(spend_amount as decimal(38,12))) over pair as double) / count(*) over pair as mean,
+    stddev_samp(cast(spend_amount as double)) over pair as sd, count(*) over pair as n
+  from fact_spend_analytics window pair as (partition by vendor_key, commodity_key))
+select fact_key, vendor_key, commodity_key, x as spend_amount, round(mean, 6) as mean_spend, round(sd, 6) as stddev_spend,
+  round((x - mean) / nullif(sd, 0), 6) as z_score, coalesce(abs((x - mean) / nullif(sd, 0)) > {limit}, false) as is_anomaly
+from h where n >= {least}"""
+
+
 QUALITY_QUERIES: dict[str, str] = {
     "copy_star_counts": "\nunion all\n".join(
         f"select '{t}' as table_name, count(*) as row_count, "
@@ -259,15 +271,8 @@ select 'fact_coverage', 'WARNING', transaction_ratio, 0.9 from ({CONSISTENCY}) d
 union all
 select table_name || '.' || rule_name, 'ERROR', cast(violations as double), 0.0 from ({VIOLATIONS}) e
 where violations > 0""",
-    "spend_anomalies": """
-with h as (
-  select *, cast(spend_amount as double) as x,
-    cast(sum(cast(spend_amount as decimal(38,12))) over pair as double) / count(*) over pair as mean,
-    stddev_samp(cast(spend_amount as double)) over pair as sd, count(*) over pair as n
-  from fact_spend_analytics window pair as (partition by vendor_key, commodity_key))
-select fact_key, vendor_key, commodity_key, x as spend_amount, round(mean, 6) as mean_spend, round(sd, 6) as stddev_spend,
-  round((x - mean) / nullif(sd, 0), 6) as z_score, coalesce(abs((x - mean) / nullif(sd, 0)) > 3.0, false) as is_anomaly
-from h where n >= 5""",
+    "spend_anomalies": _anomalies(5, 3.0),
+    "spend_anomalies_pairs": _anomalies(2, 0.7),
     "supplier_risk_score": f"""
 with a as (
   select vendor_id,

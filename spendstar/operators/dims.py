@@ -146,6 +146,7 @@ def dim_contracts(contracts: DataFrame, risk: DataFrame, as_of, existing: DataFr
     """Contract dimension. ``risk_level`` is the level of the vendor's
     latest open assessment on or before ``as_of`` (ties by assessment id);
     'Critical' maps to 'High' since the dimension allows Low/Medium/High only.
+    A contract without a currency has the DDL's default, 'USD'.
 
     The latest assessment is a ``max_by`` aggregate, so a vendor with very
     many assessments is combined map-side rather than sorted in one task.
@@ -158,7 +159,8 @@ def dim_contracts(contracts: DataFrame, risk: DataFrame, as_of, existing: DataFr
             .select("contract_id", "contract_name", "contract_type", "contract_status", "start_date", "end_date",
                     F.coalesce(F.col("auto_renewal"), F.lit(False)).alias("auto_renewal"),
                     "payment_terms",
-                    F.lit(None).cast("string").alias("currency_code"),
+                    (F.coalesce("currency_code", F.lit("USD")) if "currency_code" in contracts.columns
+                     else F.lit(None).cast("string")).alias("currency_code"),
                     F.when(F.col("risk_level") == "Critical", "High").otherwise(F.col("risk_level")).alias("risk_level"),
                     day.alias("effective_start_date"),
                     F.lit(True).alias("is_current_record")))
@@ -194,11 +196,13 @@ def unit_levels(bu: DataFrame) -> DataFrame:
 
 def dim_business_units(bu: DataFrame, as_of, existing: DataFrame | None = None) -> DataFrame:
     """Business units with ``level_in_hierarchy`` (roots are 1, NULL for
-    units that no root reaches)."""
+    units that no root reaches) and their cost center, place and manager."""
     levels = unit_levels(bu)
+    more = [F.col(c) if c in bu.columns else F.lit(None).cast("string").alias(c)
+            for c in ("cost_center", "region", "country", "manager_name")]
     rows = (bu.join(levels, "business_unit_id", "left")
               .select("business_unit_id", "business_unit_name", "parent_unit_id",
-                      F.col("level_in_hierarchy").cast("int").alias("level_in_hierarchy"),
+                      F.col("level_in_hierarchy").cast("int").alias("level_in_hierarchy"), *more,
                       D.lit_date(as_of).alias("effective_start_date"),
                       F.lit(True).alias("is_current_record")))
     return assign_keys(rows, existing, "business_unit_key", ["business_unit_id"])

@@ -154,5 +154,6 @@ PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     "market_data_kv": lambda T: reports.market_data_kv(T["market_intelligence"]),
     # roadmap analytics
     "spend_anomalies": lambda T: risk.spend_anomalies(T, 5, 3.0),
+    "spend_anomalies_pairs": lambda T: risk.spend_anomalies(T, 2, 0.7),
     "supplier_risk_score": lambda T: risk.supplier_risk_score(T, AS_OF),
 }

@@ -42,10 +42,11 @@ OPERATIONAL = {
                               "category_manager string, market_volatility string, supply_risk string"),
     "time_periods": _st("period_id int, period_name string, start_date date, end_date date, fiscal_year int, "
                         "fiscal_quarter int, fiscal_month int, is_current_period boolean"),
-    "business_units": _st("business_unit_id string, business_unit_name string, parent_unit_id string"),
+    "business_units": _st("business_unit_id string, business_unit_name string, parent_unit_id string, "
+                          "cost_center string, region string, country string, manager_name string"),
     "contracts": _st("contract_id string, vendor_id string, contract_name string, contract_type string, "
                      "contract_status string, start_date date, end_date date, contract_value decimal(18,2), "
-                     "auto_renewal boolean, payment_terms int"),
+                     "auto_renewal boolean, payment_terms int, currency_code string"),
     "purchase_orders": _st("po_id string, business_unit_id string, po_date date, approved_date date, "
                            "po_status string, total_amount decimal(18,2), vendor_id string, contract_id string"),
     "po_line_items": _st("po_line_id bigint, po_id string, commodity_id string, line_number int, quantity double, "
@@ -129,5 +130,6 @@ DEFAULTS = {
     "fact_spend_analytics": {"transaction_count": 1, "discount_amount": 0},
     "fact_supplier_performance": {"warranty_claims_count": 0},
     "spend_transactions": {"currency_code": "USD"},
+    "contracts": {"currency_code": "USD", "auto_renewal": False},
     "time_periods": {"is_current_period": False},
 }

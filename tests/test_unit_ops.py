@@ -77,6 +77,51 @@ def test_unit_levels_have_no_depth_limit(spark):
     assert got == {f"B{i}": i + 1 for i in range(150)} | {"X": None, "Y": None, "Z": None}
 
 
+def test_health_of_incomplete_databases(T001):
+    """A missing table fails its schema and the health, whatever the counts say."""
+    from spendstar.operators import quality
+    whole = quality.health_check(T001).first()
+    assert (whole["star_schema_status"], whole["operational_schema_status"], whole["overall_status"]) == ("PASSED", "PASSED", "HEALTHY")
+    for gone, column in (("contracts", "operational_schema_status"), ("dim_commodities", "star_schema_status")):
+        T = {n: T001[n] for n in T001 if n != gone}
+        r = quality.health_check(T).first()
+        assert r[column] == "FAILED" and r["overall_status"] == "ISSUES_DETECTED"
+        assert r["transaction_ratio"] == whole["transaction_ratio"]
+
+
+def test_profile_gives_all_checks_at_once(T001):
+    """One profile for rules, NULL columns, keys, references and alerts equals each check by itself."""
+    from spendstar.operators import monitor, quality
+    of = quality.quality_profile(T001).cache()
+    T = {n: T001[n] for n in T001}
+    for check in (quality.dq_check_violations, quality.dq_null_columns, quality.dq_duplicate_keys, quality.dq_fk_violations):
+        assert sorted(map(str, check(T, of).collect())) == sorted(map(str, check(T).collect()))
+    one = {r["check_name"]: r["measured"] for r in monitor.dq_alerts(monitor.results_of_profile(T, of)).collect()}
+    many = {r["check_name"]: r["measured"] for r in monitor.dq_alerts({
+        "recon_vendor_count": quality.recon_vendors(T), "recon_spend_status": quality.recon_spend_status(T),
+        "orphan_facts": quality.orphan_facts(T), "consistency_check": quality.check_consistency(T),
+        "dq_check_violations": quality.dq_check_violations(T)}).collect()}
+    assert one == many and one
+
+
+def test_profile_of_odd_tables(spark):
+    """NULL and repeated keys, composite keys, references to nothing, rules on NULL, more measures than one mask holds."""
+    from spendstar.operators.profile import profile
+    T = {"p": spark.createDataFrame([("a", 1), ("a", 1), (None, 2), ("b", None), ("=b", 3)], "k string, n int"),
+         "c": spark.createDataFrame([("a",), ("x",), (None,), ("b",), ("x",), ("-",)], "r string"),
+         "e": spark.createDataFrame([], "k string, n int")}
+    many = [("p", f"r{i}", f"n <> {i}") for i in range(70)]
+    got = {(r["table_name"], r["kind"], r["name"]): r["n"] for r in profile(
+        T, rules=many, nulls=[("p", ["k", "n"]), ("e", ["k"])], keys=[("p", ("k",)), ("p", ("k", "n")), ("e", ("k",))],
+        references=[("c", "r", "p", "k"), ("p", "k", "e", "k")]).collect()}
+    assert [got["p", "rule", f"r{i}"] for i in (0, 1, 2, 3, 69)] == [0, 2, 1, 1, 0]
+    assert (got["p", "null", "k"], got["p", "null", "n"], got["e", "null", "k"]) == (1, 1, 0)
+    assert [got["p", k, "k"] for k in ("rows", "null_rows", "groups", "group_rows")] == [5, 1, 1, 2]
+    assert [got["p", k, "k,n"] for k in ("rows", "null_rows", "groups", "group_rows")] == [5, 2, 1, 2]
+    assert [got["e", k, "k"] for k in ("rows", "null_rows", "groups", "group_rows")] == [0, 0, 0, 0]
+    assert got["c", "reference", "r>p.k"] == 3 and got["p", "reference", "k>e.k"] == 4
+
+
 def test_absent_columns_are_reported_not_skipped(T001):
     from spendstar.operators import quality
     T = {n: T001[n] for n in T001}
