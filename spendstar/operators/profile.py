@@ -24,7 +24,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BITS = 60
-PARTS = ("rules", "nulls", "keys", "references", "totals")
 
 
 class _Plan:
