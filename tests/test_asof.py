@@ -85,3 +85,45 @@ def test_rows_are_not_multiplied(spark):
     assert out.count() == T["fact_spend_analytics"].count() + PLANS["fact_spend_backlog"](T).count()
     assert out.filter("valid_vendor_key is not null").count() > 1000 and out.filter("restated").count() > 0
     assert out.filter("valid_contract_id is not null").count() > 100
+
+
+@pytest.mark.parametrize("few", [0, 2, 32])
+def test_timelines_against_brute_force(spark, few):
+    """One row per member answers every day, from its versions or from its listed days."""
+    from pyspark.sql import functions as F
+    rng = random.Random(2)
+    versions = [("over", 5, day(0), day(100), "a"), ("over", 6, day(40), day(60), "b"), ("over", 7, day(55), day(58), None),
+                ("same", 8, day(5), day(90), "a"), ("same", 9, day(5), None, "b"), ("gap", 10, day(0), day(3), "a"),
+                ("gap", 11, day(8), None, "b"), ("back", 12, day(20), day(10), "a"), ("nostart", 13, None, day(10), "a"),
+                (None, 14, day(0), None, "a"), ("far", 15, dt.date(1900, 1, 1), dt.date(9999, 12, 31), "a")]
+    versions += [("hot", 100 + k, day(s := rng.randrange(300)), day(s + rng.randrange(30)), str(k % 5)) for k in range(400)]
+    pairs = [(k, day(n)) for k in ("over", "same", "gap", "back", "nostart", "none", "far", "hot") for n in range(-3, 340)]
+    pairs += [("far", dt.date(2009, 1, 1)), ("far", dt.date(2030, 12, 31)), ("far", dt.date(2008, 12, 31)), ("over", None), (None, day(3))]
+    want = brute([(k, d) for k, d in pairs if k and d and d >= dt.date(2009, 1, 1)], versions)
+    table = spark.createDataFrame(versions, "member string, v long, a date, b date, tier string")
+    lines = asof.timelines(table, "member", "v", "a", "b", ["tier"], few=few)
+    assert lines.count() == lines.select("member").distinct().count()
+    rows = spark.createDataFrame(pairs, "member string, d date").join(lines, "member", "left")
+    got = rows.select("member", "d", *asof.on_day(F.col("few"), F.col("days"), F.col("d"), "v", ["tier"])).collect()
+    assert len(got) == len(pairs)
+    assert {(r["member"], r["d"]): (r["v"], r["tier"]) for r in got if r["v"] is not None} == want
+
+
+def test_facts_are_made_once(spark):
+    """What makes the fact rows runs once, not again for the list of asked days."""
+    from pyspark.sql import functions as F
+    made = spark.sparkContext.accumulator(0)
+
+    def seen(x):
+        made.add(1)
+        return x
+    facts = spark.range(50).select(F.col("id").alias("fact_key"), F.lit(20180105).alias("time_key"),
+                                   F.udf(seen, "long")(F.col("id") * 0 + 7).alias("vendor_key"), F.lit(1.0).alias("spend_amount"))
+    dim = spark.createDataFrame([(7, "A", "Tactical", "Low", day(0), None)],
+                                "vendor_key long, vendor_id string, vendor_tier string, risk_rating string, effective_start_date date, effective_end_date date")
+    contracts = spark.createDataFrame([("K1", "A", "MSA", day(0), day(10))],
+                                      "contract_id string, vendor_id string, contract_type string, start_date date, end_date date")
+    days = spark.createDataFrame([(20180105, day(4))], "time_key int, date_actual date")
+    got = asof.fact_as_of_versions(facts, dim, contracts, days).collect()
+    assert len(got) == 50 and {(r["valid_vendor_key"], r["contract_days_left"]) for r in got} == {(7, 6)}
+    assert made.value < 2 * 50
