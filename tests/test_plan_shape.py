@@ -72,3 +72,27 @@ def test_vendor_reports_aggregate_before_vendor_join(stored):
 @pytest.mark.parametrize("key", ["esg_diversity", "strategic_roadmap", "supplier_performance", "category_plan"])
 def test_facts_scanned_once(stored, key):
     assert len(scans(plan_of(PLANS[key](stored)), "fact_spend_analytics")) == 1
+
+
+def test_orphans_move_vendor_and_commodity_only(stored):
+    """The day is looked up where a fact is read; it is no grouping key that is shuffled."""
+    p = plan_of(PLANS["orphan_facts"](stored))
+    assert "hashpartitioning(vendor_key" in p and not re.search(r"hashpartitioning\([^)]*time_key", "\n".join(
+        b for b in re.split(r"\n\(\d+\) ", p) if b.startswith("Exchange") and "commodity_key" in b))
+
+
+def test_orders_meet_customers_before_lines(spark, T001):
+    """The customer key does not move with every line; the rows are those of the SQL text as written."""
+    from spendstar.sources.fixtures import FIXTURE_SQL
+    buf = _io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        T001["spend_transactions"].explain("extended")
+    lines = buf.getvalue().split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")[0].splitlines()
+    depth = [len(re.match(r"[\s:+-]*", line).group()) for line in lines]
+    at = next(i for i, line in enumerate(lines) if "Join Inner, (o_custkey" in line)
+    below = [line for i, line in enumerate(lines) if i > at and all(d > depth[at] for d in depth[at + 1:i + 1])]
+    assert any("c_custkey" in line for line in below) and not any("l_orderkey" in line for line in below)
+    text = re.sub(r"\b(from|join) (lineitem|orders|customer|part)\b", r"\1 parquet.`/root/testdata/sf0.001/\2.parquet`",
+                  FIXTURE_SQL["spend_transactions"])
+    want, got = spark.sql(text), T001["spend_transactions"].select(*spark.sql(text).columns)
+    assert want.count() == got.count() > 1000 and want.exceptAll(got).isEmpty() and got.exceptAll(want).isEmpty()
