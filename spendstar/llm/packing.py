@@ -46,7 +46,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .buffers import BYTE_LOWER, runs, span_hashes, text_array, words
-from .common import discard, lean, lean_group, shared_folder, ship
+from .common import discard, lean, lean_group, release_shuffles, shared_folder, ship
 
 WINDOW = 2048
 END = 1
@@ -511,7 +511,11 @@ def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, end: int = END,
     head = spark.sparkContext.broadcast(Statistics(n, n_words / max(n, 1), value[by], common.column("df").to_numpy()[by]))
     places(rows, table, head, low, max(2, n * shard_bytes // max(total, 1)), f"{folder}/read").write.parquet(f"{folder}/places")
     place = spark.read.parquet(f"{folder}/places")
+    # the words and what was shuffled up to here are done with
+    del table, common
     discard(spark, f"{folder}/read")
+    discard(spark, f"{folder}/words")
+    release_shuffles(spark)
 
     buckets = max(1, -(-total // shard_bytes))
     # at most ``buckets`` leads are that large; how they are joined is left to their measured size

@@ -144,6 +144,17 @@ def test_packing_round_trip(spark, make_docs):
     assert packing.pack(make_docs([]), path).count() == 0
 
 
+def test_packing_keeps_places_only(spark, make_docs):
+    """Before the texts are shuffled, what was counted and read to find the places is gone."""
+    import glob
+    from spendstar.session import ensure_checkpoint_dir
+    folder = f"{ensure_checkpoint_dir(spark)}/packing-*/*".removeprefix("file:")
+    before = set(glob.glob(folder))
+    out = packing.pack(make_docs(list(enumerate(texts(40)))), queries.tokenizer_path(), window=256)
+    assert {p.rsplit("/", 1)[1] for p in set(glob.glob(folder)) - before} == {"places"}
+    assert out.select("doc_id").distinct().count() == 40
+
+
 def test_packing_puts_neighbours_together():
     tok = packing.WordTokenizer(queries.tokenizer_path())
     topics = [[f"{a}{c}" for c in "abcdefgh"] for a in ("zug", "mond", "brot", "fisch")]
