@@ -196,6 +196,57 @@ def test_packing_statistics_are_those_of_the_table(spark, make_docs):
     assert sorted(d for d, _ in have.values()) == sorted(c for c in df.values() if c > 1)
 
 
+def test_packing_tasks_find_the_words_of_their_worker():
+    """What a task refers to by name in the module stays in the worker; a table comes along with each task, empty."""
+    import types
+
+    def names(code):
+        inner = [c for c in code.co_consts if isinstance(c, types.CodeType)]
+        return set().union(*(set(c.co_names) | names(c) for c in inner))
+
+    tables = {k for k, v in vars(packing).items() if isinstance(v, (dict, list, set))}
+    assert not names(packing.pack.__code__) & tables
+    path = queries.tokenizer_path()
+    assert packing.word_tokenizer(path) is packing.word_tokenizer(path)
+
+
+@pytest.mark.parametrize("ranges", [1, 7])
+def test_packing_counts_words_by_ranges(spark, make_docs, ranges):
+    rows = [(i, t) for i, t in enumerate(texts(200, seed=3))]
+    out = packing.count_words(make_docs(rows).select("text").repartition(5), ranges)
+    have = [(r["df"], r["n_words"]) for r in out.collect()]
+    df = Counter(w for _, t in rows for w in set(t.split()))
+    assert sorted(have) == sorted([(0, sum(len(t.split()) for _, t in rows))] + [(c, 0) for c in df.values() if c > 1])
+    assert "FlatMapGroupsInArrow" in out._jdf.queryExecution().executedPlan().toString()     # no row per word is shuffled
+
+
+def test_packing_order_is_stable():
+    rng = np.random.default_rng(1)
+    for value in (rng.integers(0, 2**63, 5000, dtype=np.uint64) * np.uint64(2), rng.integers(0, 2**64, 300, dtype=np.uint64).repeat(9),
+                  np.arange(3000, dtype=np.uint64)[::-1].copy(), np.zeros(0, np.uint64)):
+        value = rng.permutation(value)
+        by, ordered = packing.stable_order(value)
+        assert (by == np.argsort(value, kind="stable")).all() and (ordered == np.sort(value)).all()
+
+
+def test_packing_forgets_used_documents_only():
+    """Documents come in the order that all postings give."""
+    rng = random.Random(7)
+    text = [" ".join(rng.choice("abcdefghijklmnop") * rng.randint(1, 9) for _ in range(rng.randint(0, 80))) for _ in range(300)]
+    value = [np.array([hash(w) % 2**64 for w in t.split()], np.uint64) for t in text]
+    count = np.array([len(v) for v in value])
+    word, doc, tf, new = packing.postings(np.concatenate(value), count)
+    df = np.diff(new, append=len(word))
+    size = count + 1
+
+    def order(forget):
+        index = packing.Index(np.repeat(np.arange(len(df)), df), doc, tf, df, count, packing.Statistics(300, count.mean(), word[new], df), df)
+        if not forget:
+            index.forget = lambda used: None
+        return packing.reading_order(index, size, 64).tolist()
+    assert order(True) == order(False) and sorted(order(True)) == list(range(300))
+
+
 def brute_rules(t):
     t = t or ""
     w = WORD.findall(t)
