@@ -60,6 +60,7 @@ K1, B = 1.2, 0.75
 CACHE_WORDS = 1_500_000
 _MARK = np.zeros(256, bool)       # ASCII characters that are neither letters, digits nor white space
 _MARK[[c for c in range(33, 127) if not chr(c).isalnum()]] = True
+HEAVY = np.dtype([("minus", "<f4"), ("word", "<i8"), ("df", "<i4")])
 PIECES = ("doc_id long, copy int, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long")
 
@@ -436,7 +437,7 @@ def _hashed(column):
 def _binary(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
     """values[cuts[i]:cuts[i + 1]] as byte strings."""
     return pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [
-        None, pa.py_buffer((cuts * values.itemsize).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(values))])
+        None, pa.py_buffer((cuts * values.itemsize).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(values).view(np.uint8))])
 
 
 def count_words(texts: DataFrame, ranges: int = 1) -> DataFrame:
@@ -518,12 +519,17 @@ def places(rows: DataFrame, table: DataFrame, head, low: int, cap: int, path: st
                 nth = np.arange(len(order)) - np.repeat(np.cumsum(own) - own, own)
                 top = order[nth < PLACE_WORDS]
                 at = known[top]
-                cand.append((np.minimum(own, PLACE_WORDS), -weight[top].astype(np.float32), word[at],
-                             np.minimum(df[at], 2**31 - 1).astype(np.int32)))
+                heavy = np.empty(len(at), HEAVY)
+                heavy["minus"], heavy["word"], heavy["df"] = -weight[top], word[at].view(np.int64), np.minimum(df[at], 2**31 - 1)
+                cand.append((np.minimum(own, PLACE_WORDS), heavy))
                 new = np.flatnonzero(df == 1) if low > 2 else np.zeros(0, np.int64)
                 new = new[np.argsort(doc[new], kind="stable")]
                 rare.append((np.bincount(doc[new], minlength=b - a), part[new].astype(np.float32), word[new]))
 
+            def strings(parts):
+                size, values = [np.concatenate(x) for x in zip(*parts, strict=True)]
+                return _binary(values, np.concatenate([[0], np.cumsum(size)]))
+
             def lists(parts, names):
                 size, *columns = [np.concatenate(x) for x in zip(*parts, strict=True)]
                 values = [pa.array(c.view(np.int64) if c.dtype == np.uint64 else c) for c in columns]
@@ -531,12 +537,12 @@ def places(rows: DataFrame, table: DataFrame, head, low: int, cap: int, path: st
                                                 pa.StructArray.from_arrays(values, names))
             if batch.num_rows:
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), batch.column(2), lists(cand, ["minus", "word", "df"]), lists(rare, ["part", "word"])],
+                    [batch.column(0), batch.column(2), strings(cand), lists(rare, ["part", "word"])],
                     names=["id", "bytes", "cand", "rare"])
 
     # read once: stored for the two uses
     rows.select("id", "text", (F.octet_length("text") + 16).cast("long").alias("bytes")).mapInArrow(
-        lean(run), f"id long, bytes long, cand {item}, rare array<struct<part: float, word: long>>").write.parquet(path)
+        lean(run), "id long, bytes long, cand binary, rare array<struct<part: float, word: long>>").write.parquet(path)
     read = rows.sparkSession.read.parquet(path)
     # of rows with one id one chooses the place; arrays are aggregated by sorting, once they have met
     own = read.repartition("id").groupBy("id").agg(F.sum("bytes").alias("bytes"), F.max("cand").alias("cand"))
@@ -552,15 +558,45 @@ def places(rows: DataFrame, table: DataFrame, head, low: int, cap: int, path: st
         own = own.join(found, F.col("id").eqNullSafe(F.col("__id")), "left").drop("__id")
     else:
         own = own.withColumn("rare", F.lit(None).cast(item))
-    rare = F.coalesce("rare", F.array().cast(item))
-    heavy = F.slice(F.sort_array(F.concat("cand", rare)), 1, PLACE_WORDS)
-    # words whose documents fit a shard first, the commonest of them leading
-    choice = F.sort_array(F.transform(heavy, lambda x: F.struct(
-        F.when(x["df"] <= cap, -x["df"]).otherwise(x["df"]).alias("rank"), x["word"].alias("word"))))
-    return own.select("id", "bytes", F.transform(rare, lambda x: F.struct(x["word"], x["df"])).alias("rare"),
-                      choice.alias("choice")) \
-              .select("id", "bytes", "rare", F.coalesce(F.get("choice", F.lit(0))["word"], F.xxhash64("id")).alias("lead"),
-                      F.coalesce(F.get("choice", F.lit(1))["word"], F.lit(0)).alias("next"))
+
+    def choose(batches):
+        for batch in batches:
+            n = batch.num_rows
+            data, off = text_array(batch.column(2))
+            cand, lists = np.frombuffer(data.tobytes(), HEAVY), batch.column(3)
+            size = lists.value_lengths().fill_null(0).to_numpy().astype(np.int64)
+            rare = [x.to_numpy(zero_copy_only=False) for x in lists.flatten().flatten()]
+            doc = np.concatenate([np.repeat(np.arange(n), np.diff(off) // HEAVY.itemsize), np.repeat(np.arange(n), size)])
+            minus, word, df = (np.concatenate([cand[k], r]) for k, r in zip(HEAVY.names, rare, strict=True))
+            # the heaviest of a document's words, equally heavy ones by hash
+            order = np.lexsort((word, doc * 256.0 + minus))
+            first = np.searchsorted(doc[order], np.arange(n + 1))
+            top = order[np.arange(len(order)) - first[doc[order]] < PLACE_WORDS]
+            # words whose documents fit a shard first, the commonest of them leading
+            doc, word, rank = doc[top], word[top], np.where(df[top] <= cap, -df[top].astype(np.int64), df[top])
+            chosen = []
+            for _ in range(2):
+                some = np.flatnonzero(_changes(doc))
+                least = np.zeros(n, np.int64)
+                least[doc[some]] = np.minimum.reduceat(rank, some) if len(some) else 0
+                tied = rank == least[doc]
+                there = doc[tied]
+                some = np.flatnonzero(_changes(there))
+                best, has = np.zeros(n, np.int64), np.zeros(n, bool)
+                best[there[some]] = np.minimum.reduceat(word[tied], some) if len(some) else 0
+                has[there[some]] = True
+                chosen.append(pa.array(best, mask=~has))
+                keep = ~(tied & (word == best[doc]))
+                doc, word, rank = doc[keep], word[keep], rank[keep]
+            words_ = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32)),
+                                              pa.StructArray.from_arrays([pa.array(rare[1], pa.int64()), pa.array(rare[2], pa.int32())],
+                                                                         ["word", "df"]))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), words_, *chosen],
+                                             names=["id", "bytes", "rare", "lead", "next"])
+
+    return own.select("id", "bytes", "cand", "rare").mapInArrow(
+        lean(choose), "id long, bytes long, rare array<struct<word: long, df: int>>, lead long, next long") \
+        .select("id", "bytes", "rare", F.coalesce("lead", F.xxhash64("id")).alias("lead"), F.coalesce("next", F.lit(0)).alias("next"))
 
 
 def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, end: int = END, shard_bytes: int = SHARD_BYTES,

@@ -220,6 +220,42 @@ def test_packing_counts_words_by_ranges(spark, make_docs, ranges):
     assert "FlatMapGroupsInArrow" in out._jdf.queryExecution().executedPlan().toString()     # no row per word is shuffled
 
 
+@pytest.mark.parametrize("low", [2, 4])
+def test_packing_chooses_the_commonest_of_the_heaviest_words(spark, make_docs, tmp_path, low):
+    """Lead and next of every document by plain Python, from the operator's hashes; the choice sorts no arrays in Spark."""
+    long = texts(120, seed=9, words=60)
+    rows = [*enumerate(long), *((200 + i, " ".join(t.split()[:15])) for i, t in enumerate(long)), (500, ""), (501, None)]
+    docs = make_docs(rows).select(F.col("doc_id").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
+    table = packing.count_words(docs.select("text"), 3).filter(F.col("word").isNotNull()).localCheckpoint()
+    df = {r["word"] % 2**64: r["df"] for r in table.collect()}
+    n, mean = len(rows), np.mean([len((t or "").split()) for _, t in rows])
+    known = sorted(w for w, d in df.items() if d >= low)
+    of = packing.Statistics(n, mean, np.array(known, np.uint64), np.array([df[w] for w in known], np.int64))
+    out = packing.places(docs, table, spark.sparkContext.broadcast(of), low, 40, str(tmp_path / "read"))
+    assert "sort_array" not in "".join(str(out._jdf.queryExecution().optimizedPlan()).split("MapInArrow")[0])
+    got = {r["id"]: r for r in out.collect()}
+    assert set(got) == {i for i, _ in rows}
+    checked = 0
+    for i, t in rows:
+        words = (t or "").split()
+        data = np.frombuffer(" ".join(words).encode(), np.uint8)
+        start, stop, _ = packing.words(data, np.array([0, len(data)]))
+        heavy = []
+        for w, tf in Counter(packing.span_hashes(data, start, stop).tolist()).items():
+            if w in df:
+                d = np.int64(df[w])
+                part = tf * (packing.K1 + 1) / (tf + of.norm(np.array([len(words)]))[0])
+                signed = w - 2**64 if w >= 2**63 else w
+                heavy.append((-np.float32(of.idf(d) * part) if d >= low else np.float32(-of.idf(d) * np.float32(part)), signed, int(d)))
+        ranks = sorted((-d if d <= 40 else d, w) for _, w, d in sorted(heavy)[:packing.PLACE_WORDS])
+        if ranks and len(heavy) <= packing.PLACE_WORDS:          # at the cut floats may round either way
+            checked += 1
+            assert got[i]["lead"] == ranks[0][1]
+            assert got[i]["next"] == (ranks[1][1] if len(ranks) > 1 else 0)
+        assert sorted(tuple(r) for r in got[i]["rare"] or ()) == sorted((w, d) for _, w, d in heavy if d < low)
+    assert checked >= 100
+
+
 def test_packing_order_is_stable():
     rng = np.random.default_rng(1)
     for value in (rng.integers(0, 2**63, 5000, dtype=np.uint64) * np.uint64(2), rng.integers(0, 2**64, 300, dtype=np.uint64).repeat(9),
